@@ -1,0 +1,30 @@
+"""Silver history kept up to date from the append-only snapshot log.
+
+The log only grows, and the history model looks at one payload at a time, so a
+daily run need not parse the payloads of earlier runs again.
+"""
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from stratacast.plans.silver import silver_hourly_history
+from stratacast.schemas import SCHEMAS, WEATHER_RAW
+
+
+def append_new_history(
+    spark: SparkSession, log_path: str, history_path: str, progress_path: str
+) -> StreamingQuery:
+    """Parse the snapshots that arrived since the last call, then stop.
+
+    ``progress_path`` records which files are done; a run that dies is resumed
+    from there and no snapshot is written twice.
+    """
+    snapshots = spark.readStream.schema(SCHEMAS[WEATHER_RAW]).parquet(log_path)
+    return (
+        silver_hourly_history(snapshots)
+        .writeStream.format("parquet")
+        .option("path", history_path)
+        .option("checkpointLocation", progress_path)
+        .trigger(availableNow=True)
+        .start()
+    )
