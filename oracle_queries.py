@@ -9,7 +9,7 @@ _RUNS = """
 with hourly as (
   select event_type as city, cast(ts as date) as day,
          cast(extract(hour from ts) as integer) as hour,
-         max(value) as high, min(value) as low, cast(max(user_id) as double) as wind,
+         floor(max(value) * 4) / 4 as high, min(value) as low, cast(max(user_id) as double) as wind,
          max(cast(json_extract_string(props, '$.k') as double)) as k
   from events group by 1, 2, 3),
 runs as (

@@ -25,8 +25,6 @@ ROW_FRACTION = 0.8
 COLUMN_FRACTION = 0.8
 SEED = 42
 
-_ASSEMBLER = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-
 
 def fit_linear(train: DataFrame) -> PipelineModel:
     """Ordinary least squares: one distributed pass for the normal equations."""
@@ -53,8 +51,9 @@ def fit_boosted(train: DataFrame, trees: int = TREES) -> PipelineModel:
 
 
 def _fit(train: DataFrame, regressor) -> PipelineModel:
-    frame = _ASSEMBLER.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
-    return PipelineModel([_ASSEMBLER, regressor.fit(frame)])
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
+    frame = assembler.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
+    return PipelineModel([assembler, regressor.fit(frame)])
 
 
 @dataclass

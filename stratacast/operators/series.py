@@ -45,36 +45,31 @@ def _borrowed_rows(
     blocks: DataFrame, entity: str, day: str, carried: Sequence[str], back: int, ahead: int
 ) -> DataFrame:
     whole = W.partitionBy(entity, "_block")
-    edge_row = F.struct(day, *carried)
+    placed = blocks.select(
+        entity,
+        "_block",
+        F.struct(day, *carried).alias("_row"),
+        F.row_number().over(whole.orderBy(day)).alias("_position"),
+        F.count(F.lit(1)).over(whole).alias("_size"),
+    )
     first = F.col("_position") <= ahead
     last = F.col("_position") > F.col("_size") - back
+    # collect_list skips nulls: at most `ahead` and `back` rows of a block.
     edges = (
-        blocks.select(entity, "_block", day, *carried)
-        .withColumn("_position", F.row_number().over(whole.orderBy(day)))
-        .withColumn("_size", F.count(F.lit(1)).over(whole))
-        .filter(first | last)
+        placed.filter(first | last)
         .groupBy(entity, "_block")
         .agg(
-            # collect_list skips nulls: at most `ahead` and `back` rows each.
-            F.array_sort(F.collect_list(F.when(first, edge_row))).alias("_first"),
-            F.array_sort(F.collect_list(F.when(last, edge_row))).alias("_last"),
+            F.array_sort(F.collect_list(F.when(first, F.col("_row")))).alias("_first"),
+            F.array_sort(F.collect_list(F.when(last, F.col("_row")))).alias("_last"),
         )
     )
     # Every block has at least one row, so `back` earlier blocks hold enough.
     by_block = W.partitionBy(entity).orderBy("_block")
     before = F.flatten(F.collect_list("_last").over(by_block.rowsBetween(-back, -1)))
     after = F.flatten(F.collect_list("_first").over(by_block.rowsBetween(1, ahead)))
+    borrowed = F.concat(F.slice(F.reverse(before), 1, back), F.slice(after, 1, ahead))
     return (
-        edges.select(entity, "_block", before.alias("_before"), after.alias("_after"))
-        .select(
-            entity,
-            "_block",
-            F.inline(
-                F.concat(
-                    F.slice(F.reverse("_before"), 1, back),
-                    F.slice("_after", 1, ahead),
-                )
-            ),
-        )
+        edges.select(entity, "_block", borrowed.alias("_borrowed"))
+        .select(entity, "_block", F.inline("_borrowed"))
         .repartition(entity, "_block")
     )

@@ -21,52 +21,116 @@ LEAD_TIME_ACCURACY = "gold.forecast_accuracy_by_lead_time"
 # Storage-only partition column of the two bronze logs: the day of ingested_at.
 INGEST_DATE = "ingest_date"
 
-_DDL = {
-    WEATHER_RAW: """
-        ingested_at timestamp_ntz, city string, country string,
-        latitude double, longitude double, raw_response string""",
-    HISTORICAL_RAW: """
-        ingested_at timestamp_ntz, city string, country string,
-        start_date date, end_date date, raw_response string""",
-    HOURLY: """
-        city string, country string, latitude double, longitude double,
-        forecast_time timestamp_ntz, temperature_c double,
-        relative_humidity_pct double, precipitation_mm double,
-        wind_speed_kmh double, ingested_at timestamp_ntz""",
-    HOURLY_HISTORY: """
-        city string, country string, latitude double, longitude double,
-        ingested_at timestamp_ntz, forecast_time timestamp_ntz,
-        temperature_c double, relative_humidity_pct double,
-        precipitation_mm double, wind_speed_kmh double""",
-    DAILY_ACTUALS: """
-        city string, country string, observed_date date,
-        temperature_mean_c double, temperature_max_c double,
-        temperature_min_c double, precipitation_mm double,
-        wind_speed_max_kmh double, ingested_at timestamp_ntz""",
-    GOLD_DAILY: """
-        city_date_key string, city string, country string, forecast_date date,
-        avg_temperature_c double, min_temperature_c double,
-        max_temperature_c double, avg_humidity_pct double,
-        total_precipitation_mm double, max_wind_speed_kmh double,
-        last_ingested_at timestamp_ntz""",
-    GOLD_HOURLY: """
-        city_hour_key string, city string, country string,
-        forecast_time timestamp_ntz, temperature_c double,
-        last_ingested_at timestamp_ntz""",
-    MODEL_EVALUATION: """
-        model_name string, mae_c double, rmse_c double, n_test_rows bigint,
-        trained_at timestamp""",
-    MODEL_PREDICTIONS: """
-        model_name string, city string, observed_date date,
-        actual_c double, predicted_c double""",
-    FEATURE_IMPORTANCE: "model_name string, feature string, importance double",
-    LEAD_TIME_ACCURACY: """
-        city string, forecast_date date, forecast_made_on date,
-        lead_time_days int, forecast_temperature_c double,
-        actual_temperature_c double, abs_error_c double""",
-}
+_TEXT, _NUMBER, _COUNT, _DAYS = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
+_DAY, _TIME, _INSTANT = T.DateType(), T.TimestampNTZType(), T.TimestampType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-SCHEMAS = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+SCHEMAS = {
+    WEATHER_RAW: _struct(
+        ingested_at=_TIME,
+        city=_TEXT,
+        country=_TEXT,
+        latitude=_NUMBER,
+        longitude=_NUMBER,
+        raw_response=_TEXT,
+    ),
+    HISTORICAL_RAW: _struct(
+        ingested_at=_TIME,
+        city=_TEXT,
+        country=_TEXT,
+        start_date=_DAY,
+        end_date=_DAY,
+        raw_response=_TEXT,
+    ),
+    HOURLY: _struct(
+        city=_TEXT,
+        country=_TEXT,
+        latitude=_NUMBER,
+        longitude=_NUMBER,
+        forecast_time=_TIME,
+        temperature_c=_NUMBER,
+        relative_humidity_pct=_NUMBER,
+        precipitation_mm=_NUMBER,
+        wind_speed_kmh=_NUMBER,
+        ingested_at=_TIME,
+    ),
+    HOURLY_HISTORY: _struct(
+        city=_TEXT,
+        country=_TEXT,
+        latitude=_NUMBER,
+        longitude=_NUMBER,
+        ingested_at=_TIME,
+        forecast_time=_TIME,
+        temperature_c=_NUMBER,
+        relative_humidity_pct=_NUMBER,
+        precipitation_mm=_NUMBER,
+        wind_speed_kmh=_NUMBER,
+    ),
+    DAILY_ACTUALS: _struct(
+        city=_TEXT,
+        country=_TEXT,
+        observed_date=_DAY,
+        temperature_mean_c=_NUMBER,
+        temperature_max_c=_NUMBER,
+        temperature_min_c=_NUMBER,
+        precipitation_mm=_NUMBER,
+        wind_speed_max_kmh=_NUMBER,
+        ingested_at=_TIME,
+    ),
+    GOLD_DAILY: _struct(
+        city_date_key=_TEXT,
+        city=_TEXT,
+        country=_TEXT,
+        forecast_date=_DAY,
+        avg_temperature_c=_NUMBER,
+        min_temperature_c=_NUMBER,
+        max_temperature_c=_NUMBER,
+        avg_humidity_pct=_NUMBER,
+        total_precipitation_mm=_NUMBER,
+        max_wind_speed_kmh=_NUMBER,
+        last_ingested_at=_TIME,
+    ),
+    GOLD_HOURLY: _struct(
+        city_hour_key=_TEXT,
+        city=_TEXT,
+        country=_TEXT,
+        forecast_time=_TIME,
+        temperature_c=_NUMBER,
+        last_ingested_at=_TIME,
+    ),
+    MODEL_EVALUATION: _struct(
+        model_name=_TEXT,
+        mae_c=_NUMBER,
+        rmse_c=_NUMBER,
+        n_test_rows=_COUNT,
+        trained_at=_INSTANT,
+    ),
+    MODEL_PREDICTIONS: _struct(
+        model_name=_TEXT,
+        city=_TEXT,
+        observed_date=_DAY,
+        actual_c=_NUMBER,
+        predicted_c=_NUMBER,
+    ),
+    FEATURE_IMPORTANCE: _struct(
+        model_name=_TEXT,
+        feature=_TEXT,
+        importance=_NUMBER,
+    ),
+    LEAD_TIME_ACCURACY: _struct(
+        city=_TEXT,
+        forecast_date=_DAY,
+        forecast_made_on=_DAY,
+        lead_time_days=_DAYS,
+        forecast_temperature_c=_NUMBER,
+        actual_temperature_c=_NUMBER,
+        abs_error_c=_NUMBER,
+    ),
+}
 
 
 def columns(table: str) -> list[str]:
