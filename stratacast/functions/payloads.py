@@ -25,25 +25,21 @@ def explode_parallel(
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != doc])
     members = ", ".join(f"`{field}`: array<{kind}>" for field, kind in fields.values())
-    parsed = df.select(
-        *keep,
-        F.col(doc).alias("_doc"),
-        F.from_json(
-            doc,
-            f"`{root}` struct<{members}>, _rejected string",
-            {"columnNameOfCorruptRecord": "_rejected"},
-        ).alias("_typed"),
-    )
-    accepted = F.col("_typed").isNotNull() & F.col("_typed._rejected").isNull()
-    checked = parsed.select(
-        *keep, "_typed", F.when(~accepted, F.parse_json("_doc")).alias("_variant")
-    )
+    typed = f"`{root}` struct<{members}>, _rejected string"
+    accepted = "(_typed IS NOT NULL AND _typed._rejected IS NULL)"
     arrays = [
-        F.when(accepted, F.col(f"_typed.`{root}`.`{field}`"))
-        .otherwise(F.variant_get("_variant", f"$.{root}.{field}", f"array<{kind}>"))
-        .alias(name)
+        f"""CASE WHEN {accepted} THEN _typed.`{root}`.`{field}`
+        ELSE variant_get(_variant, '$.{root}.{field}', 'array<{kind}>') END AS `{name}`"""
         for name, (field, kind) in fields.items()
     ]
     # arrays_zip is null if any input is null, so a missing array must be empty.
-    padded = [F.coalesce(F.col(name), F.array()).alias(name) for name in fields]
-    return checked.select(*keep, *arrays).select(*keep, F.inline(F.arrays_zip(*padded)))
+    padded = [F.coalesce(name, F.array()).alias(name) for name in fields]
+    options = {"columnNameOfCorruptRecord": "_rejected"}
+    return (
+        df.select(*keep, F.col(doc).alias("_doc"), F.from_json(doc, typed, options).alias("_typed"))
+        .selectExpr(
+            *keep, "_typed", f"CASE WHEN NOT {accepted} THEN parse_json(_doc) END AS _variant"
+        )
+        .selectExpr(*keep, *arrays)
+        .select(*keep, F.inline(F.arrays_zip(*padded)))
+    )

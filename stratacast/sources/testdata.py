@@ -8,8 +8,6 @@ by the calendar: 72 hours of a forecast run, 31 days of an archive month.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratacast.schemas import HISTORICAL_RAW, WEATHER_RAW, columns
-
 # Declared, so that building a plan starts no job to read file footers.
 _DDL = {
     "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
@@ -48,63 +46,42 @@ def forecast_answers(spark: SparkSession, sf_dir: str, precipitation: bool = Fal
     before, 0.25 higher per day of lead; the longest lead lacks some hours. The
     precipitation array is absent unless asked for.
     """
-    events = table(spark, sf_dir, "events")
-    hourly = events.groupBy(
-        F.col("event_type").alias("city"),
-        F.to_date("ts").alias("day"),
-        F.hour("ts").alias("hour"),
-    ).agg(
-        # Quarter degrees: sums of them are exact, in whatever order they are added.
-        (F.floor(F.max("value") * 4) / 4).alias("high"),
-        F.min("value").alias("low"),
-        F.max("user_id").alias("user"),
-        F.max(F.get_json_object("props", "$.k").cast("double")).alias("k"),
-    )
-    lead = F.col("lead")
-    missing = (lead == 2) & (F.col("hour") % 11 == 0)
-    forecasts = hourly.withColumn("lead", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
-        "city",
-        F.date_sub("day", lead).alias("ingest_day"),
-        F.struct(
-            F.concat(
-                F.col("day").cast("string"),
-                F.lit("T"),
-                F.lpad(F.col("hour").cast("string"), 2, "0"),
-                F.lit(":00"),
-            ).alias("time"),
-            F.when(~missing, F.col("high") + F.lit(0.25) * lead).alias("temperature"),
-            F.col("k").alias("humidity"),
-            F.col("low").alias("rain"),
-            F.col("user").alias("wind"),
-        ).alias("hour"),
+    rain = "rows.low AS precipitation," if precipitation else ""
+    return spark.sql(
+        f"""
+        WITH hourly AS (
+          -- Quarter degrees: sums of them are exact, in whatever order they are added.
+          SELECT event_type AS city, to_date(ts) AS day, hour(ts) AS hour,
+                 floor(max(value) * 4) / 4 AS high, min(value) AS low, max(user_id) AS user,
+                 max(CAST(get_json_object(props, '$.k') AS double)) AS k
+          FROM {{events}} GROUP BY 1, 2, 3),
+        forecasts AS (
+          SELECT city, date_sub(day, lead) AS ingest_day,
+                 struct(concat(day, 'T', lpad(hour, 2, '0'), ':00') AS time,
+                        CASE WHEN lead < 2 OR hour % 11 > 0 THEN high + 0.25D * lead END AS high,
+                        k, low, user) AS row
+          FROM hourly LATERAL VIEW explode(array(0, 1, 2)) AS lead),
+        runs AS (
+          SELECT city, ingest_day, array_sort(collect_list(row)) AS rows
+          FROM forecasts GROUP BY city, ingest_day)
+        SELECT city, ingest_day,
+               to_json(struct(struct(
+                 rows.time AS time, rows.high AS temperature_2m, rows.k AS relative_humidity_2m,
+                 {rain} rows.user AS wind_speed_10m) AS hourly)) AS raw_response
+        FROM runs
+        """,
+        events=table(spark, sf_dir, "events"),
     )
-    runs = forecasts.groupBy("city", "ingest_day").agg(
-        F.array_sort(F.collect_list("hour")).alias("h")
-    )
-    arrays = [
-        F.col("h.time").alias("time"),
-        F.col("h.temperature").alias("temperature_2m"),
-        F.col("h.humidity").alias("relative_humidity_2m"),
-        F.col("h.wind").alias("wind_speed_10m"),
-    ]
-    if precipitation:
-        arrays.append(F.col("h.rain").alias("precipitation"))
-    document = F.to_json(F.struct(F.struct(*arrays).alias("hourly")))
-    return runs.select("city", "ingest_day", document.alias("raw_response"))
 
 
 def forecast_bronze(spark: SparkSession, sf_dir: str, precipitation: bool = False) -> DataFrame:
-    return (
-        forecast_answers(spark, sf_dir, precipitation)
-        .withColumns(
-            {
-                "ingested_at": F.col("ingest_day").cast("timestamp_ntz"),
-                "country": F.lit("XX"),
-                "latitude": F.lit(0.0),
-                "longitude": F.lit(0.0),
-            }
-        )
-        .select(*columns(WEATHER_RAW))
+    return forecast_answers(spark, sf_dir, precipitation).selectExpr(
+        "CAST(ingest_day AS timestamp_ntz) AS ingested_at",
+        "city",
+        "'XX' AS country",
+        "0D AS latitude",
+        "0D AS longitude",
+        "raw_response",
     )
 
 
@@ -114,53 +91,36 @@ def archive_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first run has every day. The second, later, has the days after the
     16th, 0.5 higher, and every third day of them is not final yet (null).
     """
-    events = table(spark, sf_dir, "events")
-    daily = events.groupBy(F.col("event_type").alias("city"), F.to_date("ts").alias("day")).agg(
-        F.max("value").alias("high"), F.min("value").alias("low"), F.count("*").alias("n")
-    )
-    of_month = F.dayofmonth("day")
-    second = F.col("run") == 2
-    high = F.when(~second, F.col("high")).when(of_month % 3 != 0, F.col("high") + 0.5)
-    runs = (
-        daily.withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
-        .filter(~second | (of_month > 16))
-        .select(
-            "city",
-            "run",
-            "day",
-            F.struct(
-                F.col("day").cast("string").alias("time"),
-                high.alias("mean"),
-                (F.col("high") + 1).alias("max"),
-                F.col("low").alias("min"),
-                F.col("low").alias("rain"),
-                F.col("n").alias("wind"),
-            ).alias("row"),
-        )
-        .groupBy("city", "run", F.trunc("day", "month").alias("start_date"))
-        .agg(F.max("day").alias("end_date"), F.array_sort(F.collect_list("row")).alias("d"))
+    return spark.sql(
+        """
+        WITH daily AS (
+          SELECT event_type AS city, to_date(ts) AS day,
+                 max(value) AS high, min(value) AS low, count(*) AS n
+          FROM {events} GROUP BY 1, 2),
+        observed AS (
+          SELECT city, run, day,
+                 struct(CAST(day AS string) AS time,
+                        CASE WHEN run = 1 THEN high
+                             WHEN day(day) % 3 <> 0 THEN high + 0.5D END AS mean,
+                        high + 1 AS max, low, n) AS row
+          FROM daily LATERAL VIEW explode(array(1, 2)) AS run
+          WHERE run = 1 OR day(day) > 16),
+        runs AS (
+          SELECT city, run, trunc(day, 'month') AS start_date, max(day) AS end_date,
+                 array_sort(collect_list(row)) AS rows
+          FROM observed GROUP BY 1, 2, 3)
+        SELECT CASE run WHEN 1 THEN TIMESTAMP_NTZ '2024-02-10'
+                        ELSE TIMESTAMP_NTZ '2024-02-11' END AS ingested_at,
+               city, 'XX' AS country, start_date, end_date,
+               to_json(struct(struct(
+                 rows.time AS time, rows.mean AS temperature_2m_mean,
+                 rows.max AS temperature_2m_max, rows.low AS temperature_2m_min,
+                 rows.low AS precipitation_sum, rows.n AS wind_speed_10m_max) AS daily))
+                 AS raw_response
+        FROM runs
+        """,
+        events=table(spark, sf_dir, "events"),
     )
-    document = F.to_json(
-        F.struct(
-            F.struct(
-                F.col("d.time").alias("time"),
-                F.col("d.mean").alias("temperature_2m_mean"),
-                F.col("d.max").alias("temperature_2m_max"),
-                F.col("d.min").alias("temperature_2m_min"),
-                F.col("d.rain").alias("precipitation_sum"),
-                F.col("d.wind").alias("wind_speed_10m_max"),
-            ).alias("daily")
-        )
-    )
-    ingested = F.when(second, F.lit("2024-02-11")).otherwise(F.lit("2024-02-10"))
-    return runs.select(
-        ingested.cast("timestamp_ntz").alias("ingested_at"),
-        "city",
-        F.lit("XX").alias("country"),
-        "start_date",
-        "end_date",
-        document.alias("raw_response"),
-    ).select(*columns(HISTORICAL_RAW))
 
 
 def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:

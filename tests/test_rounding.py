@@ -1,0 +1,86 @@
+import duckdb
+import numpy as np
+from pyspark.sql import functions as F
+
+from stratacast.functions.keys import surrogate_key
+from stratacast.functions.rounding import round_half_away, round_half_even
+from stratacast.functions.units import display_temperature, year_angle
+
+
+def _values():
+    rng = np.random.default_rng(7)
+    ties = rng.integers(-10**6, 10**6, 4000) / 1000 + 0.0005
+    halves = rng.integers(-(10**5), 10**5, 4000) / 200
+    return [float(v) for v in np.concatenate([ties, halves, rng.normal(0, 300, 4000)])] + [
+        1.005,
+        2.675,
+        0.25,
+        -0.25,
+        0.35,
+        0.0,
+    ]
+
+
+def test_round_half_away_equals_sql_round(spark):
+    values = _values()
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    got = frame.select(
+        "v", *[round_half_away(F.col("v"), d).alias(f"r{d}") for d in (1, 2)]
+    ).collect()
+    connection = duckdb.connect()
+    for row in got:
+        assert (row["r1"], row["r2"]) == connection.execute(
+            "select round(?::double, 1), round(?::double, 2)", [row["v"], row["v"]]
+        ).fetchone()
+
+
+def test_round_half_even_equals_numpy(spark):
+    values = _values()
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    got = frame.select(
+        "v", *[round_half_even(F.col("v"), d).alias(f"r{d}") for d in (1, 3)]
+    ).collect()
+    for row in got:
+        assert row["r1"] == np.round(row["v"], 1)
+        assert row["r3"] == np.round(row["v"], 3)
+
+
+def test_rounding_keeps_null_and_uses_the_binary_value(spark):
+    row = (
+        spark.range(1)
+        .select(
+            round_half_away(F.lit(1.005), 2).alias("below_tie"),
+            round_half_away(F.lit(None).cast("double"), 2).alias("nothing"),
+            round_half_away(F.lit(-0.25), 1).alias("away"),
+            round_half_even(F.lit(-0.25), 1).alias("even"),
+        )
+        .first()
+    )
+    assert tuple(row) == (1.0, None, -0.3, -0.2)
+
+
+def test_surrogate_key_is_md5_of_joined_text_and_null_propagating(spark):
+    import hashlib
+
+    row = spark.sql(
+        "SELECT 'Oslo' AS c, DATE '2024-01-02' AS d, TIMESTAMP_NTZ '2024-01-02 03:00:00' AS t"
+    ).select(
+        surrogate_key(F.col("c"), F.col("d")).alias("day"),
+        surrogate_key(F.col("c"), F.col("t")).alias("hour"),
+        surrogate_key(F.col("c"), F.lit(None)).alias("none"),
+    )
+    day, hour, none = row.first()
+    assert day == hashlib.md5(b"Oslo|2024-01-02").hexdigest()
+    assert hour == hashlib.md5(b"Oslo|2024-01-02 03:00:00").hexdigest()
+    assert none is None
+
+
+def test_units_and_season(spark):
+    row = spark.sql("SELECT DATE '2024-12-31' AS d").select(
+        display_temperature(F.lit(100.0), "F"),
+        display_temperature(F.lit(100.0)),
+        year_angle(F.col("d")),
+    )
+    fahrenheit, celsius, angle = row.first()
+    assert (fahrenheit, celsius) == (212.0, 100.0)
+    assert angle == 2 * np.pi * 366 / 365.25
