@@ -53,7 +53,6 @@ def build_features(actuals: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFram
         daily,
         entity="city",
         day="observed_date",
-        carried=["temperature_mean_c", "precipitation_mm", "wind_speed_max_kmh"],
         back=max(ROLLING_ROWS, *LAGS),
         ahead=1,
         compute=_window_features,

@@ -1,6 +1,6 @@
 """Row-frame windows over long series, split so that no entity is one task."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
@@ -13,7 +13,6 @@ def over_series(
     df: DataFrame,
     entity: str,
     day: str,
-    carried: Sequence[str],
     back: int,
     ahead: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
@@ -28,48 +27,52 @@ def over_series(
     last ``back`` rows before it and the first ``ahead`` rows after it, from
     however many blocks away, so gaps in the calendar change nothing.
 
-    ``carried`` names the columns that the expressions read. Blocks are
-    shuffled once; the edge rows are taken from the same exchange.
+    The series is shuffled once: borrowed rows come from the same exchange.
+    They are whole rows, so whatever columns a reader drops are pruned from
+    both sides alike and the exchange stays shared.
     """
     block = F.floor(F.unix_date(day) / F.lit(chunk_days)).cast("int")
     blocks = df.withColumn("_block", block).repartition(entity, "_block")
-    borrowed = _borrowed_rows(blocks, entity, day, carried, back, ahead)
+    borrowed = _borrowed_rows(blocks, entity, day, back, ahead)
     rows = blocks.withColumn("_own", F.lit(True)).unionByName(
-        borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
+        borrowed.withColumn("_own", F.lit(False))
     )
     in_order = W.partitionBy(entity, "_block").orderBy(day)
     return compute(rows, in_order).filter("_own").drop("_block", "_own")
 
 
 def _borrowed_rows(
-    blocks: DataFrame, entity: str, day: str, carried: Sequence[str], back: int, ahead: int
+    blocks: DataFrame, entity: str, day: str, back: int, ahead: int
 ) -> DataFrame:
+    """Rows near the edges of their block, once per other block that needs them."""
     whole = W.partitionBy(entity, "_block")
-    placed = blocks.select(
-        entity,
-        "_block",
-        F.struct(day, *carried).alias("_row"),
-        F.row_number().over(whole.orderBy(day)).alias("_position"),
-        F.count(F.lit(1)).over(whole).alias("_size"),
+    edges = blocks.withColumns(
+        {
+            "_earlier": F.row_number().over(whole.orderBy(day)) - 1,
+            "_size": F.count(F.lit(1)).over(whole),
+        }
+    ).filter((F.col("_earlier") < ahead) | (F.col("_size") - F.col("_earlier") <= back))
+    # Blocks are never empty, so `back` and `ahead` neighbours are enough.
+    ranked = edges.withColumn(
+        "_rank", F.dense_rank().over(W.partitionBy(entity).orderBy("_block"))
     )
-    first = F.col("_position") <= ahead
-    last = F.col("_position") > F.col("_size") - back
-    # collect_list skips nulls: at most `ahead` and `back` rows of a block.
-    edges = (
-        placed.filter(first | last)
-        .groupBy(entity, "_block")
-        .agg(
-            F.array_sort(F.collect_list(F.when(first, F.col("_row")))).alias("_first"),
-            F.array_sort(F.collect_list(F.when(last, F.col("_row")))).alias("_last"),
-        )
+    by_rank = W.partitionBy(entity).orderBy("_rank")
+    neighbour = F.collect_set(F.struct("_block", "_size"))
+    reached = ranked.withColumns(
+        {
+            "_next": F.array_sort(neighbour.over(by_rank.rangeBetween(1, back))),
+            "_previous": F.reverse(
+                F.array_sort(neighbour.over(by_rank.rangeBetween(-ahead, -1)))
+            ),
+        }
     )
-    # Every block has at least one row, so `back` earlier blocks hold enough.
-    by_block = W.partitionBy(entity).orderBy("_block")
-    before = F.flatten(F.collect_list("_last").over(by_block.rowsBetween(-back, -1)))
-    after = F.flatten(F.collect_list("_first").over(by_block.rowsBetween(1, ahead)))
-    borrowed = F.concat(F.slice(F.reverse(before), 1, back), F.slice(after, 1, ahead))
+    # A neighbour needs the row if fewer rows than it looks at lie in between.
+    between = "aggregate(slice({0}, 1, i), 0L, (rows, b) -> rows + b._size)"
+    needing = f"""concat(
+        filter(_next, (x, i) -> _size - _earlier - 1 + {between.format("_next")} < {back}),
+        filter(_previous, (x, i) -> _earlier + {between.format("_previous")} < {ahead}))"""
     return (
-        edges.select(entity, "_block", borrowed.alias("_borrowed"))
-        .select(entity, "_block", F.inline("_borrowed"))
+        reached.withColumn("_block", F.explode(F.expr(f"{needing}._block")))
+        .select(*blocks.columns)
         .repartition(entity, "_block")
     )

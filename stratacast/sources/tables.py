@@ -48,7 +48,7 @@ def append(df: DataFrame, table: str) -> int:
     if table in SNAPSHOT_LOGS:
         rows = rows.withColumn(INGEST_DATE, F.to_date("ingested_at"))
     landed = Observation("landed")
-    rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.mode("append").saveAsTable(table)
+    rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return landed.get["rows"]
 
 

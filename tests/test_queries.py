@@ -1,0 +1,65 @@
+"""Every registered query against its SQL on the smallest test tables."""
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+SF_DIR = Path("/root/testdata/sf0.001")
+TABLES = ["events", "orders", "customer", "lineitem"]
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+pytestmark = pytest.mark.skipif(not SF_DIR.is_dir(), reason="test tables are not here")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def _comparable(rows, order):
+    def cell(value):
+        if isinstance(value, float):
+            return "nan" if math.isnan(value) else repr(value)
+        return str(value)
+
+    return sorted(tuple(cell(row[i]) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_query_equals_sql(spark, duck, name):
+    df = registry.queries()[name](spark, str(SF_DIR))
+    relation = duck.execute(registry.oracle_sql()[name])
+    found = {d[0]: str(d[1]) for d in relation.description}
+    assert {c: TYPES[t] for c, t in df.dtypes} == found
+    names = sorted(found)
+    sql_rows = _comparable(relation.fetchall(), [list(found).index(n) for n in names])
+    assert _comparable(df.collect(), [df.columns.index(n) for n in names]) == sql_rows
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
+def test_model_query_has_rows(spark, name):
+    assert not registry.queries()[name](spark, str(SF_DIR)).isEmpty()
+
+
+def test_entry(spark):
+    assert registry.entry(spark).columns[0] == "city_date_key"
+
+
+def test_every_oracle_has_its_query():
+    assert set(registry.oracle_sql()) <= set(registry.queries())
