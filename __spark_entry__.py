@@ -168,7 +168,9 @@ def dq_unique(spark, sf_dir):
 
 
 def dq_report(spark, sf_dir):
-    hourly, history = _hourly(spark, sf_dir), _history(spark, sf_dir)
+    # Several checks read each table: parse the payloads once, as the pipelines do.
+    hourly = materialize(_hourly(spark, sf_dir), "hourly")
+    history = materialize(_history(spark, sf_dir), "history")
     return quality.quality_report(
         {
             GOLD_DAILY: gold.gold_daily(hourly),

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -26,6 +27,10 @@ COLUMN_FRACTION = 0.8
 SEED = 42
 
 
+def _assembler() -> VectorAssembler:
+    return VectorAssembler(inputCols=FEATURES, outputCol="_features")
+
+
 def fit_linear(train: DataFrame) -> PipelineModel:
     """Ordinary least squares: one distributed pass for the normal equations."""
     regressor = LinearRegression(
@@ -35,6 +40,7 @@ def fit_linear(train: DataFrame) -> PipelineModel:
 
 
 def fit_boosted(train: DataFrame, trees: int = TREES) -> PipelineModel:
+    """Boosted trees; every level of every tree is one pass over the rows."""
     shared_dir(train.sparkSession)  # the trainer checkpoints its residuals there
     regressor = GBTRegressor(
         featuresCol="_features",
@@ -51,9 +57,14 @@ def fit_boosted(train: DataFrame, trees: int = TREES) -> PipelineModel:
 
 
 def _fit(train: DataFrame, regressor) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-    frame = assembler.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
-    return PipelineModel([assembler, regressor.fit(frame)])
+    assembler = _assembler()
+    vectors = assembler.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
+    # Fitting passes over the rows several times; what memory lacks goes to disk.
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([assembler, regressor.fit(vectors)])
+    finally:
+        vectors.unpersist()
 
 
 @dataclass

@@ -33,7 +33,8 @@ from stratacast.schemas import (
 )
 from stratacast.session import materialize
 from stratacast.sources.landing import land_archive, land_forecasts
-from stratacast.sources.tables import publish_view, replace, table_or_empty
+from stratacast.sources.tables import publish_view, replace, table_exists, table_or_empty
+from stratacast.streaming.history import incremental_history
 
 
 @dataclass
@@ -105,10 +106,13 @@ def run_ds(
     trees: int = TREES,
     test_days: int = TEST_DAYS,
     models_folder: str | None = None,
+    history_folder: str | None = None,
 ) -> RunResult:
     """Land an archive run, rebuild the actuals, train, and score forecasts.
 
     Without any forecast run yet, the accuracy table comes out empty but typed.
+    With ``history_folder`` the forecast history is kept there between runs
+    and only new snapshots are parsed.
     """
     landed = land_archive(
         fetched, cities, run_ts, as_of or run_ts.date(), years, window_days
@@ -116,9 +120,12 @@ def run_ds(
     if not landed:
         raise EmptyResult("archive run landed no payloads")
     actuals = publish_view(silver_daily_actuals(spark.table(HISTORICAL_RAW)), DAILY_ACTUALS)
-    history = publish_view(silver_hourly_history(table_or_empty(spark, WEATHER_RAW)), HOURLY_HISTORY)
     actuals = materialize(actuals, "actuals")
-    history = materialize(history, "hourly-history")
+    if history_folder is not None and table_exists(spark, WEATHER_RAW):
+        history = publish_view(incremental_history(spark, history_folder), HOURLY_HISTORY)
+    else:
+        every_run = silver_hourly_history(table_or_empty(spark, WEATHER_RAW))
+        history = materialize(publish_view(every_run, HOURLY_HISTORY), "hourly-history")
     report = materialize(
         quality_report({DAILY_ACTUALS: actuals, HOURLY_HISTORY: history}), "quality"
     )

@@ -4,27 +4,27 @@ The log only grows, and the history model looks at one payload at a time, so a
 daily run need not parse the payloads of earlier runs again.
 """
 
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
 
 from stratacast.plans.silver import silver_hourly_history
-from stratacast.schemas import SCHEMAS, WEATHER_RAW
+from stratacast.schemas import HOURLY_HISTORY, SCHEMAS, WEATHER_RAW
 
 
-def append_new_history(
-    spark: SparkSession, log_path: str, history_path: str, progress_path: str
-) -> StreamingQuery:
-    """Parse the snapshots that arrived since the last call, then stop.
+def incremental_history(spark: SparkSession, folder: str, log: str = WEATHER_RAW) -> DataFrame:
+    """The history kept under ``folder``, after adding the log's new snapshots.
 
-    ``progress_path`` records which files are done; a run that dies is resumed
-    from there and no snapshot is written twice.
+    Only snapshots landed since the last call are parsed. Progress is recorded
+    next to the rows; a call that dies is resumed from there, and no snapshot
+    is added twice.
     """
-    snapshots = spark.readStream.schema(SCHEMAS[WEATHER_RAW]).parquet(log_path)
-    return (
-        silver_hourly_history(snapshots)
+    rows = f"{folder}/rows"
+    (
+        silver_hourly_history(spark.readStream.table(log))
         .writeStream.format("parquet")
-        .option("path", history_path)
-        .option("checkpointLocation", progress_path)
+        .option("path", rows)
+        .option("checkpointLocation", f"{folder}/progress")
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
+    return spark.read.schema(SCHEMAS[HOURLY_HISTORY]).parquet(rows)

@@ -141,8 +141,10 @@ def test_boosted_defaults_are_the_published_configuration():
     assert (models.ROW_FRACTION, models.COLUMN_FRACTION, models.SEED) == (0.8, 0.8, 42)
 
 
-def test_both_pipelines_end_to_end(clean_catalog, towns):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     spark = clean_catalog
+    history_folder = str(tmp_path / "history") if incremental else None
 
     def fetched(docs):
         return spark.createDataFrame([(c, 200, d) for c, d in docs.items()], FETCHED)
@@ -162,7 +164,14 @@ def test_both_pipelines_end_to_end(clean_catalog, towns):
 
     archive = fetched({c: _archive_doc(c, 400) for c in ("North", "South")})
     result = pipelines.run_ds(
-        spark, archive, towns, datetime(2025, 2, 9, 7), years=1, trees=3, test_days=60
+        spark,
+        archive,
+        towns,
+        datetime(2025, 2, 9, 7),
+        years=1,
+        trees=2,
+        test_days=60,
+        history_folder=history_folder,
     )
     assert result.landed == 2
     assert spark.table(HISTORICAL_RAW).count() == 2

@@ -3,7 +3,8 @@ from datetime import datetime
 
 from stratacast.plans.silver import silver_hourly_history
 from stratacast.schemas import SCHEMAS, WEATHER_RAW
-from stratacast.streaming.history import append_new_history
+from stratacast.sources.tables import append
+from stratacast.streaming.history import incremental_history
 
 
 def _run(spark, day):
@@ -12,14 +13,13 @@ def _run(spark, day):
     return spark.createDataFrame([row], SCHEMAS[WEATHER_RAW])
 
 
-def test_increments_equal_the_batch_model(spark, tmp_path):
-    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+def test_increments_equal_the_batch_model(clean_catalog, tmp_path):
+    spark = clean_catalog
     for day in (1, 2, 3):
-        _run(spark, day).write.mode("append").parquet(log)
-        append_new_history(spark, log, out, progress).awaitTermination()
-        batch = silver_hourly_history(spark.read.schema(SCHEMAS[WEATHER_RAW]).parquet(log))
-        increments = spark.read.schema(batch.schema).parquet(out)
+        append(_run(spark, day), WEATHER_RAW)
+        increments = incremental_history(spark, str(tmp_path / "history"))
+        batch = silver_hourly_history(spark.table(WEATHER_RAW))
+        assert increments.columns == batch.columns
         assert increments.count() == day
         assert batch.exceptAll(increments).isEmpty()
-    append_new_history(spark, log, out, progress).awaitTermination()
-    assert spark.read.parquet(out).count() == 3
+    assert incremental_history(spark, str(tmp_path / "history")).count() == 3
