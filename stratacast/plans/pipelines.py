@@ -1,7 +1,7 @@
 """The two end-to-end runs, each one Spark application."""
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +33,13 @@ from stratacast.schemas import (
 )
 from stratacast.session import materialize
 from stratacast.sources.landing import land_archive, land_forecasts
-from stratacast.sources.tables import publish_view, replace, table_exists, table_or_empty
+from stratacast.sources.tables import (
+    publish_view,
+    replace,
+    table_exists,
+    table_or_empty,
+    training_columns,
+)
 from stratacast.streaming.history import incremental_history
 
 
@@ -44,7 +50,7 @@ class RunResult:
 
 
 def run_forecast(
-    spark: SparkSession, fetched: DataFrame, cities: DataFrame, run_ts: datetime
+    spark: SparkSession, fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
 ) -> RunResult:
     """Land a forecast run, rebuild silver and gold, and check them."""
     landed = land_forecasts(fetched, cities, run_ts)
@@ -77,7 +83,7 @@ def train_and_publish(
     times and the test half is scored by every model.
     """
     require_rows(actuals, DAILY_ACTUALS)
-    features = materialize(build_features(actuals), "features")
+    features = materialize(build_features(training_columns(actuals)), "features")
     train, test = chronological_split(features, test_days)
     models = fit_models(train, trees)
     if models_folder is not None:
@@ -99,7 +105,7 @@ def run_ds(
     spark: SparkSession,
     fetched: DataFrame,
     cities: DataFrame,
-    run_ts: datetime,
+    run_ts: datetime | None = None,
     as_of: date | None = None,
     years: int = 2,
     window_days: int | None = None,
@@ -114,9 +120,8 @@ def run_ds(
     With ``history_folder`` the forecast history is kept there between runs
     and only new snapshots are parsed.
     """
-    landed = land_archive(
-        fetched, cities, run_ts, as_of or run_ts.date(), years, window_days
-    )
+    run_ts = run_ts or datetime.now(timezone.utc)
+    landed = land_archive(fetched, cities, run_ts, as_of or run_ts.date(), years, window_days)
     if not landed:
         raise EmptyResult("archive run landed no payloads")
     actuals = publish_view(silver_daily_actuals(spark.table(HISTORICAL_RAW)), DAILY_ACTUALS)

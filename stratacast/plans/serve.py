@@ -3,16 +3,46 @@
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.functions.rounding import round_half_even
 from stratacast.functions.units import CELSIUS, display_temperature, unit_label
+from stratacast.schemas import (
+    FEATURE_IMPORTANCE,
+    GOLD_DAILY,
+    GOLD_HOURLY,
+    LEAD_TIME_ACCURACY,
+    MODEL_EVALUATION,
+    MODEL_PREDICTIONS,
+)
+from stratacast.sources.tables import require_table
 
 DEFAULT_CITIES = 6
 _DAILY_TEMPERATURES = ("avg_temperature", "min_temperature", "max_temperature")
 
 
+def load_daily(spark: SparkSession) -> DataFrame:
+    return require_table(spark, GOLD_DAILY, "forecast").orderBy("forecast_date", "city")
+
+
+def load_hourly(spark: SparkSession) -> DataFrame:
+    return require_table(spark, GOLD_HOURLY, "forecast").orderBy("forecast_time", "city")
+
+
+def load_models(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(evaluation, best first; predictions; importance, largest first)."""
+    evaluation = require_table(spark, MODEL_EVALUATION, "training").orderBy("mae_c")
+    predictions = require_table(spark, MODEL_PREDICTIONS, "training")
+    importance = require_table(spark, FEATURE_IMPORTANCE, "training")
+    return evaluation, predictions, importance.orderBy(F.desc("importance"))
+
+
+def load_accuracy(spark: SparkSession) -> DataFrame:
+    detail = require_table(spark, LEAD_TIME_ACCURACY, "training")
+    return detail.orderBy("forecast_date", "city", "lead_time_days")
+
+
 def _in_days(day: Column, start: date, end: date | None) -> Column:
     """An inclusive range of days; one day alone is a range of one."""
     return day.between(F.lit(start), F.lit(end or start))

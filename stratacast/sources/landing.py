@@ -66,12 +66,22 @@ def attach_city(payloads: DataFrame, cities: DataFrame) -> DataFrame:
     return payloads.join(broadcast_if_small(cities), "city", "inner")
 
 
-def _utc(instant: datetime) -> Column:
+def _utc(instant: datetime | None) -> Column:
+    """One instant for a whole run, fixed when the plan is built; default now."""
+    instant = instant or datetime.now(timezone.utc)
     if instant.tzinfo is not None:
         instant = instant.astimezone(timezone.utc).replace(tzinfo=None)
     return F.lit(instant.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _as_text(fetched: DataFrame) -> DataFrame:
+    """Bodies as JSON text; parsed ones (structs, variants) are written out whole."""
+    if dict(fetched.dtypes)["raw_response"] == "string":
+        return fetched
+    text = F.to_json("raw_response", {"ignoreNullFields": "false"})
+    return fetched.withColumn("raw_response", text)
+
+
 def _reason(cities_known: Column) -> Column:
     """Why a request's answer is not landed; null if it is."""
     return (
@@ -83,7 +93,7 @@ def _reason(cities_known: Column) -> Column:
 
 
 def snapshot_batch(
-    fetched: DataFrame, cities: DataFrame, run_ts: datetime
+    fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) answers of one run.
 
@@ -91,7 +101,8 @@ def snapshot_batch(
     others; it shows up among the rejected with a reason.
     """
     known = broadcast_if_small(cities.withColumn("_known", F.lit(True)))
-    judged = fetched.join(known, "city", "left").withColumn("reason", _reason(F.col("_known")))
+    answers = _as_text(fetched).join(known, "city", "left")
+    judged = answers.withColumn("reason", _reason(F.col("_known")))
     accepted = judged.filter(F.col("reason").isNull()).withColumn("ingested_at", _utc(run_ts))
     rejected = judged.filter(F.col("reason").isNotNull()).select("city", "status", "reason")
     return accepted.drop("_known", "reason", "status"), rejected
@@ -103,7 +114,10 @@ def _land(batch: DataFrame, table: str) -> int:
 
 
 def land_forecasts(
-    fetched: DataFrame, cities: DataFrame, run_ts: datetime, table: str = WEATHER_RAW
+    fetched: DataFrame,
+    cities: DataFrame,
+    run_ts: datetime | None = None,
+    table: str = WEATHER_RAW,
 ) -> int:
     accepted, _ = snapshot_batch(fetched, cities, run_ts)
     return _land(accepted.select(*columns(WEATHER_RAW)), table)

@@ -12,6 +12,10 @@ from stratacast.schemas import HISTORICAL_RAW, INGEST_DATE, SCHEMAS, WEATHER_RAW
 SNAPSHOT_LOGS = (WEATHER_RAW, HISTORICAL_RAW)
 
 
+class NoData(Exception):
+    """A table that a reader needs is missing or empty."""
+
+
 def layer_database(layer: str | None, default: str = "default") -> str:
     """A layer's name is its database name, without any prefix."""
     return layer.strip() if layer is not None else default
@@ -73,13 +77,19 @@ def publish_view(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
-def read_ordered(spark: SparkSession, table: str, *order_by) -> DataFrame:
-    return spark.table(table).orderBy(*order_by)
+def require_table(spark: SparkSession, table: str, filled_by: str) -> DataFrame:
+    """A table's rows, or an error that says which run fills it."""
+    if not table_exists(spark, table):
+        raise NoData(f"{table} does not exist yet: run the {filled_by} pipeline first")
+    rows = spark.table(table)
+    if rows.isEmpty():
+        raise NoData(f"{table} is still empty: it is filled by the {filled_by} pipeline")
+    return rows
 
 
-def read_actuals(spark: SparkSession, table: str) -> DataFrame:
-    """The eight columns of the daily actuals that feature building needs."""
-    return spark.table(table).select(
+def training_columns(actuals: DataFrame) -> DataFrame:
+    """The columns of the daily actuals that models are built from."""
+    return actuals.select(
         "city",
         "country",
         "observed_date",

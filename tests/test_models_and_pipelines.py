@@ -6,11 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stratacast.__main__ import main
 from stratacast.operators import evaluate, models
 from stratacast.operators.features import FEATURES, TARGET, build_features
 from stratacast.operators.quality import EmptyResult
 from stratacast.operators.split import chronological_split, split_summary
-from stratacast.plans import pipelines
+from stratacast.plans import pipelines, serve
 from stratacast.schemas import (
     FEATURE_IMPORTANCE,
     GOLD_DAILY,
@@ -22,6 +23,7 @@ from stratacast.schemas import (
     SCHEMAS,
     WEATHER_RAW,
 )
+from stratacast.sources.tables import NoData
 
 CITIES = "city string, country string, latitude double, longitude double"
 FETCHED = "city string, status int, raw_response string"
@@ -183,6 +185,15 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     accuracy = spark.table(LEAD_TIME_ACCURACY)
     leads = {r.lead_time_days: r["count"] for r in accuracy.groupBy("lead_time_days").count().collect()}
     assert leads == {0: 4, 1: 2, -1: 2}
+    best_first, predictions, importance = serve.load_models(spark)
+    errors = [r.mae_c for r in best_first.collect()]
+    assert errors == sorted(errors)
+    weights = [r.importance for r in importance.collect()]
+    assert weights == sorted(weights, reverse=True)
+    first = serve.load_accuracy(spark).first()
+    assert (first.city, first.forecast_date) == ("North", made.date())
+    assert serve.load_daily(spark).first().city == "North"
+    assert serve.load_hourly(spark).first().forecast_time == datetime(2025, 1, 10)
     check = accuracy.filter("city = 'North' AND lead_time_days = 1").first()
     day = (check.forecast_date - START).days
     assert check.actual_temperature_c == _temperature("North", day)
@@ -194,6 +205,10 @@ def test_accuracy_is_empty_but_typed_without_forecasts(clean_catalog, towns):
     pipelines.run_ds(spark, archive, towns, datetime(2025, 2, 9), trees=1, test_days=20)
     table = spark.table(LEAD_TIME_ACCURACY)
     assert table.isEmpty() and table.columns == SCHEMAS[LEAD_TIME_ACCURACY].fieldNames()
+    with pytest.raises(NoData, match="still empty"):
+        serve.load_accuracy(spark)
+    with pytest.raises(NoData, match="does not exist yet: run the forecast pipeline"):
+        serve.load_daily(spark)
 
 
 def test_pipelines_stop_when_nothing_lands(clean_catalog, towns):
@@ -204,3 +219,11 @@ def test_pipelines_stop_when_nothing_lands(clean_catalog, towns):
     with pytest.raises(EmptyResult):
         pipelines.run_ds(spark, failed, towns, datetime(2025, 1, 1))
     assert not spark.catalog.databaseExists("gold")
+
+
+def test_command_line(clean_catalog, tmp_path):
+    spark = clean_catalog
+    docs = [(c, 200, _forecast_doc(date(2025, 1, 10))) for c in ("London", "Tokyo")]
+    spark.createDataFrame(docs, FETCHED).write.parquet(str(tmp_path / "fetched"))
+    assert main(["forecast", "--fetched", str(tmp_path / "fetched")]) == 2
+    assert serve.city_list(spark.table(GOLD_DAILY)).count() == 2
