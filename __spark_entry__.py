@@ -300,6 +300,10 @@ def _model_tables(spark, sf_dir):
     return _trained[key]
 
 
+def forget_models() -> None:
+    _trained.clear()
+
+
 def model_comparison(spark, sf_dir):
     return _model_tables(spark, sf_dir)["evaluation"].orderBy("mae_c")
 

@@ -1,7 +1,7 @@
 """Predictions in long form and their error metrics."""
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -61,4 +61,6 @@ def evaluate(predictions: DataFrame, trained_at: datetime | None = None) -> Data
     )
     if trained_at is None:
         return metrics
-    return metrics.withColumn("trained_at", F.lit(trained_at).cast("timestamp"))
+    if trained_at.tzinfo is None:
+        trained_at = trained_at.replace(tzinfo=timezone.utc)
+    return metrics.withColumn("trained_at", F.lit(trained_at))
