@@ -34,13 +34,13 @@ from stratacast.schemas import (
 from stratacast.session import materialize
 from stratacast.sources.landing import land_archive, land_forecasts
 from stratacast.sources.tables import (
+    ensure_table,
     publish_view,
     replace,
-    table_exists,
     table_or_empty,
     training_columns,
 )
-from stratacast.streaming.history import incremental_history
+from stratacast.streaming.increments import incremental_actuals, incremental_history
 
 
 @dataclass
@@ -112,25 +112,30 @@ def run_ds(
     trees: int = TREES,
     test_days: int = TEST_DAYS,
     models_folder: str | None = None,
-    history_folder: str | None = None,
+    increments_folder: str | None = None,
 ) -> RunResult:
     """Land an archive run, rebuild the actuals, train, and score forecasts.
 
     Without any forecast run yet, the accuracy table comes out empty but typed.
-    With ``history_folder`` the forecast history is kept there between runs
-    and only new snapshots are parsed.
+    With ``increments_folder`` the unpacked rows of both logs are kept there
+    between runs, and only new snapshots are parsed.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     landed = land_archive(fetched, cities, run_ts, as_of or run_ts.date(), years, window_days)
     if not landed:
         raise EmptyResult("archive run landed no payloads")
-    actuals = publish_view(silver_daily_actuals(spark.table(HISTORICAL_RAW)), DAILY_ACTUALS)
-    actuals = materialize(actuals, "actuals")
-    if history_folder is not None and table_exists(spark, WEATHER_RAW):
-        history = publish_view(incremental_history(spark, history_folder), HOURLY_HISTORY)
+    if increments_folder is None:
+        actuals = silver_daily_actuals(spark.table(HISTORICAL_RAW))
+        history = silver_hourly_history(table_or_empty(spark, WEATHER_RAW))
     else:
-        every_run = silver_hourly_history(table_or_empty(spark, WEATHER_RAW))
-        history = materialize(publish_view(every_run, HOURLY_HISTORY), "hourly-history")
+        actuals = incremental_actuals(spark, increments_folder)
+        ensure_table(spark, WEATHER_RAW)
+        history = incremental_history(spark, increments_folder)
+    # Checks, training and scoring all read these.
+    actuals = materialize(publish_view(actuals, DAILY_ACTUALS), "actuals")
+    history = publish_view(history, HOURLY_HISTORY)
+    if increments_folder is None:
+        history = materialize(history, "hourly-history")
     report = materialize(
         quality_report({DAILY_ACTUALS: actuals, HOURLY_HISTORY: history}), "quality"
     )

@@ -63,19 +63,27 @@ def silver_hourly(bronze: DataFrame) -> DataFrame:
     return silver_hourly_history(newest).select(*columns(HOURLY))
 
 
-def silver_daily_actuals(bronze: DataFrame) -> DataFrame:
-    """One row per city and observed day, from the newest run that has a value.
+def actual_rows(bronze: DataFrame) -> DataFrame:
+    """One row per city, run and observed day that has a mean temperature.
 
-    Days without a mean temperature are not final yet. They go before the
-    runs are ranked, so they never hide an older run's value.
+    Days without one are not final yet.
     """
     rows = explode_parallel(
         bronze, "raw_response", "daily", DAILY_FIELDS, keep=["city", "country", "ingested_at"]
     )
-    final = rows.filter(F.col("temperature_mean_c").isNotNull()).withColumn(
-        "observed_date", F.col("observed_date_raw").cast("date")
-    )
-    newest = dedupe_latest(
-        final.select(*columns(DAILY_ACTUALS)), ["city", "observed_date"], "ingested_at"
-    )
-    return newest
+    final = rows.filter(F.col("temperature_mean_c").isNotNull())
+    typed = final.withColumn("observed_date", F.col("observed_date_raw").cast("date"))
+    return typed.select(*columns(DAILY_ACTUALS))
+
+
+def newest_actuals(rows: DataFrame) -> DataFrame:
+    return dedupe_latest(rows, ["city", "observed_date"], "ingested_at")
+
+
+def silver_daily_actuals(bronze: DataFrame) -> DataFrame:
+    """One row per city and observed day, from the newest run that has a value.
+
+    Days that are not final go before the runs are ranked, so they never hide
+    an older run's value.
+    """
+    return newest_actuals(actual_rows(bronze))

@@ -146,7 +146,7 @@ def test_boosted_defaults_are_the_published_configuration():
 @pytest.mark.parametrize("incremental", [False, True])
 def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     spark = clean_catalog
-    history_folder = str(tmp_path / "history") if incremental else None
+    increments = str(tmp_path / "increments") if incremental else None
 
     def fetched(docs):
         return spark.createDataFrame([(c, 200, d) for c, d in docs.items()], FETCHED)
@@ -173,7 +173,7 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
         years=1,
         trees=2,
         test_days=60,
-        history_folder=history_folder,
+        increments_folder=increments,
     )
     assert result.landed == 2
     assert spark.table(HISTORICAL_RAW).count() == 2
@@ -199,10 +199,22 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     assert check.actual_temperature_c == _temperature("North", day)
 
 
-def test_accuracy_is_empty_but_typed_without_forecasts(clean_catalog, towns):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_accuracy_is_empty_but_typed_without_forecasts(
+    clean_catalog, towns, tmp_path, incremental
+):
     spark = clean_catalog
+    increments = str(tmp_path / "increments") if incremental else None
     archive = spark.createDataFrame([("North", 200, _archive_doc("North", 120))], FETCHED)
-    pipelines.run_ds(spark, archive, towns, datetime(2025, 2, 9), trees=1, test_days=20)
+    pipelines.run_ds(
+        spark,
+        archive,
+        towns,
+        datetime(2025, 2, 9),
+        trees=1,
+        test_days=20,
+        increments_folder=increments,
+    )
     table = spark.table(LEAD_TIME_ACCURACY)
     assert table.isEmpty() and table.columns == SCHEMAS[LEAD_TIME_ACCURACY].fieldNames()
     with pytest.raises(NoData, match="still empty"):

@@ -1,10 +1,10 @@
 import json
 from datetime import datetime
 
-from stratacast.plans.silver import silver_hourly_history
-from stratacast.schemas import SCHEMAS, WEATHER_RAW
+from stratacast.plans.silver import silver_daily_actuals, silver_hourly_history
+from stratacast.schemas import HISTORICAL_RAW, SCHEMAS, WEATHER_RAW
 from stratacast.sources.tables import append
-from stratacast.streaming.history import incremental_history
+from stratacast.streaming.increments import incremental_actuals, incremental_history
 
 
 def _run(spark, day):
@@ -23,3 +23,19 @@ def test_increments_equal_the_batch_model(clean_catalog, tmp_path):
         assert increments.count() == day
         assert batch.exceptAll(increments).isEmpty()
     assert incremental_history(spark, str(tmp_path / "history")).count() == 3
+
+
+def test_late_corrections_arrive_incrementally(clean_catalog, tmp_path):
+    spark = clean_catalog
+    days = ["2026-01-01", "2026-01-02"]
+    for day, means in ((1, [1.0, 2.0]), (2, [None, 2.5]), (3, [1.5, None])):
+        doc = json.dumps({"daily": {"time": days, "temperature_2m_mean": means}})
+        row = (datetime(2026, 1, day), "A", "US", None, None, doc)
+        append(spark.createDataFrame([row], SCHEMAS[HISTORICAL_RAW]), HISTORICAL_RAW)
+        increments = incremental_actuals(spark, str(tmp_path / "increments"))
+        batch = silver_daily_actuals(spark.table(HISTORICAL_RAW))
+        assert increments.columns == batch.columns
+        assert increments.count() == 2
+        assert batch.exceptAll(increments).isEmpty()
+    means = [r.temperature_mean_c for r in increments.orderBy("observed_date").collect()]
+    assert means == [1.5, 2.5]
