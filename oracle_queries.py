@@ -7,48 +7,38 @@ shares nothing with the JSON code that it checks.
 # Hourly forecasts of events: three runs per hour, one per day of lead.
 _RUNS = """
 with hourly as (
-  select event_type as city, cast(ts as date) as day,
-         cast(extract(hour from ts) as integer) as hour,
+  select event_type as city, cast(ts as date) as day, hour(ts) as hour,
          floor(max(value) * 4) / 4 as high, min(value) as low, cast(max(user_id) as double) as wind,
          max(cast(json_extract_string(props, '$.k') as double)) as k
-  from events group by 1, 2, 3),
+  from events group by all),
 runs as (
-  select city, 'XX' as country, cast(0 as double) as latitude, cast(0 as double) as longitude,
-         cast(day - lead as timestamp) as ingested_at,
-         cast(day as timestamp) + to_hours(hour) as forecast_time,
-         case when lead = 2 and hour % 11 = 0 then null else high + 0.25 * lead end as temperature_c,
-         k as relative_humidity_pct, low as rain, cast(null as double) as precipitation_mm,
-         wind as wind_speed_kmh
+  select city, day, day + to_hours(hour) as valid, cast(day - lead as timestamp) as made,
+         if(lead = 2 and hour % 11 = 0, null, high + 0.25 * lead) as temp, k, low, wind
   from hourly cross join (values (0), (1), (2)) as leads(lead)),
-history as (select * from runs where temperature_c is not null),
-latest as (
-  select * from history join
-    (select city, max(ingested_at) as ingested_at from runs group by city) using (city, ingested_at))
+history as (from runs where temp is not null),
+latest as (from history where (city, made) in (select (city, max(made)) from runs group by city))
 """
 
 
 def _gold_daily(source: str, rain: str) -> str:
     return f"""
-  select md5(city || '|' || cast(cast(forecast_time as date) as varchar)) as city_date_key,
-         city, country, cast(forecast_time as date) as forecast_date,
-         round(avg(temperature_c), 1) as avg_temperature_c,
-         round(min(temperature_c), 1) as min_temperature_c,
-         round(max(temperature_c), 1) as max_temperature_c,
-         round(avg(relative_humidity_pct), 1) as avg_humidity_pct,
-         round(sum({rain}), 2) as total_precipitation_mm,
-         round(max(wind_speed_kmh), 1) as max_wind_speed_kmh,
-         max(ingested_at) as last_ingested_at
-  from {source} group by city, country, cast(forecast_time as date)"""
+  select city, 'XX' as country, day as forecast_date, md5(concat(city, '|', day)) as city_date_key,
+         round(avg(temp), 1) as avg_temperature_c, round(avg(k), 1) as avg_humidity_pct,
+         round(min(temp), 1) as min_temperature_c, round(max(temp), 1) as max_temperature_c,
+         {rain} as total_precipitation_mm, max(wind) as max_wind_speed_kmh,
+         max(made) as last_ingested_at
+  from {source} group by city, day"""
 
 
 def _gold_hourly(source: str) -> str:
     return f"""
-  select md5(city || '|' || cast(forecast_time as varchar)) as city_hour_key,
-         city, country, forecast_time, temperature_c, ingested_at as last_ingested_at
-  from {source}"""
+  select city, 'XX' as country, valid as forecast_time, temp as temperature_c,
+         made as last_ingested_at, md5(concat(city, '|', valid)) as city_hour_key from {source}"""
 
 
-_GOLD = f"{_RUNS}, gold as ({_gold_daily('history', 'rain')})"
+# Without a precipitation array, and with one that holds the hour's low.
+_DRY, _RAIN = "cast(null as double)", "round(sum(low), 2)"
+_GOLD = f"{_RUNS}, gold as ({_gold_daily('history', _RAIN)})"
 
 # Daily observations of events after the second run corrected the first.
 _ACTUALS = """
@@ -116,30 +106,26 @@ metrics as (
 """
 
 
-def _accuracy(forecasts: str, actuals: str) -> str:
-    return f"""
-  select f.city, forecast_date, forecast_made_on,
-         cast(date_diff('day', forecast_made_on, forecast_date) as integer) as lead_time_days,
-         forecast_temperature_c, temperature_mean_c as actual_temperature_c,
-         abs(forecast_temperature_c - temperature_mean_c) as abs_error_c
-  from (select city, cast(forecast_time as date) as forecast_date,
-               cast(ingested_at as date) as forecast_made_on,
-               avg(temperature_c) as forecast_temperature_c
-        from {forecasts} group by 1, 2, 3) as f
-  join {actuals} as a on a.city = f.city and observed_date = forecast_date"""
-
+# How daily forecasts (city, day, made, temp) differ from what was observed.
+_ACCURACY = """
+accuracy as (
+  select city, day as forecast_date, made as forecast_made_on,
+         cast(day - made as integer) as lead_time_days, temp as forecast_temperature_c,
+         temperature_mean_c as actual_temperature_c, abs(temp - temperature_mean_c) as abs_error_c
+  from forecasts join actuals using (city) where day = observed_date)"""
 
 # Line prices as forecasts of the ship day, made on the order day.
 _LINES = f"""
-with actuals as (
-  select c_mktsegment as city, cast(o_orderdate as date) as observed_date,
-         max(o_totalprice) as temperature_mean_c
-  from orders join customer on o_custkey = c_custkey group by 1, 2),
+with placed as (
+  select o_orderkey, c_mktsegment as city, cast(o_orderdate as date) as made, o_totalprice
+  from orders join customer on o_custkey = c_custkey),
+actuals as (
+  select city, made as observed_date, max(o_totalprice) as temperature_mean_c
+  from placed group by all),
 forecasts as (
-  select c_mktsegment as city, l_shipdate as forecast_time, o_orderdate as ingested_at,
-         l_extendedprice as temperature_c
-  from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey),
-accuracy as ({_accuracy('forecasts', 'actuals')})
+  select city, cast(l_shipdate as date) as day, made, avg(l_extendedprice) as temp
+  from lineitem join placed on l_orderkey = o_orderkey group by all),
+{_ACCURACY}
 """
 
 _ROUNDED_ACCURACY = """
@@ -175,18 +161,19 @@ judged as (
 _SLICE = """city in ('click', 'view', 'purchase')
   and {day} between date '2024-01-08' and date '2024-01-21'"""
 
-_NOT_NULL_COLUMNS = [
-    "city",
-    "country",
-    "latitude",
-    "longitude",
-    "ingested_at",
-    "forecast_time",
-    "temperature_c",
-    "relative_humidity_pct",
-    "precipitation_mm",
-    "wind_speed_kmh",
-]
+# Column as shown, and what holds it in the runs.
+_UNPACKED = {
+    "city": "city",
+    "country": "city",
+    "latitude": "city",
+    "longitude": "city",
+    "ingested_at": "made",
+    "forecast_time_raw": "valid",
+    "temperature_c": "temp",
+    "relative_humidity_pct": "k",
+    "precipitation_mm": "cast(null as double)",
+    "wind_speed_kmh": "wind",
+}
 
 _DECLARED = {
     "gold.gold_weather_daily": (
@@ -200,12 +187,12 @@ _DECLARED = {
         ["city_hour_key"],
     ),
     "silver.stg_weather_hourly": (
-        "latest",
+        "newest",
         ["city", "forecast_time", "temperature_c", "wind_speed_kmh"],
         [],
     ),
     "silver.stg_weather_hourly_history": (
-        "history",
+        "every_run",
         ["city", "forecast_time", "ingested_at", "temperature_c"],
         [],
     ),
@@ -245,8 +232,14 @@ _ARCHIVE_REQUEST = """
        'temperature_2m_mean,temperature_2m_max,temperature_2m_min,precipitation_sum,wind_speed_10m_max'
          as daily, 'auto' as timezone"""
 
-_HOURLY_COLUMNS = """city, country, latitude, longitude, forecast_time, temperature_c,
-       relative_humidity_pct, precipitation_mm, wind_speed_kmh, ingested_at"""
+
+def _silver(source: str) -> str:
+    return f"""select city, 'XX' as country, 0::double as latitude, 0::double as longitude,
+       valid as forecast_time, temp as temperature_c, k as relative_humidity_pct,
+       null::double as precipitation_mm, wind as wind_speed_kmh, made as ingested_at
+  from {source}"""
+
+
 _INPUTS = """unnest(['intercept', 'temp_lag_1', 'temp_lag_2', 'temp_lag_3', 'temp_lag_7',
        'temp_rolling_mean_7', 'temp_rolling_std_7', 'precip_lag_1', 'wind_lag_1',
        'doy_sin', 'doy_cos'])"""
@@ -259,17 +252,18 @@ from gold where {_SLICE.format(day='forecast_date')}"""
 
 ORACLES = {
     "json_zip": f"""{_RUNS}
-select city, ingested_at, strftime(forecast_time, '%Y-%m-%dT%H:%M') as forecast_time_raw,
-       temperature_c, relative_humidity_pct, precipitation_mm, wind_speed_kmh from runs""",
+select city, made as ingested_at, strftime(valid, '%Y-%m-%dT%H:%M') as forecast_time_raw,
+       temp as temperature_c, k as relative_humidity_pct, null::double as precipitation_mm,
+       wind as wind_speed_kmh from runs""",
     "latest_snapshot": """
 select o_custkey, o_orderdate, o_orderkey
 from (select *, rank() over (partition by o_custkey order by o_orderdate desc) as r from orders)
 where r = 1""",
-    "silver_hourly": f"{_RUNS} select {_HOURLY_COLUMNS} from latest",
-    "silver_hourly_history": f"{_RUNS} select {_HOURLY_COLUMNS} from history",
-    "gold_daily": f"{_RUNS} {_gold_daily('latest', 'precipitation_mm')}",
-    "gold_daily_all_runs": f"{_RUNS} {_gold_daily('history', 'rain')}",
-    "gold_daily_ordered": f"{_RUNS} {_gold_daily('history', 'rain')} order by forecast_date, city",
+    "silver_hourly": f"{_RUNS} {_silver('latest')}",
+    "silver_hourly_history": f"{_RUNS} {_silver('history')}",
+    "gold_daily": f"{_RUNS} {_gold_daily('latest', _DRY)}",
+    "gold_daily_all_runs": f"{_RUNS} {_gold_daily('history', _RAIN)}",
+    "gold_daily_ordered": f"{_RUNS} {_gold_daily('history', _RAIN)} order by forecast_date, city",
     "gold_hourly": f"{_RUNS} {_gold_hourly('latest')}",
     "attach_city": f"select * from ({_ANSWERS}) join ({_CITIES}) using (city)",
     "dedupe_latest": """
@@ -288,15 +282,13 @@ from daily where day(day) > 16 group by city, date_trunc('month', day)""",
     "silver_daily_actuals": f"{_ACTUALS} select * from actuals",
     "dq_not_null": _RUNS
     + " union all ".join(
-        _not_null(
-            "hourly_rows", "runs", c, "forecast_time_raw" if c == "forecast_time" else None
-        )
-        for c in _NOT_NULL_COLUMNS
+        _not_null("hourly_rows", "runs", held, shown) for shown, held in _UNPACKED.items()
     ),
     "dq_unique": f"""{_RUNS}, keyed as ({_gold_hourly('history')})
 {_unique('all_runs', 'keyed', 'city_hour_key')}""",
     "dq_report": f"""{_RUNS}, {_ACTUALS.strip().removeprefix('with')},
-days as ({_gold_daily('latest', 'precipitation_mm')}), hours as ({_gold_hourly('latest')})
+days as ({_gold_daily('latest', _DRY)}), hours as ({_gold_hourly('latest')}),
+newest as ({_silver('latest')}), every_run as ({_silver('history')})
 {_declared_checks()}""",
     "features_lag": f"""{_FEATURES}
 select city, observed_date, temp_lag_1, temp_lag_2, temp_lag_3, temp_lag_7, precip_lag_1,
@@ -324,7 +316,9 @@ select lead_time_days, round(round(avg(abs_error_c), 7), 4) as mean_absolute_err
        count(abs_error_c) as n_observations
 from accuracy group by lead_time_days order by lead_time_days""",
     "payload_accuracy": f"""{_RUNS}, {_ACTUALS.strip().removeprefix('with')},
-accuracy as ({_accuracy('history', 'actuals')}) {_ROUNDED_ACCURACY}""",
+forecasts as (
+  select city, day, cast(made as date) as made, avg(temp) as temp from history group by all),
+{_ACCURACY} {_ROUNDED_ACCURACY}""",
     "persistence_predictions": f"{_FEATURES} select * from persistence",
     "persistence_eval": f"""{_FEATURES}
 select * from metrics where model_name = 'persistence_baseline'""",
@@ -372,7 +366,7 @@ group by city, country, latitude, longitude""",
     "snapshot_rejects": f"""{_JUDGED}
 select city, status, reason, count(*) as payloads from judged where reason is not null
 group by city, status, reason""",
-    "csv_export": f"{_RUNS} {_gold_daily('history', 'rain')}",
+    "csv_export": f"{_RUNS} {_gold_daily('history', _RAIN)}",
     "parameterised_sql": f"""{_GOLD}
 select city, count(*) as days from gold where forecast_date >= date '2024-01-08' group by city""",
     "rounding": """

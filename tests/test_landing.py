@@ -11,11 +11,11 @@ from stratacast.sources.cities import cities
 DOC = json.dumps(
     {
         "hourly": {
-            "time": ["2026-09-02T00:00", "2026-09-02T01:00"],
-            "temperature_2m": [20.1, 19.8],
-            "relative_humidity_2m": [55, 57],
-            "precipitation": [0.0, 0.1],
-            "wind_speed_10m": [12.3, 11.9],
+            "time": ["2026-05-04T12:00", "2026-05-04T13:00"],
+            "temperature_2m": [14.25, 13.5],
+            "relative_humidity_2m": [71, 68],
+            "precipitation": [1.2, 0.4],
+            "wind_speed_10m": [8.6, 9.4],
         }
     }
 )

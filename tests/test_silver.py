@@ -88,7 +88,7 @@ def test_rejected_and_accepted_documents_mix(spark):
 def test_history_types_filters_and_keeps_every_run(spark):
     bronze = _bronze(
         spark,
-        (RUN_1, "A", _hourly_doc([20.1, 19.8], [12.3, 11.9], relative_humidity_2m=[55, None])),
+        (RUN_1, "A", _hourly_doc([14.25, 13.5], [8.6, 9.4], relative_humidity_2m=[71, None])),
         (RUN_2, "A", _hourly_doc([21.0, None], [12.0, 12.0])),
         (RUN_2, "B", _hourly_doc([21.0, 22.0], [None, 5.0])),
     )
@@ -103,7 +103,7 @@ def test_history_types_filters_and_keeps_every_run(spark):
     }
     kept = rows["A", RUN_1, datetime(2026, 9, 2, 1)]
     assert kept.relative_humidity_pct is None and kept.precipitation_mm is None
-    assert kept.temperature_c == 19.8
+    assert kept.temperature_c == 13.5
 
 
 @pytest.mark.parametrize("text", ["2026-09-02 00:00", "2026-09-02T00:00:00", "soon"])
