@@ -312,6 +312,17 @@ def model_predictions(spark, sf_dir):
     return _model_tables(spark, sf_dir)["predictions"]
 
 
+def scored_actuals(spark, sf_dir):
+    """What each trained model was scored on: the whole test half, thrice."""
+    return _model_tables(spark, sf_dir)["predictions"].drop("predicted_c")
+
+
+def published_baseline(spark, sf_dir):
+    """The published evaluation of the one model that needs no fitting."""
+    evaluation = _model_tables(spark, sf_dir)["evaluation"]
+    return evaluation.filter(F.col("model_name") == evaluate.PERSISTENCE).drop("trained_at")
+
+
 def best_trained_model(spark, sf_dir):
     return serve.best_model(_model_tables(spark, sf_dir)["evaluation"])
 
@@ -464,6 +475,8 @@ _QUERIES: dict[str, Query] = {
     "linear_regression_optimality": linear_regression_optimality,
     "model_comparison": model_comparison,
     "model_predictions": model_predictions,
+    "scored_actuals": scored_actuals,
+    "published_baseline": published_baseline,
     "best_trained_model": best_trained_model,
     "feature_importance": feature_importances,
     "top_features": top_five_features,

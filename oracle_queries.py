@@ -330,6 +330,11 @@ where city = 'BUILDING' order by observed_date""",
     "union_predictions": f"{_FEATURES} select * from baselines",
     "linear_regression_optimality": f"""{_FEATURES}
 select (select count(*) from train) as n_train_rows, {_INPUTS} as input, true as orthogonal""",
+    "scored_actuals": f"""{_FEATURES}
+select unnest(['persistence_baseline', 'linear_regression', 'boosted_trees']) as model_name,
+       city, observed_date, target_temperature_next_day_c as actual_c from test""",
+    "published_baseline": f"""{_FEATURES}
+select * from metrics where model_name = 'persistence_baseline'""",
     "slice_daily": _SLICE_DAILY,
     "slice_single_day": f"""{_GOLD}
 select *, avg_temperature_c as avg_temperature_display,

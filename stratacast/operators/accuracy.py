@@ -10,7 +10,7 @@ from stratacast.schemas import (
     SCHEMAS,
     columns,
 )
-from stratacast.sources.tables import empty_table, table_exists
+from stratacast.sources.tables import empty_table, read_table, table_exists
 
 
 def daily_forecasts(history: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def lead_time_accuracy_from_tables(
     """The same from named tables; empty, but typed, while one is missing."""
     if not (table_exists(spark, history) and table_exists(spark, actuals)):
         return empty_table(spark, SCHEMAS[LEAD_TIME_ACCURACY])
-    return lead_time_accuracy(spark.table(history), spark.table(actuals))
+    return lead_time_accuracy(read_table(spark, history), read_table(spark, actuals))
 
 
 def lead_time_curve(accuracy: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratacast.operators.sizing import broadcast_if_small
+from stratacast.session import materialize
 
 
 def latest_snapshot(
@@ -14,12 +15,13 @@ def latest_snapshot(
 ) -> DataFrame:
     """All rows of each entity's newest version; rows tied on it all stay.
 
-    The maximum per entity is combined map-side and reads two columns only, so
-    the rows themselves (whole payloads) are not shuffled while that result is
-    small. ``version_day`` names a partition column holding the day of
-    ``version``: days before every entity's newest version are then not read.
+    The maximum per entity reads two columns only and is combined map-side. It
+    is written once, then measured and joined back: while it is small the rows
+    themselves (whole payloads) are not shuffled. ``version_day`` names a
+    partition column holding the day of ``version``: days before every
+    entity's newest version are then not read.
     """
-    newest = log.groupBy(entity).agg(F.max(version).alias(version))
+    newest = materialize(log.groupBy(entity).agg(F.max(version).alias(version)), "newest")
     candidates = log
     if version_day is not None:
         oldest_needed = newest.agg(F.min(F.to_date(version))).scalar()

@@ -56,9 +56,8 @@ def run_forecast(
     landed = land_forecasts(fetched, cities, run_ts)
     if not landed:
         raise EmptyResult("forecast run landed no payloads")
-    hourly = publish_view(silver_hourly(spark.table(WEATHER_RAW)), HOURLY)
     # Both gold tables and the checks read silver: parse the payloads once.
-    hourly = materialize(hourly, "silver-hourly")
+    hourly = replace(silver_hourly(spark.table(WEATHER_RAW)), HOURLY)
     tables = {
         HOURLY: hourly,
         GOLD_DAILY: replace(gold_daily(hourly), GOLD_DAILY, ["forecast_date", "city"]),
@@ -124,18 +123,15 @@ def run_ds(
     landed = land_archive(fetched, cities, run_ts, as_of or run_ts.date(), years, window_days)
     if not landed:
         raise EmptyResult("archive run landed no payloads")
+    # Checks, training and scoring all read both silver models.
     if increments_folder is None:
-        actuals = silver_daily_actuals(spark.table(HISTORICAL_RAW))
-        history = silver_hourly_history(table_or_empty(spark, WEATHER_RAW))
+        actuals = replace(silver_daily_actuals(spark.table(HISTORICAL_RAW)), DAILY_ACTUALS)
+        every_run = silver_hourly_history(table_or_empty(spark, WEATHER_RAW))
+        history = replace(every_run, HOURLY_HISTORY)
     else:
-        actuals = incremental_actuals(spark, increments_folder)
+        actuals = replace(incremental_actuals(spark, increments_folder), DAILY_ACTUALS)
         ensure_table(spark, WEATHER_RAW)
-        history = incremental_history(spark, increments_folder)
-    # Checks, training and scoring all read these.
-    actuals = materialize(publish_view(actuals, DAILY_ACTUALS), "actuals")
-    history = publish_view(history, HOURLY_HISTORY)
-    if increments_folder is None:
-        history = materialize(history, "hourly-history")
+        history = publish_view(incremental_history(spark, increments_folder), HOURLY_HISTORY)
     report = materialize(
         quality_report({DAILY_ACTUALS: actuals, HOURLY_HISTORY: history}), "quality"
     )

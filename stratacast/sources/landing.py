@@ -114,13 +114,10 @@ def _land(batch: DataFrame, table: str) -> int:
 
 
 def land_forecasts(
-    fetched: DataFrame,
-    cities: DataFrame,
-    run_ts: datetime | None = None,
-    table: str = WEATHER_RAW,
+    fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
 ) -> int:
     accepted, _ = snapshot_batch(fetched, cities, run_ts)
-    return _land(accepted.select(*columns(WEATHER_RAW)), table)
+    return _land(accepted.select(*columns(WEATHER_RAW)), WEATHER_RAW)
 
 
 def archive_batch(
@@ -144,6 +141,6 @@ def land_archive(
     as_of: date,
     years: int = 2,
     window_days: int | None = None,
-    table: str = HISTORICAL_RAW,
 ) -> int:
-    return _land(archive_batch(fetched, cities, run_ts, as_of, years, window_days), table)
+    batch = archive_batch(fetched, cities, run_ts, as_of, years, window_days)
+    return _land(batch, HISTORICAL_RAW)

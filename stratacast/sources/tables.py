@@ -68,12 +68,20 @@ def replace(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFram
     if order_by:
         rows = rows.orderBy(*order_by)
     rows.write.mode("overwrite").format("parquet").saveAsTable(table)
+    spark.catalog.dropTempView(_view_name(table))
     return spark.table(table)
 
 
+def _view_name(table: str) -> str:
+    return table.replace(".", "_")
+
+
 def publish_view(df: DataFrame, table: str) -> DataFrame:
-    """Register a lazy silver model under its model name; nothing is computed."""
-    df.createOrReplaceTempView(table.split(".")[-1])
+    """Register a lazy model for this session; nothing is computed.
+
+    Readers find it under the model's name until the table is next rebuilt.
+    """
+    df.createOrReplaceTempView(_view_name(table))
     return df
 
 
@@ -81,7 +89,7 @@ def require_table(spark: SparkSession, table: str, filled_by: str) -> DataFrame:
     """A table's rows, or an error that says which run fills it."""
     if not table_exists(spark, table):
         raise NoData(f"{table} does not exist yet: run the {filled_by} pipeline first")
-    rows = spark.table(table)
+    rows = read_table(spark, table)
     if rows.isEmpty():
         raise NoData(f"{table} is still empty: it is filled by the {filled_by} pipeline")
     return rows
@@ -101,10 +109,23 @@ def training_columns(actuals: DataFrame) -> DataFrame:
     )
 
 
+def find_table(spark: SparkSession, table: str) -> str | None:
+    """The name to read a model by: the view published for it, else its table."""
+    view = _view_name(table)
+    if spark.catalog.tableExists(view):
+        return view
+    database, _, _ = table.rpartition(".")
+    if database and not spark.catalog.databaseExists(database):
+        return None
+    return table if spark.catalog.tableExists(table) else None
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
-    if "." in table and not spark.catalog.databaseExists(table.split(".")[0]):
-        return False
-    return spark.catalog.tableExists(table)
+    return find_table(spark, table) is not None
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(find_table(spark, table) or table)
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -113,7 +134,9 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def table_or_empty(spark: SparkSession, table: str) -> DataFrame:
     """A declared table, or its typed empty frame while it does not exist."""
-    return spark.table(table) if table_exists(spark, table) else empty_table(spark, SCHEMAS[table])
+    if not table_exists(spark, table):
+        return empty_table(spark, SCHEMAS[table])
+    return read_table(spark, table)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

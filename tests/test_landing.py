@@ -136,6 +136,11 @@ def test_tables(clean_catalog, tmp_path):
     assert tables.replace(frame, "gold.numbers", ["g", "id"]).count() == 10
     assert tables.replace(frame.limit(4), "gold.numbers").count() == 4
     assert tables.table_exists(spark, "gold.numbers")
+    tables.publish_view(frame.limit(2), "silver.lazy_numbers")
+    assert tables.find_table(spark, "silver.lazy_numbers") == "silver_lazy_numbers"
+    assert tables.read_table(spark, "silver.lazy_numbers").count() == 2
+    tables.replace(frame.limit(3), "silver.lazy_numbers")
+    assert tables.read_table(spark, "silver.lazy_numbers").count() == 3
     sql = "SELECT count(*) AS n FROM {f} WHERE id >= :least"
     assert tables.query(spark, sql, {"least": 7}, f=frame).first().n == 3
     tables.export_csv(frame, str(tmp_path / "out"))

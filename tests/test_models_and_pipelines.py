@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratacast.__main__ import main
 from stratacast.operators import evaluate, models
+from stratacast.operators.accuracy import lead_time_accuracy_from_tables
 from stratacast.operators.features import FEATURES, TARGET, build_features
 from stratacast.operators.quality import EmptyResult
 from stratacast.operators.split import chronological_split, split_summary
@@ -17,6 +18,7 @@ from stratacast.schemas import (
     GOLD_DAILY,
     GOLD_HOURLY,
     HISTORICAL_RAW,
+    HOURLY,
     LEAD_TIME_ACCURACY,
     MODEL_EVALUATION,
     MODEL_PREDICTIONS,
@@ -162,7 +164,7 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     daily = spark.table(GOLD_DAILY)
     assert daily.count() == 4
     assert {r.last_ingested_at for r in daily.collect()} == {made + timedelta(days=1)}
-    assert spark.table("stg_weather_hourly").count() == 2 * 47
+    assert spark.table(HOURLY).count() == 2 * 47
 
     archive = fetched({c: _archive_doc(c, 400) for c in ("North", "South")})
     result = pipelines.run_ds(
@@ -183,6 +185,7 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     assert spark.table(MODEL_PREDICTIONS).count() == 3 * 120
     assert spark.table(FEATURE_IMPORTANCE).count() == len(FEATURES)
     accuracy = spark.table(LEAD_TIME_ACCURACY)
+    assert lead_time_accuracy_from_tables(spark).exceptAll(accuracy).isEmpty()
     leads = {r.lead_time_days: r["count"] for r in accuracy.groupBy("lead_time_days").count().collect()}
     assert leads == {0: 4, 1: 2, -1: 2}
     best_first, predictions, importance = serve.load_models(spark)
