@@ -23,7 +23,7 @@ def explode_parallel(
     Those it rejects (numbers written as text, say) go through a variant
     instead, which converts what can be converted and raises on the rest.
     """
-    keep = list(keep if keep is not None else [c for c in df.columns if c != doc])
+    kept = [f"`{c}`" for c in (keep if keep is not None else df.columns) if c != doc]
     members = ", ".join(f"`{field}`: array<{kind}>" for field, kind in fields.values())
     typed = f"`{root}` struct<{members}>, _rejected string"
     accepted = "(_typed IS NOT NULL AND _typed._rejected IS NULL)"
@@ -36,10 +36,10 @@ def explode_parallel(
     padded = [F.coalesce(name, F.array()).alias(name) for name in fields]
     options = {"columnNameOfCorruptRecord": "_rejected"}
     return (
-        df.select(*keep, F.col(doc).alias("_doc"), F.from_json(doc, typed, options).alias("_typed"))
+        df.select(*kept, F.col(doc).alias("_doc"), F.from_json(doc, typed, options).alias("_typed"))
         .selectExpr(
-            *keep, "_typed", f"CASE WHEN NOT {accepted} THEN parse_json(_doc) END AS _variant"
+            *kept, "_typed", f"CASE WHEN NOT {accepted} THEN parse_json(_doc) END AS _variant"
         )
-        .selectExpr(*keep, *arrays)
-        .select(*keep, F.inline(F.arrays_zip(*padded)))
+        .selectExpr(*kept, *arrays)
+        .select(*kept, F.inline(F.arrays_zip(*padded)))
     )

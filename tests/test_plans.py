@@ -54,10 +54,18 @@ def test_payloads_are_not_shuffled_and_old_days_not_read(log):
     assert any(INGEST_DATE in line and "ubquery" in line for line in filters), filters
 
 
-def test_large_entity_sets_are_not_broadcast(log, monkeypatch):
-    monkeypatch.setattr("stratacast.operators.sizing.measured_bytes", lambda df: 1 << 40)
-    hints = _plan(latest_snapshot(log, "city", "ingested_at"))
-    assert "leftHint" not in hints and "strategy=broadcast" not in hints
+def test_entity_sets_are_broadcast_by_measured_size_only(spark, log, monkeypatch):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        small = _executed(latest_snapshot(log, "city", "ingested_at"))
+        monkeypatch.setattr("stratacast.operators.sizing.measured_bytes", lambda df: 1 << 40)
+        large = _executed(latest_snapshot(log, "city", "ingested_at"))
+    finally:
+        spark.conf.set(threshold, before)
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in large and "Broadcast" not in large
 
 
 def test_measured_size_counts_text_and_rows(spark):

@@ -78,6 +78,15 @@ def test_zip_raises_on_bad_data(spark, doc):
         _zip(spark, doc, **T)
 
 
+def test_kept_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, '{"h":{"t":["a"]}}')], "`odd name.x` int, doc string")
+    assert explode_parallel(df, "doc", "h", T).first().asDict() == {
+        "odd name.x": 1,
+        "t": "a",
+        "x": None,
+    }
+
+
 def test_rejected_and_accepted_documents_mix(spark):
     docs = ['{"h":{"t":["a"],"x":["2.5"]}}', '{"h":{"t":["b"],"x":[3]}}']
     df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
