@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratacast.operators.sizing import broadcast_if_small
-from stratacast.session import materialize
+from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 
 
 def latest_snapshot(
@@ -21,12 +20,14 @@ def latest_snapshot(
     partition column holding the day of ``version``: days before every
     entity's newest version are then not read.
     """
-    newest = materialize(log.groupBy(entity).agg(F.max(version).alias(version)), "newest")
+    newest, size = materialize_sized(
+        log.groupBy(entity).agg(F.max(version).alias(version)), "newest"
+    )
     candidates = log
     if version_day is not None:
         oldest_needed = newest.agg(F.min(F.to_date(version))).scalar()
         candidates = log.filter(F.col(version_day) >= oldest_needed)
-    joined = candidates.join(broadcast_if_small(newest), [entity, version], "inner")
+    joined = candidates.join(broadcast_if_small(newest, size), [entity, version], "inner")
     return joined.select(*log.columns)
 
 

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from stratacast.operators.features import TARGET, build_features
 from stratacast.operators.latest import dedupe_latest, latest_snapshot
-from stratacast.operators.sizing import broadcast_if_small, measured_bytes
+from stratacast.operators.sizing import (
+    broadcast_if_small,
+    materialize_sized,
+    measured_bytes,
+)
 from stratacast.operators.split import chronological_split
 from stratacast.plans.gold import gold_daily, gold_hourly
 from stratacast.plans.serve import first_cities, slice_hourly
@@ -60,7 +64,7 @@ def test_entity_sets_are_broadcast_by_measured_size_only(spark, log, monkeypatch
     spark.conf.set(threshold, "-1")
     try:
         small = _executed(latest_snapshot(log, "city", "ingested_at"))
-        monkeypatch.setattr("stratacast.operators.sizing.measured_bytes", lambda df: 1 << 40)
+        monkeypatch.setattr("stratacast.operators.sizing.MAX_BROADCAST_BYTES", 10)
         large = _executed(latest_snapshot(log, "city", "ingested_at"))
     finally:
         spark.conf.set(threshold, before)
@@ -68,11 +72,16 @@ def test_entity_sets_are_broadcast_by_measured_size_only(spark, log, monkeypatch
     assert "SortMergeJoin" in large and "Broadcast" not in large
 
 
-def test_measured_size_counts_text_and_rows(spark):
+def test_measured_size_counts_text_and_rows(spark, monkeypatch):
     small = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
     assert measured_bytes(small) == 2 * 2 * 16 + 3
     assert measured_bytes(small.limit(0)) == 0
-    assert broadcast_if_small(small, max_bytes=10) is small
+    written, size = materialize_sized(small, "small")
+    assert size == measured_bytes(written) == 67
+    assert materialize_sized(small.limit(0), "none")[1] == 0
+    monkeypatch.setattr("stratacast.operators.sizing.MAX_BROADCAST_BYTES", 66)
+    assert broadcast_if_small(small) is small
+    assert broadcast_if_small(small, 66) is not small
 
 
 def test_history_is_a_single_stage_without_shuffle(log):

@@ -148,7 +148,7 @@ def test_latest_without_broadcast_and_with_partition_pruning_is_the_same(spark,
     ).filter("v = m").collect())
     assert sorted(r.id for r in latest_snapshot(log, "e", "v").collect()) == expected
     assert sorted(r.id for r in latest_snapshot(log, "e", "v", "d").collect()) == expected
-    monkeypatch.setattr("stratacast.operators.sizing.measured_bytes", lambda df: 1 << 40)
+    monkeypatch.setattr("stratacast.operators.sizing.MAX_BROADCAST_BYTES", 0)
     assert sorted(r.id for r in latest_snapshot(log, "e", "v").collect()) == expected
 
 
