@@ -1,5 +1,7 @@
 import json
 from datetime import datetime
+from itertools import zip_longest
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +80,35 @@ def test_zip_raises_on_bad_data(spark, doc):
         _zip(spark, doc, **T)
 
 
+def test_random_documents_zip_like_zip_longest(spark):
+    random = Random(11)
+
+    def array(of):
+        kind = random.random()
+        if kind < 0.1:
+            return None
+        return [None if random.random() < 0.2 else of() for _ in range(random.randrange(6))]
+
+    def number():
+        value = random.choice([random.randrange(-9, 9), round(random.uniform(-99, 99), 3)])
+        return str(value) if random.random() < 0.05 else value
+
+    docs = []
+    for i in range(400):
+        fields = {"t": array(lambda: f"s{random.randrange(100)}"), "x": array(number)}
+        fields |= {"y": array(number), "unused": array(number)}
+        docs.append((i, {k: v for k, v in fields.items() if random.random() < 0.9}))
+    expected = []
+    for i, doc in docs:
+        arrays = [doc.get(name) or [] for name in ("t", "x", "y")]
+        for t, x, y in zip_longest(*arrays):
+            expected.append((i, t, None if x is None else float(x), None if y is None else float(y)))
+    df = spark.createDataFrame([(i, json.dumps({"h": d})) for i, d in docs], "id int, doc string")
+    got = explode_parallel(df, "doc", "h", T | {"y": ("y", "double")})
+    key = lambda row: [(v is not None, v) for v in row]
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(expected, key=key)
+
+
 def test_kept_columns_may_have_any_name(spark):
     df = spark.createDataFrame([(1, '{"h":{"t":["a"]}}')], "`odd name.x` int, doc string")
     assert explode_parallel(df, "doc", "h", T).first().asDict() == {
