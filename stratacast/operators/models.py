@@ -34,7 +34,11 @@ def _assembler() -> VectorAssembler:
 def fit_linear(train: DataFrame) -> PipelineModel:
     """Ordinary least squares: one distributed pass for the normal equations."""
     regressor = LinearRegression(
-        featuresCol="_features", labelCol=TARGET, predictionCol=LINEAR, regParam=0.0, solver="normal"
+        featuresCol="_features",
+        labelCol=TARGET,
+        predictionCol=LINEAR,
+        regParam=0.0,
+        solver="normal",
     )
     return _fit(train, regressor)
 
@@ -89,7 +93,8 @@ class FittedModels:
 
     @classmethod
     def load(cls, folder: str) -> "FittedModels":
-        return cls(PipelineModel.load(f"{folder}/{LINEAR}"), PipelineModel.load(f"{folder}/{BOOSTED}"))
+        linear, boosted = (PipelineModel.load(f"{folder}/{name}") for name in (LINEAR, BOOSTED))
+        return cls(linear, boosted)
 
 
 def fit_models(train: DataFrame, trees: int = TREES) -> FittedModels:

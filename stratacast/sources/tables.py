@@ -144,7 +144,10 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def query(
-    spark: SparkSession, sql: str, args: dict[str, Any] | list[Any] | None = None, **frames: DataFrame
+    spark: SparkSession,
+    sql: str,
+    args: dict[str, Any] | list[Any] | None = None,
+    **frames: DataFrame,
 ) -> DataFrame:
     """Run SQL with bound parameters; ``{name}`` in the text refers to a frame."""
     return spark.sql(sql, args=args, **frames)

@@ -62,7 +62,7 @@ def test_same_city_name_in_two_countries_is_reported_not_hidden(hourly):
 
 
 def test_checks_raise_with_what_failed(hourly):
-    with pytest.raises(quality.CheckFailed, match="gold.gold_weather_daily.city_date_key unique: 1"):
+    with pytest.raises(quality.CheckFailed, match="gold_weather_daily.city_date_key unique: 1"):
         quality.require_checks(quality.quality_report({GOLD_DAILY: gold.gold_daily(hourly)}))
     nulls = hourly.withColumn("temperature_c", F.lit(None).cast("double"))
     report = quality.not_null(nulls, HOURLY, ["city", "temperature_c"]).collect()

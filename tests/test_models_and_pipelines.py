@@ -186,7 +186,8 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     assert spark.table(FEATURE_IMPORTANCE).count() == len(FEATURES)
     accuracy = spark.table(LEAD_TIME_ACCURACY)
     assert lead_time_accuracy_from_tables(spark).exceptAll(accuracy).isEmpty()
-    leads = {r.lead_time_days: r["count"] for r in accuracy.groupBy("lead_time_days").count().collect()}
+    by_lead = accuracy.groupBy("lead_time_days").count().collect()
+    leads = {r.lead_time_days: r["count"] for r in by_lead}
     assert leads == {0: 4, 1: 2, -1: 2}
     best_first, predictions, importance = serve.load_models(spark)
     errors = [r.mae_c for r in best_first.collect()]

@@ -43,7 +43,8 @@ def log(spark, tmp_path):
         f"'{doc}' AS raw_response",
     )
     path = str(tmp_path / "log")
-    rows.withColumn(INGEST_DATE, F.to_date("ingested_at")).write.partitionBy(INGEST_DATE).parquet(path)
+    dated = rows.withColumn(INGEST_DATE, F.to_date("ingested_at"))
+    dated.write.partitionBy(INGEST_DATE).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -102,7 +102,7 @@ def test_random_documents_zip_like_zip_longest(spark):
     for i, doc in docs:
         arrays = [doc.get(name) or [] for name in ("t", "x", "y")]
         for t, x, y in zip_longest(*arrays):
-            expected.append((i, t, None if x is None else float(x), None if y is None else float(y)))
+            expected.append((i, t, *(None if v is None else float(v) for v in (x, y))))
     df = spark.createDataFrame([(i, json.dumps({"h": d})) for i, d in docs], "id int, doc string")
     got = explode_parallel(df, "doc", "h", T | {"y": ("y", "double")})
     key = lambda row: [(v is not None, v) for v in row]

@@ -8,7 +8,8 @@ from stratacast.streaming.increments import incremental_actuals, incremental_his
 
 
 def _run(spark, day):
-    doc = {"hourly": {"time": [f"2026-01-0{day}T00:00"], "temperature_2m": [1.0 * day], "wind_speed_10m": [2]}}
+    arrays = {"temperature_2m": [1.0 * day], "wind_speed_10m": [2]}
+    doc = {"hourly": {"time": [f"2026-01-0{day}T00:00"], **arrays}}
     row = (datetime(2026, 1, day), "A", "US", 1.0, 2.0, json.dumps(doc))
     return spark.createDataFrame([row], SCHEMAS[WEATHER_RAW])
 
