@@ -346,3 +346,32 @@ def near_duplicates(
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), texts AS (
+  SELECT w, min(doc_id) AS text_id, count(*) AS n_copies FROM words GROUP BY w
+), shingles AS (
+  SELECT DISTINCT text_id, array_to_string(w[p:p + 4], ' ') AS g
+  FROM (SELECT text_id, w, unnest(range(1, len(w) - 3)) AS p FROM texts)
+), sizes AS (
+  SELECT text_id, count(*) AS n FROM shingles GROUP BY text_id
+), common AS (
+  SELECT a.text_id AS a, b.text_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.text_id <> b.text_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.text_id = a JOIN sizes y ON y.text_id = b
+  WHERE c.n * 5 >= 4 * (x.n + y.n - c.n)
+), reach AS (
+  SELECT text_id AS a, text_id AS b FROM texts
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), classes AS (
+  SELECT a, min(b) AS class_id FROM reach GROUP BY a
+), degrees AS (
+  SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, class_id, text_id, n_copies, coalesce(n_links, 0) AS n_links
+FROM words JOIN texts USING (w) JOIN classes c ON c.a = text_id LEFT JOIN degrees d ON d.a = text_id
+"""
