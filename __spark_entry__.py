@@ -504,9 +504,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return gold_daily(spark, "/root/testdata/sf0.001")
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries of the training-data operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from stratacast.llm import queries as corpus
+    except ImportError:
+        return {}, {}
+    oracles = dict(corpus.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus.QUERIES | {"pipeline": corpus_pipeline.run}, oracles
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _corpus()[1]
