@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from array import array
+from base64 import b64decode
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,70 +16,65 @@ from stratacast.session import materialize
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
-# Pieces of text whose ids a worker remembers; when full, it starts anew.
-MEMO_ENTRIES = 400_000
+# Words or gaps longer than this go to the tokenizer whose time does not grow with the
+# square of their length.
+LONG_WORD = 2000
 
 _PIECES = "`_id` long, `start` long, `length` long, `ids_crc32` long, `doc_tokens` long"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes.
+    """Ids of whole texts as little-endian 32-bit bytes, as the tokenizer's file gives them.
 
-    A space between two characters that are not white space always begins a pre-token
-    of byte-level BPE, so what stands between such spaces is encoded once and
-    remembered. Texts with other white space next to a space are encoded whole.
+    The same merges are taken from its file of ranks, several times as fast. Texts that
+    spell a special token, or hold a very long word or gap, are encoded by the tokenizer.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, ranks_file: str | None, pattern: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        from array import array
-
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def __call__(self, texts: Iterable[str]) -> list[bytes]:
-        import re
-
-        odd = re.compile(r"\s\s")
-        cut = [None if odd.search(t) else t.split(" ") for t in texts]
-        get = self.known.get
-        missing = {w for words in cut if words for w in words[1:] if get(w) is None}
-        if missing:
-            if len(self.known) + len(missing) > MEMO_ENTRIES:
-                self.known.clear()
-                missing = {w for words in cut if words for w in words[1:]}
-            order = list(missing)
-            self.known.update(zip(order, self._encode([" " + w for w in order])))
-        whole = self._encode([t if c is None else c[0] for t, c in zip(texts, cut)])
-        known = self.known
-        return [
-            head if words is None else head + b"".join([known[w] for w in words[1:]])
-            for head, words in zip(whole, cut)
-        ]
-
-
-def _encoded(batches, tokenizer_file, end_id):
-    encode = Encoder(tokenizer_file)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast = None
+        if ranks_file:
+            import tiktoken
+
+            with open(ranks_file, "rb") as lines:
+                ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding(
+                "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            )
+
+    def _plain(self, text: str) -> bool:
+        if self.fast is None or any(s in text for s in self.special):
+            return False
+        if len(text) <= LONG_WORD:
+            return True
+        sizes = list(map(len, text.split()))
+        return max(sizes, default=0) <= LONG_WORD and len(text) - sum(sizes) - len(
+            sizes
+        ) <= LONG_WORD
+
+    def __call__(self, text: str) -> bytes:
+        if self._plain(text):
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+
+def _encoded(batches, tokenizer, end_id):
+    encode = Encoder(*tokenizer)
     end = int(end_id).to_bytes(4, "little")
     for batch in batches:
-        ids, texts = batch.column("_id").to_pylist(), batch.column("text").to_pylist()
-        low, held = 0, 0
-        for high, text in enumerate(texts, 1):
-            held += len(text)
-            if held >= 1 << 22 or high == len(texts):
-                for i, buf in zip(ids[low:high], encode(texts[low:high])):
-                    yield i, buf + end
-                low, held = high, 0
+        ids, texts = batch.column("_id"), batch.column("text")
+        for i, text in zip(ids, texts):
+            yield i.as_py(), encode(text.as_py()) + end
 
 
 def token_pieces(
     docs: DataFrame,
-    tokenizer_file: str,
+    tokenizer: tuple,
     size: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
     id: str = "doc_id",
@@ -87,6 +83,7 @@ def token_pieces(
 ) -> DataFrame:
     """Token ids of every document, with an end id, cut into pieces of at most ``size``.
 
+    ``tokenizer`` is the tokenizer's file and, or None, its ranks and pattern; see Encoder.
     Texts are not shuffled: only lengths and a checksum leave the task, unless the ids
     themselves are asked for.
     """
@@ -103,7 +100,7 @@ def token_pieces(
             return pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
         weight = 0
-        for i, buf in _encoded(batches, tokenizer_file, end_id):
+        for i, buf in _encoded(batches, tokenizer, end_id):
             n = len(buf) // 4
             for start in range(0, n, size):
                 part = buf[4 * start : 4 * (start + size)]
@@ -228,7 +225,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
 
 def pack_documents(
     docs: DataFrame,
-    tokenizer_file: str,
+    tokenizer: tuple,
     size: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
     id: str = "doc_id",
@@ -241,7 +238,7 @@ def pack_documents(
     alone. Null ids stay null; repeated rows are packed as often as they occur; other
     columns are ignored; an empty table gives no rows.
     """
-    pieces = materialize(token_pieces(docs, tokenizer_file, size, end_id, id, text), "pieces")
+    pieces = materialize(token_pieces(docs, tokenizer, size, end_id, id, text), "pieces")
     return pack(pieces, size).select(
         given_id("_id").alias("doc_id"),
         "start",
@@ -253,12 +250,12 @@ def pack_documents(
     )
 
 
-def sequences(docs: DataFrame, packed: DataFrame, tokenizer_file: str, **options) -> DataFrame:
+def sequences(docs: DataFrame, packed: DataFrame, tokenizer: tuple, **options) -> DataFrame:
     """The sequences themselves: sequence_id and its token ids, not padded.
 
     Encodes again instead of keeping ids on disk; needs ids of documents to be unique.
     """
-    pieces = token_pieces(docs, tokenizer_file, with_ids=True, **options)
+    pieces = token_pieces(docs, tokenizer, with_ids=True, **options)
     pieces = pieces.select(given_id("_id").alias("doc_id"), "start", "ids")
     placed = pieces.join(packed.select("doc_id", "start", "sequence_id", "offset"), ["doc_id", "start"])
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
@@ -267,10 +264,11 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer_file: str, **options
     )
 
 
-def public_tokenizer() -> str:
-    import public_tokenizers
+def public_tokenizer() -> tuple[str, str, str]:
+    """The public byte-level tokenizer: its file, the same merges as ranks, the pattern."""
+    import public_tokenizers as public
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
