@@ -76,13 +76,12 @@ def _anchor_ids(window):
 def _anchor_rows(window):
     def found(batches):
         for batch in batches:
-            ids, keys = batch.column("_id").to_numpy(), batch.column("_key").to_numpy()
+            keys = batch.column("_key").to_numpy()
             for low, data, offsets in tokens.groups(batch.column("text")):
                 _, rows, anchors, *_ = _anchored(data, offsets, window)
                 keep = _fresh(rows, anchors)
-                at = low + rows[keep]
-                arrays = [pa.array(anchors[keep]), pa.array(ids[at]), pa.array(keys[at])]
-                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "_id", "_key"])
+                arrays = [pa.array(anchors[keep]), pa.array(keys[low + rows[keep]])]
+                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "_key"])
 
     return found
 
@@ -161,21 +160,24 @@ def subtree(contents, firsts, lasts, window: int) -> list[list[int | None]]:
     return found
 
 
-def _grow_trees(leaves: DataFrame, keys: list, window: int) -> DataFrame:
-    """``leaves`` (anchor, content, first, last, _group) to (anchor, content, firsts)."""
+def _digest():
+    """Stands for a content in joins, at a third of its size."""
+    return F.unhex(F.sha2("content", 256))
+
+
+def _grow_trees(leaves: DataFrame, window: int) -> DataFrame:
+    """``leaves`` (content, first, last, _group) to (digest, firsts), repeats only."""
 
     def tree(frame: pd.DataFrame) -> pd.DataFrame:
         firsts = subtree(
             frame["content"].tolist(), frame["first"].tolist(), frame["last"].tolist(), window
         )
-        made = pd.DataFrame(
-            {"anchor": frame["anchor"], "content": frame["content"], "firsts": firsts}
-        )
+        made = pd.DataFrame({"content": frame["content"], "firsts": firsts})
         return made[[any(f is not None for f in own) for own in firsts]]
 
-    return leaves.groupBy(*keys).applyInPandas(
-        tree, "anchor long, content string, firsts array<long>"
-    )
+    grown = leaves.select("_group", "content", "first", "last").groupBy("_group")
+    found = grown.applyInPandas(tree, "content string, firsts array<long>")
+    return found.select(_digest().alias("digest"), "firsts")
 
 
 def _grouped(n_leaves: int, window: int):
@@ -205,7 +207,7 @@ def _resolved(passages: DataFrame, window: int) -> DataFrame:
     light = leaves.join(heavy, "anchor", "left_anti")
     buckets = _grouped(leaves.count(), window)
     light = light.withColumn("_group", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    known = _grow_trees(light, ["_group"], window)
+    known = _grow_trees(light, window)
     # Groups of heavy anchors: longer prefixes of the single suffixes, until none is heavy.
     pending = _windows_of(leaves.join(heavy, "anchor"), window)
     pending = pending.groupBy("anchor", "content").agg(
@@ -227,10 +229,11 @@ def _resolved(passages: DataFrame, window: int) -> DataFrame:
             settled, later = pending, None
         groups = _grouped(pending.count(), 2)
         settled = settled.withColumn("_group", F.pmod("_prefix", F.lit(groups))).drop("_prefix")
-        trees = _grow_trees(settled, ["_group"], window)
+        trees = _grow_trees(settled, window)
         single = trees if single is None else single.unionByName(trees)
         pending = later
-    own = passages.join(heavy, "anchor", "left_anti").join(known, ["anchor", "content"])
+    own = passages.join(heavy, "anchor", "left_anti")
+    own = own.select("_id", "_key", "pos", _digest().alias("digest")).join(known, "digest")
     starts = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.size("firsts") - 1),
@@ -241,8 +244,9 @@ def _resolved(passages: DataFrame, window: int) -> DataFrame:
         lambda p: p.isNotNull(),
     )
     from_light = own.select("_id", "_key", starts.alias("starts"))
-    split = _windows_of(passages.join(heavy, "anchor"), window).join(single, ["anchor", "content"])
-    from_heavy = split.where(F.col("firsts")[0] < F.col("_id")).select(
+    split = _windows_of(passages.join(heavy, "anchor"), window)
+    split = split.select("_id", "_key", "pos", "at", _digest().alias("digest"))
+    from_heavy = split.join(single, "digest").where(F.col("firsts")[0] < F.col("_id")).select(
         "_id", "_key", F.array(F.col("pos") + F.col("at")).alias("starts")
     )
     both = from_light.where(F.size("starts") > 0).unionByName(from_heavy)
@@ -298,18 +302,19 @@ def remove_repeats(
     one document, so they do not remove each other's words. Other columns are ignored.
     """
     source = docs.select(known_id(id).alias("_id"), text_of(text).alias("text"))
-    source = source.select("_id", F.xxhash64("text").alias("_key"), "text")
+    source = source.select("_id", F.xxhash64("_id", "text").alias("_key"), "text")
     anchors = source.select("_id", "text").mapInArrow(
         _anchor_ids(window), "anchor long, first long, last long"
     )
     spread = anchors.groupBy("anchor").agg(F.min("first").alias("f"), F.max("last").alias("l"))
     repeated = materialize(spread.where("f < l").select("anchor"), "anchors")
-    own = source.mapInArrow(_anchor_rows(window), "anchor long, _id long, _key long")
-    lists = own.join(repeated, "anchor").groupBy("_id", "_key").agg(
+    # Texts that share a key would only be looked at more closely.
+    own = source.select("_key", "text").mapInArrow(_anchor_rows(window), "anchor long, _key long")
+    lists = own.join(repeated, "anchor").groupBy("_key").agg(
         F.collect_set("anchor").alias("anchors")
     )
     lists = broadcast_if_small(*_sized(lists, "lists"))
-    passages = source.join(lists, ["_id", "_key"]).mapInArrow(
+    passages = source.join(lists, "_key").select("_id", "_key", "text", "anchors").mapInArrow(
         _passages(window), "_id long, _key long, pos long, anchor long, content string"
     )
     removed = _resolved(materialize(passages, "passages"), window)
