@@ -361,8 +361,8 @@ select min(forecast_date) as min_date, max(forecast_date) as max_date from gold"
 select o_custkey, as_of - 5 - 730 as start_date, as_of - 5 - 14 as recent_start_date,
        as_of - 5 as end_date
 from (select o_custkey, cast(max(o_orderdate) as date) as as_of from orders group by o_custkey)""",
-    "request_set": f"select city, latitude, longitude, {_FORECAST_REQUEST} from ({_CITIES})",
-    "archive_request_set": f"select city, latitude, longitude, {_ARCHIVE_REQUEST} from ({_CITIES})",
+    "request_set": f"select city, country, latitude, longitude, {_FORECAST_REQUEST} from ({_CITIES})",
+    "archive_request_set": f"select city, country, latitude, longitude, {_ARCHIVE_REQUEST} from ({_CITIES})",
     "snapshot_ingest": f"""{_JUDGED}
 select city, country, latitude, longitude, timestamp '2024-03-01 06:30:00' as ingested_at,
        count(*) as payloads

@@ -1,6 +1,7 @@
 """Newest version per entity, with and without ties."""
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -8,6 +9,9 @@ from pyspark.sql import functions as F
 
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 
+# Before any version.
+FIRST_DAY = date(1000, 1, 1)
+
 
 def latest_snapshot(
     log: DataFrame, entity: str, version: str, version_day: str | None = None
@@ -17,17 +21,20 @@ def latest_snapshot(
     The maximum per entity reads two columns only and is combined map-side. It
     is written once, then measured and joined back: while it is small the rows
     themselves (whole payloads) are not shuffled. ``version_day`` names a
-    partition column holding the day of ``version``: days before every
-    entity's newest version are then not read.
+    partition column holding the day of ``version``: it is then joined on as
+    well, so that only days that are some entity's newest are read, also when
+    an entity has had no version for long.
     """
     newest, size = materialize_sized(
         log.groupBy(entity).agg(F.max(version).alias(version)), "newest"
     )
-    candidates = log
+    keys = [entity, version]
     if version_day is not None:
-        oldest_needed = newest.agg(F.min(F.to_date(version))).scalar()
-        candidates = log.filter(F.col(version_day) >= oldest_needed)
-    joined = candidates.join(broadcast_if_small(newest, size), [entity, version], "inner")
+        # Spark prunes partitions by a joined side only if that side is filtered.
+        day = F.to_date(version)
+        newest = newest.withColumn(version_day, day).filter(day >= F.lit(FIRST_DAY))
+        keys.append(version_day)
+    joined = log.join(broadcast_if_small(newest, size), keys, "inner")
     return joined.select(*log.columns)
 
 

@@ -1,7 +1,8 @@
 """Requests for snapshots, and landing of the answers in the bronze logs.
 
 Fetching itself is outside: ``fetched`` frames hold one row per request with
-``city``, ``status`` (HTTP status, null without an answer) and ``raw_response``.
+``city``, ``status`` (HTTP status, null without an answer) and ``raw_response``, and should
+hold the ``country`` of the request.
 """
 
 from datetime import date, datetime, timezone
@@ -38,6 +39,7 @@ def backfill_window(
 def forecast_requests(cities: DataFrame) -> DataFrame:
     return cities.select(
         "city",
+        "country",
         "latitude",
         "longitude",
         F.lit(HOURLY_FIELDS).alias("hourly"),
@@ -52,6 +54,7 @@ def archive_requests(
     first, last = backfill_window(as_of, years, window_days)
     return cities.select(
         "city",
+        "country",
         "latitude",
         "longitude",
         first.cast("string").alias("start_date"),
@@ -61,9 +64,17 @@ def archive_requests(
     )
 
 
+def _city_keys(answers: DataFrame) -> list[str]:
+    """What names a city in the answers: two countries may share a city's name."""
+    return ["city", "country"] if "country" in answers.columns else ["city"]
+
+
 def attach_city(payloads: DataFrame, cities: DataFrame) -> DataFrame:
-    """Payloads with their city's attributes; unknown cities drop out."""
-    return payloads.join(broadcast_if_small(cities), "city", "inner")
+    """Payloads with their city's attributes; unknown cities drop out.
+
+    Payloads that carry the country they were asked for go to the city of that country.
+    """
+    return payloads.join(broadcast_if_small(cities), _city_keys(payloads), "inner")
 
 
 def _utc(instant: datetime | None) -> Column:
@@ -86,6 +97,7 @@ def _reason(cities_known: Column) -> Column:
     """Why a request's answer is not landed; null if it is."""
     return (
         F.when(cities_known.isNull(), F.lit("unknown city"))
+        .when(~cities_known, F.lit("city of several countries"))
         .when(F.col("status").isNull(), F.lit("no answer"))
         .when(F.col("status") >= 400, F.concat(F.lit("status "), F.col("status").cast("string")))
         .when(F.get_json_object("raw_response", "$").isNull(), F.lit("body is not JSON"))
@@ -100,8 +112,15 @@ def snapshot_batch(
     All accepted rows carry the same instant. A failing city does not stop the
     others; it shows up among the rejected with a reason.
     """
-    known = broadcast_if_small(cities.withColumn("_known", F.lit(True)))
-    answers = _as_text(fetched).join(known, "city", "left")
+    keys = _city_keys(fetched)
+    # Without a country, a name that several countries share names none of them.
+    named = cities.groupBy("city").agg(F.count("*").alias("_named"))
+    known = cities.withColumn("_known", F.lit(True))
+    if len(keys) == 1:
+        known = known.join(named, "city").withColumn("_known", F.col("_named") == 1)
+        known = known.drop("_named").dropDuplicates(["city"])
+    known = broadcast_if_small(known)
+    answers = _as_text(fetched).join(known, keys, "left")
     judged = answers.withColumn("reason", _reason(F.col("_known")))
     accepted = judged.filter(F.col("reason").isNull()).withColumn("ingested_at", _utc(run_ts))
     rejected = judged.filter(F.col("reason").isNotNull()).select("city", "status", "reason")

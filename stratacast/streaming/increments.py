@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from stratacast.plans.silver import actual_rows, newest_actuals, silver_hourly_history
 from stratacast.schemas import HISTORICAL_RAW, WEATHER_RAW
 
+EVERY_AGE = "36500d"
+
 
 def unpacked(
     spark: SparkSession, log: str, unpack: Callable[[DataFrame], DataFrame], folder: str
@@ -21,7 +23,10 @@ def unpacked(
     next to the rows; a call that dies is resumed from there, and no snapshot
     is added twice.
     """
-    new_rows = unpack(spark.readStream.table(log))
+    # By default, files much older than the newest one seen would be passed over: a restored
+    # or copied partition would be missing.
+    snapshots = spark.readStream.option("maxFileAge", EVERY_AGE).table(log)
+    new_rows = unpack(snapshots)
     (
         new_rows.writeStream.format("parquet")
         .option("path", f"{folder}/rows")

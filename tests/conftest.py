@@ -44,20 +44,19 @@ def clean_catalog(spark):
 
 @pytest.fixture
 def city_series(spark):
-    """Daily observations with a temperature that rises by half a degree a day."""
+    """A series whose mean temperature is a parabola over the days, see parabola()."""
 
-    def make(city="Testville", n_days=40, start_temp=10.0):
-        rows = spark.range(n_days).selectExpr(
+    def make(city="Lima", n_days=26, depth=0.0):
+        return spark.range(n_days).selectExpr(
             f"'{city}' AS city",
-            "'XX' AS country",
-            "date_add(DATE '2024-01-01', CAST(id AS int)) AS observed_date",
-            f"{start_temp}D + 0.5D * id AS temperature_mean_c",
-            f"{start_temp}D + 0.5D * id + 2 AS temperature_max_c",
-            f"{start_temp}D + 0.5D * id - 2 AS temperature_min_c",
-            "0D AS precipitation_mm",
-            "10D AS wind_speed_max_kmh",
+            "'PE' AS country",
+            "date_add(DATE '2023-03-05', CAST(id AS int)) AS observed_date",
+            f"id * id / 8D - {depth}D AS temperature_mean_c",
+            f"id * id / 4D - {depth}D AS temperature_max_c",
+            f"id / 8D - {depth}D AS temperature_min_c",
+            "id % 3 / 2D AS precipitation_mm",
+            "100D - id AS wind_speed_max_kmh",
         )
-        return rows
 
     return make
 

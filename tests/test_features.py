@@ -14,34 +14,30 @@ def _row(df, day):
     return df.filter(F.col("observed_date") == day).first()
 
 
-def test_lag_1_is_the_previous_day(spark, city_series):
-    df = build_features(city_series()).cache()
-    assert (
-        _row(df, "2024-01-10").temp_lag_1 == _row(df, "2024-01-09").temperature_mean_c
-    )
-
+def _parabola(day):
+    return day * day / 8
 
-def test_target_is_the_next_day(spark, city_series):
-    df = build_features(city_series()).cache()
-    today, tomorrow = _row(df, "2024-01-10"), _row(df, "2024-01-11")
-    assert today[TARGET] == tomorrow.temperature_mean_c != today.temperature_mean_c
 
+def test_every_feature_of_a_parabola(city_series):
+    rows = build_features(city_series()).orderBy("observed_date").collect()
+    for day, row in enumerate(rows):
+        for lag in LAGS:
+            want = _parabola(day - lag) if day >= lag else None
+            assert row[f"temp_lag_{lag}"] == want
+        assert row["wind_lag_1"] == (101 - day if day else None)
+        assert row[TARGET] == (_parabola(day + 1) if day < 25 else None)
+        frame = [_parabola(d) for d in range(day - 7, day)] if day >= 7 else None
+        assert row["temp_rolling_mean_7"] == (pytest.approx(np.mean(frame)) if frame else None)
+        if frame:
+            assert row["temp_rolling_std_7"] == pytest.approx(np.std(frame, ddof=1))
 
-def test_rolling_frame_is_the_seven_days_before(spark, city_series):
-    row = _row(build_features(city_series()), "2024-01-15")
-    assert row.temperature_mean_c == 17.0
-    assert (row.temp_lag_1, row.temp_lag_7, row[TARGET]) == (16.5, 13.5, 17.5)
-    assert row.temp_rolling_mean_7 == 15.0
-    assert row.temp_rolling_std_7 == pytest.approx(0.5 * np.sqrt(28 / 6))
 
-
-def test_cities_do_not_mix(spark, city_series):
-    both = city_series("Hot City", start_temp=30.0).unionByName(
-        city_series("Cold City", start_temp=-10.0)
-    )
-    cold = build_features(both).filter("city = 'Cold City'")
-    assert cold.agg(F.max("temp_lag_1")).first()[0] < 20
-    assert cold.orderBy("observed_date").first().temp_lag_1 is None
+def test_a_series_has_the_same_features_among_others(city_series):
+    lima, cusco = city_series(), city_series("Cusco", 31, depth=50.0)
+    together = build_features(lima.unionByName(cusco))
+    alone = build_features(lima).unionByName(build_features(cusco))
+    assert together.count() == 57
+    assert together.exceptAll(alone).isEmpty()
 
 
 def test_null_inside_the_frame_and_gaps_between_days(observations):
@@ -109,24 +105,17 @@ def test_future_rows_never_change_earlier_features(spark, city_series):
     assert before.exceptAll(after).isEmpty()
 
 
-def test_split_is_chronological(spark, city_series):
-    train, test = chronological_split(build_features(city_series(n_days=60)), test_days=15)
-    last_train = train.agg(F.max("observed_date")).first()[0]
-    first_test = test.agg(F.min("observed_date")).first()[0]
-    assert last_train < first_test
-    # The last day has no target, so the cutoff counts back from the day before.
-    assert (last_train, first_test) == (date(2024, 2, 13), date(2024, 2, 14))
-    assert test.count() == 15
-
-
-def test_split_has_no_nulls(spark, city_series):
-    train, test = chronological_split(build_features(city_series(n_days=20)), test_days=5)
-    rows = train.unionByName(test)
-    nulls = rows.agg(
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in [*FEATURES, TARGET]]
-    ).first()
-    assert sum(nulls) == 0
-    assert rows.count() == 20 - 7 - 1
+@pytest.mark.parametrize("test_days", [1, 6, 11])
+def test_the_split_cuts_complete_rows_at_one_day(city_series, test_days):
+    features = build_features(city_series())
+    halves = chronological_split(features, test_days)
+    train, test = ([r["observed_date"].toordinal() for r in h.collect()] for h in halves)
+    first = date(2023, 3, 5).toordinal()
+    # Seven days lack a lag and the last one a target.
+    assert sorted(train + test) == [first + d for d in range(7, 25)]
+    assert sorted(test) == [first + d for d in range(25 - test_days, 25)]
+    for half in halves:
+        assert half.dropna(subset=[*FEATURES, TARGET]).count() == half.count()
 
 
 def test_nan_counts_as_missing(spark, observations):

@@ -20,27 +20,27 @@ DOC = json.dumps(
         }
     }
 )
-RUN = datetime(2026, 9, 2, 6, 0)
+RUN = datetime(2025, 11, 17, 6, 0)
 FETCHED = "city string, status int, raw_response string"
 
 
 @pytest.fixture
 def towns(spark):
-    rows = [("Testville", "US", 1.0, 2.0), ("Elsewhere", "GB", 3.0, 4.0)]
+    rows = [("Quito", "EC", -0.25, -78.5), ("Elsewhere", "GB", 3.0, 4.0)]
     return spark.createDataFrame(rows, CITY_SCHEMA)
 
 
 def test_one_answer_lands_unchanged(clean_catalog, towns):
     spark = clean_catalog
-    fetched = spark.createDataFrame([("Testville", 200, DOC)], FETCHED)
+    fetched = spark.createDataFrame([("Quito", 200, DOC)], FETCHED)
     assert landing.land_forecasts(fetched, towns, RUN) == 1
     row = spark.table(WEATHER_RAW).first()
     assert row.asDict() == {
         "ingested_at": RUN,
-        "city": "Testville",
-        "country": "US",
-        "latitude": 1.0,
-        "longitude": 2.0,
+        "city": "Quito",
+        "country": "EC",
+        "latitude": -0.25,
+        "longitude": -78.5,
         "raw_response": DOC,
         INGEST_DATE: RUN.date(),
     }
@@ -48,19 +48,19 @@ def test_one_answer_lands_unchanged(clean_catalog, towns):
 
 def test_runs_append_and_share_one_instant(clean_catalog, towns):
     spark = clean_catalog
-    fetched = spark.createDataFrame([("Testville", 200, DOC), ("Elsewhere", 200, DOC)], FETCHED)
-    eastern = datetime(2026, 9, 3, 1, 0, tzinfo=timezone(timedelta(hours=-5)))
+    fetched = spark.createDataFrame([("Quito", 200, DOC), ("Elsewhere", 200, DOC)], FETCHED)
+    eastern = datetime(2025, 11, 18, 1, 0, tzinfo=timezone(timedelta(hours=-5)))
     assert landing.land_forecasts(fetched, towns, RUN) == 2
     assert landing.land_forecasts(fetched, towns, eastern) == 2
     counts = spark.table(WEATHER_RAW).groupBy("ingested_at").count().collect()
-    assert {(r.ingested_at, r["count"]) for r in counts} == {(RUN, 2), (datetime(2026, 9, 3, 6), 2)}
+    assert {(r.ingested_at, r["count"]) for r in counts} == {(RUN, 2), (datetime(2025, 11, 18, 6), 2)}
 
 
 def test_failures_do_not_stop_other_cities(clean_catalog, towns):
     spark = clean_catalog
     fetched = spark.createDataFrame(
         [
-            ("Testville", 200, DOC),
+            ("Quito", 200, DOC),
             ("Elsewhere", 503, "busy"),
             ("Elsewhere", None, None),
             ("Elsewhere", 200, '{"hourly":'),
@@ -69,7 +69,7 @@ def test_failures_do_not_stop_other_cities(clean_catalog, towns):
         FETCHED,
     )
     accepted, rejected = landing.snapshot_batch(fetched, towns, RUN)
-    assert [r.city for r in accepted.collect()] == ["Testville"]
+    assert [r.city for r in accepted.collect()] == ["Quito"]
     assert sorted((r.city, r.reason) for r in rejected.collect()) == [
         ("Elsewhere", "body is not JSON"),
         ("Elsewhere", "no answer"),
@@ -81,7 +81,7 @@ def test_failures_do_not_stop_other_cities(clean_catalog, towns):
 
 def test_nothing_is_written_when_every_city_fails(clean_catalog, towns):
     spark = clean_catalog
-    fetched = spark.createDataFrame([("Testville", None, None)], FETCHED)
+    fetched = spark.createDataFrame([("Quito", None, None)], FETCHED)
     assert landing.land_forecasts(fetched, towns, RUN) == 0
     assert not tables.table_exists(spark, WEATHER_RAW)
 
@@ -90,7 +90,7 @@ def test_parsed_bodies_are_written_out_whole(clean_catalog, towns):
     spark = clean_catalog
     body = "struct<hourly: struct<time: array<string>, wind: array<double>, rain: string>>"
     fetched = spark.createDataFrame(
-        [("Testville", 200, ((["2026-09-02T00:00"], [1.5, None], None),))],
+        [("Quito", 200, ((["2026-09-02T00:00"], [1.5, None], None),))],
         f"city string, status int, raw_response {body}",
     )
     before = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -104,7 +104,7 @@ def test_parsed_bodies_are_written_out_whole(clean_catalog, towns):
 
 def test_archive_rows_carry_their_window(clean_catalog, towns):
     spark = clean_catalog
-    fetched = spark.createDataFrame([("Testville", 200, '{"daily":{}}')], FETCHED)
+    fetched = spark.createDataFrame([("Quito", 200, '{"daily":{}}')], FETCHED)
     assert landing.land_archive(fetched, towns, RUN, date(2026, 9, 2), window_days=14) == 1
     row = spark.table(HISTORICAL_RAW).first()
     assert (row.start_date, row.end_date) == (date(2026, 8, 14), date(2026, 8, 28))
@@ -150,3 +150,21 @@ def test_tables(clean_catalog, tmp_path):
     assert back.columns == ["id", "g"] and back.count() == 10
     empty = tables.table_or_empty(spark, WEATHER_RAW)
     assert empty.columns == columns(WEATHER_RAW) and empty.isEmpty()
+
+
+def test_one_city_name_in_two_countries(clean_catalog):
+    spark = clean_catalog
+    towns = spark.createDataFrame(
+        [("Cordoba", "AR", -31.5, -64.25), ("Cordoba", "ES", 37.75, -4.75)], CITY_SCHEMA
+    )
+    asked = "city string, country string, status int, raw_response string"
+    fetched = spark.createDataFrame(
+        [("Cordoba", "AR", 200, DOC), ("Cordoba", "ES", 200, '{"hourly": {}}')], asked
+    )
+    accepted, rejected = landing.snapshot_batch(fetched, towns, RUN)
+    landed = {(r.country, r.latitude, r.raw_response) for r in accepted.collect()}
+    assert landed == {("AR", -31.5, DOC), ("ES", 37.75, '{"hourly": {}}')}
+    assert rejected.isEmpty()
+    accepted, rejected = landing.snapshot_batch(fetched.drop("country"), towns, RUN)
+    assert accepted.isEmpty()
+    assert [r.reason for r in rejected.collect()] == ["city of several countries"] * 2

@@ -56,7 +56,23 @@ def test_payloads_are_not_shuffled_and_old_days_not_read(log):
         if "Exchange hashpartitioning" in line:
             assert "raw_response" not in line
     filters = [line for line in _plan(newest).splitlines() if "PartitionFilters" in line]
-    assert any(INGEST_DATE in line and "ubquery" in line for line in filters), filters
+    assert any(INGEST_DATE in line and "dynamicpruning" in line for line in filters), filters
+
+
+def test_a_retired_city_does_not_widen_the_scan(spark, tmp_path):
+    days = spark.range(40).selectExpr(
+        "explode(if(id = 3, array('left', 'stays'), array('stays'))) AS city",
+        "date_add(DATE '2025-02-01', CAST(id AS int)) AS ingest_date",
+    )
+    log = days.selectExpr("*", "CAST(ingest_date AS timestamp_ntz) AS at", "'{}' AS body")
+    log.write.partitionBy("ingest_date").parquet(str(tmp_path / "log"))
+    newest = latest_snapshot(spark.read.parquet(str(tmp_path / "log")), "city", "at", "ingest_date")
+    found = {(r.city, str(r.ingest_date)) for r in newest.collect()}
+    assert found == {("left", "2025-02-04"), ("stays", "2025-03-12")}
+    # Adaptive plan, its final plan, and what the result stage runs.
+    leaves = newest._jdf.queryExecution().executedPlan().executedPlan().plan().collectLeaves()
+    scans = [leaves.apply(k).metrics().get("numPartitions") for k in range(leaves.size())]
+    assert [m.get().value() for m in scans if m.isDefined()] == [2]
 
 
 def test_entity_sets_are_broadcast_by_measured_size_only(spark, log, monkeypatch):

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 from stratacast.plans.silver import silver_daily_actuals, silver_hourly_history
@@ -40,3 +41,15 @@ def test_late_corrections_arrive_incrementally(clean_catalog, tmp_path):
         assert batch.exceptAll(increments).isEmpty()
     means = [r.temperature_mean_c for r in increments.orderBy("observed_date").collect()]
     assert means == [1.5, 2.5]
+
+
+def test_files_of_any_age_are_taken(clean_catalog, tmp_path):
+    spark = clean_catalog
+    for day in (1, 2, 3):
+        append(_run(spark, day), WEATHER_RAW)
+    files = spark.table(WEATHER_RAW).inputFiles()
+    for days, file in zip((0, 6, 30), sorted(files)):
+        path = file.removeprefix("file://").removeprefix("file:")
+        then = os.stat(path).st_mtime - days * 86_400
+        os.utime(path, (then, then))
+    assert incremental_history(spark, str(tmp_path / "old")).count() == 3
