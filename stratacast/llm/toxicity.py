@@ -125,9 +125,10 @@ def count_model(training: DataFrame) -> Model:
     def dense(rows: DataFrame, key: str, n: int) -> np.ndarray:
         """One array per column: at most CELLS rows come to the driver."""
         found = np.zeros((n, CELLS))
-        got = rows.toPandas()
-        for k, name in enumerate(c for c in got.columns if c != key):
-            found[k, got[key].to_numpy()] = got[name].to_numpy()
+        got = rows.toArrow()
+        at = got.column(key).to_numpy()
+        for k, name in enumerate(c for c in got.column_names if c != key):
+            found[k, at] = got.column(name).to_numpy()
         return found
 
     word = dense(
