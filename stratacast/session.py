@@ -48,8 +48,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several jobs read and continue from the files.
 
     Cuts the lineage on reliable storage, so a lost executor costs a re-read
-    and not the upstream work; later readers keep column pruning.
+    and not the upstream work; later readers keep column pruning. Compressed harder
+    than by default: these files are read a few times and take up the shared folder.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
