@@ -161,8 +161,8 @@ def subtree(contents, firsts, lasts, window: int) -> list[list[int | None]]:
 
 
 def _digest():
-    """Stands for a content in joins, at a third of its size."""
-    return F.unhex(F.sha2("content", 256))
+    """Stands for a content in joins: 128 bits of SHA-256, a sixth of a content's size."""
+    return F.substring(F.unhex(F.sha2("content", 256)), 1, 16)
 
 
 def _grow_trees(leaves: DataFrame, window: int) -> DataFrame:
@@ -196,7 +196,11 @@ def _windows_of(passages: DataFrame, window: int) -> DataFrame:
 
 
 def _resolved(passages: DataFrame, window: int) -> DataFrame:
-    """Windows to remove: (_id, _key, starts), from passages (…, pos, anchor, content)."""
+    """Stretches to remove from passages (…, pos, anchor, content).
+
+    Returns _id, _key and, for each stretch in order, where its first and its last window
+    start: windows that overlap or touch are one stretch, so a copy is a single one.
+    """
     leaves = passages.groupBy("anchor", "content").agg(
         F.min("_id").alias("first"), F.max("_id").alias("last")
     )
@@ -238,7 +242,7 @@ def _resolved(passages: DataFrame, window: int) -> DataFrame:
         F.transform(
             F.sequence(F.lit(0), F.size("firsts") - 1),
             lambda i: F.when(
-                F.element_at("firsts", i + 1) < F.col("_id"), F.col("pos") + i
+                F.element_at("firsts", i + 1) < F.col("_id"), (F.col("pos") + i).cast("int")
             ),
         ),
         lambda p: p.isNotNull(),
@@ -247,10 +251,17 @@ def _resolved(passages: DataFrame, window: int) -> DataFrame:
     split = _windows_of(passages.join(heavy, "anchor"), window)
     split = split.select("_id", "_key", "pos", "at", _digest().alias("digest"))
     from_heavy = split.join(single, "digest").where(F.col("firsts")[0] < F.col("_id")).select(
-        "_id", "_key", F.array(F.col("pos") + F.col("at")).alias("starts")
+        "_id", "_key", F.array((F.col("pos") + F.col("at")).cast("int")).alias("starts")
     )
     both = from_light.where(F.size("starts") > 0).unionByName(from_heavy)
-    return both.groupBy("_id", "_key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    all_ = F.array_sort(F.flatten(F.collect_list("starts")))
+    sorted_ = both.groupBy("_id", "_key").agg(all_.alias("_all"))
+    firsts = F.filter("_all", lambda x, i: (i == 0) | (x - F.get("_all", i - 1) > window))
+    lasts = F.filter(
+        "_all",
+        lambda x, i: (i == F.size("_all") - 1) | (F.get("_all", i + 1) - x > window),
+    )
+    return sorted_.select("_id", "_key", firsts.alias("starts"), lasts.alias("lasts"))
 
 
 def _kept(window):
@@ -259,20 +270,20 @@ def _kept(window):
     def made(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            lists = batch.column("starts").to_pylist()
+            stretches = zip(batch.column("starts").to_pylist(), batch.column("lasts").to_pylist())
             out: list[list] = [[], [], []]
-            for text, starts in zip(texts, lists):
+            for text, (starts, lasts) in zip(texts, stretches):
                 own = text.encode().split()
                 gone = np.zeros(len(own) + 1, np.int32)
                 if starts:
-                    at = np.unique(np.array(starts, np.int64))
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + window, -1)
+                    # Stretches do not touch, so no place is named twice.
+                    gone[starts] += 1
+                    gone[np.array(lasts) + window] -= 1
                 stay = np.cumsum(gone)[:-1] == 0
                 left = [w for w, s in zip(own, stay) if s] if starts else own
                 for c, v in zip(out, (b" ".join(left).decode(), len(own), len(own) - len(left))):
                     c.append(v)
-            rest = batch.drop_columns(["text", "starts"])
+            rest = batch.drop_columns(["text", "starts", "lasts"])
             kinds = (pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, *[pa.array(c, k) for c, k in zip(out, kinds)]],
@@ -307,7 +318,8 @@ def remove_repeats(
         _anchor_ids(window), "anchor long, first long, last long"
     )
     spread = anchors.groupBy("anchor").agg(F.min("first").alias("f"), F.max("last").alias("l"))
-    repeated = materialize(spread.where("f < l").select("anchor"), "anchors")
+    repeated = spread.where("f < l").select("anchor")
+    repeated = broadcast_if_small(*materialize_sized(repeated, "anchors"))
     # Texts that share a key would only be looked at more closely.
     own = source.select("_key", "text").mapInArrow(_anchor_rows(window), "anchor long, _key long")
     lists = own.join(repeated, "anchor").groupBy("_key").agg(
@@ -319,16 +331,18 @@ def remove_repeats(
     )
     removed = _resolved(materialize(passages, "passages"), window)
     removed = broadcast_if_small(*_sized(removed, "removed"))
-    return source.join(removed, ["_id", "_key"], "left").select("_id", "text", "starts").mapInArrow(
+    return source.join(removed, ["_id", "_key"], "left").select(
+        "_id", "text", "starts", "lasts"
+    ).mapInArrow(
         _kept(window), "_id long, kept_text string, n_words long, n_removed long"
     ).withColumn("doc_id", given_id("_id")).drop("_id")
 
 
 def _sized(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """A written frame of ids and one array of longs, and its size in bytes."""
-    array = next(n for n, t in rows.dtypes if t.startswith("array"))
+    """A written frame of ids and arrays of integers, and its size in bytes at most."""
+    arrays = [F.size(n) * 8 + 48 for n, t in rows.dtypes if t.startswith("array")]
     written = materialize(rows, name)
-    size = written.agg(F.sum(F.size(array) * 8 + 48)).first()[0]
+    size = written.agg(F.sum(sum(arrays))).first()[0]
     return written, size or 0
 
 
