@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 WEATHER_RAW = "bronze.weather_raw"
 HISTORICAL_RAW = "bronze.weather_historical_raw"
+REJECTED_ANSWERS = "bronze.rejected_answers"
 HOURLY = "silver.stg_weather_hourly"
 HOURLY_HISTORY = "silver.stg_weather_hourly_history"
 DAILY_ACTUALS = "silver.stg_weather_historical_daily"
@@ -46,6 +47,14 @@ SCHEMAS = {
         end_date=_DAY,
         raw_response=_TEXT,
     ),
+    REJECTED_ANSWERS: _struct(
+        ingested_at=_TIME,
+        log=_TEXT,
+        city=_TEXT,
+        country=_TEXT,
+        status=_DAYS,
+        reason=_TEXT,
+    ),
     HOURLY: _struct(
         city=_TEXT,
         country=_TEXT,

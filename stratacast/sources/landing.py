@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.operators.sizing import broadcast_if_small
-from stratacast.schemas import HISTORICAL_RAW, WEATHER_RAW, columns
+from stratacast.schemas import HISTORICAL_RAW, REJECTED_ANSWERS, WEATHER_RAW, columns
 from stratacast.sources.tables import append
 
 # Requested fields and horizons.
@@ -110,8 +110,10 @@ def snapshot_batch(
     """(accepted, rejected) answers of one run.
 
     All accepted rows carry the same instant. A failing city does not stop the
-    others; it shows up among the rejected with a reason.
+    others; it shows up among the rejected with a reason, and with the country it was
+    asked for, if known.
     """
+    run_ts = run_ts or datetime.now(timezone.utc)
     keys = _city_keys(fetched)
     # Without a country, a name that several countries share names none of them.
     named = cities.groupBy("city").agg(F.count("*").alias("_named"))
@@ -123,7 +125,10 @@ def snapshot_batch(
     answers = _as_text(fetched).join(known, keys, "left")
     judged = answers.withColumn("reason", _reason(F.col("_known")))
     accepted = judged.filter(F.col("reason").isNull()).withColumn("ingested_at", _utc(run_ts))
-    rejected = judged.filter(F.col("reason").isNotNull()).select("city", "status", "reason")
+    asked = F.col("country") if "country" in keys else F.lit(None).cast("string")
+    rejected = judged.filter(F.col("reason").isNotNull()).select(
+        _utc(run_ts).alias("ingested_at"), "city", asked.alias("country"), "status", "reason"
+    )
     return accepted.drop("_known", "reason", "status"), rejected
 
 
@@ -132,10 +137,17 @@ def _land(batch: DataFrame, table: str) -> int:
     return 0 if batch.isEmpty() else append(batch, table)
 
 
+def _record_rejects(rejected: DataFrame, log: str) -> int:
+    """Keep which requests failed, and why, next to the log they were meant for."""
+    rows = rejected.withColumns({"log": F.lit(log), "status": F.col("status").cast("int")})
+    return _land(rows, REJECTED_ANSWERS)
+
+
 def land_forecasts(
     fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
 ) -> int:
-    accepted, _ = snapshot_batch(fetched, cities, run_ts)
+    accepted, rejected = snapshot_batch(fetched, cities, run_ts)
+    _record_rejects(rejected, WEATHER_RAW)
     return _land(accepted.select(*columns(WEATHER_RAW)), WEATHER_RAW)
 
 
@@ -162,4 +174,5 @@ def land_archive(
     window_days: int | None = None,
 ) -> int:
     batch = archive_batch(fetched, cities, run_ts, as_of, years, window_days)
+    _record_rejects(snapshot_batch(fetched, cities, run_ts)[1], HISTORICAL_RAW)
     return _land(batch, HISTORICAL_RAW)

@@ -4,7 +4,13 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from stratacast.schemas import HISTORICAL_RAW, INGEST_DATE, WEATHER_RAW, columns
+from stratacast.schemas import (
+    HISTORICAL_RAW,
+    INGEST_DATE,
+    REJECTED_ANSWERS,
+    WEATHER_RAW,
+    columns,
+)
 from stratacast.sources import landing, tables
 from stratacast.sources.cities import SCHEMA as CITY_SCHEMA
 from stratacast.sources.cities import cities
@@ -77,6 +83,16 @@ def test_failures_do_not_stop_other_cities(clean_catalog, towns):
         ("Nowhere", "unknown city"),
     ]
     assert landing.land_forecasts(fetched, towns, RUN) == 1
+    kept = spark.table(REJECTED_ANSWERS)
+    assert sorted(r.reason for r in kept.filter(F.col("log") == WEATHER_RAW).collect()) == [
+        "body is not JSON",
+        "no answer",
+        "status 503",
+        "unknown city",
+    ]
+    assert landing.land_archive(fetched, towns, RUN, date(2026, 9, 2)) == 1
+    archive = kept.sparkSession.table(REJECTED_ANSWERS).filter(F.col("log") == HISTORICAL_RAW)
+    assert archive.count() == 4 and {r.ingested_at for r in archive.collect()} == {RUN}
 
 
 def test_nothing_is_written_when_every_city_fails(clean_catalog, towns):
