@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +13,10 @@ from stratacast.session import materialize
 
 # Stands for a null id inside the operators: it sorts last and joins with itself.
 NULL_ID = (1 << 63) - 1
+# Most bytes of an Arrow batch of texts. A batch is held several times over, by the Python
+# worker and outside the executor's heap, and neither gives all of it back.
+ARROW_BYTES = 1 << 22
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +35,26 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside send texts to Python in batches of ARROW_BYTES."""
+    before = spark.conf.get(_ARROW_BYTES, None)
+    spark.conf.set(_ARROW_BYTES, str(ARROW_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_ARROW_BYTES)
+        else:
+            spark.conf.set(_ARROW_BYTES, before)
+
+
+def written_by_python(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for a frame that texts pass through Python for."""
+    with small_batches(df.sparkSession):
+        return materialize(df, name)
+
+
 def ranked(rows: DataFrame, keys: list[str], order: list[str], rank: str) -> DataFrame:
     """Position from 0 of each row among the rows of its keys, ordered by ``order``.
 

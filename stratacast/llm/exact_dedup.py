@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.llm import tokens
-from stratacast.llm.common import given_id, known_id, table, text_of
+from stratacast.llm.common import given_id, known_id, table, text_of, written_by_python
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
@@ -170,7 +170,7 @@ def exact_duplicates(
     texts = docs.select(known_id(id).alias("_id"), normalised(text).alias("chunk"))
     keyed = texts.select("_id", F.xxhash64("chunk").alias("_key"), "chunk")
     marked = keyed.withColumn("sha", F.sha2("chunk", 256))
-    prints = materialize(
+    prints = written_by_python(
         fingerprints(marked, "chunk", ["_id", "_key", "sha"], primes), "fingerprints"
     )
     alike = prints.groupBy("fp", "n_bytes").agg(F.count("*").alias("n"))

@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.llm import tokens
-from stratacast.llm.common import components, given_id, known_id, ranked, table, text_of
+from stratacast.llm.common import (
+    components,
+    given_id,
+    known_id,
+    ranked,
+    table,
+    text_of,
+    written_by_python,
+)
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
@@ -243,7 +251,7 @@ def _verify(sets: DataFrame, threshold) -> DataFrame:
         linked = _links(left, right, i == j, threshold)
         return _found(nodes_l, nodes_r, linked, i == j)
 
-    first = materialize(
+    first = written_by_python(
         sets.groupBy("component", "chunk").applyInPandas(
             chunk,
             "a long, b long, links long, component long, chunk long, n_chunks long, block binary",
@@ -291,7 +299,7 @@ def near_duplicates(
     words = F.regexp_replace(
         F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "), "^ | $", ""
     )
-    signed = materialize(
+    signed = written_by_python(
         source.withColumn("sha", F.sha2(words, 256)).select("_id", "sha", "text").mapInArrow(
             _signatures(trees, length, size), "_id long, sha string, keys array<long>"
         ),
@@ -320,7 +328,7 @@ def near_duplicates(
     sets = source.join(wanted, "_id").mapInArrow(
         _sets(size), "_id long, component long, chunk long, n_chunks long, set binary"
     )
-    found = materialize(_verify(sets, threshold), "links")
+    found = written_by_python(_verify(sets, threshold), "links")
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("n_links"))
     classes = components(found.where("b IS NOT NULL").select("a", "b"))
     known = links.join(classes, links["a"] == classes["node"], "full").select(

@@ -10,9 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratacast.llm.common import given_id, known_id, ranked, table, text_of
+from stratacast.llm.common import (
+    given_id,
+    known_id,
+    ranked,
+    table,
+    text_of,
+    written_by_python,
+)
 from stratacast.operators.sizing import broadcast_if_small
-from stratacast.session import materialize
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -238,7 +244,8 @@ def pack_documents(
     alone. Null ids stay null; repeated rows are packed as often as they occur; other
     columns are ignored; an empty table gives no rows.
     """
-    pieces = materialize(token_pieces(docs, tokenizer, size, end_id, id, text), "pieces")
+    pieces = token_pieces(docs, tokenizer, size, end_id, id, text)
+    pieces = written_by_python(pieces, "pieces")
     return pack(pieces, size).select(
         given_id("_id").alias("doc_id"),
         "start",

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.llm import tokens
-from stratacast.llm.common import given_id, known_id, table, text_of
+from stratacast.llm.common import given_id, known_id, table, text_of, written_by_python
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
-from stratacast.session import materialize
 
 # Cells of the count tables. Words and pairs are hashed into them, so the model's size is
 # fixed while its counts are of all training documents.
@@ -100,7 +99,7 @@ def count_model(training: DataFrame) -> Model:
     types = types.groupBy("pair").agg(
         F.first("h").alias("h"), F.first("w").alias("w"), F.sum("c1").alias("c1"), F.sum("c0").alias("c0")
     )
-    types = materialize(types, "types")
+    types = written_by_python(types, "types")
     both = ("c0", "c1")
     of = types.agg(
         *[
@@ -216,14 +215,14 @@ def features(model: Model, data, offsets) -> np.ndarray:
     return found
 
 
-def _scored(held, name):
+def _scored(held, text, name):
     def scored(batches):
         model = held.value
         for batch in batches:
             out = np.zeros((batch.num_rows, FEATURES))
-            for low, data, offsets in tokens.groups(batch.column("_text")):
+            for low, data, offsets in tokens.groups(batch.column(text)):
                 out[low : low + len(offsets) - 1] = features(model, data, offsets)
-            rest = batch.drop_columns(["_text"])
+            rest = batch.drop_columns(["_text"]) if text == "_text" else batch
             if model.weights is None:
                 made, names = list(out.T), [f"{name}{k}" for k in range(out.shape[1])]
             else:
@@ -248,7 +247,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     schema = ", ".join(
         [f"`{n}` {t}" for n, t in docs.dtypes] + [f"`{n}` double" for n in names]
     )
-    return docs.withColumn("_text", text_of(text)).mapInArrow(_scored(held, name), schema)
+    if dict(docs.dtypes)[text] == "string":  # sent once, as one of the columns
+        return docs.mapInArrow(_scored(held, text, name), schema)
+    return docs.withColumn("_text", text_of(text)).mapInArrow(_scored(held, "_text", name), schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
