@@ -10,14 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.llm import tokens
-from stratacast.llm.common import given_id, known_id, table, text_of, written_by_python
+from stratacast.llm.common import (
+    given_id,
+    known_id,
+    small_batches,
+    table,
+    text_of,
+    written_by_python,
+)
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
+from stratacast.session import materialize
 
-# Cells of the count tables. Words and pairs are hashed into them, so the model's size is
-# fixed while its counts are of all training documents.
-CELL_BITS = 20
-CELLS = 1 << CELL_BITS
-LOW_BITS = (1 << 24) - 1
+# Bytes of texts that are scored together: the words and pairs they hold are looked up once.
+PART_BYTES = tokens.GROUP_BYTES
+# What the model says of a word: p(w) of each class, the weight of p(w') after it and one
+# over its count; of a pair: its discounted counts, then zeros.
+VALUES = ["a0", "a1", "back0", "back1", "each0", "each1"]
 # See features().
 FEATURES, STRETCH, LIMIT, TAIL, TAIL_FLOOR = 3, 4, 5.0, 3.0, 1e-4
 # Rows that calibrate the score: those with the smallest hash of their id.
@@ -33,10 +41,6 @@ def remainder(id: str):
     return F.coalesce(own, F.lit(HELD_OUT_REMAINDER))
 
 
-def _cells(hashes):
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int32)
-
-
 def _words(data, offsets):
     hashes, _, _, rows = tokens.words(data, offsets, tokens.PLAIN, tokens.FOLD)
     pairs, at = tokens.runs(hashes, rows, 2)
@@ -57,8 +61,8 @@ def _pair_counts(batches):
             first = at[where]
             arrays = [
                 pa.array(own.view(np.int64)),
-                pa.array(_cells(hashes[first])),
-                pa.array(_cells(hashes[first + 1])),
+                pa.array(hashes[first].view(np.int64)),
+                pa.array(hashes[first + 1].view(np.int64)),
                 pa.array(toxic),
                 pa.array(every - toxic),
             ]
@@ -67,17 +71,35 @@ def _pair_counts(batches):
 
 @dataclass
 class Model:
-    """Tables by cell, for class 0 and 1, and the calibration of the ratio's features."""
+    """A written table of all words and pairs, and the calibration of the ratio's features."""
 
-    word: np.ndarray  # p(w) of each class, smoothed by the shared counts
-    back: np.ndarray  # weight of p(w) after context h
-    each: np.ndarray  # 1 / count of context h
-    pair: np.ndarray  # low bits of a pair's hash, its discounted counts
+    entries: DataFrame  # key (64-bit hash of a word or pair) and VALUES
+    size: int  # measured bytes of the entries
+    unseen: tuple[float, float]  # p(w) in each class of a word that was not counted
     weights: np.ndarray | None = None
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
 
 
+class Known:
+    """Values of the words and pairs that some texts hold, by hash."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, unseen: tuple[float, float]):
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        plain = np.array([*unseen, 1, 1, 0, 0], np.float32)
+        # The last column is of what is not in the table.
+        self.words = np.c_[values[:, order], plain]
+        self.pairs = np.c_[values[:2, order], np.zeros(2, np.float32)]
+
+    def at(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(self.keys, hashes)
+        if len(self.keys):
+            same = self.keys[np.minimum(found, len(self.keys) - 1)] == hashes
+            found[~same] = len(self.keys)
+        return found
+
+
 def _discounts(n: list[int]) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more."""
     n1, n2, n3, n4 = (max(x, 1) for x in n)
@@ -86,95 +108,96 @@ def _discounts(n: list[int]) -> np.ndarray:
     return np.clip(found, [0, 0.5, 0.5, 0.5], [0, 1, 2, 3])
 
 
-def count_model(training: DataFrame) -> Model:
-    """Counts of all ``training`` rows (toxic, text), as a model of fixed size.
+def _less(count: str, cut: np.ndarray):
+    """What is taken off a count."""
+    c = F.col(count)
+    return (
+        F.when(c >= 3, float(cut[3]))
+        .when(c == 2, float(cut[2]))
+        .when(c == 1, float(cut[1]))
+        .otherwise(0.0)
+    )
 
-    A class's probability of a word after another is its discounted count, backing off
-    to the number of different words before it in that class, and that to the number in
-    both classes together: there, what is rare in either class is equally likely.
-    """
+
+def _few(counts: tuple[str, ...]) -> list:
+    """How many rows hold 1, 2, 3 and 4, for each of the columns."""
+    return [
+        F.count(F.when(F.col(c) == k, 1)).alias(f"{c}_{k}") for c in counts for k in range(1, 5)
+    ]
+
+
+def count_types(training: DataFrame) -> DataFrame:
+    """Every distinct word pair of ``training`` rows (toxic, text) with its counts, written."""
     types = training.select("toxic", "text").mapInArrow(
-        _pair_counts, "pair long, h int, w int, c1 long, c0 long"
+        _pair_counts, "pair long, h long, w long, c1 long, c0 long"
     )
     types = types.groupBy("pair").agg(
         F.first("h").alias("h"), F.first("w").alias("w"), F.sum("c1").alias("c1"), F.sum("c0").alias("c0")
     )
-    types = written_by_python(types, "types")
-    both = ("c0", "c1")
-    of = types.agg(
-        *[
-            F.count(F.when(F.col(c) == k, 1)).alias(f"{c}_{k}")
-            for c in both
-            for k in range(1, 5)
-        ]
-    ).first()
-    cut = [_discounts([of[f"{c}_{k}"] for k in range(1, 5)]) for c in both]
-    kept = [
-        F.when(
-            F.col("c0") + F.col("c1") >= 2,
-            F.col(c)
-            - F.when(F.col(c) >= 3, float(d[3]))
-            .when(F.col(c) == 2, float(d[2]))
-            .when(F.col(c) == 1, float(d[1]))
-            .otherwise(0.0),
-        ).otherwise(0.0)
-        for c, d in zip(both, cut)
-    ]
+    return written_by_python(types, "types")
 
-    def dense(rows: DataFrame, key: str, n: int) -> np.ndarray:
-        """One array per column: at most CELLS rows come to the driver."""
-        found = np.zeros((n, CELLS))
-        got = rows.toArrow()
-        at = got.column(key).to_numpy()
-        for k, name in enumerate(c for c in got.column_names if c != key):
-            found[k, at] = got.column(name).to_numpy()
-        return found
 
-    word = dense(
-        types.groupBy("w").agg(
-            *[F.count(F.when(F.col(c) > 0, 1)).alias(f"n{k}") for k, c in enumerate(both)],
-            F.count("*").alias("n"),
-        ),
-        "w",
-        3,
+def count_model(types: DataFrame) -> Model:
+    """The model of all pairs of ``types`` (pair, h, w, c0, c1); it grows with them.
+
+    A class's probability of a word after another is its discounted count, backing off
+    to the number of different words before it in that class, and that to the number in
+    both classes together: there, what is rare in either class is equally likely. What
+    reaches the driver is two rows of totals.
+    """
+    both = ("c0", "c1")
+    of = types.agg(*_few(both)).first()
+    cut = [_discounts([of[f"{c}_{k}"] for k in range(1, 5)]) for c in both]
+    types = types.select(
+        "*", *[(F.col(c) - _less(c, d)).alias(f"k{k}") for k, (c, d) in enumerate(zip(both, cut))]
     )
-    context = dense(
-        types.groupBy("h").agg(
-            *[F.sum(c).alias(f"s{k}") for k, c in enumerate(both)],
-            *[F.sum(d).alias(f"k{k}") for k, d in enumerate(kept)],
-        ),
-        "h",
-        4,
+    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
+    after = types.select(
+        F.col("w").alias("key"),
+        *[(F.col(c) > 0).cast("bigint").alias(f"n{k}") for k, c in enumerate(both)],
+        F.lit(1).cast("bigint").alias("n"),
+        *[zero.alias(f"s{k}") for k in range(2)],
+        *[none.alias(f"k{k}") for k in range(2)],
     )
-    # A cell holds its most frequent pair; the low bits of the hash tell others apart.
-    most = (
-        types.where("c0 + c1 >= 2")
-        .withColumn("cell", F.shiftrightunsigned("pair", 64 - CELL_BITS).cast("int"))
-        .groupBy("cell")
-        .agg(F.max(F.struct(F.col("c0") + F.col("c1"), "pair", *kept)).alias("m"))
-        .select("cell", F.col("m.pair").bitwiseAND(F.lit(LOW_BITS)).alias("low"), "m.*")
-        .toDF("cell", "low", "n", "pair", "k0", "k1")
+    before = types.select(
+        F.col("h").alias("key"),
+        *[zero.alias(name) for name in ("n0", "n1", "n")],
+        *[F.col(c).alias(f"s{k}") for k, c in enumerate(both)],
+        "k0",
+        "k1",
     )
-    pair = dense(most.select("cell", "low", "k0", "k1"), "cell", 3)
-    shared = (word[2] + 1) / (word[2].sum() + CELLS)
-    lower = []
-    for n in word[:2]:
-        cut_w = _discounts([int((n == k).sum()) for k in range(1, 5)])
-        off = np.minimum(cut_w[np.minimum(n, 3).astype(int)], n)
-        total = max(n.sum(), 1)
-        rest = off.sum() / total if n.sum() else 1.0
-        lower.append((n - off) / total + rest * shared)
-    each = 1 / np.maximum(context[:2], 1)
-    back = np.where(context[:2] > 0, 1 - context[2:] * each, 1)
-    return Model(
-        np.array(lower, np.float32),
-        np.clip(back, 1e-3, 1).astype(np.float32),
-        each.astype(np.float32),
-        pair.astype(np.float32),
+    sums = ["n0", "n1", "n", "s0", "s1", "k0", "k1"]
+    words = after.unionByName(before).groupBy("key").agg(*[F.sum(c).alias(c) for c in sums])
+    words = materialize(words, "words")
+    of = words.agg(
+        *_few(("n0", "n1")),
+        *[F.sum(c).alias(f"sum_{c}") for c in ("n0", "n1", "n")],
+        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"some_{c}") for c in ("n0", "n1")],
+        F.count("*").alias("words"),
+    ).first()
+    # One more for all words that were not counted.
+    every = (of["sum_n"] or 0) + of["words"] + 1
+    columns, unseen, shared = [], [], (F.col("n") + 1) / float(every)
+    for c in ("n0", "n1"):
+        n = [of[f"{c}_{k}"] for k in range(1, 5)]
+        cut, total = _discounts(n), of[f"sum_{c}"] or 0
+        off = cut[1] * n[0] + cut[2] * n[1] + cut[3] * (of[f"some_{c}"] - n[0] - n[1])
+        rest = float(off / total) if total else 1.0
+        columns.append((F.col(c) - _less(c, cut)) / float(max(total, 1)) + rest * shared)
+        unseen.append(rest / every)
+    for k in range(2):
+        weight = F.greatest(1 - F.col(f"k{k}") / F.col(f"s{k}"), F.lit(1e-3))
+        columns.append(F.when(F.col(f"s{k}") > 0, weight).otherwise(1.0))
+    columns += [1 / F.greatest(F.col(f"s{k}"), F.lit(1)) for k in range(2)]
+    entries = words.select("key", *[c.cast("float").alias(v) for c, v in zip(columns, VALUES)])
+    pairs = types.where("c0 + c1 > 0").select(
+        F.col("pair").alias("key"),
+        *[c.cast("float").alias(v) for c, v in zip([F.col("k0"), F.col("k1"), *[none] * 4], VALUES)],
     )
+    return Model(*materialize_sized(entries.unionByName(pairs), "model"), tuple(unseen))
 
 
-def features(model: Model, data, offsets) -> np.ndarray:
+def features(known: Known, data, offsets) -> np.ndarray:
     """Log-likelihood ratios per word of each text, three ways, all length-normalised.
 
     The mean with pairs, where one word counts LIMIT at most: copies of a training text
@@ -187,12 +210,11 @@ def features(model: Model, data, offsets) -> np.ndarray:
     hashes, rows, pairs, at = _words(data, offsets)
     if not len(hashes):
         return found
-    w = _cells(hashes)
-    p = model.word[:, w]
+    word = known.words[:, known.at(hashes)]
+    p, back, each = word[:2], word[2:4], word[4:]
     single = np.log(p[1]).astype(np.float64) - np.log(p[0])
-    h, cell = w[at], _cells(pairs)
-    same = model.pair[0, cell] == (pairs & np.uint64(LOW_BITS)).astype(np.float32)
-    p[:, at + 1] = model.pair[1:, cell] * same * model.each[:, h] + model.back[:, h] * p[:, at + 1]
+    pair = known.pairs[:, known.at(pairs)]
+    p[:, at + 1] = pair * each[:, at] + back[:, at] * p[:, at + 1]
     ratio = np.clip(np.log(p[1]).astype(np.float64) - np.log(p[0]), -LIMIT, LIMIT)
     edge = tokens.bounds(rows, n)
     count = np.diff(edge)
@@ -215,41 +237,62 @@ def features(model: Model, data, offsets) -> np.ndarray:
     return found
 
 
-def _scored(held, text, name):
-    def scored(batches):
-        model = held.value
-        for batch in batches:
-            out = np.zeros((batch.num_rows, FEATURES))
-            for low, data, offsets in tokens.groups(batch.column(text)):
-                out[low : low + len(offsets) - 1] = features(model, data, offsets)
-            rest = batch.drop_columns(["_text"]) if text == "_text" else batch
-            if model.weights is None:
-                made, names = list(out.T), [f"{name}{k}" for k in range(out.shape[1])]
-            else:
-                x = (out - model.centre) / model.scale
-                z = np.clip(x @ model.weights[1:] + model.weights[0], -30, 30)
-                made, names = [1 / (1 + np.exp(-z))], [name]
-            yield pa.RecordBatch.from_arrays(
-                [*rest.columns, *map(pa.array, made)], [*rest.schema.names, *names]
-            )
+def _asked(text):
+    def asked(rows):
+        keys = [np.empty(0, np.uint64)]
+        for _, data, offsets in tokens.groups(rows.column(text).combine_chunks()):
+            hashes, _, pairs, _ = _words(data, offsets)
+            keys += [np.unique(hashes), np.unique(pairs)]
+        keys = np.unique(np.concatenate(keys))
+        part = pa.repeat(rows.column("_part")[0], len(keys))
+        return pa.table([part, pa.array(keys.view(np.int64))], ["_part", "key"])
+
+    return asked
+
+
+def _scored(unseen, weights, centre, scale, text, name):
+    def scored(rows, answers):
+        keys = answers.column("key").to_numpy().view(np.uint64)
+        values = np.array([answers.column(v).to_numpy() for v in VALUES], np.float32)
+        known = Known(keys, values, unseen)
+        out = np.zeros((rows.num_rows, FEATURES))
+        for low, data, offsets in tokens.groups(rows.column(text).combine_chunks()):
+            out[low : low + len(offsets) - 1] = features(known, data, offsets)
+        rest = rows.drop_columns(["_part", *(["_text"] if text == "_text" else [])])
+        if weights is None:
+            made, names = list(out.T), [f"{name}{k}" for k in range(out.shape[1])]
+        else:
+            z = np.clip((out - centre) / scale @ weights[1:] + weights[0], -30, 30)
+            made, names = [1 / (1 + np.exp(-z))], [name]
+        return pa.table([*rest.columns, *map(pa.array, made)], [*rest.column_names, *names])
 
     return scored
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score; texts are scored where they are read.
+    """All columns of ``docs`` and the score.
 
-    An uncalibrated model gives its features, ``name`` followed by a number. The model
-    has a fixed size (CELLS entries a table), so it is sent to every executor.
+    An uncalibrated model gives its features, ``name`` followed by a number. Rows are
+    dealt into parts of about PART_BYTES of text. Each part asks the model for its
+    distinct words and pairs and gets those that were counted, so neither the model nor
+    every word of every text has to be in one place or in the shuffle.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
     names = [name] if model.weights is not None else [f"{name}{k}" for k in range(FEATURES)]
     schema = ", ".join(
         [f"`{n}` {t}" for n, t in docs.dtypes] + [f"`{n}` double" for n in names]
     )
-    if dict(docs.dtypes)[text] == "string":  # sent once, as one of the columns
-        return docs.mapInArrow(_scored(held, text, name), schema)
-    return docs.withColumn("_text", text_of(text)).mapInArrow(_scored(held, "_text", name), schema)
+    size = docs.agg(F.sum(F.octet_length(text_of(text)).cast("bigint"))).first()[0] or 0
+    # By content, so that a row is in the same part whenever it is read.
+    own = [F.col(f"`{n}`") for n, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    parts = F.pmod(F.xxhash64(*own), F.lit(size // PART_BYTES + 1))
+    rows = docs
+    if dict(docs.dtypes)[text] != "string":
+        rows, text = docs.withColumn("_text", text_of(text)), "_text"
+    rows = rows.withColumn("_part", parts).repartition("_part")
+    asked = rows.groupBy("_part").applyInArrow(_asked(text), "_part long, key long")
+    answers = asked.join(broadcast_if_small(model.entries, model.size), "key")
+    scored = _scored(model.unseen, model.weights, model.centre, model.scale, text, name)
+    return rows.groupBy("_part").cogroup(answers.groupBy("_part")).applyInArrow(scored, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -279,10 +322,19 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     known = known.select(F.col("doc_id").alias("_id"), "toxic")
     known = known.withColumn("_r", remainder("_id")).where(f"_r <> {HELD_OUT_REMAINDER}")
     known = broadcast_if_small(*materialize_sized(known, "labels"))
-    rows = docs.select(known_id(id).alias("_id"), text_of(text).alias("text")).join(known, "_id")
-    model = count_model(rows.where(F.col("_r") == COUNT_REMAINDER))
-    seen = score(rows.where(F.col("_r") == CALIBRATION_REMAINDER), model, name="x").drop("text")
-    sample = seen.orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATION_ROWS).toPandas()
+    own = docs.select(known_id(id).alias("_id"), text_of(text).alias("text"))
+    counted = own.join(known.where(F.col("_r") == COUNT_REMAINDER), "_id")
+    model = count_model(count_types(counted))
+    # The sample is drawn from ids, before any text is read.
+    order = [F.xxhash64("_id"), "_id"]
+    drawn = known.where(F.col("_r") == CALIBRATION_REMAINDER).join(
+        docs.select(known_id(id).alias("_id")), "_id", "left_semi"
+    )
+    drawn = drawn.orderBy(*order).limit(CALIBRATION_ROWS)
+    drawn = broadcast_if_small(*materialize_sized(drawn, "sample"))
+    seen = score(own.join(drawn, "_id"), model, name="x").drop("text")
+    with small_batches(docs.sparkSession):
+        sample = seen.orderBy(*order).limit(CALIBRATION_ROWS).toPandas()
     x = sample[[c for c in sample.columns if c.startswith("x")]].to_numpy()
     y = sample["toxic"].to_numpy().astype(float)
     model.centre, model.scale = np.zeros(x.shape[1]), np.ones(x.shape[1])

@@ -281,6 +281,28 @@ def test_toxic_words_are_learnt_and_held_out_rows_found(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_every_pair_is_counted_and_its_mass_is_whole(spark):
+    frame, labels = toxic_corpus(spark, 60)
+    rows = frame.join(labels.where("doc_id <> 3"), "doc_id").collect()
+    pairs = {p for r in rows for p in zip(r["text"].split(), r["text"].split()[1:])}
+    training = spark.createDataFrame([(r["toxic"], r["text"]) for r in rows], "toxic int, text string")
+    types = toxicity.count_types(training)
+    model = toxicity.count_model(types)
+    entries = {r["key"]: r for r in model.entries.collect()}
+    types = types.collect()
+    assert len(types) == len(pairs)
+    words = {h for r in types for h in (r["h"], r["w"])}
+    assert len(entries) == len(pairs) + len(words)
+    for k in "01":
+        total = sum(entries[w]["a" + k] for w in words) + model.unseen[int(k)]
+        assert total == pytest.approx(1, abs=1e-4)
+        after = defaultdict(float)
+        for r in types:
+            after[r["h"]] += entries[r["pair"]]["a" + k] * entries[r["h"]]["each" + k]
+        for h, mass in after.items():
+            assert mass + entries[h]["back" + k] == pytest.approx(1, abs=2e-3)
+
+
 def test_toxicity_of_awkward_rows(docs, nothing, spark):
     _, labels = toxic_corpus(spark, 30)
     assert toxicity.toxicity(docs[0], labels).count() == len(docs[1])
