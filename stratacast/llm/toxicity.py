@@ -31,8 +31,11 @@ FEATURES, STRETCH, LIMIT, TAIL, TAIL_FLOOR = 3, 4, 5.0, 3.0, 1e-4
 # Rows that calibrate the score: those with the smallest hash of their id.
 CALIBRATION_ROWS = 20_000
 REJECT_AT = 0.7
-# Labels are learnt from documents with these remainders; the rest is held out.
-COUNT_REMAINDER, CALIBRATION_REMAINDER, HELD_OUT_REMAINDER = 0, 2, 1
+# Documents with the first remainders are learnt from, as two folds; the rest is held out.
+FOLDS, HELD_OUT_REMAINDER = (0, 2), 1
+# Counts of a pair: in toxic and other rows of each fold. All four are zero for a pair that
+# only texts without a label hold.
+COUNTS = [f"c{k}_{fold}" for fold in FOLDS for k in (1, 0)]
 
 
 def remainder(id: str):
@@ -48,25 +51,28 @@ def _words(data, offsets):
 
 
 def _pair_counts(batches):
-    """Distinct word pairs of a task's documents with their counts in both classes."""
+    """Distinct word pairs of a task's documents with their COUNTS."""
     for batch in batches:
-        labels = batch.column("toxic").to_numpy().astype(np.int64)
+        # Which of COUNTS a row adds to; one more for rows without a label.
+        toxic = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
+        second = batch.column("_r").to_numpy() == FOLDS[1]
+        kind = np.where(toxic < 0, len(COUNTS), 2 * second + (toxic == 0)).astype(np.int64)
         for low, data, offsets in tokens.groups(batch.column("text")):
             hashes, rows, pairs, at = _words(data, offsets)
             if not len(pairs):
                 continue
             own, where, inverse = np.unique(pairs, return_index=True, return_inverse=True)
-            toxic = np.bincount(inverse, labels[low + rows[at]], len(own)).astype(np.int64)
-            every = np.bincount(inverse, minlength=len(own)).astype(np.int64)
+            cells = inverse * (len(COUNTS) + 1) + kind[low + rows[at]]
+            counts = np.bincount(cells, minlength=len(own) * (len(COUNTS) + 1))
+            counts = counts.reshape(len(own), -1).T.astype(np.int64)
             first = at[where]
             arrays = [
                 pa.array(own.view(np.int64)),
                 pa.array(hashes[first].view(np.int64)),
                 pa.array(hashes[first + 1].view(np.int64)),
-                pa.array(toxic),
-                pa.array(every - toxic),
+                *map(pa.array, counts[: len(COUNTS)]),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, ["pair", "h", "w", "c1", "c0"])
+            yield pa.RecordBatch.from_arrays(arrays, ["pair", "h", "w", *COUNTS])
 
 
 @dataclass
@@ -127,24 +133,29 @@ def _few(counts: tuple[str, ...]) -> list:
 
 
 def count_types(training: DataFrame) -> DataFrame:
-    """Every distinct word pair of ``training`` rows (toxic, text) with its counts, written."""
-    types = training.select("toxic", "text").mapInArrow(
-        _pair_counts, "pair long, h long, w long, c1 long, c0 long"
+    """Every distinct word pair of ``training`` rows (_r, toxic or null, text), written.
+
+    Its columns are pair, h, w and COUNTS.
+    """
+    types = training.select("_r", "toxic", "text").mapInArrow(
+        _pair_counts, "pair long, h long, w long, " + ", ".join(f"{c} long" for c in COUNTS)
     )
     types = types.groupBy("pair").agg(
-        F.first("h").alias("h"), F.first("w").alias("w"), F.sum("c1").alias("c1"), F.sum("c0").alias("c0")
+        F.first("h").alias("h"), F.first("w").alias("w"), *[F.sum(c).alias(c) for c in COUNTS]
     )
     return written_by_python(types, "types")
 
 
-def count_model(types: DataFrame) -> Model:
-    """The model of all pairs of ``types`` (pair, h, w, c0, c1); it grows with them.
+def count_model(types: DataFrame, folds: tuple[int, ...] = FOLDS) -> Model:
+    """The model of all pairs of ``types`` with the counts of ``folds``; it grows with them.
 
     A class's probability of a word after another is its discounted count, backing off
     to the number of different words before it in that class, and that to the number in
-    both classes together: there, what is rare in either class is equally likely. What
-    reaches the driver is two rows of totals.
+    all texts, labelled or not: there, what is rare in either class is equally likely.
+    What reaches the driver is two rows of totals.
     """
+    counts = [sum(F.col(f"c{k}_{fold}") for fold in folds).alias(f"c{k}") for k in (0, 1)]
+    types = types.select("pair", "h", "w", *counts)
     both = ("c0", "c1")
     of = types.agg(*_few(both)).first()
     cut = [_discounts([of[f"{c}_{k}"] for k in range(1, 5)]) for c in both]
@@ -311,30 +322,34 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
-    """Count models on one third of the ids and calibrate the score on another.
+    """Count models of all texts that are not held out; labels of both folds are counted.
 
-    What the models have counted looks likelier than what is new, so the calibration
-    must see other documents. Without rows of both classes every score is the share of
-    toxic rows (0 without rows).
+    What the models have counted looks likelier than what is new, so each fold's
+    calibration rows are scored by the counts of the other. Without rows of both classes
+    every score is the share of toxic rows (0 without rows).
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.select(F.col("doc_id").alias("_id"), "toxic")
-    known = known.withColumn("_r", remainder("_id")).where(f"_r <> {HELD_OUT_REMAINDER}")
+    known = known.where(remainder("_id") != HELD_OUT_REMAINDER)
     known = broadcast_if_small(*materialize_sized(known, "labels"))
     own = docs.select(known_id(id).alias("_id"), text_of(text).alias("text"))
-    counted = own.join(known.where(F.col("_r") == COUNT_REMAINDER), "_id")
-    model = count_model(count_types(counted))
+    own = own.withColumn("_given", given_id("_id")).withColumn("_r", remainder("_given"))
+    own = own.drop("_given").where(f"_r <> {HELD_OUT_REMAINDER}")
+    types = count_types(own.join(known, "_id", "left"))
     # The sample is drawn from ids, before any text is read.
     order = [F.xxhash64("_id"), "_id"]
-    drawn = known.where(F.col("_r") == CALIBRATION_REMAINDER).join(
-        docs.select(known_id(id).alias("_id")), "_id", "left_semi"
-    )
+    drawn = known.join(docs.select(known_id(id).alias("_id")), "_id", "left_semi")
     drawn = drawn.orderBy(*order).limit(CALIBRATION_ROWS)
     drawn = broadcast_if_small(*materialize_sized(drawn, "sample"))
-    seen = score(own.join(drawn, "_id"), model, name="x").drop("text")
+    sampled = own.join(drawn, "_id")
+    seen = None
+    for fold, other in zip(FOLDS, reversed(FOLDS)):
+        part = score(sampled.where(F.col("_r") == fold), count_model(types, (other,)), name="x")
+        seen = part if seen is None else seen.unionByName(part)
     with small_batches(docs.sparkSession):
-        sample = seen.orderBy(*order).limit(CALIBRATION_ROWS).toPandas()
+        sample = seen.drop("text").orderBy(*order).limit(CALIBRATION_ROWS).toPandas()
+    model = count_model(types)
     x = sample[[c for c in sample.columns if c.startswith("x")]].to_numpy()
     y = sample["toxic"].to_numpy().astype(float)
     model.centre, model.scale = np.zeros(x.shape[1]), np.ones(x.shape[1])

@@ -285,7 +285,10 @@ def test_every_pair_is_counted_and_its_mass_is_whole(spark):
     frame, labels = toxic_corpus(spark, 60)
     rows = frame.join(labels.where("doc_id <> 3"), "doc_id").collect()
     pairs = {p for r in rows for p in zip(r["text"].split(), r["text"].split()[1:])}
-    training = spark.createDataFrame([(r["toxic"], r["text"]) for r in rows], "toxic int, text string")
+    training = spark.createDataFrame(
+        [(2 * (i % 2), r["toxic"], r["text"]) for i, r in enumerate(rows)],
+        "_r int, toxic int, text string",
+    )
     types = toxicity.count_types(training)
     model = toxicity.count_model(types)
     entries = {r["key"]: r for r in model.entries.collect()}
@@ -303,6 +306,25 @@ def test_every_pair_is_counted_and_its_mass_is_whole(spark):
             assert mass + entries[h]["back" + k] == pytest.approx(1, abs=2e-3)
 
 
+def test_both_folds_and_unlabelled_texts_are_counted(spark, monkeypatch):
+    found = []
+    count = toxicity.count_types
+    monkeypatch.setattr(toxicity, "count_types", lambda rows: found.append(count(rows)) or found[0])
+    rows = [(i, f"a{i} b{i}") for i in range(60)]
+    labels = [(i, int(i % 4 == 0)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    of = {i: zlib.crc32(str(i).encode()) % 3 for i in range(60)}
+    counted = Counter(tuple(r[c] for c in toxicity.COUNTS) for r in found[0].collect())
+    assert counted == Counter(
+        tuple(int((k, r) == (int(i % 4 == 0), of[i]) and i < 40) for r in (0, 2) for k in (1, 0))
+        for i in range(60)
+        if of[i] != 1
+    )
+    learnt = sum(of[i] != 1 for i in range(60))
+    assert model.entries.count() == 2 * learnt + sum(of[i] != 1 for i in range(40))
+
+
 def test_toxicity_of_awkward_rows(docs, nothing, spark):
     _, labels = toxic_corpus(spark, 30)
     assert toxicity.toxicity(docs[0], labels).count() == len(docs[1])
