@@ -34,6 +34,8 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _EDGES = ".,;:!?\"'`()[]{}<>*#$%&|"
 CONTEXT_CHARS = 60
 RUN = 256
+# Each match and the gap before it are two characters at least, or the match alone is more.
+NEAR = CONTEXT_CHARS // 2
 # Rounds of scoring; least evidence and confidence for a pattern or instance to count.
 ROUNDS, SUPPORT, CONFIDENCE = 3, 3.0, 0.8
 
@@ -44,32 +46,46 @@ _NONE = "array<struct<start:int,end:int,match:string,left:string>>"
 def _with_matches(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
     """Leftmost non-overlapping matches of patterns in ``text``, each where its gate holds.
 
-    A column per pattern: array of (start, end, match, left context). What a regular
+    A column per pattern: array of (start, end, match, left context), the context being
+    the CONTEXT_CHARS of the text before the match, earlier matches included. What a regular
     expression splits a text into, and what it matches, alternate, so their lengths
     give every position in code points. Runs of matches are placed by themselves and
     then moved by what stands before them: appending to one growing array would copy it
     for every match. Steps are columns of their own, so that none is computed twice.
     """
     none = F.array().cast(_NONE)
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    def tail(text):
+        return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+
+    def start(both, r):
+        near = F.slice(both, F.greatest(r * RUN + 1 - NEAR, F.lit(1)), F.lit(NEAR))
+        before = F.array_join(F.transform(near, lambda x: F.concat(x["gap"], x["match"])), "")
+        left = F.when(r > 0, tail(before)).otherwise("")
+        return F.struct(F.lit(0).alias("at"), left.alias("left"), none.alias("out"))
 
     def step(state, x):
         start = state["at"] + F.length(x["gap"])
         end = start + F.length(x["match"])
+        left = tail(F.concat(state["left"], x["gap"]))
         entry = F.struct(
             start.alias("start"),
             end.alias("end"),
             x["match"].alias("match"),
-            F.substring(x["gap"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("left"),
+            left.alias("left"),
         )
         return F.when(x["match"].isNull(), state).otherwise(
-            F.struct(end.alias("at"), F.concat(state["out"], F.array(entry)).alias("out"))
+            F.struct(
+                end.alias("at"),
+                tail(F.concat(left, x["match"])).alias("left"),
+                F.concat(state["out"], F.array(entry)).alias("out"),
+            )
         )
 
     def place(both):
         cuts = F.sequence(F.lit(0), F.floor((F.size(both) - 1) / RUN).cast("int"))
         return F.transform(
-            cuts, lambda r: F.aggregate(F.slice(both, r * RUN + 1, F.lit(RUN)), start, step)
+            cuts,
+            lambda r: F.aggregate(F.slice(both, r * RUN + 1, F.lit(RUN)), start(both, r), step),
         )
 
     def lengths(runs):
@@ -152,21 +168,25 @@ def _tokens() -> Column:
 
 
 def _patterns(left: Column) -> Column:
-    """Lexical patterns of a left context: its last word and its last two, if whole."""
+    """Lexical patterns of a left context: its last word and its last two, if whole.
+
+    Only the first word of a context of full length may be cut.
+    """
     words = F.filter(F.split(F.lower(left), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    last = F.element_at(words, F.size(words))
-    pair = F.concat_ws(" ", F.element_at(words, F.size(words) - 1), last)
-    return F.when(F.size(words) > 2, F.array(last, pair)).when(
-        F.size(words) > 1, F.array(last)
-    ).otherwise(F.array().cast("array<string>"))
+    last = F.try_element_at(words, F.lit(-1))
+    pair = F.concat_ws(" ", F.try_element_at(words, F.lit(-2)), last)
+    whole = F.size(words) - (F.length(left) >= CONTEXT_CHARS).cast("int")
+    return F.when(whole > 1, F.array(last, pair)).when(whole > 0, F.array(last)).otherwise(
+        F.array().cast("array<string>")
+    )
 
 
 def _bootstrap(scanned: DataFrame) -> DataFrame:
     """Spans that contexts add: _id, _key, start, kind, end.
 
     Patterns and instances are the two sides of a graph. A pattern's confidence for a kind
-    is the share of that kind among its different instances, and counts once several
-    support it; an instance takes the best confidence of its patterns. Rounds pass
+    is the share of that kind among its different instances, and counts once the trust in
+    several supports it; an instance takes the best confidence of its patterns. Rounds pass
     confidence back and forth, starting from the base spans.
     """
     of = lambda name: F.explode(name).alias("s")
@@ -182,9 +202,8 @@ def _bootstrap(scanned: DataFrame) -> DataFrame:
     places = places.withColumn("pattern", F.explode(_patterns(F.col("left")))).drop("left")
     places = materialize(places, "places")
     edges = places.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    fair = edges.groupBy("pattern").agg(
-        F.count("*").alias("n"), F.count("seed").cast("double").alias("seeds")
-    ).where(F.col("seeds") >= SUPPORT)
+    # No instance is trusted more than 1, so fewer than SUPPORT of them never suffice.
+    fair = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT)
     fair = broadcast_if_small(*materialize_sized(fair.select("pattern", "n"), "patterns"))
     edges = materialize(edges.join(fair, "pattern"), "edges")
     trusted = edges.where("seed IS NOT NULL").select(

@@ -444,6 +444,34 @@ def test_contexts_find_unseen_identifiers(spark):
     assert added == {100: [(18, 3, 26)], 101: []}
 
 
+def added_spans(spark, rows):
+    found = personal_data.personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    rows = found.where("doc_id >= 1000").collect()
+    return {r["doc_id"]: [tuple(s) for s in r["spans"] if s not in r["base"]] for r in rows}
+
+
+def test_one_label_word_is_a_context(spark):
+    rows = [(i, f"tel +1 (415) 555-{i:04d} today") for i in range(30)]
+    rows += [(1000, "tel 555-0199"), (1001, "room 12 tel 555-0198 or"), (1002, "order 555-0197")]
+    # Beyond one run of matches, and after words that no longer fit into the context.
+    rows += [(1003, "a1 " * 300 + "tel 555-0196"), (1004, "x" * 70 + " tel 555-0195")]
+    assert added_spans(spark, rows) == {
+        1000: [(4, 3, 12)],
+        1001: [(12, 3, 20)],
+        1002: [],
+        1003: [(904, 3, 912)],
+        1004: [(75, 3, 83)],
+    }
+
+
+def test_found_instances_support_contexts_without_seeds(spark):
+    rows = [(i, f"we alpha +1 (415) 555-{i:04d}") for i in range(300)]
+    rows += [(400 + i, f"we alpha 77-{i:02d}") for i in range(15)]
+    rows += [(500 + i, f"so beta 77-{i:02d}") for i in range(15)]
+    rows += [(1000, "so beta 88-00"), (1001, "so gamma 88-01")]
+    assert added_spans(spark, rows) == {1000: [(8, 3, 13)], 1001: []}
+
+
 def test_empty_tables_give_no_rows(nothing, spark):
     files = packing.public_tokenizer()
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
