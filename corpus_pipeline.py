@@ -59,8 +59,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
-    return packing.pack_documents(docs, packing.public_tokenizer())
+    """Where each piece of each document lies in the training sequences, in mixed order.
+
+    Rows have no order of their own once read: the same documents are mixed again, which
+    gives the same positions.
+    """
+    return packing.pack_documents(docs, packing.public_tokenizer(), order=mixing.mix(docs))
 
 
 STAGES = [

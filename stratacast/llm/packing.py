@@ -18,7 +18,8 @@ from stratacast.llm.common import (
     text_of,
     written_by_python,
 )
-from stratacast.operators.sizing import broadcast_if_small
+from stratacast.operators.sizing import broadcast_if_small, materialize_sized
+from stratacast.session import materialize
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -196,7 +197,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
 
     The histogram has at most ``size`` rows, whatever the input; its patterns are computed
     on the driver and come back as a table of at most a few thousand runs of ranks. Each
-    piece finds its place by its rank among the pieces of its length.
+    piece finds its place by its rank among the pieces of its length: by ``_position``, if
+    given, which also numbers the sequences by the earliest position in them.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(
@@ -209,14 +211,14 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
     # One row per length: at most ``size`` of them, so the broadcast is bounded.
     starts = F.array_sort(F.collect_list(F.struct("first", "ranks", "times", "sequence", "place")))
     runs = runs.groupBy("length").agg(starts.alias("runs"))
-    order = [c for c in ("_id", "start") if c in pieces.columns]
+    order = [c for c in ("_position", "_id", "start") if c in pieces.columns]
     numbered = ranked(pieces, ["length"], order, "_rank")
     own = F.filter(
         "runs",
         lambda r: (r["first"] <= F.col("_rank")) & (F.col("_rank") < r["first"] + r["ranks"]),
     )[0]
     inside = F.col("_rank") - F.col("_run.first")
-    return (
+    placed = (
         numbered.join(broadcast_if_small(runs, 0), "length")
         .withColumn("_run", own)
         .withColumn(
@@ -227,6 +229,14 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
         )
         .drop("runs", "_run", "_rank")
     )
+    if "_position" not in pieces.columns:
+        return placed
+    placed = materialize(placed, "placed")
+    first = placed.groupBy("sequence_id").agg(F.min("_position").alias("_first"))
+    numbers = ranked(first, [], ["_first", "sequence_id"], "_number").drop("_first")
+    numbers = broadcast_if_small(*materialize_sized(numbers, "numbers"))
+    numbered = placed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("_number"))
+    return numbered.drop("_number", "_position")
 
 
 def pack_documents(
@@ -236,16 +246,21 @@ def pack_documents(
     end_id: int = END_ID,
     id: str = "doc_id",
     text: str = "text",
+    order: DataFrame | None = None,
 ) -> DataFrame:
     """One row per piece of a document: where its ids lie in which sequence.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Documents
     longer than ``size`` are cut at multiples of it. Null and empty texts are the end id
     alone. Null ids stay null; repeated rows are packed as often as they occur; other
-    columns are ignored; an empty table gives no rows.
+    columns are ignored; an empty table gives no rows. With ``order`` (doc_id, position, for
+    every document), pieces of a length are placed and sequences numbered by position.
     """
     pieces = token_pieces(docs, tokenizer, size, end_id, id, text)
     pieces = written_by_python(pieces, "pieces")
+    if order is not None:
+        order = order.groupBy(known_id("doc_id").alias("_id")).agg(F.min("position").alias("_position"))
+        pieces = pieces.join(broadcast_if_small(*materialize_sized(order, "order")), "_id")
     return pack(pieces, size).select(
         given_id("_id").alias("doc_id"),
         "start",

@@ -1,6 +1,7 @@
 """The corpus pipeline on a small table: each stage's decisions take effect."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 
 def test_stages_keep_columns_and_drop_what_they_should(spark, tmp_path):
@@ -30,3 +31,29 @@ def test_stages_keep_columns_and_drop_what_they_should(spark, tmp_path):
     assert left["mixing"] == left["near_dedup"]
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted({r["doc_id"] for r in packed.collect()}) == left["mixing"]
+
+
+def test_the_mixed_order_decides_the_packed_rows(spark, monkeypatch):
+    # Texts of one length in tokens, several to a sequence.
+    rows = [(i, "a b c d " * 200, f"s{i % 2}") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = 24
+
+    def packed(position):
+        order = docs.select("doc_id", position.cast("long").alias("position"))
+        monkeypatch.setattr(corpus_pipeline.mixing, "mix", lambda docs: order)
+        found = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+        return [r["doc_id"] for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"]))]
+
+    assert packed(F.col("doc_id")) == list(range(size))
+    assert packed(size - F.col("doc_id")) == list(range(size))[::-1]
+
+
+def test_sequences_are_numbered_by_their_earliest_position(spark):
+    rows = [(i, i, 0, 1500 if i % 2 else 700) for i in range(20)]
+    pieces = spark.createDataFrame(rows, "_position long, _id long, start long, length long")
+    first = {}
+    for r in corpus_pipeline.packing.pack(pieces).collect():
+        first[r["sequence_id"]] = min(first.get(r["sequence_id"], 99), r["_id"])
+    earliest = [first[k] for k in sorted(first)]
+    assert sorted(first) == list(range(len(first))) and earliest == sorted(earliest)
