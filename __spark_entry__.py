@@ -38,8 +38,6 @@ from stratacast.sources import landing, tables, testdata  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Boosting rounds of the registered model queries; the library's default is 300.
-TREES = 20
 RUN_TS = datetime(2024, 3, 1, 6, 30)
 SLICE_CITIES = ["click", "view", "purchase"]
 SLICE_DAYS = (date(2024, 1, 8), date(2024, 1, 21))
@@ -281,16 +279,23 @@ def linear_regression_optimality(spark, sf_dir):
     return sums.select("n_train_rows", F.inline(F.array(*checks)))
 
 
-_trained: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_trained: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _inputs(features: DataFrame) -> tuple:
+    """Identifies the session and the rows that models are trained on, whatever their path."""
+    rows = F.sum(F.xxhash64(*features.columns).cast("decimal(38,0)"))
+    context = features.sparkSession.sparkContext
+    return (context.applicationId, *features.agg(F.count("*"), rows).first())
 
 
 def _model_tables(spark, sf_dir):
-    """Train once per session and data folder; the reports read the written tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Train once per session and training rows; the reports read the written tables."""
+    features = materialize(_features(spark, sf_dir), "features")
+    key = _inputs(features)
     if key not in _trained:
-        features = materialize(_features(spark, sf_dir), "features")
         train, test = split.chronological_split(features)
-        models = fit_models(train, TREES)
+        models = fit_models(train)
         predictions = materialize(models.predictions(test), "predictions")
         _trained[key] = {
             "predictions": predictions,

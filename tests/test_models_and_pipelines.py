@@ -243,3 +243,24 @@ def test_command_line(clean_catalog, tmp_path):
     spark.createDataFrame(docs, FETCHED).write.parquet(str(tmp_path / "fetched"))
     assert main(["forecast", "--fetched", str(tmp_path / "fetched")]) == 2
     assert serve.city_list(spark.table(GOLD_DAILY)).count() == 2
+
+
+def test_model_queries_train_all_rounds_again_when_rows_change(spark, monkeypatch):
+    import __spark_entry__ as registry
+
+    class Trained(Exception):
+        pass
+
+    def fit(train, *rounds):
+        assert rounds in ((), (models.TREES,))
+        raise Trained
+
+    frames = [spark.range(40).selectExpr("id", f"id * {k} AS value") for k in (1, 2)]
+    monkeypatch.setattr(registry, "fit_models", fit)
+    monkeypatch.setattr(registry.split, "chronological_split", lambda frame: (frame, frame))
+    monkeypatch.setattr(registry, "_trained", {registry._inputs(frames[0]): "kept"})
+    monkeypatch.setattr(registry, "_features", lambda spark, folder: frames[0])
+    assert registry._model_tables(spark, "folder") == "kept"
+    monkeypatch.setattr(registry, "_features", lambda spark, folder: frames[1])
+    with pytest.raises(Trained):
+        registry._model_tables(spark, "folder")
