@@ -1,12 +1,15 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
 from stratacast.llm import (
+    alignment,
     exact_dedup,
     jaccard_join,
     mixing,
     packing,
+    periodic_runs,
     personal_data,
     revisits,
+    secret_scan,
     sharding,
     substring_dedup,
     topk_search,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_sharding": sharding.op9_sharding,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_secret_scan": secret_scan.op11_secret_scan,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLES = {
