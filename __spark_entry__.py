@@ -39,7 +39,7 @@ from stratacast.sources import landing, tables, testdata  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = datetime(2024, 3, 1, 6, 30)
-SLICE_CITIES = ["click", "view", "purchase"]
+SLICE_CITIES = ["1", "2", "3"]
 SLICE_DAYS = (date(2024, 1, 8), date(2024, 1, 21))
 
 
@@ -61,7 +61,7 @@ def _fetched(spark, sf_dir):
 
 
 def _batch(spark, sf_dir):
-    known = testdata.event_cities(spark, sf_dir).filter(F.col("city") != "error")
+    known = testdata.event_cities(spark, sf_dir).filter(F.col("city") != "4")
     return landing.snapshot_batch(_fetched(spark, sf_dir), known, RUN_TS)
 
 
@@ -252,7 +252,8 @@ def best_model(spark, sf_dir):
 
 
 def prediction_series(spark, sf_dir):
-    return serve.prediction_series(_baselines(spark, sf_dir), "BUILDING", evaluate.PERSISTENCE)
+    first = persistence_predictions(spark, sf_dir).agg(F.min("city")).scalar()
+    return serve.prediction_series(_baselines(spark, sf_dir), first, evaluate.PERSISTENCE)
 
 
 def linear_regression_optimality(spark, sf_dir):
@@ -345,7 +346,7 @@ def top_five_features(spark, sf_dir):
 
 def _accuracy(spark, sf_dir):
     return accuracy.lead_time_accuracy(
-        testdata.forecast_history(spark, sf_dir), testdata.daily_actuals(spark, sf_dir)
+        testdata.forecast_history(spark, sf_dir), testdata.shipped_actuals(spark, sf_dir)
     )
 
 
@@ -514,7 +515,9 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from stratacast.llm import queries as corpus
-    except ImportError:
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "stratacast.llm"):
+            raise
         return {}, {}
     oracles = dict(corpus.ORACLES)
     if corpus_pipeline.ORACLE_SQL is not None:

@@ -7,7 +7,7 @@ shares nothing with the JSON code that it checks.
 # Hourly forecasts of events: three runs per hour, one per day of lead.
 _RUNS = """
 with hourly as (
-  select event_type as city, cast(ts as date) as day, hour(ts) as hour,
+  select cast(user_id as varchar) as city, cast(ts as date) as day, hour(ts) as hour,
          floor(max(value) * 4) / 4 as high, min(value) as low, cast(max(user_id) as double) as wind,
          max(cast(json_extract_string(props, '$.k') as double)) as k
   from events group by all),
@@ -43,7 +43,7 @@ _GOLD = f"{_RUNS}, gold as ({_gold_daily('history', _RAIN)})"
 # Daily observations of events after the second run corrected the first.
 _ACTUALS = """
 with daily as (
-  select event_type as city, cast(ts as date) as day, max(value) as high, min(value) as low,
+  select cast(user_id as varchar) as city, cast(ts as date) as day, max(value) as high, min(value) as low,
          cast(count(*) as double) as n
   from events group by 1, 2),
 actuals as (
@@ -55,10 +55,10 @@ actuals as (
   from (select *, day(day) > 16 and day(day) % 3 <> 0 as second from daily))
 """
 
-# Order prices per segment and day, with the features of each day.
+# Order prices per customer and day, with the features of each day.
 _FEATURES = """
 with daily as (
-  select c_mktsegment as city, cast(o_orderdate as date) as observed_date,
+  select c_name as city, cast(o_orderdate as date) as observed_date,
          max(o_totalprice) as temperature_mean_c, min(o_totalprice) as precipitation_mm,
          cast(count(*) as double) as wind_speed_max_kmh
   from orders join customer on o_custkey = c_custkey group by 1, 2),
@@ -114,17 +114,16 @@ accuracy as (
          temperature_mean_c as actual_temperature_c, abs(temp - temperature_mean_c) as abs_error_c
   from forecasts join actuals using (city) where day = observed_date)"""
 
-# Line prices as forecasts of the ship day, made on the order day.
+# Line prices as forecasts for a supplier's ship day, made on the order day.
 _LINES = f"""
-with placed as (
-  select o_orderkey, c_mktsegment as city, cast(o_orderdate as date) as made, o_totalprice
-  from orders join customer on o_custkey = c_custkey),
+with lines as (
+  select cast(l_suppkey as varchar) as city, cast(l_shipdate as date) as day, l_extendedprice,
+         cast(o_orderdate as date) as made
+  from lineitem join orders on l_orderkey = o_orderkey),
 actuals as (
-  select city, made as observed_date, max(o_totalprice) as temperature_mean_c
-  from placed group by all),
-forecasts as (
-  select city, cast(l_shipdate as date) as day, made, avg(l_extendedprice) as temp
-  from lineitem join placed on l_orderkey = o_orderkey group by all),
+  select city, day as observed_date, max(l_extendedprice) as temperature_mean_c
+  from lines group by all),
+forecasts as (select city, day, made, avg(l_extendedprice) as temp from lines group by all),
 {_ACCURACY}
 """
 
@@ -135,12 +134,13 @@ select city, forecast_date, forecast_made_on, lead_time_days,
 from accuracy"""
 
 _CITIES = """
-  select event_type as city, 'XX' as country, max(value) as latitude, min(value) as longitude
-  from events group by event_type"""
+  select cast(user_id as varchar) as city, 'XX' as country, max(value) as latitude,
+         min(value) as longitude
+  from events group by user_id"""
 
-# One answer per event type and ingestion day.
+# One answer per user and ingestion day.
 _ANSWERS = """
-  select distinct event_type as city, cast(ts as date) - lead as ingest_day
+  select distinct cast(user_id as varchar) as city, cast(ts as date) - lead as ingest_day
   from events cross join (values (0), (1), (2)) as leads(lead)"""
 
 _JUDGED = f"""
@@ -151,14 +151,14 @@ fetched as (
                    when day(ingest_day) % 5 <> 0 then 200 end as integer) as status
   from ({_ANSWERS})),
 judged as (
-  select *, case when city = 'error' then 'unknown city'
+  select *, case when city = '4' then 'unknown city'
                  when status is null then 'no answer'
                  when status >= 400 then 'status ' || cast(status as varchar)
                  when d % 9 = 0 then 'body is not JSON' end as reason
   from fetched)
 """
 
-_SLICE = """city in ('click', 'view', 'purchase')
+_SLICE = """city in ('1', '2', '3')
   and {day} between date '2024-01-08' and date '2024-01-21'"""
 
 # Column as shown, and what holds it in the runs.
@@ -272,7 +272,7 @@ from (select *, row_number() over (partition by event_type, user_id
                                    order by ts desc, event_id desc) as r from events)
 where r = 1""",
     "archive_runs": """
-with daily as (select distinct event_type as city, cast(ts as date) as day from events)
+with daily as (select distinct cast(user_id as varchar) as city, cast(ts as date) as day from events)
 select timestamp '2024-02-10' as ingested_at, city, 'XX' as country,
        cast(date_trunc('month', day) as date) as start_date, max(day) as end_date
 from daily group by city, date_trunc('month', day)
@@ -326,7 +326,7 @@ select * from metrics where model_name = 'persistence_baseline'""",
     "best_model": f"{_FEATURES} select * from metrics order by mae_c, model_name limit 1",
     "prediction_series": f"""{_FEATURES}
 select observed_date, actual_c, predicted_c from persistence
-where city = 'BUILDING' order by observed_date""",
+where city = (select min(city) from persistence) order by observed_date""",
     "union_predictions": f"{_FEATURES} select * from baselines",
     "linear_regression_optimality": f"""{_FEATURES}
 select (select count(*) from train) as n_train_rows, {_INPUTS} as input, true as orthogonal""",
@@ -339,7 +339,7 @@ select * from metrics where model_name = 'persistence_baseline'""",
     "slice_single_day": f"""{_GOLD}
 select *, avg_temperature_c as avg_temperature_display,
        min_temperature_c as min_temperature_display, max_temperature_c as max_temperature_display
-from gold where city in ('click', 'view', 'purchase') and forecast_date = date '2024-01-08'""",
+from gold where city in ('1', '2', '3') and forecast_date = date '2024-01-08'""",
     "slice_hourly": f"""{_RUNS}, gold as ({_gold_hourly('history')})
 select *, temperature_c * 9 / 5 + 32 as temperature_display
 from gold where {_SLICE.format(day='cast(forecast_time as date)')}""",

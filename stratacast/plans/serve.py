@@ -118,8 +118,11 @@ def date_bounds(gold: DataFrame, day: str = "forecast_date") -> DataFrame:
     return gold.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"))
 
 
-def prediction_series(predictions: DataFrame, city: str, model: str) -> DataFrame:
-    """Actual and predicted values of one city and model, by date."""
+def prediction_series(predictions: DataFrame, city: str | Column, model: str) -> DataFrame:
+    """Actual and predicted values of one city and model, by date.
+
+    The city may be a scalar of another frame, which is then looked up as the query runs.
+    """
     rows = predictions.filter((F.col("city") == city) & (F.col("model_name") == model))
     return rows.select("observed_date", "actual_c", "predicted_c").orderBy("observed_date")
 

@@ -1,8 +1,9 @@
 """The test tables seen as weather data: adapters for queries and benchmark.
 
 Aggregates are order-free (max, min, count), so that the inputs built here are
-the same whatever the partitioning. Groups collected into a payload are bounded
-by the calendar: 72 hours of a forecast run, 31 days of an archive month.
+the same whatever the partitioning. Cities are users, customers and suppliers, so
+payloads and series grow with the data; what is collected into one payload is bounded by the
+calendar: 72 hours of a forecast run, 31 days of an archive month.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A city dimension with one row per event type."""
+    """A city dimension with one row per user."""
     return (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("city"))
+        .groupBy(F.col("user_id").cast("string").alias("city"))
         .agg(
             F.lit("XX").alias("country"),
             F.max("value").alias("latitude"),
@@ -42,7 +43,7 @@ def event_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecast_answers(spark: SparkSession, sf_dir: str, precipitation: bool = False) -> DataFrame:
     """(city, ingest_day, raw_response): hourly forecasts of events, three runs each.
 
-    Every hour of an event type is forecast on its own day and on the two days
+    Every hour of a user is forecast on its own day and on the two days
     before, 0.25 higher per day of lead; the longest lead lacks some hours. The
     precipitation array is absent unless asked for.
     """
@@ -51,10 +52,10 @@ def forecast_answers(spark: SparkSession, sf_dir: str, precipitation: bool = Fal
         f"""
         WITH hourly AS (
           -- Quarter degrees: sums of them are exact, in whatever order they are added.
-          SELECT event_type AS city, to_date(ts) AS day, hour(ts) AS hour,
+          SELECT CAST(user_id AS string) AS city, to_date(ts) AS day, hour(ts) AS hour,
                  floor(max(value) * 4) / 4 AS high, min(value) AS low, max(user_id) AS user,
                  max(CAST(get_json_object(props, '$.k') AS double)) AS k
-          FROM {{events}} GROUP BY 1, 2, 3),
+          FROM {{events}} GROUP BY user_id, 2, 3),
         forecasts AS (
           SELECT city, date_sub(day, lead) AS ingest_day,
                  struct(concat(day, 'T', lpad(hour, 2, '0'), ':00') AS time,
@@ -94,9 +95,9 @@ def archive_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         """
         WITH daily AS (
-          SELECT event_type AS city, to_date(ts) AS day,
+          SELECT CAST(user_id AS string) AS city, to_date(ts) AS day,
                  max(value) AS high, min(value) AS low, count(*) AS n
-          FROM {events} GROUP BY 1, 2),
+          FROM {events} GROUP BY user_id, 2),
         observed AS (
           SELECT city, run, day,
                  struct(CAST(day AS string) AS time,
@@ -124,13 +125,13 @@ def archive_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order prices per market segment and day, as daily observations."""
+    """Order prices per customer and day, as daily observations."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     high, low = F.max("o_totalprice"), F.min("o_totalprice")
     return joined.groupBy(
-        F.col("c_mktsegment").alias("city"),
+        F.col("c_name").alias("city"),
         F.lit("XX").alias("country"),
         F.to_date("o_orderdate").alias("observed_date"),
     ).agg(
@@ -142,18 +143,27 @@ def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shipped_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Highest line price per supplier and ship day, as daily observations."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.groupBy(
+        F.col("l_suppkey").cast("string").alias("city"),
+        F.to_date("l_shipdate").alias("observed_date"),
+    ).agg(F.max("l_extendedprice").alias("temperature_mean_c"))
+
+
 def forecast_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line prices as forecasts: made on the order day, for the ship day.
+    """Line prices as forecasts for a supplier: made on the order day, for the ship day.
 
     Lines and orders both grow with the data: join them by shuffle, whatever
     their files' size suggests (compressed lines are far larger in memory).
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("c_mktsegment").alias("city"),
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_suppkey").cast("string").alias("city"),
         F.col("l_shipdate").alias("forecast_time"),
         F.col("o_orderdate").alias("ingested_at"),
         F.col("l_extendedprice").alias("temperature_c"),

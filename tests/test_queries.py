@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest test tables."""
+"""The library's queries against their SQL on the smallest test tables."""
 
 import math
 from pathlib import Path
@@ -41,10 +41,10 @@ def _comparable(rows, order):
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_equals_sql(spark, duck, name):
     df = registry.queries()[name](spark, str(SF_DIR))
-    relation = duck.execute(registry.oracle_sql()[name])
+    relation = duck.execute(registry.ORACLES[name])
     found = {d[0]: str(d[1]) for d in relation.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == found
     names = sorted(found)
@@ -52,7 +52,7 @@ def test_query_equals_sql(spark, duck, name):
     assert _comparable(df.collect(), [df.columns.index(n) for n in names]) == sql_rows
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(registry._QUERIES) - set(registry.ORACLES)))
 def test_model_query_has_rows(spark, name):
     assert not registry.queries()[name](spark, str(SF_DIR)).isEmpty()
 
