@@ -26,7 +26,6 @@ def main(arguments: list[str] | None = None) -> int:
     ds.add_argument("--window-days", type=int, help="ask for recent days instead of years")
     ds.add_argument("--trees", type=int, default=TREES)
     ds.add_argument("--models-folder")
-    ds.add_argument("--increments-folder")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.getOrCreate()
@@ -42,7 +41,6 @@ def main(arguments: list[str] | None = None) -> int:
             window_days=options.window_days,
             trees=options.trees,
             models_folder=options.models_folder,
-            increments_folder=options.increments_folder,
         )
     print(f"landed {result.landed} payloads; all checks passed")
     return result.landed

@@ -25,18 +25,17 @@ def daily_forecasts(history: DataFrame) -> DataFrame:
     ).agg(F.avg("temperature_c").alias("forecast_temperature_c"))
 
 
-def lead_time_accuracy(history: DataFrame, actuals: DataFrame) -> DataFrame:
+def compare_forecasts(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     """Absolute error of every daily forecast that has an observed value.
 
-    Forecasts are reduced to days before the join; neither side has a bounded
-    size, so the join strategy is left to adaptive execution.
+    Neither side has a bounded size, so the join strategy is left to adaptive execution.
     """
     observed = actuals.select(
         "city",
         F.col("observed_date").cast("date").alias("forecast_date"),
         F.col("temperature_mean_c").alias("actual_temperature_c"),
     )
-    compared = daily_forecasts(history).join(observed, ["city", "forecast_date"], "inner")
+    compared = forecasts.join(observed, ["city", "forecast_date"], "inner")
     return compared.select(
         "city",
         "forecast_date",
@@ -48,6 +47,11 @@ def lead_time_accuracy(history: DataFrame, actuals: DataFrame) -> DataFrame:
     ).select(*columns(LEAD_TIME_ACCURACY))
 
 
+def lead_time_accuracy(history: DataFrame, actuals: DataFrame) -> DataFrame:
+    """The same from hourly runs, which are reduced to days before the join."""
+    return compare_forecasts(daily_forecasts(history), actuals)
+
+
 def lead_time_accuracy_from_tables(
     spark: SparkSession, history: str = HOURLY_HISTORY, actuals: str = DAILY_ACTUALS
 ) -> DataFrame:

@@ -18,11 +18,19 @@ MODEL_EVALUATION = "gold.model_evaluation"
 MODEL_PREDICTIONS = "gold.model_predictions"
 FEATURE_IMPORTANCE = "gold.model_feature_importance"
 LEAD_TIME_ACCURACY = "gold.forecast_accuracy_by_lead_time"
+# Kept between runs so that a run only does what its new snapshots ask for.
+ACTUAL_ROWS = "silver.actual_rows"
+DAILY_FORECASTS = "silver.daily_forecasts"
+ACCURACY_STATES = "gold.accuracy_states"
+INCREMENTS = "silver.increments"
+MODEL_RUNS = "gold.model_runs"
 
-# Storage-only partition column of the two bronze logs: the day of ingested_at.
+# Storage-only partition columns: the day of ingested_at and the month of observed_date.
 INGEST_DATE = "ingest_date"
+OBSERVED_MONTH = "observed_month"
 
 _TEXT, _NUMBER, _COUNT, _DAYS = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
+_EXACT = T.DecimalType(38, 10)
 _DAY, _TIME, _INSTANT = T.DateType(), T.TimestampNTZType(), T.TimestampType()
 
 
@@ -139,6 +147,42 @@ SCHEMAS = {
         actual_temperature_c=_NUMBER,
         abs_error_c=_NUMBER,
     ),
+    DAILY_FORECASTS: _struct(
+        city=_TEXT,
+        forecast_date=_DAY,
+        forecast_made_on=_DAY,
+        forecast_temperature_c=_NUMBER,
+    ),
+    ACCURACY_STATES: _struct(
+        forecast_date=_DAY,
+        lead_time_days=_DAYS,
+        n=_COUNT,
+        sum_abs=_EXACT,
+        sum_squares=_EXACT,
+    ),
+    INCREMENTS: _struct(
+        target=_TEXT,
+        part=_DAY,
+        state=T.DecimalType(38, 0),
+    ),
+    MODEL_RUNS: _struct(
+        trained_at=_INSTANT,
+        path=_TEXT,
+    ),
+}
+SCHEMAS[ACTUAL_ROWS] = SCHEMAS[DAILY_ACTUALS]
+
+# Partition columns and their types; those that a schema lacks are storage only.
+PARTITIONS = {
+    WEATHER_RAW: {INGEST_DATE: _DAY},
+    HISTORICAL_RAW: {INGEST_DATE: _DAY},
+    HOURLY_HISTORY: {INGEST_DATE: _DAY},
+    ACTUAL_ROWS: {OBSERVED_MONTH: _DAY, INGEST_DATE: _DAY},
+    DAILY_ACTUALS: {OBSERVED_MONTH: _DAY},
+    DAILY_FORECASTS: {"forecast_date": _DAY, "forecast_made_on": _DAY},
+    LEAD_TIME_ACCURACY: {"forecast_date": _DAY},
+    ACCURACY_STATES: {"forecast_date": _DAY},
+    INCREMENTS: {"target": _TEXT},
 }
 
 

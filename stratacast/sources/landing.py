@@ -10,9 +10,16 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratacast.operators.sizing import broadcast_if_small
-from stratacast.schemas import HISTORICAL_RAW, REJECTED_ANSWERS, WEATHER_RAW, columns
-from stratacast.sources.tables import append
+from stratacast.operators.sizing import broadcast_if_small, materialize_sized
+from stratacast.schemas import (
+    HISTORICAL_RAW,
+    INGEST_DATE,
+    REJECTED_ANSWERS,
+    WEATHER_RAW,
+    columns,
+)
+from stratacast.session import materialize
+from stratacast.sources.tables import append, table_exists
 
 # Requested fields and horizons.
 HOURLY_FIELDS = "temperature_2m,relative_humidity_2m,precipitation,wind_speed_10m"
@@ -93,6 +100,20 @@ def _as_text(fetched: DataFrame) -> DataFrame:
     return fetched.withColumn("raw_response", text)
 
 
+def is_json(text: Column) -> Column:
+    """Whether a whole text is one JSON value, by the letter of the standard.
+
+    Parsers stop where a value ends, so what follows it would pass. Inside of both an array and
+    an object it cannot: what closes the one early does not close the other. NaN and infinities,
+    single quotes, repeated names in an object, bare control characters, byte order marks and
+    empty texts are not accepted.
+    """
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    named = F.concat(F.lit('{"x":'), text, F.lit("}"))
+    strict = F.try_parse_json(listed).isNotNull() & F.try_parse_json(named).isNotNull()
+    return F.coalesce(strict & (F.json_array_length(listed) == 1), F.lit(False))
+
+
 def _reason(cities_known: Column) -> Column:
     """Why a request's answer is not landed; null if it is."""
     return (
@@ -100,20 +121,12 @@ def _reason(cities_known: Column) -> Column:
         .when(~cities_known, F.lit("city of several countries"))
         .when(F.col("status").isNull(), F.lit("no answer"))
         .when(F.col("status") >= 400, F.concat(F.lit("status "), F.col("status").cast("string")))
-        .when(F.get_json_object("raw_response", "$").isNull(), F.lit("body is not JSON"))
+        .when(~is_json(F.col("raw_response")), F.lit("body is not JSON"))
     )
 
 
-def snapshot_batch(
-    fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) answers of one run.
-
-    All accepted rows carry the same instant. A failing city does not stop the
-    others; it shows up among the rejected with a reason, and with the country it was
-    asked for, if known.
-    """
-    run_ts = run_ts or datetime.now(timezone.utc)
+def _judged(fetched: DataFrame, cities: DataFrame, run_ts: datetime) -> DataFrame:
+    """Every answer of a run with its city's attributes and why it is not landed, if it is not."""
     keys = _city_keys(fetched)
     # Without a country, a name that several countries share names none of them.
     named = cities.groupBy("city").agg(F.count("*").alias("_named"))
@@ -122,33 +135,87 @@ def snapshot_batch(
         known = known.join(named, "city").withColumn("_known", F.col("_named") == 1)
         known = known.drop("_named").dropDuplicates(["city"])
     known = broadcast_if_small(known)
-    answers = _as_text(fetched).join(known, keys, "left")
-    judged = answers.withColumn("reason", _reason(F.col("_known")))
-    accepted = judged.filter(F.col("reason").isNull()).withColumn("ingested_at", _utc(run_ts))
     asked = F.col("country") if "country" in keys else F.lit(None).cast("string")
-    rejected = judged.filter(F.col("reason").isNotNull()).select(
-        _utc(run_ts).alias("ingested_at"), "city", asked.alias("country"), "status", "reason"
+    answers = _as_text(fetched).withColumn("_asked", asked).join(known, keys, "left")
+    judged = answers.withColumns({"reason": _reason(F.col("_known")), "ingested_at": _utc(run_ts)})
+    return judged.drop("_known")
+
+
+def _accepted(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNull()).drop("_asked", "reason", "status")
+
+
+def _rejected(judged: DataFrame, *more: str) -> DataFrame:
+    return judged.filter(F.col("reason").isNotNull()).select(
+        "ingested_at", "city", F.col("_asked").alias("country"), "status", "reason", *more
     )
-    return accepted.drop("_known", "reason", "status"), rejected
 
 
-def _land(batch: DataFrame, table: str) -> int:
-    """Append a batch; an empty one creates and writes nothing."""
-    return 0 if batch.isEmpty() else append(batch, table)
+def snapshot_batch(
+    fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) answers of one run.
+
+    All accepted rows carry the same instant. A failing city does not stop the
+    others; it shows up among the rejected with a reason, and with the country it was
+    asked for, if known.
+    """
+    judged = _judged(fetched, cities, run_ts or datetime.now(timezone.utc))
+    return _accepted(judged), _rejected(judged)
+
 
+def _land(batch: DataFrame, table: str, run_ts: datetime) -> int:
+    """Append what a run has not landed yet; how many answers of the run the table then has.
 
-def _record_rejects(rejected: DataFrame, log: str) -> int:
-    """Keep which requests failed, and why, next to the log they were meant for."""
-    rows = rejected.withColumns({"log": F.lit(log), "status": F.col("status").cast("int")})
-    return _land(rows, REJECTED_ANSWERS)
+    The run's instant and the row itself are the key: a run that is repeated, or that died half
+    way and is run again, adds what is missing, and an answer that comes twice lands once. Only
+    the run's own rows of the table are compared, by digest, and payloads are not shuffled
+    while the digests are small. An empty batch creates and writes nothing.
+    """
+    spark = batch.sparkSession
+    # Nulls differ from empty texts.
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns(table)]
+    key = F.sha2(F.to_json(F.array(*values)), 256).alias("_key")
+    wanted = batch.select(key, "_row").groupBy("_key").agg(F.min("_row").alias("_row"))
+    wanted, size = materialize_sized(wanted, "wanted")
+    count = wanted.count()
+    if not count:
+        return 0
+    if table_exists(spark, table):
+        landed = spark.table(table).filter(F.col("ingested_at") == _utc(run_ts))
+        if INGEST_DATE in landed.columns:
+            landed = landed.filter(F.col(INGEST_DATE) == F.to_date(_utc(run_ts)))
+        landed = broadcast_if_small(*materialize_sized(landed.select(key), "landed"))
+        wanted = wanted.join(landed, "_key", "left_anti")
+    append(batch.join(broadcast_if_small(wanted, size), "_row", "left_semi"), table)
+    return count
+
+
+def _land_run(
+    fetched: DataFrame, cities: DataFrame, run_ts: datetime, log: str, more: dict[str, Column]
+) -> int:
+    """Judge a run's answers once, write them down, and land both halves from there.
+
+    Rejected answers keep why they were, next to the log they were meant for.
+    """
+    numbered = _judged(fetched, cities, run_ts).withColumn("_row", F.monotonically_increasing_id())
+    judged = materialize(numbered, "judged")
+    rejected = _rejected(judged, "_row").withColumns(
+        {"log": F.lit(log), "status": F.col("status").cast("int")}
+    )
+    _land(rejected, REJECTED_ANSWERS, run_ts)
+    return _land(_accepted(judged).withColumns(more), log, run_ts)
 
 
 def land_forecasts(
     fetched: DataFrame, cities: DataFrame, run_ts: datetime | None = None
 ) -> int:
-    accepted, rejected = snapshot_batch(fetched, cities, run_ts)
-    _record_rejects(rejected, WEATHER_RAW)
-    return _land(accepted.select(*columns(WEATHER_RAW)), WEATHER_RAW)
+    return _land_run(fetched, cities, run_ts or datetime.now(timezone.utc), WEATHER_RAW, {})
+
+
+def _window_columns(as_of: date, years: int, window_days: int | None) -> dict[str, Column]:
+    first, last = backfill_window(F.lit(as_of), years, window_days)
+    return {"start_date": first, "end_date": last}
 
 
 def archive_batch(
@@ -160,8 +227,7 @@ def archive_batch(
     window_days: int | None = None,
 ) -> DataFrame:
     accepted, _ = snapshot_batch(fetched, cities, run_ts)
-    first, last = backfill_window(F.lit(as_of), years, window_days)
-    batch = accepted.withColumns({"start_date": first, "end_date": last})
+    batch = accepted.withColumns(_window_columns(as_of, years, window_days))
     return batch.select(*columns(HISTORICAL_RAW))
 
 
@@ -173,6 +239,5 @@ def land_archive(
     years: int = 2,
     window_days: int | None = None,
 ) -> int:
-    batch = archive_batch(fetched, cities, run_ts, as_of, years, window_days)
-    _record_rejects(snapshot_batch(fetched, cities, run_ts)[1], HISTORICAL_RAW)
-    return _land(batch, HISTORICAL_RAW)
+    more = _window_columns(as_of, years, window_days)
+    return _land_run(fetched, cities, run_ts, HISTORICAL_RAW, more)

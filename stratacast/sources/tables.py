@@ -1,15 +1,20 @@
 """Named tables: create, append, replace, read, export."""
 
+import time
+import uuid
 from collections.abc import Sequence
+from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratacast.schemas import HISTORICAL_RAW, INGEST_DATE, SCHEMAS, WEATHER_RAW
+from stratacast.schemas import HISTORICAL_RAW, INGEST_DATE, PARTITIONS, SCHEMAS, WEATHER_RAW
 
 SNAPSHOT_LOGS = (WEATHER_RAW, HISTORICAL_RAW)
+# How long replaced rows stay for readers that are still at them.
+KEEP_HOURS = 24.0
 
 
 class NoData(Exception):
@@ -27,20 +32,20 @@ def _ensure_database(spark: SparkSession, table: str) -> None:
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType | None = None) -> None:
-    """Create a table with its declared schema unless it exists.
+    """Create a table with its declared schema and partitions unless it exists.
 
-    The snapshot logs are partitioned by ingestion day, which lets readers
-    of the newest snapshots, and of one day's snapshots, skip the others.
+    Partitions let readers of the newest snapshots, or of some days, skip the others, and let
+    a run replace only those that changed.
     """
     schema = schema or SCHEMAS[table]
     _ensure_database(spark, table)
+    parts = PARTITIONS.get(table, {})
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
-    partitioning = ""
-    if table in SNAPSHOT_LOGS:
-        fields.append(f"`{INGEST_DATE}` date")
-        partitioning = f"PARTITIONED BY ({INGEST_DATE})"
+    fields += [f"`{c}` {t.simpleString()}" for c, t in parts.items() if c not in schema.names]
+    layout = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(fields)}) USING parquet {partitioning}"
+        f"""CREATE TABLE IF NOT EXISTS {table} ({', '.join(fields)}) USING parquet
+        OPTIONS ('partitionOverwriteMode' = 'dynamic') {layout}"""
     )
 
 
@@ -56,9 +61,65 @@ def append(df: DataFrame, table: str) -> int:
     return landed.get["rows"]
 
 
-def replace(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFrame:
+def overwrite_partitions(df: DataFrame, table: str, scope: Column) -> None:
+    """Make ``df`` all that a declared table holds in the partitions of ``scope``.
+
+    ``scope`` is a condition on partition columns, and all rows of ``df`` meet it. Partitions
+    outside of it are neither read nor written. A run that dies in between leaves old and new
+    partitions side by side; running it again makes all of them new.
+    """
+    spark = df.sparkSession
+    ensure_table(spark, table)
+    parts = list(PARTITIONS[table])
+    stored = spark.table(table)
+    before = {tuple(r) for r in stored.filter(scope).select(*parts).distinct().collect()}
+    written = Observation("written")
+    seen = F.collect_set(F.struct(*parts)).alias("parts")
+    # Few files per partition, and large partitions over several tasks.
+    rows = df.select(*stored.columns).hint("rebalance", *parts).observe(written, seen)
+    rows.write.mode("overwrite").insertInto(table)
+    after = {tuple(r) for r in written.get["parts"]}
+    for values in before - after:
+        spec = ", ".join(f"{c} = {_literal(v)}" for c, v in zip(parts, values))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
+
+
+def _literal(value: Any) -> str:
+    return f"DATE'{value}'" if isinstance(value, date) else f"'{value}'"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def _versions(spark: SparkSession, table: str) -> str:
+    """The folder that holds the versions of a replaced table."""
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or "default").locationUri
+    return f"{home.rstrip('/')}/{name}.versions"
+
+
+def replace(
+    df: DataFrame, table: str, order_by: Sequence[str] = (), keep_hours: float = KEEP_HOURS
+) -> DataFrame:
     """Rebuild a table in full and return it.
 
+    The rows are written to a new folder, and then the table's location is switched, in one
+    change of the catalog: readers see all old rows or all new ones, also if writing fails.
+    Frames that were planned before the switch go on reading the old folder, which is
+    removed by a replace that begins ``keep_hours`` or more after it was written.
+
     With ``order_by`` the files hold disjoint ranges of those columns, so
     readers that filter on them skip files by their statistics.
     """
@@ -67,22 +128,49 @@ def replace(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFram
     rows = df.select(*SCHEMAS[table].fieldNames()) if table in SCHEMAS else df
     if order_by:
         rows = rows.orderBy(*order_by)
-    rows.write.mode("overwrite").format("parquet").saveAsTable(table)
-    spark.catalog.dropTempView(_view_name(table))
+    folder = f"{_versions(spark, table)}/{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    if _is_view(spark, table):
+        spark.sql(f"DROP VIEW {table}")
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet LOCATION '{folder}'")
+    elif [f[:2] for f in spark.table(table).dtypes] == rows.dtypes:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        # Other columns: no single change of the catalog does it.
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    remove_old_versions(spark, table, keep_hours)
     return spark.table(table)
 
 
-def _view_name(table: str) -> str:
-    return table.replace(".", "_")
+def remove_old_versions(spark: SparkSession, table: str, keep_hours: float = KEEP_HOURS) -> int:
+    """Remove folders of replaced rows that are older than ``keep_hours``; how many were."""
+    path, files = _file_system(spark, _versions(spark, table))
+    if not files.exists(path):
+        return 0
+    current = _location(spark, table).rstrip("/").rpartition("/")[2]
+    before = (time.time() - 3600 * keep_hours) * 1000
+    removed = 0
+    for found in files.listStatus(path):
+        if found.getPath().getName() != current and found.getModificationTime() <= before:
+            files.delete(found.getPath(), True)
+            removed += 1
+    return removed
 
 
-def publish_view(df: DataFrame, table: str) -> DataFrame:
-    """Register a lazy model for this session; nothing is computed.
+def publish_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """Register a model as a view in the catalog, for all sessions; nothing is computed.
 
-    Readers find it under the model's name until the table is next rebuilt.
+    Its text is planned anew at each read, so it follows the tables it names.
     """
-    df.createOrReplaceTempView(_view_name(table))
-    return df
+    _ensure_database(spark, name)
+    if spark.catalog.tableExists(name) and not _is_view(spark, name):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return read_table(spark, name)
 
 
 def require_table(spark: SparkSession, table: str, filled_by: str) -> DataFrame:
@@ -109,23 +197,22 @@ def training_columns(actuals: DataFrame) -> DataFrame:
     )
 
 
-def find_table(spark: SparkSession, table: str) -> str | None:
-    """The name to read a model by: the view published for it, else its table."""
-    view = _view_name(table)
-    if spark.catalog.tableExists(view):
-        return view
+def table_exists(spark: SparkSession, table: str) -> bool:
     database, _, _ = table.rpartition(".")
     if database and not spark.catalog.databaseExists(database):
-        return None
-    return table if spark.catalog.tableExists(table) else None
-
-
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return find_table(spark, table) is not None
+        return False
+    return spark.catalog.tableExists(table)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(find_table(spark, table) or table)
+    """A table's or view's rows as they are now, in the declared order of columns.
+
+    A session remembers files and folders of tables it has read; what other sessions have
+    changed since is looked up again.
+    """
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    return rows.select(*SCHEMAS[table].fieldNames()) if table in SCHEMAS else rows
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -102,6 +102,92 @@ def test_nothing_is_written_when_every_city_fails(clean_catalog, towns):
     assert not tables.table_exists(spark, WEATHER_RAW)
 
 
+JSON_TEXTS = {
+    '{"a": 1}': True,
+    ' {"a": [1, {"b": null}]}\n': True,
+    "[1, 2]": True,
+    '"x"': True,
+    '{"a": 1} <html>': False,
+    '{"a": 1}{"b": 2}': False,
+    '{"a": 1}, 2': False,
+    "1], [2": False,
+    '1}, {"x": 2': False,
+    '1, "y": 2': False,
+    "{'a': 1}": False,
+    '{"a": NaN}': False,
+    '{"a": Infinity}': False,
+    '{"a": 1, "a": 2}': False,
+    '{"a": 01}': False,
+    '{"a": "\n"}': False,
+    '{"a": tru}': False,
+    '{"a": [1}': False,
+    '\ufeff{"a": 1}': False,
+    "": False,
+    "  ": False,
+    None: False,
+}
+
+
+def test_bodies_are_json_to_their_end(spark):
+    texts = spark.createDataFrame([(t,) for t in JSON_TEXTS], "t string")
+    found = {r[0]: r[1] for r in texts.select("t", landing.is_json(F.col("t"))).collect()}
+    assert found == JSON_TEXTS
+
+
+def test_a_repeated_run_lands_once(clean_catalog, towns):
+    spark = clean_catalog
+    answers = [("Quito", 200, DOC), ("Quito", 200, DOC), ("Elsewhere", 200, "{}"), ("Nowhere", 1, "")]
+    fetched = spark.createDataFrame(answers, FETCHED)
+    for _ in range(2):
+        assert landing.land_forecasts(fetched, towns, RUN) == 2
+        assert landing.land_archive(fetched, towns, RUN, date(2026, 9, 2)) == 2
+    assert spark.table(WEATHER_RAW).count() == spark.table(HISTORICAL_RAW).count() == 2
+    assert spark.table(REJECTED_ANSWERS).count() == 2
+    later = RUN + timedelta(hours=1)
+    assert landing.land_forecasts(fetched, towns, later) == 2
+    assert spark.table(WEATHER_RAW).count() == 4
+
+
+def test_a_run_that_died_half_way_lands_the_rest(clean_catalog, towns, monkeypatch):
+    spark = clean_catalog
+    fetched = spark.createDataFrame(
+        [("Quito", 200, DOC), ("Elsewhere", 200, "{}"), ("Nowhere", 200, "{}")], FETCHED
+    )
+
+    def fails(*_):
+        raise RuntimeError("killed")
+
+    # After the rejected answers, before the accepted ones.
+    with monkeypatch.context() as patched:
+        appended = landing.append
+        patched.setattr(
+            landing,
+            "append",
+            lambda rows, table: fails() if table == WEATHER_RAW else appended(rows, table),
+        )
+        with pytest.raises(RuntimeError):
+            landing.land_forecasts(fetched, towns, RUN)
+    # Some of the accepted ones had been moved in place.
+    landing.append(landing.snapshot_batch(fetched.limit(1), towns, RUN)[0], WEATHER_RAW)
+    assert landing.land_forecasts(fetched, towns, RUN) == 2
+    assert sorted(r.city for r in spark.table(WEATHER_RAW).collect()) == ["Elsewhere", "Quito"]
+    assert spark.table(REJECTED_ANSWERS).count() == 1
+
+
+def test_answers_are_judged_in_one_pass(clean_catalog, towns):
+    spark = clean_catalog
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    fetched = spark.createDataFrame([("Quito", 200, DOC), ("Nowhere", 200, DOC)], FETCHED)
+    landing.land_archive(fetched.mapInArrow(counted, FETCHED), towns, RUN, date(2026, 9, 2))
+    assert read.value == 2
+
+
 def test_parsed_bodies_are_written_out_whole(clean_catalog, towns):
     spark = clean_catalog
     body = "struct<hourly: struct<time: array<string>, wind: array<double>, rain: string>>"
@@ -154,8 +240,7 @@ def test_tables(clean_catalog, tmp_path):
     assert tables.replace(frame, "gold.numbers", ["g", "id"]).count() == 10
     assert tables.replace(frame.limit(4), "gold.numbers").count() == 4
     assert tables.table_exists(spark, "gold.numbers")
-    tables.publish_view(frame.limit(2), "silver.lazy_numbers")
-    assert tables.find_table(spark, "silver.lazy_numbers") == "silver_lazy_numbers"
+    tables.publish_view(spark, "silver.lazy_numbers", "SELECT * FROM gold.numbers LIMIT 2")
     assert tables.read_table(spark, "silver.lazy_numbers").count() == 2
     tables.replace(frame.limit(3), "silver.lazy_numbers")
     assert tables.read_table(spark, "silver.lazy_numbers").count() == 3
@@ -168,6 +253,34 @@ def test_tables(clean_catalog, tmp_path):
     assert empty.columns == columns(WEATHER_RAW) and empty.isEmpty()
 
 
+def test_a_replaced_table_is_whole_for_every_reader(clean_catalog, monkeypatch):
+    spark = clean_catalog
+    other = spark.newSession()
+    tables.replace(spark.range(3).toDF("id"), "gold.numbers")
+    planned = other.table("gold.numbers")
+    assert planned.count() == 3
+    tables.replace(spark.range(5).toDF("id"), "gold.numbers")
+    # A reader that began before goes on with the old rows; the next one gets the new ones.
+    assert planned.count() == 3
+    assert tables.read_table(other, "gold.numbers").count() == 5
+    assert tables.read_table(spark, "gold.numbers").count() == 5
+    broken = spark.range(9).selectExpr("raise_error('no') AS id").selectExpr("CAST(id AS long) id")
+    with pytest.raises(Exception, match="no"):
+        tables.replace(broken, "gold.numbers")
+    assert spark.table("gold.numbers").count() == 5
+
+
+def test_old_versions_go_after_a_while(clean_catalog):
+    spark = clean_catalog
+    for n in (1, 2, 3):
+        tables.replace(spark.range(n).toDF("id"), "gold.numbers")
+    assert tables.remove_old_versions(spark, "gold.numbers") == 0
+    assert tables.remove_old_versions(spark, "gold.numbers", keep_hours=0) >= 2
+    assert tables.read_table(spark, "gold.numbers").count() == 3
+    tables.replace(spark.range(4).selectExpr("id", "'x' AS name"), "gold.numbers")
+    assert spark.table("gold.numbers").columns == ["id", "name"]
+
+
 def test_one_city_name_in_two_countries(clean_catalog):
     spark = clean_catalog
     towns = spark.createDataFrame(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratacast.__main__ import main
-from stratacast.operators import evaluate, models
+from stratacast.operators import evaluate, models, registry
 from stratacast.operators.accuracy import lead_time_accuracy_from_tables
 from stratacast.operators.features import FEATURES, TARGET, build_features
 from stratacast.operators.quality import EmptyResult
@@ -25,7 +25,7 @@ from stratacast.schemas import (
     SCHEMAS,
     WEATHER_RAW,
 )
-from stratacast.sources.tables import NoData
+from stratacast.sources.tables import NoData, read_table
 
 CITIES = "city string, country string, latitude double, longitude double"
 FETCHED = "city string, status int, raw_response string"
@@ -145,10 +145,8 @@ def test_boosted_defaults_are_the_published_configuration():
     assert (models.ROW_FRACTION, models.COLUMN_FRACTION, models.SEED) == (0.8, 0.8, 42)
 
 
-@pytest.mark.parametrize("incremental", [False, True])
-def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
+def test_both_pipelines_end_to_end(clean_catalog, towns):
     spark = clean_catalog
-    increments = str(tmp_path / "increments") if incremental else None
 
     def fetched(docs):
         return spark.createDataFrame([(c, 200, d) for c, d in docs.items()], FETCHED)
@@ -175,8 +173,14 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
         years=1,
         trees=2,
         test_days=60,
-        increments_folder=increments,
     )
+    assert result.summary == {
+        "train_rows": 2 * (400 - 8 - 60),
+        "train_cities": 2,
+        "test_rows": 120,
+        "test_cities": 2,
+        "compared_days": 400,
+    }
     assert result.landed == 2
     assert spark.table(HISTORICAL_RAW).count() == 2
     evaluation = spark.table(MODEL_EVALUATION)
@@ -184,7 +188,7 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     assert evaluation.schema.fieldNames() == SCHEMAS[MODEL_EVALUATION].fieldNames()
     assert spark.table(MODEL_PREDICTIONS).count() == 3 * 120
     assert spark.table(FEATURE_IMPORTANCE).count() == len(FEATURES)
-    accuracy = spark.table(LEAD_TIME_ACCURACY)
+    accuracy = read_table(spark, LEAD_TIME_ACCURACY)
     assert lead_time_accuracy_from_tables(spark).exceptAll(accuracy).isEmpty()
     by_lead = accuracy.groupBy("lead_time_days").count().collect()
     leads = {r.lead_time_days: r["count"] for r in by_lead}
@@ -203,12 +207,8 @@ def test_both_pipelines_end_to_end(clean_catalog, towns, tmp_path, incremental):
     assert check.actual_temperature_c == _temperature("North", day)
 
 
-@pytest.mark.parametrize("incremental", [False, True])
-def test_accuracy_is_empty_but_typed_without_forecasts(
-    clean_catalog, towns, tmp_path, incremental
-):
+def test_accuracy_is_empty_but_typed_without_forecasts(clean_catalog, towns):
     spark = clean_catalog
-    increments = str(tmp_path / "increments") if incremental else None
     archive = spark.createDataFrame([("North", 200, _archive_doc("North", 120))], FETCHED)
     pipelines.run_ds(
         spark,
@@ -217,9 +217,8 @@ def test_accuracy_is_empty_but_typed_without_forecasts(
         datetime(2025, 2, 9),
         trees=1,
         test_days=20,
-        increments_folder=increments,
     )
-    table = spark.table(LEAD_TIME_ACCURACY)
+    table = read_table(spark, LEAD_TIME_ACCURACY)
     assert table.isEmpty() and table.columns == SCHEMAS[LEAD_TIME_ACCURACY].fieldNames()
     with pytest.raises(NoData, match="still empty"):
         serve.load_accuracy(spark)
@@ -227,6 +226,28 @@ def test_accuracy_is_empty_but_typed_without_forecasts(
         serve.load_daily(spark)
 
 
+def test_models_are_saved_by_run(clean_catalog, actuals, tmp_path):
+    spark = clean_catalog
+    with pytest.raises(NoData):
+        registry.load_models(spark)
+    train, test = chronological_split(build_features(actuals), 60)
+    first, second = datetime(2025, 2, 9), datetime(2025, 2, 10)
+    old, new = models.fit_models(train, trees=1), models.fit_models(train, trees=3)
+    paths = [registry.save_models(spark, m, at) for m, at in ((old, first), (new, second))]
+    assert len(set(paths)) == 2 and registry.model_runs(spark).first()["path"] == paths[1]
+    scores = [m.predictions(test).toPandas() for m in (old, new)]
+    again = registry.load_models(spark).predictions(test).toPandas()
+    assert again.equals(scores[1]) and not again.equals(scores[0])
+    assert registry.load_models(spark, first).predictions(test).toPandas().equals(scores[0])
+    # A run whose files are not all written is not listed.
+    half = models.FittedModels(new.linear, None)
+    with pytest.raises(AttributeError):
+        registry.save_models(spark, half, datetime(2025, 2, 11))
+    assert registry.model_runs(spark).count() == 2
+    with pytest.raises(NoData):
+        registry.load_models(spark, datetime(2020, 1, 1))
+
+
 def test_pipelines_stop_when_nothing_lands(clean_catalog, towns):
     spark = clean_catalog
     failed = spark.createDataFrame([("North", 500, None)], FETCHED)
@@ -246,7 +267,7 @@ def test_command_line(clean_catalog, tmp_path):
 
 
 def test_model_queries_train_all_rounds_again_when_rows_change(spark, monkeypatch):
-    import __spark_entry__ as registry
+    import __spark_entry__ as entry
 
     class Trained(Exception):
         pass
@@ -256,11 +277,11 @@ def test_model_queries_train_all_rounds_again_when_rows_change(spark, monkeypatc
         raise Trained
 
     frames = [spark.range(40).selectExpr("id", f"id * {k} AS value") for k in (1, 2)]
-    monkeypatch.setattr(registry, "fit_models", fit)
-    monkeypatch.setattr(registry.split, "chronological_split", lambda frame: (frame, frame))
-    monkeypatch.setattr(registry, "_trained", {registry._inputs(frames[0]): "kept"})
-    monkeypatch.setattr(registry, "_features", lambda spark, folder: frames[0])
-    assert registry._model_tables(spark, "folder") == "kept"
-    monkeypatch.setattr(registry, "_features", lambda spark, folder: frames[1])
+    monkeypatch.setattr(entry, "fit_models", fit)
+    monkeypatch.setattr(entry.split, "chronological_split", lambda frame: (frame, frame))
+    monkeypatch.setattr(entry, "_trained", {entry._inputs(frames[0]): "kept"})
+    monkeypatch.setattr(entry, "_features", lambda spark, folder: frames[0])
+    assert entry._model_tables(spark, "folder") == "kept"
+    monkeypatch.setattr(entry, "_features", lambda spark, folder: frames[1])
     with pytest.raises(Trained):
-        registry._model_tables(spark, "folder")
+        entry._model_tables(spark, "folder")
