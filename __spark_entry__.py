@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from oracle_queries import ORACLES  # noqa: E402
 from stratacast.functions.rounding import round_half_away, round_half_even  # noqa: E402
-from stratacast.operators import accuracy, evaluate, quality, split  # noqa: E402
+from stratacast.operators import accuracy, evaluate, quality, split, states  # noqa: E402
 from stratacast.operators.features import FEATURES, TARGET, build_features  # noqa: E402
 from stratacast.operators.latest import dedupe_latest, latest_snapshot  # noqa: E402
 from stratacast.operators.models import (  # noqa: E402
@@ -24,14 +25,19 @@ from stratacast.operators.models import (  # noqa: E402
     fit_models,
     top_features,
 )
-from stratacast.plans import gold, serve, silver  # noqa: E402
+from stratacast.plans import gold, increments, serve, silver  # noqa: E402
 from stratacast.schemas import (  # noqa: E402
+    ACCURACY_STATES,
     DAILY_ACTUALS,
     GOLD_DAILY,
     GOLD_HOURLY,
+    HISTORICAL_RAW,
     HOURLY,
     HOURLY_HISTORY,
+    LEAD_TIME_ACCURACY,
+    REJECTED_ANSWERS,
     SCHEMAS,
+    WEATHER_RAW,
 )
 from stratacast.session import materialize, scratch_path  # noqa: E402
 from stratacast.sources import landing, tables, testdata  # noqa: E402
@@ -77,6 +83,70 @@ def snapshot_rejects(spark, sf_dir):
     return rejected.groupBy("city", "status", "reason").agg(F.count("*").alias("payloads"))
 
 
+def _kept(spark, work):
+    """What ``work`` reads from tables of a lake of its own, which is dropped afterwards."""
+    prefix = f"q{uuid.uuid4().hex}_"
+    with tables.lake(spark, prefix):
+        try:
+            return materialize(work(), "kept")
+        finally:
+            tables.drop_lake(spark, prefix)
+
+
+def _land_twice(spark, sf_dir, land):
+    """Two runs of the same answers, each of them repeated."""
+    cities = testdata.event_cities(spark, sf_dir).filter(F.col("city") != "4")
+    fetched = materialize(_fetched(spark, sf_dir), "fetched")
+    for run_ts in (RUN_TS, RUN_TS, RUN_TS + timedelta(days=1), RUN_TS):
+        land(fetched, cities, run_ts)
+
+
+def landed_forecasts(spark, sf_dir):
+    def work():
+        _land_twice(spark, sf_dir, landing.land_forecasts)
+        rows = tables.read_table(spark, WEATHER_RAW)
+        return rows.groupBy("city", "country", "latitude", "longitude", "ingested_at").agg(
+            F.count("*").alias("payloads")
+        )
+
+    return _kept(spark, work)
+
+
+def landed_archive(spark, sf_dir):
+    def work():
+        as_of = date(2024, 3, 1)
+        _land_twice(spark, sf_dir, lambda *run: landing.land_archive(*run, as_of, window_days=14))
+        rows = tables.read_table(spark, HISTORICAL_RAW)
+        return rows.groupBy("city", "country", "ingested_at", "start_date", "end_date").agg(
+            F.count("*").alias("payloads")
+        )
+
+    return _kept(spark, work)
+
+
+def landed_rejects(spark, sf_dir):
+    def work():
+        _land_twice(spark, sf_dir, landing.land_forecasts)
+        return tables.read_table(spark, REJECTED_ANSWERS)
+
+    return _kept(spark, work)
+
+
+def parsed_bodies(spark, sf_dir):
+    """Answers that come parsed are landed as the whole text again."""
+    body = F.struct(
+        F.max("event_id").alias("last"),
+        F.min("event_type").alias("first"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    events = testdata.table(spark, sf_dir, "events")
+    fetched = events.groupBy(F.col("user_id").cast("string").alias("city")).agg(
+        F.lit(200).alias("status"), body.alias("raw_response")
+    )
+    accepted, _ = landing.snapshot_batch(fetched, testdata.event_cities(spark, sf_dir), RUN_TS)
+    return accepted.select("city", "raw_response")
+
+
 def archive_runs(spark, sf_dir):
     return testdata.archive_bronze(spark, sf_dir).drop("raw_response")
 
@@ -140,6 +210,69 @@ def silver_daily_actuals(spark, sf_dir):
     return silver.silver_daily_actuals(testdata.archive_bronze(spark, sf_dir))
 
 
+def _append_by_day(log, rows, refresh):
+    """Land some days, bring the tables up to date, land the rest, and again."""
+    rows = materialize(rows, "rows")
+    middle = rows.agg(F.min("ingested_at") + (F.max("ingested_at") - F.min("ingested_at")) / 2)
+    middle = middle.scalar()
+    for part in (F.col("ingested_at") <= middle, F.col("ingested_at") > middle):
+        tables.append(rows.filter(part), log)
+        refresh(rows.sparkSession)
+
+
+def incremental_history(spark, sf_dir):
+    def work():
+        rows = testdata.forecast_bronze(spark, sf_dir)
+        _append_by_day(WEATHER_RAW, rows, increments.refresh_history)
+        return tables.read_table(spark, HOURLY_HISTORY)
+
+    return _kept(spark, work)
+
+
+def newest_view(spark, sf_dir):
+    """The view is made before the second half of the runs lands."""
+
+    def refresh(spark):
+        increments.refresh_history(spark)
+        if not tables.table_exists(spark, HOURLY):
+            increments.publish_newest(spark)
+
+    def work():
+        _append_by_day(WEATHER_RAW, testdata.forecast_bronze(spark, sf_dir), refresh)
+        return tables.read_table(spark, HOURLY)
+
+    return _kept(spark, work)
+
+
+def incremental_actuals(spark, sf_dir):
+    def work():
+        rows = testdata.archive_bronze(spark, sf_dir)
+        _append_by_day(HISTORICAL_RAW, rows, increments.refresh_actuals)
+        return tables.read_table(spark, DAILY_ACTUALS)
+
+    return _kept(spark, work)
+
+
+def _kept_accuracy(spark, sf_dir, table):
+    def work():
+        tables.append(testdata.archive_bronze(spark, sf_dir), HISTORICAL_RAW)
+        rows = testdata.forecast_bronze(spark, sf_dir)
+        _append_by_day(WEATHER_RAW, rows, increments.refresh_accuracy)
+        return tables.read_table(spark, table)
+
+    return _kept(spark, work)
+
+
+def incremental_accuracy(spark, sf_dir):
+    detail = _kept_accuracy(spark, sf_dir, LEAD_TIME_ACCURACY)
+    return _four_digits(detail, "forecast_temperature_c", "abs_error_c")
+
+
+def incremental_curve(spark, sf_dir):
+    curve = states.curve_from_states(_kept_accuracy(spark, sf_dir, ACCURACY_STATES))
+    return _four_digits(curve, "mean_absolute_error_c")
+
+
 # --- gold and quality -------------------------------------------------------
 
 
@@ -155,6 +288,18 @@ def gold_hourly(spark, sf_dir):
     return gold.gold_hourly(_hourly(spark, sf_dir))
 
 
+def replaced_table(spark, sf_dir):
+    """Gold replaced by other rows and back again."""
+
+    def work():
+        daily = materialize(gold_daily(spark, sf_dir), "daily")
+        for rows in (daily, daily.limit(1), daily):
+            tables.replace(rows, GOLD_DAILY, ["forecast_date", "city"])
+        return tables.read_table(spark, GOLD_DAILY)
+
+    return _kept(spark, work)
+
+
 def dq_not_null(spark, sf_dir):
     rows = silver.hourly_rows(testdata.forecast_bronze(spark, sf_dir))
     return quality.not_null(rows, "hourly_rows", rows.columns)
@@ -247,6 +392,13 @@ def baseline_eval(spark, sf_dir):
     return evaluate.evaluate(_baselines(spark, sf_dir))
 
 
+def metrics_states(spark, sf_dir):
+    """The metrics out of states that are kept per model and day."""
+    error = F.col("predicted_c") - F.col("actual_c")
+    days = states.error_states(_baselines(spark, sf_dir), ["model_name", "observed_date"], error)
+    return states.metrics_from_states(days)
+
+
 def best_model(spark, sf_dir):
     return serve.best_model(baseline_eval(spark, sf_dir))
 
@@ -368,6 +520,18 @@ def lead_time_curve(spark, sf_dir):
     return _four_digits(curve, "mean_absolute_error_c").orderBy("lead_time_days")
 
 
+def accuracy_ordered(spark, sf_dir):
+    return lead_time_accuracy(spark, sf_dir).orderBy("forecast_date", "city", "lead_time_days")
+
+
+def lead_time_curve_states(spark, sf_dir):
+    """The curve out of states that are kept per day."""
+    days = states.error_states(
+        _accuracy(spark, sf_dir), ["forecast_date", "lead_time_days"], F.col("abs_error_c")
+    )
+    return _four_digits(states.curve_from_states(days), "mean_absolute_error_c")
+
+
 def payload_accuracy(spark, sf_dir):
     """Both sides out of JSON payloads, instead of out of tables."""
     detail = accuracy.lead_time_accuracy(
@@ -498,6 +662,19 @@ _QUERIES: dict[str, Query] = {
     "request_set": request_set,
     "archive_request_set": archive_request_set,
     "snapshot_ingest": snapshot_ingest,
+    "landed_forecasts": landed_forecasts,
+    "landed_archive": landed_archive,
+    "landed_rejects": landed_rejects,
+    "parsed_bodies": parsed_bodies,
+    "incremental_history": incremental_history,
+    "newest_view": newest_view,
+    "incremental_actuals": incremental_actuals,
+    "incremental_accuracy": incremental_accuracy,
+    "incremental_curve": incremental_curve,
+    "replaced_table": replaced_table,
+    "accuracy_ordered": accuracy_ordered,
+    "lead_time_curve_states": lead_time_curve_states,
+    "metrics_states": metrics_states,
     "snapshot_rejects": snapshot_rejects,
     "csv_export": csv_export,
     "parameterised_sql": parameterised_sql,

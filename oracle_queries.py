@@ -379,3 +379,42 @@ select l_orderkey, l_linenumber, round(price, 1) as away_1, round(price, 2) as a
        round_even(price, 1) as even_1, round_even(price, 3) as even_3
 from (select *, l_extendedprice * (1 - l_discount) as price from lineitem)""",
 }
+
+_INSTANTS = "(values (timestamp '2024-03-01 06:30:00'), (timestamp '2024-03-02 06:30:00')) as r(ingested_at)"
+
+# Repeated runs land once, and so does what is kept up to date: the same rows as in one go.
+ORACLES |= {
+    "landed_forecasts": f"""{_JUDGED}
+select city, country, latitude, longitude, ingested_at, count(*) as payloads
+from judged join cities using (city) cross join {_INSTANTS} where reason is null
+group by city, country, latitude, longitude, ingested_at""",
+    "landed_archive": f"""{_JUDGED}
+select city, country, ingested_at, date '2024-02-11' as start_date, date '2024-02-25' as end_date,
+       count(*) as payloads
+from judged join cities using (city) cross join {_INSTANTS} where reason is null
+group by city, country, ingested_at""",
+    "landed_rejects": f"""{_JUDGED}
+select distinct ingested_at, 'bronze.weather_raw' as log, city, cast(null as varchar) as country,
+       status, reason
+from judged cross join {_INSTANTS} where reason is not null""",
+    "parsed_bodies": """
+select cast(user_id as varchar) as city,
+       cast(json_object('last', max(event_id), 'first', min(event_type), 'none', null) as varchar)
+         as raw_response
+from events group by user_id""",
+    "incremental_history": ORACLES["silver_hourly_history"],
+    "newest_view": ORACLES["silver_hourly"],
+    "incremental_actuals": ORACLES["silver_daily_actuals"],
+    "incremental_accuracy": ORACLES["payload_accuracy"],
+    "incremental_curve": f"""{_RUNS}, {_ACTUALS.strip().removeprefix('with')},
+forecasts as (
+  select city, day, cast(made as date) as made, avg(temp) as temp from history group by all),
+{_ACCURACY}
+select lead_time_days, round(round(avg(abs_error_c), 7), 4) as mean_absolute_error_c,
+       count(abs_error_c) as n_observations
+from accuracy group by lead_time_days""",
+    "replaced_table": ORACLES["gold_daily"],
+    "accuracy_ordered": ORACLES["lead_time_accuracy"],
+    "lead_time_curve_states": ORACLES["lead_time_curve"],
+    "metrics_states": ORACLES["baseline_eval"],
+}

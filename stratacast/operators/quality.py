@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.operators.evaluate import union_predictions as union_all
@@ -33,38 +33,61 @@ class EmptyResult(Exception):
     """A step that must produce rows produced none."""
 
 
+def _null_count(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
+
+
+def _report(counts: DataFrame, table: str, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row per check (column, kind, name of its count) from one row of counts."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.lit(kind).alias("check"), F.col(n).alias("failures"))
+            for c, kind, n in checks
+        ]
+    )
+    return counts.select(F.lit(table).alias("table"), F.inline(rows))
+
+
 def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Null count of every column, from a single aggregate over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    report = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns]
-    )
-    return counts.select(F.inline(report)).select(
-        F.lit(table).alias("table"), "column", F.lit("not_null").alias("check"), "failures"
-    )
+    return table_report(df, table, columns, [])
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """Number of non-null values that occur more than once."""
-    repeated = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return repeated.agg(F.count_if(F.col("_n") > 1).alias("failures")).select(
-        F.lit(table).alias("table"),
-        F.lit(column).alias("column"),
-        F.lit("unique").alias("check"),
-        "failures",
-    )
+    return table_report(df, table, [], [column])
+
+
+def table_report(
+    df: DataFrame, table: str, required: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """Null counts of ``required`` and repeated values of ``keys``, from one scan of the table.
+
+    Rows are grouped by the first key, if there is one, with each group's null counts; adding
+    up the groups gives both kinds of checks. Groups are combined before they are shuffled,
+    and only keys and counts are. Every further key is a scan of its own.
+    """
+    checks = [(c, "not_null", f"_null_{k}") for k, c in enumerate(required)]
+    nulls = [_null_count(c).alias(name) for c, _, name in checks]
+    if not keys:
+        return _report(df.agg(*nulls), table, checks)
+    first, *others = keys
+    groups = df.groupBy(F.col(first).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_repeated")
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for _, _, n in checks]
+    report = _report(groups.agg(repeated, *sums), table, [*checks, (first, "unique", "_repeated")])
+    return union_all(report, *[unique(df, table, key) for key in others])
 
 
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every declared check of the given tables, one row each."""
-    reports = []
-    for name, df in tables.items():
-        if name in NOT_NULL:
-            reports.append(not_null(df, name, NOT_NULL[name]))
-        reports += [unique(df, name, column) for column in UNIQUE.get(name, [])]
-    return union_all(*reports)
+    """Every declared check of the given tables, one row each; one scan per table."""
+    return union_all(
+        *[
+            table_report(df, name, NOT_NULL.get(name, []), UNIQUE.get(name, []))
+            for name, df in tables.items()
+            if name in NOT_NULL or name in UNIQUE
+        ]
+    )
 
 
 def require_checks(report: DataFrame) -> None:

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from stratacast.operators.models import FittedModels
 from stratacast.schemas import MODEL_RUNS, SCHEMAS
-from stratacast.sources.tables import NoData, append, ensure_table, read_table, table_exists
+from stratacast.sources.tables import NoData, append, ensure_table, named, read_table, table_exists
 
 
 def models_home(spark: SparkSession) -> str:
     """The folder next to the gold tables that runs' models are saved in by default."""
     ensure_table(spark, MODEL_RUNS)
-    home = spark.catalog.getDatabase(MODEL_RUNS.split(".")[0]).locationUri
+    home = spark.catalog.getDatabase(named(spark, MODEL_RUNS).split(".")[0]).locationUri
     return f"{home.rstrip('/')}/models"
 
 

@@ -35,6 +35,7 @@ from stratacast.schemas import (
 )
 from stratacast.sources.tables import (
     ensure_table,
+    named,
     overwrite_partitions,
     publish_view,
     read_table,
@@ -44,8 +45,8 @@ from stratacast.sources.tables import (
 def _stored(spark: SparkSession, table: str) -> DataFrame:
     """A table with its partition columns, as it is now."""
     ensure_table(spark, table)
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+    spark.catalog.refreshTable(named(spark, table))
+    return spark.table(named(spark, table))
 
 
 def file_states(spark: SparkSession, table: str, part: str) -> DataFrame:
@@ -133,18 +134,19 @@ def publish_newest(spark: SparkSession) -> DataFrame:
     """
     for table in (WEATHER_RAW, HOURLY_HISTORY):
         ensure_table(spark, table)
+    log, history = named(spark, WEATHER_RAW), named(spark, HOURLY_HISTORY)
     shown = ", ".join(f"rows.{c}" for c in columns(HOURLY))
     return publish_view(
         spark,
         HOURLY,
         f"""
         SELECT {shown}
-        FROM {HOURLY_HISTORY} rows
-        JOIN (SELECT city, max(ingested_at) AS newest FROM {WEATHER_RAW} GROUP BY city) runs
+        FROM {history} rows
+        JOIN (SELECT city, max(ingested_at) AS newest FROM {log} GROUP BY city) runs
           ON rows.city = runs.city AND rows.ingested_at = runs.newest
         WHERE rows.{INGEST_DATE} >= (
           SELECT min(day) FROM (
-            SELECT max({INGEST_DATE}) AS day FROM {WEATHER_RAW} GROUP BY city))""",
+            SELECT max({INGEST_DATE}) AS day FROM {log} GROUP BY city))""",
     )
 
 

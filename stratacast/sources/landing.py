@@ -19,7 +19,7 @@ from stratacast.schemas import (
     columns,
 )
 from stratacast.session import materialize
-from stratacast.sources.tables import append, table_exists
+from stratacast.sources.tables import append, named, table_exists
 
 # Requested fields and horizons.
 HOURLY_FIELDS = "temperature_2m,relative_humidity_2m,precipitation,wind_speed_10m"
@@ -182,7 +182,7 @@ def _land(batch: DataFrame, table: str, run_ts: datetime) -> int:
     if not count:
         return 0
     if table_exists(spark, table):
-        landed = spark.table(table).filter(F.col("ingested_at") == _utc(run_ts))
+        landed = spark.table(named(spark, table)).filter(F.col("ingested_at") == _utc(run_ts))
         if INGEST_DATE in landed.columns:
             landed = landed.filter(F.col(INGEST_DATE) == F.to_date(_utc(run_ts)))
         landed = broadcast_if_small(*materialize_sized(landed.select(key), "landed"))

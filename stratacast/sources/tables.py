@@ -2,7 +2,8 @@
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 from typing import Any
 
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 from stratacast.schemas import HISTORICAL_RAW, INGEST_DATE, PARTITIONS, SCHEMAS, WEATHER_RAW
 
 SNAPSHOT_LOGS = (WEATHER_RAW, HISTORICAL_RAW)
+LAYERS = ("bronze", "silver", "gold")
+# Session setting: what the databases' names begin with.
+LAKE = "stratacast.lake"
 # How long replaced rows stay for readers that are still at them.
 KEEP_HOURS = 24.0
 
@@ -21,6 +25,34 @@ class NoData(Exception):
     """A table that a reader needs is missing or empty."""
 
 
+def named(spark: SparkSession, table: str) -> str:
+    """A table's name in the session's lake: LAKE is put before its database.
+
+    Without that setting layers are databases of their own names. With it, several lakes
+    share a catalog.
+    """
+    return f"{spark.conf.get(LAKE, '')}{table}" if "." in table else table
+
+
+@contextmanager
+def lake(spark: SparkSession, prefix: str) -> Iterator[None]:
+    """Tables that are named inside are those of another lake of the catalog."""
+    before = spark.conf.get(LAKE, "")
+    spark.conf.set(LAKE, prefix)
+    try:
+        yield
+    finally:
+        spark.conf.set(LAKE, before)
+
+
+def drop_lake(spark: SparkSession, prefix: str) -> None:
+    """Drop all tables of a lake that has a prefix."""
+    if not prefix:
+        raise ValueError("only a lake with a prefix can be dropped")
+    for database in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{database} CASCADE")
+
+
 def layer_database(layer: str | None, default: str = "default") -> str:
     """A layer's name is its database name, without any prefix."""
     return layer.strip() if layer is not None else default
@@ -28,7 +60,8 @@ def layer_database(layer: str | None, default: str = "default") -> str:
 
 def _ensure_database(spark: SparkSession, table: str) -> None:
     if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer_database(table.split('.')[0])}")
+        database = layer_database(named(spark, table).split(".")[0])
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType | None = None) -> None:
@@ -44,7 +77,7 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType | None =
     fields += [f"`{c}` {t.simpleString()}" for c, t in parts.items() if c not in schema.names]
     layout = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     spark.sql(
-        f"""CREATE TABLE IF NOT EXISTS {table} ({', '.join(fields)}) USING parquet
+        f"""CREATE TABLE IF NOT EXISTS {named(spark, table)} ({', '.join(fields)}) USING parquet
         OPTIONS ('partitionOverwriteMode' = 'dynamic') {layout}"""
     )
 
@@ -57,7 +90,7 @@ def append(df: DataFrame, table: str) -> int:
     if table in SNAPSHOT_LOGS:
         rows = rows.withColumn(INGEST_DATE, F.to_date("ingested_at"))
     landed = Observation("landed")
-    rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
+    rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.insertInto(named(spark, table))
     return landed.get["rows"]
 
 
@@ -70,19 +103,19 @@ def overwrite_partitions(df: DataFrame, table: str, scope: Column) -> None:
     """
     spark = df.sparkSession
     ensure_table(spark, table)
-    parts = list(PARTITIONS[table])
-    stored = spark.table(table)
+    parts, name = list(PARTITIONS[table]), named(spark, table)
+    stored = spark.table(name)
     before = {tuple(r) for r in stored.filter(scope).select(*parts).distinct().collect()}
     written = Observation("written")
     seen = F.collect_set(F.struct(*parts)).alias("parts")
     # Few files per partition, and large partitions over several tasks.
     rows = df.select(*stored.columns).hint("rebalance", *parts).observe(written, seen)
-    rows.write.mode("overwrite").insertInto(table)
+    rows.write.mode("overwrite").insertInto(name)
     after = {tuple(r) for r in written.get["parts"]}
     for values in before - after:
         spec = ", ".join(f"{c} = {_literal(v)}" for c, v in zip(parts, values))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(table)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(name)
 
 
 def _literal(value: Any) -> str:
@@ -95,7 +128,7 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def _location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {named(spark, table)}")
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
@@ -105,7 +138,7 @@ def _is_view(spark: SparkSession, name: str) -> bool:
 
 def _versions(spark: SparkSession, table: str) -> str:
     """The folder that holds the versions of a replaced table."""
-    database, _, name = table.rpartition(".")
+    database, _, name = named(spark, table).rpartition(".")
     home = spark.catalog.getDatabase(database or "default").locationUri
     return f"{home.rstrip('/')}/{name}.versions"
 
@@ -124,6 +157,7 @@ def replace(
     readers that filter on them skip files by their statistics.
     """
     spark = df.sparkSession
+    name = named(spark, table)
     _ensure_database(spark, table)
     rows = df.select(*SCHEMAS[table].fieldNames()) if table in SCHEMAS else df
     if order_by:
@@ -131,19 +165,19 @@ def replace(
     folder = f"{_versions(spark, table)}/{uuid.uuid4().hex}"
     rows.write.parquet(folder)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    if _is_view(spark, table):
-        spark.sql(f"DROP VIEW {table}")
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet LOCATION '{folder}'")
-    elif [f[:2] for f in spark.table(table).dtypes] == rows.dtypes:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    if _is_view(spark, name):
+        spark.sql(f"DROP VIEW {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet LOCATION '{folder}'")
+    elif spark.table(name).dtypes == rows.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
     else:
         # Other columns: no single change of the catalog does it.
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet LOCATION '{folder}'")
-    spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
     remove_old_versions(spark, table, keep_hours)
-    return spark.table(table)
+    return spark.table(name)
 
 
 def remove_old_versions(spark: SparkSession, table: str, keep_hours: float = KEEP_HOURS) -> int:
@@ -167,9 +201,10 @@ def publish_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     Its text is planned anew at each read, so it follows the tables it names.
     """
     _ensure_database(spark, name)
-    if spark.catalog.tableExists(name) and not _is_view(spark, name):
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    shown = named(spark, name)
+    if spark.catalog.tableExists(shown) and not _is_view(spark, shown):
+        spark.sql(f"DROP TABLE {shown}")
+    spark.sql(f"CREATE OR REPLACE VIEW {shown} AS {sql}")
     return read_table(spark, name)
 
 
@@ -198,10 +233,11 @@ def training_columns(actuals: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    database, _, _ = table.rpartition(".")
+    name = named(spark, table)
+    database, _, _ = name.rpartition(".")
     if database and not spark.catalog.databaseExists(database):
         return False
-    return spark.catalog.tableExists(table)
+    return spark.catalog.tableExists(name)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -210,8 +246,9 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     A session remembers files and folders of tables it has read; what other sessions have
     changed since is looked up again.
     """
-    spark.catalog.refreshTable(table)
-    rows = spark.table(table)
+    name = named(spark, table)
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name)
     return rows.select(*SCHEMAS[table].fieldNames()) if table in SCHEMAS else rows
 
 
