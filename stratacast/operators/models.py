@@ -1,19 +1,18 @@
-"""Spark ML regressors on the feature frame."""
+"""Regressors on the feature frame."""
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratacast.operators.boosting import BoostedTrees, Settings, fit_trees
 from stratacast.operators.evaluate import PERSISTENCE, unpivot_predictions
 from stratacast.operators.features import FEATURES, TARGET
 from stratacast.schemas import FEATURE_IMPORTANCE, SCHEMAS
-from stratacast.session import shared_dir
 
 LINEAR = "linear_regression"
 BOOSTED = "boosted_trees"
@@ -25,10 +24,7 @@ LEARNING_RATE = 0.05
 ROW_FRACTION = 0.8
 COLUMN_FRACTION = 0.8
 SEED = 42
-
-
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=FEATURES, outputCol="_features")
+PENALTY = 1.0
 
 
 def fit_linear(train: DataFrame) -> PipelineModel:
@@ -40,46 +36,34 @@ def fit_linear(train: DataFrame) -> PipelineModel:
         regParam=0.0,
         solver="normal",
     )
-    return _fit(train, regressor)
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
+    vectors = assembler.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
+    return PipelineModel([assembler, regressor.fit(vectors)])
 
 
-def fit_boosted(train: DataFrame, trees: int = TREES) -> PipelineModel:
-    """Boosted trees; every level of every tree is one pass over the rows."""
-    shared_dir(train.sparkSession)  # the trainer checkpoints its residuals there
-    regressor = GBTRegressor(
-        featuresCol="_features",
-        labelCol=TARGET,
-        predictionCol=BOOSTED,
-        maxIter=trees,
-        maxDepth=DEPTH,
-        stepSize=LEARNING_RATE,
-        subsamplingRate=ROW_FRACTION,
-        featureSubsetStrategy=str(COLUMN_FRACTION),
+def fit_boosted(train: DataFrame, trees: int = TREES) -> BoostedTrees:
+    """Boosted trees with the published rates, row and column sampling and L2 penalty."""
+    settings = Settings(
+        trees=trees,
+        depth=DEPTH,
+        rate=LEARNING_RATE,
+        row_fraction=ROW_FRACTION,
+        column_fraction=COLUMN_FRACTION,
         seed=SEED,
+        penalty=PENALTY,
     )
-    return _fit(train, regressor)
-
-
-def _fit(train: DataFrame, regressor) -> PipelineModel:
-    assembler = _assembler()
-    vectors = assembler.transform(train.select(*FEATURES, TARGET)).select("_features", TARGET)
-    # Fitting passes over the rows several times; what memory lacks goes to disk.
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return PipelineModel([assembler, regressor.fit(vectors)])
-    finally:
-        vectors.unpersist()
+    return fit_trees(train.select(*FEATURES, TARGET), FEATURES, TARGET, settings)
 
 
 @dataclass
 class FittedModels:
     linear: PipelineModel
-    boosted: PipelineModel
+    boosted: BoostedTrees
 
     def score(self, test: DataFrame) -> DataFrame:
         """The test frame with one prediction column per fitted model."""
         scored = self.linear.transform(test).drop("_features")
-        return self.boosted.transform(scored).drop("_features")
+        return self.boosted.transform(scored, BOOSTED)
 
     def predictions(self, test: DataFrame) -> DataFrame:
         return unpivot_predictions(
@@ -89,23 +73,22 @@ class FittedModels:
 
     def save(self, folder: str) -> None:
         self.linear.write().overwrite().save(f"{folder}/{LINEAR}")
-        self.boosted.write().overwrite().save(f"{folder}/{BOOSTED}")
+        self.boosted.save(SparkSession.active(), f"{folder}/{BOOSTED}")
 
     @classmethod
     def load(cls, folder: str) -> "FittedModels":
-        linear, boosted = (PipelineModel.load(f"{folder}/{name}") for name in (LINEAR, BOOSTED))
-        return cls(linear, boosted)
+        linear = PipelineModel.load(f"{folder}/{LINEAR}")
+        return cls(linear, BoostedTrees.load(SparkSession.active(), f"{folder}/{BOOSTED}"))
 
 
 def fit_models(train: DataFrame, trees: int = TREES) -> FittedModels:
     return FittedModels(fit_linear(train), fit_boosted(train, trees))
 
 
-def feature_importance(spark: SparkSession, boosted: PipelineModel) -> DataFrame:
+def feature_importance(spark: SparkSession, boosted: BoostedTrees) -> DataFrame:
     """One row per feature of the boosted model; importances sum to one."""
-    weights = boosted.stages[-1].featureImportances.toArray()
     schema: T.StructType = SCHEMAS[FEATURE_IMPORTANCE]
-    rows = [(BOOSTED, name, float(weight)) for name, weight in zip(FEATURES, weights)]
+    rows = [(BOOSTED, name, weight) for name, weight in boosted.importance().items()]
     return spark.createDataFrame(rows, schema)
 
 

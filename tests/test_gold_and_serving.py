@@ -131,3 +131,22 @@ def test_model_reports(spark):
     )
     series = serve.prediction_series(predictions, "A", "m").collect()
     assert [r.actual_c for r in series] == [3.0, 1.0]
+
+
+def test_checks_of_a_table_take_one_scan(spark, tmp_path):
+    rows = [("a", 1, None), ("a", None, 2.0), (None, 3, 2.0), (None, 4, 2.0), ("b", 5, None)]
+    spark.createDataFrame(rows, "k string, n int, x double").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    report = quality.table_report(table, "t", ["k", "n", "x"], ["k"])
+    assert report._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    found = {(r["column"], r["check"]): r["failures"] for r in report.collect()}
+    assert found == {
+        ("k", "not_null"): 2,
+        ("n", "not_null"): 1,
+        ("x", "not_null"): 2,
+        ("k", "unique"): 1,
+    }
+    nothing = quality.table_report(table.limit(0), "t", ["k"], ["k"]).collect()
+    assert [r["failures"] for r in nothing] == [0, 0]
+    two = quality.table_report(table, "t", [], ["k", "x"]).collect()
+    assert {r["column"]: r["failures"] for r in two} == {"k": 1, "x": 1}

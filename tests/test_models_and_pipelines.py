@@ -266,7 +266,7 @@ def test_command_line(clean_catalog, tmp_path):
     assert serve.city_list(spark.table(GOLD_DAILY)).count() == 2
 
 
-def test_model_queries_train_all_rounds_again_when_rows_change(spark, monkeypatch):
+def test_model_queries_train_all_rounds_each(spark, monkeypatch):
     import __spark_entry__ as entry
 
     class Trained(Exception):
@@ -276,12 +276,11 @@ def test_model_queries_train_all_rounds_again_when_rows_change(spark, monkeypatc
         assert rounds in ((), (models.TREES,))
         raise Trained
 
-    frames = [spark.range(40).selectExpr("id", f"id * {k} AS value") for k in (1, 2)]
+    rows = spark.range(40).selectExpr("id", "id AS value")
     monkeypatch.setattr(entry, "fit_models", fit)
+    monkeypatch.setattr(entry, "fit_boosted", fit)
     monkeypatch.setattr(entry.split, "chronological_split", lambda frame: (frame, frame))
-    monkeypatch.setattr(entry, "_trained", {entry._inputs(frames[0]): "kept"})
-    monkeypatch.setattr(entry, "_features", lambda spark, folder: frames[0])
-    assert entry._model_tables(spark, "folder") == "kept"
-    monkeypatch.setattr(entry, "_features", lambda spark, folder: frames[1])
-    with pytest.raises(Trained):
-        entry._model_tables(spark, "folder")
+    monkeypatch.setattr(entry, "_features", lambda spark, folder: rows)
+    for name in ("model_comparison", "model_predictions", "feature_importance", "top_features"):
+        with pytest.raises(Trained):
+            entry.queries()[name](spark, "folder")
