@@ -17,8 +17,6 @@ SCALE = 1024
 QUERY_BLOCK, CANDIDATE_BLOCK = 256, 1024
 # Segments per vector, coarse to fine.
 LEVELS = (1, 4, 16)
-# Scaled components are taken to lie within this; larger ones count as this.
-LARGEST = float(1 << 25)
 
 
 def _segments(dim: int, n: int) -> np.ndarray:
@@ -40,12 +38,25 @@ def statistics(vectors: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([mean * np.sqrt(size), dev * np.sqrt(size)], 1)
 
 
-def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Inner products of all rows of both sides, exact in integers."""
-    most = np.abs(left).max(initial=0) * np.abs(right).max(initial=0) * left.shape[1]
-    if most < 2**53:
-        return np.rint(left @ right.T).astype(np.int64)
-    return left.astype(np.int64) @ right.astype(np.int64).T
+def _whole(left: np.ndarray, right: np.ndarray) -> type:
+    """Numbers that hold every product of rows exactly: doubles, longs or Python's own."""
+    most = int(np.abs(left).max(initial=0)) * int(np.abs(right).max(initial=0)) * left.shape[1]
+    return np.float64 if most < 2**53 else np.int64 if most < 2**63 else object
+
+
+def _as(kind: type, rows: np.ndarray) -> np.ndarray:
+    if kind is object:
+        return np.array([[int(x) for x in row] for row in rows], object).reshape(rows.shape)
+    return rows.astype(kind)
+
+
+def _longs(scores: np.ndarray) -> np.ndarray:
+    """Scores as longs; one that no long holds is an error and never another score."""
+    if scores.dtype == np.float64:
+        return np.rint(scores).astype(np.int64)
+    if scores.dtype == object and any(abs(s) >= 2**63 for s in scores):
+        raise OverflowError("an inner product of scaled components does not fit a long")
+    return scores.astype(np.int64)
 
 
 def best_of_block(q_ids, queries, c_ids, candidates, top: int):
@@ -55,31 +66,33 @@ def best_of_block(q_ids, queries, c_ids, candidates, top: int):
     else:
         alive = None
         floor = None
+        # Room for rounding in what follows, the deviations' cancellation above all: bounds may
+        # only be too high, and what is not a number excludes nothing.
+        length = [np.sqrt((x * x).sum(1)) for x in (queries, candidates)]
         for level in LEVELS:
             bound = statistics(queries, level) @ statistics(candidates, level).T
-            # Room for rounding in the bounds; they may only be too high.
-            bound += 1e-9 * np.abs(bound) + 1
+            bound += 1e-7 * length[0][:, None] * length[1][None, :] + 1
             bound = np.where(q_ids[:, None] == c_ids[None, :], -np.inf, bound)
             if floor is None:
                 likely = np.argpartition(-bound, top, 1)[:, : top + 1]
                 exact = np.einsum("qd,qkd->qk", queries, candidates[likely])
                 own = c_ids[likely] == q_ids[:, None]
                 exact = np.sort(np.where(own, -np.inf, exact), 1)[:, ::-1]
-                floor = exact[:, top - 1] - 1e-9 * np.abs(exact[:, top - 1]) - 1
+                floor = exact[:, top - 1] - 1e-7 * length[0] * length[1].max() - 1
                 floor = np.where(np.isfinite(floor), floor, -np.inf)
-                alive = bound >= floor[:, None]
+                alive = ~(bound < floor[:, None])
             else:
-                alive &= bound >= floor[:, None]
+                alive &= ~(bound < floor[:, None])
+    kind = _whole(queries, candidates)
+    where_q, where_c = np.nonzero(alive)
+    queries, candidates = _as(kind, queries), _as(kind, candidates)
     if alive.mean() > 0.2:
-        score = _products(queries, candidates)
-        where_q, where_c = np.nonzero(alive)
-        score = score[where_q, where_c]
+        score = _longs((queries @ candidates.T)[where_q, where_c])
     else:
-        where_q, where_c = np.nonzero(alive)
         score = np.empty(len(where_q), np.int64)
         for k in range(0, len(score), 65536):
             a, b = queries[where_q[k : k + 65536]], candidates[where_c[k : k + 65536]]
-            score[k : k + 65536] = (a.astype(np.int64) * b.astype(np.int64)).sum(1)
+            score[k : k + 65536] = _longs((a * b).sum(1))
     other = q_ids[where_q] != c_ids[where_c]
     where_q, where_c, score = where_q[other], where_c[other], score[other]
     order = np.lexsort((c_ids[where_c], -score, where_q))
@@ -108,7 +121,7 @@ def _blocks(size, scale):
         for batch in batches:
             ids, lists = batch.column("_id").to_pylist(), batch.column("vector")
             flat, ends = lists.flatten().to_numpy(False), lists.offsets.to_numpy()
-            flat = np.clip(np.floor(flat.astype(np.float64) * scale), -LARGEST, LARGEST)
+            flat = np.floor(flat.astype(np.float64) * scale)
             for i, low, high in zip(ids, ends[:-1], ends[1:]):
                 mine = held.setdefault(int(high - low), [])
                 mine.append((i, flat[low:high]))
@@ -138,8 +151,8 @@ def top_products(
 
     Vectors that are null, empty or hold a null or non-finite component take no part, nor do
     null ids; vectors of other lengths than the query's are not its candidates. Repeated
-    rows count once, and rows with the query's id are its own. Scaled components beyond
-    2**25 count as 2**25, so that scores fit a long. Other columns are ignored.
+    rows count once, and rows with the query's id are its own. Components of any size count in full; a product that
+    no long holds is an error. Other columns are ignored; an empty table gives no rows.
     """
 
     def usable(rows):

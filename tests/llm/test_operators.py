@@ -154,6 +154,34 @@ def test_scores_are_exact_with_ties_and_bad_vectors(spark):
     assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
+def test_large_components_keep_their_order(spark):
+    rows = [(0, [1.0, 0.0]), (1, [40000.0, 0.0]), (2, [50000.0, 0.0]), (3, [2.0**40, 2.0**52])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.top_products(frame, frame.where("vec_id = 0")).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [
+        (3, 2**60),
+        (2, 52428800000),
+        (1, 41943040000),
+    ]
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk_search.top_products(frame, frame.where("vec_id = 3")).collect()
+
+
+def test_bounds_hold_for_large_and_even_vectors():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for size in (2.0**24, 2.0**28):
+        q = np.floor(size + rng.normal(size=(8, 32)))
+        c = np.floor(size + rng.normal(size=(400, 32)))
+        i, j, s = topk_search.best_of_block(np.arange(8) + 5000, q, np.arange(400), c, 10)
+        exact = [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in c] for x in q]
+        for k in range(8):
+            want = sorted(range(400), key=lambda n: (-exact[k][n], n))[:10]
+            assert j[i == 5000 + k].tolist() == want
+            assert s[i == 5000 + k].tolist() == [exact[k][n] for n in want]
+
+
 def test_bounds_prune_and_never_cut_a_hit():
     import numpy as np
 
