@@ -129,7 +129,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
       response's, replaced by the revisit's where HTTP lets a 304 update them
     - ``changed``: a validator (entity tag, Last-Modified or digest) that both have differs
     - ``unverified``: the two have no validator in common
-    - ``missing``: no earlier full response of the page, or no URL
+    - ``missing``: no earlier full response of the page, or no URL; an empty one, and one of
+      which nothing is left in canonical form, is none
     - ``other``: any other record
 
     A full response is one of status 200. Captures of the same instant follow their ids.
@@ -138,7 +139,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """
     rows = records.select(
         F.col("record_id"),
-        canonical_url(F.col("url")).alias("_page"),
+        F.nullif(canonical_url(F.col("url")), F.lit("")).alias("_page"),
         F.col("captured_at").alias("_at"),
         F.lower("record_type").alias("_type"),
         F.col("status").cast("int").alias("_status"),

@@ -201,6 +201,24 @@ def record(i, url, at, kind="revisit", status=None, digest=None, **headers):
     return (i, url, at, kind, status, named, digest)
 
 
+def test_records_without_a_url_meet_nothing(spark):
+    rows = [
+        record(2 * k + n, url, 10 * n, ("response", "revisit")[n], etag='"1"')
+        for k, url in enumerate(["", " ", "http://", "#top", None])
+        for n in (0, 1)
+    ]
+    frame = spark.createDataFrame(
+        rows,
+        """record_id long, url string, captured_at long, record_type string, status int,
+        headers map<string,string>, payload_digest string""",
+    )
+    found = revisits.resolve_revisits(frame).collect()
+    assert {(r["canonical_url"], r["resolution"], r["source_id"]) for r in found} == {
+        (None, "full", None),
+        (None, "missing", None),
+    }
+
+
 def test_revisits_find_the_latest_earlier_response(spark):
     rows = [
         record(1, "http://www.a.org:80/x/?utm_source=f#t", 10, "response", digest="d1", ETag='"1"',
