@@ -5,6 +5,8 @@ they came with; the last one returns the packed pieces. Whether a document stays
 on all documents that reached the stage.
 """
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,12 +69,28 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_documents(docs, packing.public_tokenizer(), order=mixing.mix(docs))
 
 
+# The columns that stages read.
+READ = ("doc_id", "text", "source")
+
+
+def _apart(stage):
+    """The stage with all columns that it does not read under names it does not use."""
+
+    @wraps(stage)
+    def shielded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in READ else f"extra{k}" for k, c in enumerate(docs.columns)]
+        out = stage(spark, docs.toDF(*names), sf_dir)
+        return out.toDF(*docs.columns) if out.columns == names else out
+
+    return shielded
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("exact_dedup", drop_exact_copies),
-    ("near_dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("toxicity", _apart(drop_toxic)),
+    ("exact_dedup", _apart(drop_exact_copies)),
+    ("near_dedup", _apart(drop_near_copies)),
+    ("mixing", _apart(mix_sources)),
+    ("packing", _apart(pack_sequences)),
 ]
 
 # The first and fourth stage learn a model and schedule slots: SQL cannot express them.
