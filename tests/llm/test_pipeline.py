@@ -57,3 +57,23 @@ def test_sequences_are_numbered_by_their_earliest_position(spark):
         first[r["sequence_id"]] = min(first.get(r["sequence_id"], 99), r["_id"])
     earliest = [first[k] for k in sorted(first)]
     assert sorted(first) == list(range(len(first))) and earliest == sorted(earliest)
+
+
+def test_columns_of_any_name_come_through(spark, tmp_path):
+    names = ["_key", "_part", "_text", "_of", "_sha", "_kept", "_gone", "_position", "_toxicity", "kept"]
+    rows = [(i, f"text {i % 5} of {i % 6}", "s", *[f"{n}{i}" for n in names]) for i in range(12)]
+    frame = spark.createDataFrame(
+        rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names)
+    )
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    left = docs.collect()
+    assert left and all(r[n] == f"{n}{r['doc_id']}" for r in left for n in names)
