@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +14,6 @@ from stratacast.llm import tokens
 from stratacast.llm.common import (
     given_id,
     known_id,
-    small_batches,
     table,
     text_of,
     written_by_python,
@@ -22,9 +22,11 @@ from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
 # Bytes of texts that are scored together: the words and pairs they hold are looked up once.
-PART_BYTES = tokens.GROUP_BYTES
-# What the model says of a word: p(w) of each class, the weight of p(w') after it and one
-# over its count; of a pair: its discounted counts, then zeros.
+PART_BYTES = 1 << 24
+# Bytes of texts whose pairs meet in one group, and pairs that a task holds before it sends them.
+GROUP_BYTES, HELD_PAIRS = 1 << 24, 3_000_000
+# What a model says of a word: p(w) of each class, the weight of p(w') after it and one
+# over its count; of a pair: its discounted counts.
 VALUES = ["a0", "a1", "back0", "back1", "each0", "each1"]
 # See features().
 FEATURES, STRETCH, LIMIT, TAIL, TAIL_FLOOR = 3, 4, 5.0, 3.0, 1e-4
@@ -33,9 +35,16 @@ CALIBRATION_ROWS = 20_000
 REJECT_AT = 0.7
 # Documents with the first remainders are learnt from, as two folds; the rest is held out.
 FOLDS, HELD_OUT_REMAINDER = (0, 2), 1
-# Counts of a pair: in toxic and other rows of each fold. All four are zero for a pair that
-# only texts without a label hold.
+# The models, by the folds they have counted: one of each fold, and the whole one.
+MODELS = ((0,), (1,), (0, 1))
+WHOLE = 2
+# Counts of a pair: in toxic and other rows of each fold.
 COUNTS = [f"c{k}_{fold}" for fold in FOLDS for k in (1, 0)]
+# Of a word, for each model and class (other, toxic): different words before it; words after
+# it that were seen once, twice and more often; its occurrences before another word.
+STATS = [f"{of}{k}_{m}" for m in range(len(MODELS)) for k in (0, 1) for of in ("n", "one", "two", "more", "s")]
+# And different words before it in all texts, with or without a label.
+SHARED = "n"
 
 
 def remainder(id: str):
@@ -50,61 +59,185 @@ def _words(data, offsets):
     return hashes, rows, pairs, at
 
 
-def _pair_counts(batches):
-    """Distinct word pairs of a task's documents with their COUNTS."""
-    for batch in batches:
-        # Which of COUNTS a row adds to; one more for rows without a label.
-        toxic = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
-        second = batch.column("_r").to_numpy() == FOLDS[1]
-        kind = np.where(toxic < 0, len(COUNTS), 2 * second + (toxic == 0)).astype(np.int64)
-        for low, data, offsets in tokens.groups(batch.column("text")):
-            hashes, rows, pairs, at = _words(data, offsets)
-            if not len(pairs):
-                continue
-            own, where, inverse = np.unique(pairs, return_index=True, return_inverse=True)
-            cells = inverse * (len(COUNTS) + 1) + kind[low + rows[at]]
-            counts = np.bincount(cells, minlength=len(own) * (len(COUNTS) + 1))
-            counts = counts.reshape(len(own), -1).T.astype(np.int64)
-            first = at[where]
-            arrays = [
-                pa.array(own.view(np.int64)),
-                pa.array(hashes[first].view(np.int64)),
-                pa.array(hashes[first + 1].view(np.int64)),
-                *map(pa.array, counts[: len(COUNTS)]),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["pair", "h", "w", *COUNTS])
+@dataclass
+class Pairs:
+    """Word pairs: hash of the pair, of its words, and COUNTS, which are zero without a label."""
+
+    pair: np.ndarray
+    h: np.ndarray
+    w: np.ndarray
+    counts: np.ndarray  # COUNTS by pairs
+
+    def distinct(self) -> Pairs:
+        order = np.argsort(self.pair, kind="stable")
+        pair = self.pair[order]
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][: len(pair)])
+        at = order[first]
+        counts = np.add.reduceat(self.counts[:, order], first, axis=1) if len(at) else self.counts
+        return Pairs(pair[first], self.h[at], self.w[at], counts)
+
+    def some(self, which) -> Pairs:
+        return Pairs(self.pair[which], self.h[which], self.w[which], self.counts[:, which])
+
+
+def _joined(parts: list[Pairs]) -> Pairs:
+    columns = [np.concatenate([getattr(p, c) for p in parts]) for c in ("pair", "h", "w")]
+    return Pairs(*columns, np.concatenate([p.counts for p in parts], axis=1))
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, so that their high bytes lie together."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _pack(pairs: Pairs) -> tuple[int, int, bytes]:
+    """A block of distinct pairs: how many, how many words, and both compressed.
+
+    Words are listed once; pairs are sorted and name their words by position.
+    """
+    words, at = np.unique(np.concatenate([pairs.w, pairs.h]), return_inverse=True)
+    w, h = np.split(at, 2)
+    order = np.lexsort((h, w))
+    parts = [words.astype("<u8").tobytes(), _planes(np.diff(w[order], prepend=0)), _planes(h[order])]
+    parts += [_planes(c[order]) for c in pairs.counts]
+    return len(w), len(words), pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def _unpack(n: int, m: int, block: bytes) -> Pairs:
+    raw = pa.decompress(block, 8 * m + 4 * n * (2 + len(COUNTS)), codec="zstd", asbytes=True)
+    words = np.frombuffer(raw, "<u8", m)
+    planes = np.frombuffer(raw, np.uint8, offset=8 * m).reshape(-1, 4, n)
+    w, h, *counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[..., 0]
+    w, h = words[np.cumsum(w)], words[h]
+    pair, _ = tokens.runs(np.stack([h, w], 1).ravel(), np.repeat(np.arange(n), 2), 2)
+    return Pairs(pair, h, w, np.array(counts, np.int64))
+
+
+def _pair_blocks(side: int):
+    """Distinct word pairs of a task's documents, as blocks of ``side`` x ``side`` groups.
+
+    The group is by both words, so that all words before a frequent one are not one group.
+    """
+
+    def blocks(pairs: Pairs):
+        group = (pairs.w % side * side + pairs.h % side).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        cut = tokens.bounds(group[order], side * side)
+        made = [
+            (g, *_pack(pairs.some(order[cut[g] : cut[g + 1]])))
+            for g in range(side * side)
+            if cut[g] < cut[g + 1]
+        ]
+        if made:
+            names = ["group", "n", "m", "block"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*made), (pa.int64(),) * 3 + (pa.binary(),))], names
+            )
+
+    def mapped(batches):
+        held, size = [], 0
+        for batch in batches:
+            # Which of COUNTS a row adds to; one more for rows without a label.
+            toxic = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
+            second = batch.column("_r").to_numpy() == FOLDS[1]
+            kind = np.where(toxic < 0, len(COUNTS), 2 * second + (toxic == 0)).astype(np.int64)
+            for low, data, offsets in tokens.groups(batch.column("text")):
+                hashes, rows, pairs, at = _words(data, offsets)
+                counts = kind[low + rows[at]] == np.arange(len(COUNTS))[:, None]
+                own = Pairs(pairs, hashes[at], hashes[at + 1], counts.astype(np.int64))
+                held.append(own.distinct())
+                size += len(held[-1].pair)
+                if size > HELD_PAIRS:
+                    held = [_joined(held).distinct()]
+                    size = len(held[0].pair)
+                    if size > HELD_PAIRS // 2:
+                        yield from blocks(held[0])
+                        held, size = [], 0
+        if held:
+            yield from blocks(_joined(held).distinct())
+
+    return mapped
+
+
+def _group_types(rows: pa.Table) -> pa.Table:
+    """COUNTS of the labelled pairs of a group, and STATS of its words.
+
+    One group holds a pair with all its counts, and for a word a part of its STATS.
+    """
+    columns = [rows.column(c).to_pylist() for c in ("n", "m", "block")]
+    pairs = _joined([_unpack(*block) for block in zip(*columns)]).distinct()
+    words, at = np.unique(np.concatenate([pairs.w, pairs.h]), return_inverse=True)
+    stats = [np.bincount(at[: len(pairs.w)], minlength=len(words))]
+    labelled = np.flatnonzero(pairs.counts.any(axis=0))
+    w, h = at[labelled], at[len(pairs.w) + labelled]
+    pairs = pairs.some(labelled)
+    for folds in MODELS:
+        for k in (0, 1):
+            c = sum(pairs.counts[2 * fold + 1 - k] for fold in folds)
+            stats.append(np.bincount(w[c > 0], minlength=len(words)))
+            for seen in (c == 1, c == 2, c > 2):
+                stats.append(np.bincount(h[seen], minlength=len(words)))
+            stats.append(np.bincount(h, c, len(words)).astype(np.int64))
+    made = {"key": np.r_[words, pairs.pair].view(np.int64)}
+    for name, own in zip([SHARED, *STATS], stats):
+        made[name] = pa.concat_arrays([pa.array(own), pa.nulls(len(labelled), pa.int64())])
+    for name, own in zip(COUNTS, pairs.counts):
+        made[name] = pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(own)])
+    return pa.table(made)
 
 
 @dataclass
 class Model:
-    """A written table of all words and pairs, and the calibration of the ratio's features."""
+    """All words and labelled pairs, and the calibration of the ratio's features.
 
-    entries: DataFrame  # key (64-bit hash of a word or pair) and VALUES
+    ``entries`` has a key (64-bit hash of a word or pair) and VALUES of each of MODELS,
+    model by model; of a pair, only the first two of each.
+    """
+
+    entries: DataFrame
     size: int  # measured bytes of the entries
-    unseen: tuple[float, float]  # p(w) in each class of a word that was not counted
+    unseen: list[tuple[float, float]]  # p(w) in each class of a word that was not counted
     weights: np.ndarray | None = None
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
 
 
 class Known:
-    """Values of the words and pairs that some texts hold, by hash."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray, unseen: tuple[float, float]):
+    """Values of the words and pairs that some texts hold, by hash, in one of MODELS."""
+
+    def __init__(self, keys: np.ndarray, lists: pa.Array, unseen, model: int):
+        lengths = np.diff(lists.offsets.to_numpy())
+        values = lists.flatten().to_numpy()
+        word = lengths == len(VALUES) * len(MODELS)
+        of_words = np.repeat(word, lengths)
+        self.word_keys, self.words = self._sorted(
+            keys[word], values[of_words], len(VALUES), model, [*unseen[model], 1, 1, 0, 0]
+        )
+        self.pair_keys, self.pairs = self._sorted(
+            keys[~word], values[~of_words], 2, model, [0, 0]
+        )
+
+    @staticmethod
+    def _sorted(keys, values, width, model, missing):
+        """Keys in order, and their values with a last column for what is not among them."""
         order = np.argsort(keys)
-        self.keys = keys[order]
-        plain = np.array([*unseen, 1, 1, 0, 0], np.float32)
-        # The last column is of what is not in the table.
-        self.words = np.c_[values[:, order], plain]
-        self.pairs = np.c_[values[:2, order], np.zeros(2, np.float32)]
-
-    def at(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.searchsorted(self.keys, hashes)
-        if len(self.keys):
-            same = self.keys[np.minimum(found, len(self.keys) - 1)] == hashes
-            found[~same] = len(self.keys)
+        own = values.reshape(len(keys), len(MODELS), width)[order, model].T
+        return keys[order], np.c_[own, np.array(missing, np.float32)]
+
+    @staticmethod
+    def _at(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(keys, hashes)
+        if len(keys):
+            same = keys[np.minimum(found, len(keys) - 1)] == hashes
+            found[~same] = len(keys)
         return found
 
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
+        return self.words[:, self._at(self.word_keys, hashes)]
+
+    def of_pairs(self, hashes: np.ndarray) -> np.ndarray:
+        return self.pairs[:, self._at(self.pair_keys, hashes)]
+
 
 def _discounts(n: list[int]) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more."""
@@ -114,9 +247,8 @@ def _discounts(n: list[int]) -> np.ndarray:
     return np.clip(found, [0, 0.5, 0.5, 0.5], [0, 1, 2, 3])
 
 
-def _less(count: str, cut: np.ndarray):
+def _less(c, cut: np.ndarray):
     """What is taken off a count."""
-    c = F.col(count)
     return (
         F.when(c >= 3, float(cut[3]))
         .when(c == 2, float(cut[2]))
@@ -125,87 +257,88 @@ def _less(count: str, cut: np.ndarray):
     )
 
 
-def _few(counts: tuple[str, ...]) -> list:
-    """How many rows hold 1, 2, 3 and 4, for each of the columns."""
-    return [
-        F.count(F.when(F.col(c) == k, 1)).alias(f"{c}_{k}") for c in counts for k in range(1, 5)
-    ]
+def _few(count, name: str) -> list:
+    """How many rows have a count of 1, 2, 3 and 4."""
+    return [F.count(F.when(count == k, 1)).alias(f"{name}_{k}") for k in range(1, 5)]
+
+
+def _count(m: int, k: int):
+    """The count of a pair in a model's folds, in class ``k``."""
+    return sum(F.col(f"c{k}_{FOLDS[fold]}") for fold in MODELS[m])
+
 
+_EACH = [(m, k) for m in range(len(MODELS)) for k in (0, 1)]
 
-def count_types(training: DataFrame) -> DataFrame:
-    """Every distinct word pair of ``training`` rows (_r, toxic or null, text), written.
 
-    Its columns are pair, h, w and COUNTS.
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(text_of(text)).cast("bigint"))).first()[0] or 0
+
+
+def count_types(training: DataFrame, size: int | None = None) -> DataFrame:
+    """Words and labelled pairs of ``training`` rows (_r, toxic or null, text), written.
+
+    Rows of words have a key and STATS (to be summed up by key), rows of pairs a key
+    and COUNTS. A pair that only texts without a label hold is counted in SHARED of its
+    second word and goes no further.
     """
-    types = training.select("_r", "toxic", "text").mapInArrow(
-        _pair_counts, "pair long, h long, w long, " + ", ".join(f"{c} long" for c in COUNTS)
+    size = text_bytes(training) if size is None else size
+    side = math.isqrt(size // GROUP_BYTES) + 1
+    blocks = training.select("_r", "toxic", "text").mapInArrow(
+        _pair_blocks(side), "group long, n long, m long, block binary"
     )
-    types = types.groupBy("pair").agg(
-        F.first("h").alias("h"), F.first("w").alias("w"), *[F.sum(c).alias(c) for c in COUNTS]
+    types = blocks.groupBy("group").applyInArrow(
+        _group_types, ", ".join(f"{c} long" for c in ["key", SHARED, *STATS, *COUNTS])
     )
     return written_by_python(types, "types")
 
 
-def count_model(types: DataFrame, folds: tuple[int, ...] = FOLDS) -> Model:
-    """The model of all pairs of ``types`` with the counts of ``folds``; it grows with them.
+def count_model(types: DataFrame) -> Model:
+    """The models of all words and pairs of ``types``; they grow with them.
 
     A class's probability of a word after another is its discounted count, backing off
     to the number of different words before it in that class, and that to the number in
     all texts, labelled or not: there, what is rare in either class is equally likely.
     What reaches the driver is two rows of totals.
     """
-    counts = [sum(F.col(f"c{k}_{fold}") for fold in folds).alias(f"c{k}") for k in (0, 1)]
-    types = types.select("pair", "h", "w", *counts)
-    both = ("c0", "c1")
-    of = types.agg(*_few(both)).first()
-    cut = [_discounts([of[f"{c}_{k}"] for k in range(1, 5)]) for c in both]
-    types = types.select(
-        "*", *[(F.col(c) - _less(c, d)).alias(f"k{k}") for k, (c, d) in enumerate(zip(both, cut))]
-    )
-    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
-    after = types.select(
-        F.col("w").alias("key"),
-        *[(F.col(c) > 0).cast("bigint").alias(f"n{k}") for k, c in enumerate(both)],
-        F.lit(1).cast("bigint").alias("n"),
-        *[zero.alias(f"s{k}") for k in range(2)],
-        *[none.alias(f"k{k}") for k in range(2)],
-    )
-    before = types.select(
-        F.col("h").alias("key"),
-        *[zero.alias(name) for name in ("n0", "n1", "n")],
-        *[F.col(c).alias(f"s{k}") for k, c in enumerate(both)],
-        "k0",
-        "k1",
-    )
-    sums = ["n0", "n1", "n", "s0", "s1", "k0", "k1"]
-    words = after.unionByName(before).groupBy("key").agg(*[F.sum(c).alias(c) for c in sums])
-    words = materialize(words, "words")
-    of = words.agg(
-        *_few(("n0", "n1")),
-        *[F.sum(c).alias(f"sum_{c}") for c in ("n0", "n1", "n")],
-        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"some_{c}") for c in ("n0", "n1")],
-        F.count("*").alias("words"),
+    pairs = types.where(f"{SHARED} IS NULL").select("key", *COUNTS)
+    of = pairs.agg(
+        F.count("*").alias("pairs"), *[c for m, k in _EACH for c in _few(_count(m, k), f"{k}_{m}")]
     ).first()
+    of_pairs = {e: _discounts([of[f"{e[1]}_{e[0]}_{c}"] for c in range(1, 5)]) for e in _EACH}
+    rows = of["pairs"]
+    words = types.where(f"{SHARED} IS NOT NULL").groupBy("key")
+    words = materialize(words.agg(*[F.sum(c).alias(c) for c in (SHARED, *STATS)]), "words")
+    totals = [F.sum(SHARED).alias("all"), F.count("*").alias("words")]
+    for m, k in _EACH:
+        own = F.col(f"n{k}_{m}")
+        totals += _few(own, f"{k}_{m}")
+        totals += [F.sum(own).alias(f"sum{k}_{m}"), F.count(F.when(own > 0, 1)).alias(f"some{k}_{m}")]
+    of = words.agg(*totals).first()
     # One more for all words that were not counted.
-    every = (of["sum_n"] or 0) + of["words"] + 1
-    columns, unseen, shared = [], [], (F.col("n") + 1) / float(every)
-    for c in ("n0", "n1"):
-        n = [of[f"{c}_{k}"] for k in range(1, 5)]
-        cut, total = _discounts(n), of[f"sum_{c}"] or 0
-        off = cut[1] * n[0] + cut[2] * n[1] + cut[3] * (of[f"some_{c}"] - n[0] - n[1])
-        rest = float(off / total) if total else 1.0
-        columns.append((F.col(c) - _less(c, cut)) / float(max(total, 1)) + rest * shared)
-        unseen.append(rest / every)
-    for k in range(2):
-        weight = F.greatest(1 - F.col(f"k{k}") / F.col(f"s{k}"), F.lit(1e-3))
-        columns.append(F.when(F.col(f"s{k}") > 0, weight).otherwise(1.0))
-    columns += [1 / F.greatest(F.col(f"s{k}"), F.lit(1)) for k in range(2)]
-    entries = words.select("key", *[c.cast("float").alias(v) for c, v in zip(columns, VALUES)])
-    pairs = types.where("c0 + c1 > 0").select(
-        F.col("pair").alias("key"),
-        *[c.cast("float").alias(v) for c, v in zip([F.col("k0"), F.col("k1"), *[none] * 4], VALUES)],
-    )
-    return Model(*materialize_sized(entries.unionByName(pairs), "model"), tuple(unseen))
+    every = (of["all"] or 0) + of["words"] + 1
+    shared, unseen, values = (F.col(SHARED) + 1) / float(every), [], []
+    for m in range(len(MODELS)):
+        p, back, each, rests = [], [], [], []
+        for k in (0, 1):
+            n = [of[f"{k}_{m}_{c}"] for c in range(1, 5)]
+            cut, total = _discounts(n), of[f"sum{k}_{m}"] or 0
+            off = cut[1] * n[0] + cut[2] * n[1] + cut[3] * (of[f"some{k}_{m}"] - n[0] - n[1])
+            rest = float(off / total) if total else 1.0
+            own = F.col(f"n{k}_{m}")
+            p.append((own - _less(own, cut)) / float(max(total, 1)) + rest * shared)
+            rests.append(rest / every)
+            taken = zip(of_pairs[m, k][1:], ("one", "two", "more"))
+            taken = sum(float(d) * F.col(f"{name}{k}_{m}") for d, name in taken)
+            s = F.col(f"s{k}_{m}")
+            back.append(F.when(s > 0, F.greatest(taken / s, F.lit(1e-3))).otherwise(1.0))
+            each.append(1 / F.greatest(s, F.lit(1)))
+        values += [*p, *back, *each]
+        unseen.append(tuple(rests))
+    entries = words.select("key", F.array(*[v.cast("float") for v in values]).alias("v"))
+    left = [(_count(m, k) - _less(_count(m, k), of_pairs[m, k])).cast("float") for m, k in _EACH]
+    entries = entries.unionByName(pairs.select("key", F.array(*left).alias("v")))
+    width = 48 + 4 * len(VALUES) * len(MODELS)
+    return Model(entries, width * (rows + of["words"]), unseen)
 
 
 def features(known: Known, data, offsets) -> np.ndarray:
@@ -221,11 +354,10 @@ def features(known: Known, data, offsets) -> np.ndarray:
     hashes, rows, pairs, at = _words(data, offsets)
     if not len(hashes):
         return found
-    word = known.words[:, known.at(hashes)]
+    word = known.of_words(hashes)
     p, back, each = word[:2], word[2:4], word[4:]
     single = np.log(p[1]).astype(np.float64) - np.log(p[0])
-    pair = known.pairs[:, known.at(pairs)]
-    p[:, at + 1] = pair * each[:, at] + back[:, at] * p[:, at + 1]
+    p[:, at + 1] = known.of_pairs(pairs) * each[:, at] + back[:, at] * p[:, at + 1]
     ratio = np.clip(np.log(p[1]).astype(np.float64) - np.log(p[0]), -LIMIT, LIMIT)
     edge = tokens.bounds(rows, n)
     count = np.diff(edge)
@@ -248,62 +380,58 @@ def features(known: Known, data, offsets) -> np.ndarray:
     return found
 
 
-def _asked(text):
-    def asked(rows):
-        keys = [np.empty(0, np.uint64)]
-        for _, data, offsets in tokens.groups(rows.column(text).combine_chunks()):
-            hashes, _, pairs, _ = _words(data, offsets)
-            keys += [np.unique(hashes), np.unique(pairs)]
-        keys = np.unique(np.concatenate(keys))
-        part = pa.repeat(rows.column("_part")[0], len(keys))
-        return pa.table([part, pa.array(keys.view(np.int64))], ["_part", "key"])
-
-    return asked
+def _asked(rows: pa.Table) -> pa.Table:
+    keys = [np.empty(0, np.uint64)]
+    for _, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
+        hashes, _, pairs, _ = _words(data, offsets)
+        keys += [np.unique(hashes), np.unique(pairs)]
+    keys = np.unique(np.concatenate(keys))
+    part = pa.repeat(rows.column("_part")[0], len(keys))
+    return pa.table([part, pa.array(keys.view(np.int64))], ["_part", "key"])
 
 
-def _scored(unseen, weights, centre, scale, text, name):
-    def scored(rows, answers):
+def _features_of(unseen):
+    def found(rows, answers):
         keys = answers.column("key").to_numpy().view(np.uint64)
-        values = np.array([answers.column(v).to_numpy() for v in VALUES], np.float32)
-        known = Known(keys, values, unseen)
-        out = np.zeros((rows.num_rows, FEATURES))
-        for low, data, offsets in tokens.groups(rows.column(text).combine_chunks()):
-            out[low : low + len(offsets) - 1] = features(known, data, offsets)
-        rest = rows.drop_columns(["_part", *(["_text"] if text == "_text" else [])])
-        if weights is None:
-            made, names = list(out.T), [f"{name}{k}" for k in range(out.shape[1])]
-        else:
-            z = np.clip((out - centre) / scale @ weights[1:] + weights[0], -30, 30)
-            made, names = [1 / (1 + np.exp(-z))], [name]
-        return pa.table([*rest.columns, *map(pa.array, made)], [*rest.column_names, *names])
-
-    return scored
-
-
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score.
-
-    An uncalibrated model gives its features, ``name`` followed by a number. Rows are
-    dealt into parts of about PART_BYTES of text. Each part asks the model for its
-    distinct words and pairs and gets those that were counted, so neither the model nor
-    every word of every text has to be in one place or in the shuffle.
+        lists = answers.column("v").combine_chunks()
+        fold = rows.column("_fold").fill_null(-1).to_numpy()
+        out = np.zeros((2, rows.num_rows, FEATURES))
+        for m in range(len(MODELS)):
+            # The whole model for all rows, and for those of a fold the model of the other.
+            which = np.arange(len(fold)) if m == WHOLE else np.flatnonzero(fold == 1 - m)
+            texts = rows.column("text").combine_chunks().take(pa.array(which))
+            known = Known(keys, lists, unseen, m)
+            for low, data, offsets in tokens.groups(texts):
+                at = which[low : low + len(offsets) - 1]
+                out[int(m != WHOLE), at] = features(known, data, offsets)
+        rest = rows.drop_columns(["_part", "text"])
+        made = [pa.array(np.ascontiguousarray(c)) for side in out for c in side.T]
+        return pa.table([*rest.columns, *made], [*rest.column_names, *NAMES])
+
+    return found
+
+
+# Features by the whole model, and by that of the other fold.
+NAMES = [f"{side}{k}" for side in "xy" for k in range(FEATURES)]
+
+
+def with_features(rows: DataFrame, model: Model, size: int | None = None) -> DataFrame:
+    """``rows`` (text, _fold or null, others) without the text, with NAMES.
+
+    Rows are dealt into parts of about PART_BYTES of text. Each part asks the model for
+    its distinct words and pairs and gets those that were counted, so neither the model
+    nor every word of every text has to be in one place or in the shuffle.
     """
-    names = [name] if model.weights is not None else [f"{name}{k}" for k in range(FEATURES)]
-    schema = ", ".join(
-        [f"`{n}` {t}" for n, t in docs.dtypes] + [f"`{n}` double" for n in names]
-    )
-    size = docs.agg(F.sum(F.octet_length(text_of(text)).cast("bigint"))).first()[0] or 0
+    size = text_bytes(rows) if size is None else size
+    schema = [f"`{n}` {t}" for n, t in rows.dtypes if n != "text"] + [f"{n} double" for n in NAMES]
     # By content, so that a row is in the same part whenever it is read.
-    own = [F.col(f"`{n}`") for n, t in docs.dtypes if "map<" not in t and "variant" not in t]
-    parts = F.pmod(F.xxhash64(*own), F.lit(size // PART_BYTES + 1))
-    rows = docs
-    if dict(docs.dtypes)[text] != "string":
-        rows, text = docs.withColumn("_text", text_of(text)), "_text"
+    parts = F.pmod(F.xxhash64(*rows.columns), F.lit(size // PART_BYTES + 1))
     rows = rows.withColumn("_part", parts).repartition("_part")
-    asked = rows.groupBy("_part").applyInArrow(_asked(text), "_part long, key long")
+    asked = rows.groupBy("_part").applyInArrow(_asked, "_part long, key long")
     answers = asked.join(broadcast_if_small(model.entries, model.size), "key")
-    scored = _scored(model.unseen, model.weights, model.centre, model.scale, text, name)
-    return rows.groupBy("_part").cogroup(answers.groupBy("_part")).applyInArrow(scored, schema)
+    return rows.groupBy("_part").cogroup(answers.groupBy("_part")).applyInArrow(
+        _features_of(model.unseen), ", ".join(schema)
+    )
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -321,12 +449,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
-    """Count models of all texts that are not held out; labels of both folds are counted.
+def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[DataFrame, Model, int]:
+    """Documents (_id, _mark, text, _r, toxic, _fold), the models of them, and their bytes.
 
-    What the models have counted looks likelier than what is new, so each fold's
-    calibration rows are scored by the counts of the other. Without rows of both classes
-    every score is the share of toxic rows (0 without rows).
+    Texts that are not held out are counted, labels of both folds by class.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -334,23 +460,24 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     known = known.where(remainder("_id") != HELD_OUT_REMAINDER)
     known = broadcast_if_small(*materialize_sized(known, "labels"))
     own = docs.select(known_id(id).alias("_id"), text_of(text).alias("text"))
-    own = own.withColumn("_given", given_id("_id")).withColumn("_r", remainder("_given"))
-    own = own.drop("_given").where(f"_r <> {HELD_OUT_REMAINDER}")
-    types = count_types(own.join(known, "_id", "left"))
-    # The sample is drawn from ids, before any text is read.
-    order = [F.xxhash64("_id"), "_id"]
-    drawn = known.join(docs.select(known_id(id).alias("_id")), "_id", "left_semi")
-    drawn = drawn.orderBy(*order).limit(CALIBRATION_ROWS)
-    drawn = broadcast_if_small(*materialize_sized(drawn, "sample"))
-    sampled = own.join(drawn, "_id")
-    seen = None
-    for fold, other in zip(FOLDS, reversed(FOLDS)):
-        part = score(sampled.where(F.col("_r") == fold), count_model(types, (other,)), name="x")
-        seen = part if seen is None else seen.unionByName(part)
-    with small_batches(docs.sparkSession):
-        sample = seen.drop("text").orderBy(*order).limit(CALIBRATION_ROWS).toPandas()
-    model = count_model(types)
-    x = sample[[c for c in sample.columns if c.startswith("x")]].to_numpy()
+    own = own.withColumns({"_mark": F.xxhash64("text"), "_given": given_id("_id")})
+    own = own.withColumn("_r", remainder("_given")).drop("_given").join(known, "_id", "left")
+    fold = F.when(F.col("toxic").isNotNull(), F.when(F.col("_r") == FOLDS[0], 0).otherwise(1))
+    own = own.withColumn("_fold", fold)
+    size = text_bytes(own)
+    types = count_types(own.where(f"_r <> {HELD_OUT_REMAINDER}"), size)
+    return own, count_model(types), size
+
+
+def _calibrate(model: Model, found: DataFrame) -> Model:
+    """Fits the weights to labelled rows, at most CALIBRATION_ROWS, scored by the other fold.
+
+    What a model has counted looks likelier than what is new. Without rows of both
+    classes every score is the share of toxic rows (0 without rows).
+    """
+    sample = found.where("_fold IS NOT NULL").orderBy(F.xxhash64("_id"), "_id", "_mark")
+    sample = sample.limit(CALIBRATION_ROWS).select("toxic", *NAMES[FEATURES:]).toPandas()
+    x = sample[NAMES[FEATURES:]].to_numpy()
     y = sample["toxic"].to_numpy().astype(float)
     model.centre, model.scale = np.zeros(x.shape[1]), np.ones(x.shape[1])
     if len(set(y)) < 2:
@@ -362,19 +489,56 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     return model
 
 
+def _score(model: Model):
+    z = F.lit(float(model.weights[0]))
+    for name, w, c, s in zip(NAMES, model.weights[1:], model.centre, model.scale):
+        z = z + (F.col(name) - float(c)) / float(s) * float(w)
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
+    """A calibrated model that ``score`` can apply to other documents."""
+    own, model, _ = _learnt(docs, labels, id, text)
+    sample = with_features(own.where("_fold IS NOT NULL"), model)
+    return _calibrate(model, written_by_python(sample, "features"))
+
+
+def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id and score."""
+    rows = docs.select(
+        F.col(id).alias("doc_id"), text_of(text).alias("text"), F.lit(None).cast("int").alias("_fold")
+    )
+    return with_features(rows, model).select("doc_id", _score(model).alias("score"))
+
+
+def scored_rows(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Learns from the documents and scores them: _id (common.known_id), _mark and score.
+
+    ``_mark`` is xxhash64 of the text, null being empty, and tells rows of one id apart.
+    All texts are sent once, for the calibration and for the scores.
+    """
+    own, model, size = _learnt(docs, labels, id, text)
+    found = with_features(own.drop("_r"), model, size)
+    found = written_by_python(found, "features")
+    _calibrate(model, found)
+    return found.select("_id", "_mark", _score(model).alias("score"))
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score (0 to 1) and predicted (0 or 1).
 
     Words are runs of letters and digits, in lower case for ASCII. Null and empty texts
-    are scored like a text whose words tell nothing. Labels of the same id count once,
-    toxic if any says so; null labels and labels of unknown documents are not used. A
-    null id is held out. Other columns are ignored.
+    are scored like a text whose words tell nothing; texts of any length are read whole.
+    Labels of the same id count once, toxic if any says so; null labels and labels of
+    unknown documents are not used. A null id is held out. Repeated rows are counted and
+    scored one by one; an empty table gives no rows. Other columns are ignored.
     """
-    model = fit(docs, labels, id, text)
-    rows = docs.select(known_id(id).alias("_id"), text_of(text).alias("text"))
-    return score(rows.withColumn("doc_id", given_id("_id")), model).select(
+    found = scored_rows(docs, labels, id, text).withColumn("doc_id", given_id("_id"))
+    return found.select(
         "doc_id",
         (remainder("doc_id") == HELD_OUT_REMAINDER).alias("held_out"),
         "score",

@@ -1,10 +1,12 @@
 """Each operator against a brute-force version, on awkward rows as well as plain ones."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,48 +329,141 @@ def test_toxic_words_are_learnt_and_held_out_rows_found(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
-def test_every_pair_is_counted_and_its_mass_is_whole(spark):
-    frame, labels = toxic_corpus(spark, 60)
-    rows = frame.join(labels.where("doc_id <> 3"), "doc_id").collect()
-    pairs = {p for r in rows for p in zip(r["text"].split(), r["text"].split()[1:])}
-    training = spark.createDataFrame(
-        [(2 * (i % 2), r["toxic"], r["text"]) for i, r in enumerate(rows)],
-        "_r int, toxic int, text string",
+def plain_words(text):
+    return re.findall(r"[0-9a-z]+", text.lower())
+
+
+def as_hash(*words):
+    data = " ".join(words).encode()
+    hashes, rows, pairs, _ = toxicity._words(
+        np.frombuffer(data, np.uint8), np.array([0, len(data)], np.int64)
     )
+    return int((pairs if len(words) == 2 else hashes).view(np.int64)[0])
+
+
+def kneser_ney(rows, folds):
+    """p of each class for a word after another, counted in dictionaries."""
+    every = {p for _, _, t in rows for p in zip(plain_words(t), plain_words(t)[1:])}
+    before_all = Counter(w for _, w in every)
+    vocabulary = {w for p in every for w in p}
+    size = len(every) + len(vocabulary) + 1
+
+    def discounts(values):
+        n = [max(sum(v == c for v in values), 1) for c in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        found = [c - (c + 1) * y * n[c] / n[c - 1] for c in (1, 2, 3)]
+        return [0, *(min(max(f, 0.5), c) for c, f in enumerate(found, 1))]
+
+    models = []
+    for k in (0, 1):
+        pairs = Counter(
+            p for r, toxic, t in rows if r in folds and toxic == k
+            for p in zip(plain_words(t), plain_words(t)[1:])
+        )
+        before = Counter(w for _, w in pairs)
+        cut, cut_words = discounts(pairs.values()), discounts(before.values())
+        total = sum(before.values())
+        freed = sum(cut_words[min(v, 3)] for v in before.values()) / total if total else 1.0
+        after = defaultdict(list)
+        for (h, _), v in pairs.items():
+            after[h].append(v)
+
+        def single(w, before=before, cut_words=cut_words, total=total, freed=freed):
+            own = (before[w] - cut_words[min(before[w], 3)]) / max(total, 1)
+            return own + freed * (before_all[w] + 1) / size
+
+        def both(h, w, pairs=pairs, after=after, cut=cut, single=single):
+            if h not in after:
+                return single(w)
+            whole = sum(after[h])
+            rest = max(sum(cut[min(v, 3)] for v in after[h]) / whole, 1e-3)
+            return (pairs[h, w] - cut[min(pairs[h, w], 3)]) / whole + rest * single(w)
+
+        models.append((single, both))
+    return vocabulary, every, models
+
+
+def awkward_training(spark):
+    frame, labels = toxic_corpus(spark, 90)
+    label = {r[0]: r[1] for r in labels.where("toxic IS NOT NULL AND doc_id < 60").collect()}
+    rows = [(2 * (r["doc_id"] % 2), label.get(r["doc_id"]), r["text"]) for r in frame.collect()]
+    rows += [(0, 1, ""), (0, None, "one"), rows[5], rows[5], (2, 0, " ".join(["w1 w2 w3"] * 3000))]
+    return rows, spark.createDataFrame(rows, "_r int, toxic int, text string")
+
+
+@pytest.mark.parametrize("group,held", [(1 << 24, 3_000_000), (5_000, 100)])
+def test_models_equal_plain_kneser_ney(spark, monkeypatch, group, held):
+    monkeypatch.setattr(toxicity, "GROUP_BYTES", group)
+    monkeypatch.setattr(toxicity, "HELD_PAIRS", held)
+    rows, training = awkward_training(spark)
     types = toxicity.count_types(training)
     model = toxicity.count_model(types)
-    entries = {r["key"]: r for r in model.entries.collect()}
-    types = types.collect()
-    assert len(types) == len(pairs)
-    words = {h for r in types for h in (r["h"], r["w"])}
-    assert len(entries) == len(pairs) + len(words)
-    for k in "01":
-        total = sum(entries[w]["a" + k] for w in words) + model.unseen[int(k)]
-        assert total == pytest.approx(1, abs=1e-4)
-        after = defaultdict(float)
-        for r in types:
-            after[r["h"]] += entries[r["pair"]]["a" + k] * entries[r["h"]]["each" + k]
-        for h, mass in after.items():
-            assert mass + entries[h]["back" + k] == pytest.approx(1, abs=2e-3)
+    entries = {r["key"]: r["v"] for r in model.entries.collect()}
+    for m, folds in enumerate(((0,), (2,), (0, 2))):
+        vocabulary, every, models = kneser_ney(rows, folds)
+        labelled = {p for _, toxic, t in rows if toxic is not None
+                    for p in zip(plain_words(t), plain_words(t)[1:])}
+        assert set(entries) == {as_hash(w) for w in vocabulary} | {as_hash(*p) for p in labelled}
+        width = len(toxicity.VALUES)
+        for k, (single, both) in enumerate(models):
+            for w in vocabulary:
+                assert entries[as_hash(w)][width * m + k] == pytest.approx(single(w), rel=1e-4)
+            assert model.unseen[m][k] == pytest.approx(single("never seen"), rel=1e-6)
+            assert sum(map(single, vocabulary)) + model.unseen[m][k] == pytest.approx(1, abs=1e-6)
+            for h, w in every:
+                own = entries[as_hash(h)][width * m : width * (m + 1)]
+                pair = entries.get(as_hash(h, w), [0] * 6)[2 * m + k]
+                found = pair * own[4 + k] + own[2 + k] * entries[as_hash(w)][width * m + k]
+                assert found == pytest.approx(both(h, w), rel=1e-4)
+
+
+def test_features_are_the_plain_ratios(spark):
+    rows, training = awkward_training(spark)
+    model = toxicity.count_model(toxicity.count_types(training))
+    texts = [r[2] for r in rows[:8]] + ["", "vile w3", "never seen words here", rows[-1][2]]
+    asked = spark.createDataFrame(
+        [(i, t, (None, 0, 1)[i % 3]) for i, t in enumerate(texts)], "n int, text string, _fold int"
+    )
+    found = {r["n"]: r for r in toxicity.with_features(asked, model).collect()}
+    assert len(found) == len(texts)
+    for side, folds_of in (("x", lambda i: (0, 2)), ("y", lambda i: {1: (2,), 2: (0,)}.get(i % 3))):
+        for i, t in enumerate(texts):
+            folds, words = folds_of(i), plain_words(t)
+            if folds is None or not words:
+                assert found[i][side + "0"] == 0
+                continue
+            _, _, ((p0, q0), (p1, q1)) = kneser_ney(rows, folds)
+            single = [math.log(p1(w) / p0(w)) for w in words]
+            ratio = [single[0]] + [math.log(q1(h, w) / q0(h, w)) for h, w in zip(words, words[1:])]
+            mean = sum(max(min(r, 5), -5) for r in ratio) / len(ratio)
+            stretch = [sum(single[at : at + 4]) / len(single[at : at + 4])
+                       for at in range(max(len(single) - 3, 1))]
+            tail = sum(max(s - 3, 0) for s in single) / len(single)
+            want = [mean, max(stretch), math.log(tail + 1e-4)]
+            assert [found[i][f"{side}{k}"] for k in range(3)] == pytest.approx(want, abs=2e-3)
 
 
 def test_both_folds_and_unlabelled_texts_are_counted(spark, monkeypatch):
     found = []
     count = toxicity.count_types
-    monkeypatch.setattr(toxicity, "count_types", lambda rows: found.append(count(rows)) or found[0])
+    monkeypatch.setattr(
+        toxicity, "count_types", lambda rows, size: found.append(count(rows, size)) or found[0]
+    )
     rows = [(i, f"a{i} b{i}") for i in range(60)]
     labels = [(i, int(i % 4 == 0)) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     of = {i: zlib.crc32(str(i).encode()) % 3 for i in range(60)}
-    counted = Counter(tuple(r[c] for c in toxicity.COUNTS) for r in found[0].collect())
-    assert counted == Counter(
-        tuple(int((k, r) == (int(i % 4 == 0), of[i]) and i < 40) for r in (0, 2) for k in (1, 0))
-        for i in range(60)
+    pairs = found[0].where("n IS NULL").collect()
+    assert Counter(tuple(r[c] for c in toxicity.COUNTS) for r in pairs) == Counter(
+        tuple(int((k, r) == (int(i % 4 == 0), of[i])) for r in (0, 2) for k in (1, 0))
+        for i in range(40)
         if of[i] != 1
     )
     learnt = sum(of[i] != 1 for i in range(60))
+    assert found[0].agg(F.sum("n")).first()[0] == learnt
     assert model.entries.count() == 2 * learnt + sum(of[i] != 1 for i in range(40))
+    assert toxicity.score(docs, model).count() == len(rows)
 
 
 def test_toxicity_of_awkward_rows(docs, nothing, spark):
