@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
-from stratacast.llm.common import table
+from stratacast.llm.common import known_id, table, text_of
 from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
@@ -24,9 +24,13 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under the threshold."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, name="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.REJECT_AT).select(*docs.columns)
+    scored = toxicity.scored_rows(docs, table(spark, sf_dir, "labels"))
+    bad = scored.where(F.col("score") >= toxicity.REJECT_AT).select(
+        F.col("_id").alias("_of"), F.col("_mark").alias("_sha")
+    )
+    bad = broadcast_if_small(*materialize_sized(bad.distinct(), "toxic"))
+    own = (known_id("doc_id") == bad["_of"]) & (F.xxhash64(text_of("text")) == bad["_sha"])
+    return docs.join(bad, own, "left_anti")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
