@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,13 +46,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files go as soon as the execution that wrote them has ended.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Queries planned inside run with the setting; what was set before comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several jobs read and continue from the files.
 
     Cuts the lineage on reliable storage, so a lost executor costs a re-read
     and not the upstream work; later readers keep column pruning. Compressed harder
-    than by default: these files are read a few times and take up the shared folder.
+    than by default: these files are read a few times and take up the shared folder. Once
+    they stand, nothing reads the shuffles behind them, so those are removed at once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with session_setting(df.sparkSession, _FREE_SHUFFLES, "true"):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
