@@ -25,6 +25,8 @@ from stratacast.session import materialize
 PART_BYTES = 1 << 24
 # Bytes of texts whose pairs meet in one group, and pairs that a task holds before it sends them.
 GROUP_BYTES, HELD_PAIRS = 1 << 24, 3_000_000
+# Bytes of texts, or of the model, to a bucket of the model.
+BUCKET_BYTES = 1 << 24
 # What a model says of a word: p(w) of each class, the weight of p(w') after it and one
 # over its count; of a pair: its discounted counts.
 VALUES = ["a0", "a1", "back0", "back1", "each0", "each1"]
@@ -205,24 +207,15 @@ class Model:
 class Known:
     """Values of the words and pairs that some texts hold, by hash, in one of MODELS."""
 
-    def __init__(self, keys: np.ndarray, lists: pa.Array, unseen, model: int):
-        lengths = np.diff(lists.offsets.to_numpy())
-        values = lists.flatten().to_numpy()
-        word = lengths == len(VALUES) * len(MODELS)
-        of_words = np.repeat(word, lengths)
-        self.word_keys, self.words = self._sorted(
-            keys[word], values[of_words], len(VALUES), model, [*unseen[model], 1, 1, 0, 0]
-        )
-        self.pair_keys, self.pairs = self._sorted(
-            keys[~word], values[~of_words], 2, model, [0, 0]
-        )
+    def __init__(self, words, pairs, unseen, model: int):
+        """``words`` and ``pairs``: sorted keys, and values by key, model and kind."""
+        self.word_keys, self.words = self._with_missing(*words, model, [*unseen[model], 1, 1, 0, 0])
+        self.pair_keys, self.pairs = self._with_missing(*pairs, model, [0, 0])
 
     @staticmethod
-    def _sorted(keys, values, width, model, missing):
-        """Keys in order, and their values with a last column for what is not among them."""
-        order = np.argsort(keys)
-        own = values.reshape(len(keys), len(MODELS), width)[order, model].T
-        return keys[order], np.c_[own, np.array(missing, np.float32)]
+    def _with_missing(keys, values, model, missing):
+        """The model's values with a last column for what is not among the keys."""
+        return keys, np.c_[values[:, model].T, np.array(missing, np.float32)]
 
     @staticmethod
     def _at(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -380,27 +373,93 @@ def features(known: Known, data, offsets) -> np.ndarray:
     return found
 
 
-def _asked(rows: pa.Table) -> pa.Table:
-    keys = [np.empty(0, np.uint64)]
-    for _, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
-        hashes, _, pairs, _ = _words(data, offsets)
-        keys += [np.unique(hashes), np.unique(pairs)]
-    keys = np.unique(np.concatenate(keys))
-    part = pa.repeat(rows.column("_part")[0], len(keys))
-    return pa.table([part, pa.array(keys.view(np.int64))], ["_part", "key"])
+# Numbers that the model has of a word and of a pair.
+WIDTHS = {"words": len(VALUES) * len(MODELS), "pairs": 2 * len(MODELS)}
+
+
+def _squeeze(numbers: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(numbers).tobytes(), codec="zstd", asbytes=True)
+
+
+def _expand(block: bytes, n: int, kind) -> np.ndarray:
+    raw = pa.decompress(block, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, kind, n)
+
+
+def _asked(buckets: int):
+    """What each part asks of each bucket of the model: sorted distinct keys."""
+
+    def asked(rows: pa.Table) -> pa.Table:
+        keys = [np.empty(0, np.uint64)]
+        for _, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
+            hashes, _, pairs, _ = _words(data, offsets)
+            keys += [np.unique(hashes), np.unique(pairs)]
+        keys = np.unique(np.concatenate(keys))
+        bucket = (keys % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = tokens.bounds(bucket[order], buckets)
+        some = np.flatnonzero(np.diff(cut))
+        blocks = [keys[order[cut[b] : cut[b + 1]]].astype("<u8").tobytes() for b in some]
+        part = pa.repeat(rows.column("_part")[0], len(some))
+        return pa.table([part, pa.array(some), pa.array(blocks, pa.binary())], ["_part", "bucket", "keys"])
+
+    return asked
+
+
+def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
+    """For each part's keys those that the bucket knows, with their values."""
+    keys = entries.column("key").to_numpy().view(np.uint64)
+    lists = entries.column("v").combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int64)
+    values = lists.flatten().to_numpy()
+    known = {}
+    for name, width in WIDTHS.items():
+        own = lengths == width
+        order = np.argsort(keys[own])
+        held = values[np.repeat(own, lengths)].reshape(-1, width)
+        known[name] = keys[own][order], held[order]
+    made = []
+    for part, block in zip(asked.column("_part").to_pylist(), asked.column("keys").to_pylist()):
+        wanted = np.frombuffer(block, "<u8")
+        row = [part]
+        for own, held in known.values():
+            at = np.searchsorted(own, wanted)
+            at = at[own[np.minimum(at, len(own) - 1)] == wanted] if len(own) else at[:0]
+            row += [len(at), own[at].astype("<u8").tobytes(), _squeeze(held[at].astype("<f4"))]
+        made.append(row)
+    return pa.Table.from_pylist([dict(zip(ANSWER.names, row)) for row in made], ANSWER)
+
+
+ANSWER = pa.schema(
+    [("_part", pa.int64())]
+    + [(f"{name}_{c}", t) for name in WIDTHS for c, t in
+       (("n", pa.int64()), ("keys", pa.binary()), ("values", pa.binary()))]
+)
+
+
+def _gathered(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys out of all answers to a part, and values by key, model and kind."""
+    width = WIDTHS[name]
+    keys, values = [np.empty(0, "<u8")], [np.empty((0, width), "<f4")]
+    columns = [answers.column(f"{name}_{c}").to_pylist() for c in ("n", "keys", "values")]
+    for n, own, held in zip(*columns):
+        keys.append(np.frombuffer(own, "<u8"))
+        values.append(_expand(held, n * width, "<f4").reshape(n, width))
+    keys = np.concatenate(keys)
+    order = np.argsort(keys)
+    return keys[order], np.concatenate(values)[order].reshape(len(keys), len(MODELS), width // len(MODELS))
 
 
 def _features_of(unseen):
     def found(rows, answers):
-        keys = answers.column("key").to_numpy().view(np.uint64)
-        lists = answers.column("v").combine_chunks()
+        words, pairs = _gathered(answers, "words"), _gathered(answers, "pairs")
         fold = rows.column("_fold").fill_null(-1).to_numpy()
         out = np.zeros((2, rows.num_rows, FEATURES))
         for m in range(len(MODELS)):
             # The whole model for all rows, and for those of a fold the model of the other.
             which = np.arange(len(fold)) if m == WHOLE else np.flatnonzero(fold == 1 - m)
             texts = rows.column("text").combine_chunks().take(pa.array(which))
-            known = Known(keys, lists, unseen, m)
+            known = Known(words, pairs, unseen, m)
             for low, data, offsets in tokens.groups(texts):
                 at = which[low : low + len(offsets) - 1]
                 out[int(m != WHOLE), at] = features(known, data, offsets)
@@ -418,17 +477,28 @@ NAMES = [f"{side}{k}" for side in "xy" for k in range(FEATURES)]
 def with_features(rows: DataFrame, model: Model, size: int | None = None) -> DataFrame:
     """``rows`` (text, _fold or null, others) without the text, with NAMES.
 
-    Rows are dealt into parts of about PART_BYTES of text. Each part asks the model for
-    its distinct words and pairs and gets those that were counted, so neither the model
-    nor every word of every text has to be in one place or in the shuffle.
+    Rows are dealt into parts of about PART_BYTES of text, and the model into buckets of
+    keys. Each part sends its distinct words and pairs to the buckets and gets those that
+    were counted, packed, so neither the model nor every word of every text has to be
+    in one place or in the shuffle.
     """
     size = text_bytes(rows) if size is None else size
     schema = [f"`{n}` {t}" for n, t in rows.dtypes if n != "text"] + [f"{n} double" for n in NAMES]
     # By content, so that a row is in the same part whenever it is read.
     parts = F.pmod(F.xxhash64(*rows.columns), F.lit(size // PART_BYTES + 1))
     rows = rows.withColumn("_part", parts).repartition("_part")
-    asked = rows.groupBy("_part").applyInArrow(_asked, "_part long, key long")
-    answers = asked.join(broadcast_if_small(model.entries, model.size), "key")
+    buckets = max(size, model.size) // BUCKET_BYTES + 1
+    asked = rows.groupBy("_part").applyInArrow(
+        _asked(buckets), "_part long, bucket long, keys binary"
+    )
+    # The remainder of the key as an unsigned number.
+    wrapped = F.when(F.col("key") < 0, (1 << 64) % buckets).otherwise(0)
+    bucket = F.pmod(F.pmod("key", F.lit(buckets)) + wrapped, F.lit(buckets))
+    entries = model.entries.withColumn("bucket", bucket)
+    kinds = {pa.int64(): "long", pa.binary(): "binary"}
+    answers = asked.groupBy("bucket").cogroup(entries.groupBy("bucket")).applyInArrow(
+        _answered, ", ".join(f"{f.name} {kinds[f.type]}" for f in ANSWER)
+    )
     return rows.groupBy("_part").cogroup(answers.groupBy("_part")).applyInArrow(
         _features_of(model.unseen), ", ".join(schema)
     )

@@ -417,7 +417,10 @@ def test_models_equal_plain_kneser_ney(spark, monkeypatch, group, held):
                 assert found == pytest.approx(both(h, w), rel=1e-4)
 
 
-def test_features_are_the_plain_ratios(spark):
+@pytest.mark.parametrize("part", [1 << 24, 4_000])
+def test_features_are_the_plain_ratios(spark, monkeypatch, part):
+    monkeypatch.setattr(toxicity, "PART_BYTES", part)
+    monkeypatch.setattr(toxicity, "BUCKET_BYTES", part)
     rows, training = awkward_training(spark)
     model = toxicity.count_model(toxicity.count_types(training))
     texts = [r[2] for r in rows[:8]] + ["", "vile w3", "never seen words here", rows[-1][2]]
