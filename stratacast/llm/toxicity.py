@@ -386,8 +386,29 @@ def _expand(block: bytes, n: int, kind) -> np.ndarray:
     return np.frombuffer(raw, kind, n)
 
 
+def _high(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(32)).astype(np.uint32)
+
+
+def _pack_sorted(numbers: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers by their differences."""
+    return _squeeze(np.frombuffer(_planes(np.diff(numbers.astype(np.int64), prepend=0)), np.uint8))
+
+
+def _unpack_planes(block: bytes, n: int) -> np.ndarray:
+    planes = _expand(block, 4 * n, np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+
+
+def _unpack_sorted(block: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack_planes(block, n), dtype=np.uint64)
+
+
 def _asked(buckets: int):
-    """What each part asks of each bucket of the model: sorted distinct keys."""
+    """What each part asks of each bucket of the model: the high halves of its distinct keys.
+
+    A bucket answers with whole keys, so those that only share a high half do no harm.
+    """
 
     def asked(rows: pa.Table) -> pa.Table:
         keys = [np.empty(0, np.uint64)]
@@ -399,9 +420,14 @@ def _asked(buckets: int):
         order = np.argsort(bucket, kind="stable")
         cut = tokens.bounds(bucket[order], buckets)
         some = np.flatnonzero(np.diff(cut))
-        blocks = [keys[order[cut[b] : cut[b + 1]]].astype("<u8").tobytes() for b in some]
-        part = pa.repeat(rows.column("_part")[0], len(some))
-        return pa.table([part, pa.array(some), pa.array(blocks, pa.binary())], ["_part", "bucket", "keys"])
+        halves = [np.unique(_high(keys[order[cut[b] : cut[b + 1]]])) for b in some]
+        columns = {
+            "_part": pa.repeat(rows.column("_part")[0], len(some)),
+            "bucket": pa.array(some, pa.int64()),
+            "n": pa.array([len(h) for h in halves], pa.int64()),
+            "halves": pa.array([_pack_sorted(h) for h in halves], pa.binary()),
+        }
+        return pa.table(columns)
 
     return asked
 
@@ -417,15 +443,18 @@ def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
         own = lengths == width
         order = np.argsort(keys[own])
         held = values[np.repeat(own, lengths)].reshape(-1, width)
-        known[name] = keys[own][order], held[order]
+        known[name] = keys[own][order], _high(keys[own][order]), held[order]
     made = []
-    for part, block in zip(asked.column("_part").to_pylist(), asked.column("keys").to_pylist()):
-        wanted = np.frombuffer(block, "<u8")
+    for part, n, block in zip(*(asked.column(c).to_pylist() for c in ("_part", "n", "halves"))):
+        wanted = _unpack_sorted(block, n).astype(np.uint32)
         row = [part]
-        for own, held in known.values():
-            at = np.searchsorted(own, wanted)
-            at = at[own[np.minimum(at, len(own) - 1)] == wanted] if len(own) else at[:0]
-            row += [len(at), own[at].astype("<u8").tobytes(), _squeeze(held[at].astype("<f4"))]
+        for own, halves, held in known.values():
+            low, high = (np.searchsorted(halves, wanted, side) for side in ("left", "right"))
+            count = high - low
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            packed = _planes((own[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+            row += [len(at), _pack_sorted(halves[at]), _squeeze(np.frombuffer(packed, np.uint8))]
+            row.append(_squeeze(held[at].astype("<f4")))
         made.append(row)
     return pa.Table.from_pylist([dict(zip(ANSWER.names, row)) for row in made], ANSWER)
 
@@ -433,21 +462,22 @@ def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
 ANSWER = pa.schema(
     [("_part", pa.int64())]
     + [(f"{name}_{c}", t) for name in WIDTHS for c, t in
-       (("n", pa.int64()), ("keys", pa.binary()), ("values", pa.binary()))]
+       (("n", pa.int64()), ("high", pa.binary()), ("low", pa.binary()), ("values", pa.binary()))]
 )
 
 
 def _gathered(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys out of all answers to a part, and values by key, model and kind."""
     width = WIDTHS[name]
-    keys, values = [np.empty(0, "<u8")], [np.empty((0, width), "<f4")]
-    columns = [answers.column(f"{name}_{c}").to_pylist() for c in ("n", "keys", "values")]
-    for n, own, held in zip(*columns):
-        keys.append(np.frombuffer(own, "<u8"))
+    keys, values = [np.empty(0, np.uint64)], [np.empty((0, width), "<f4")]
+    columns = [answers.column(f"{name}_{c}").to_pylist() for c in ("n", "high", "low", "values")]
+    for n, high, low, held in zip(*columns):
+        keys.append(_unpack_sorted(high, n) << np.uint64(32) | _unpack_planes(low, n).astype(np.uint64))
         values.append(_expand(held, n * width, "<f4").reshape(n, width))
     keys = np.concatenate(keys)
     order = np.argsort(keys)
-    return keys[order], np.concatenate(values)[order].reshape(len(keys), len(MODELS), width // len(MODELS))
+    values = np.concatenate(values)[order]
+    return keys[order], values.reshape(len(keys), len(MODELS), width // len(MODELS))
 
 
 def _features_of(unseen):
@@ -489,7 +519,7 @@ def with_features(rows: DataFrame, model: Model, size: int | None = None) -> Dat
     rows = rows.withColumn("_part", parts).repartition("_part")
     buckets = max(size, model.size) // BUCKET_BYTES + 1
     asked = rows.groupBy("_part").applyInArrow(
-        _asked(buckets), "_part long, bucket long, keys binary"
+        _asked(buckets), "_part long, bucket long, n long, halves binary"
     )
     # The remainder of the key as an unsigned number.
     wrapped = F.when(F.col("key") < 0, (1 << 64) % buckets).otherwise(0)
