@@ -22,9 +22,9 @@ from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
 # Bytes of texts that are scored together: the words and pairs they hold are looked up once.
-PART_BYTES = 1 << 24
+PART_BYTES = 1 << 23
 # Bytes of texts whose pairs meet in one group, and pairs that a task holds before it sends them.
-GROUP_BYTES, HELD_PAIRS = 1 << 24, 3_000_000
+GROUP_BYTES, HELD_PAIRS = 1 << 24, 1_000_000
 # Bytes of texts, or of the model, to a bucket of the model.
 BUCKET_BYTES = 1 << 24
 # What a model says of a word: p(w) of each class, the weight of p(w') after it and one
@@ -55,6 +55,12 @@ def remainder(id: str):
     return F.coalesce(own, F.lit(HELD_OUT_REMAINDER))
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; numpy's own way with long integers is much slower."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]][: len(keys)]]
+
+
 def _words(data, offsets):
     hashes, _, _, rows = tokens.words(data, offsets, tokens.PLAIN, tokens.FOLD)
     pairs, at = tokens.runs(hashes, rows, 2)
@@ -146,7 +152,7 @@ def _pair_blocks(side: int):
             for low, data, offsets in tokens.groups(batch.column("text")):
                 hashes, rows, pairs, at = _words(data, offsets)
                 counts = kind[low + rows[at]] == np.arange(len(COUNTS))[:, None]
-                own = Pairs(pairs, hashes[at], hashes[at + 1], counts.astype(np.int64))
+                own = Pairs(pairs, hashes[at], hashes[at + 1], counts.astype(np.int32))
                 held.append(own.distinct())
                 size += len(held[-1].pair)
                 if size > HELD_PAIRS:
@@ -414,13 +420,13 @@ def _asked(buckets: int):
         keys = [np.empty(0, np.uint64)]
         for _, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
             hashes, _, pairs, _ = _words(data, offsets)
-            keys += [np.unique(hashes), np.unique(pairs)]
-        keys = np.unique(np.concatenate(keys))
+            keys += [_distinct(hashes), _distinct(pairs)]
+        keys = _distinct(np.concatenate(keys))
         bucket = (keys % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cut = tokens.bounds(bucket[order], buckets)
         some = np.flatnonzero(np.diff(cut))
-        halves = [np.unique(_high(keys[order[cut[b] : cut[b + 1]]])) for b in some]
+        halves = [_distinct(_high(keys[order[cut[b] : cut[b + 1]]])) for b in some]
         columns = {
             "_part": pa.repeat(rows.column("_part")[0], len(some)),
             "bucket": pa.array(some, pa.int64()),
