@@ -40,6 +40,9 @@ FOLDS, HELD_OUT_REMAINDER = (0, 2), 1
 # The models, by the folds they have counted: one of each fold, and the whole one.
 MODELS = ((0,), (1,), (0, 1))
 WHOLE = 2
+# Which models score a part, by its number modulo three: rows that calibrate nothing, and
+# those of either fold, which the other one scores too.
+SCORED_BY = ((WHOLE,), (WHOLE, 1), (WHOLE, 0))
 # Counts of a pair: in toxic and other rows of each fold.
 COUNTS = [f"c{k}_{fold}" for fold in FOLDS for k in (1, 0)]
 # Of a word, for each model and class (other, toxic): different words before it; words after
@@ -213,15 +216,15 @@ class Model:
 class Known:
     """Values of the words and pairs that some texts hold, by hash, in one of MODELS."""
 
-    def __init__(self, words, pairs, unseen, model: int):
+    def __init__(self, words, pairs, unseen: tuple[float, float], k: int):
         """``words`` and ``pairs``: sorted keys, and values by key, model and kind."""
-        self.word_keys, self.words = self._with_missing(*words, model, [*unseen[model], 1, 1, 0, 0])
-        self.pair_keys, self.pairs = self._with_missing(*pairs, model, [0, 0])
+        self.word_keys, self.words = self._with_missing(*words, k, [*unseen, 1, 1, 0, 0])
+        self.pair_keys, self.pairs = self._with_missing(*pairs, k, [0, 0])
 
     @staticmethod
-    def _with_missing(keys, values, model, missing):
-        """The model's values with a last column for what is not among the keys."""
-        return keys, np.c_[values[:, model].T, np.array(missing, np.float32)]
+    def _with_missing(keys, values, k, missing):
+        """Values by the k-th model, with a last column for what is not among the keys."""
+        return keys, np.c_[values[:, k].T, np.array(missing, np.float32)]
 
     @staticmethod
     def _at(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -453,14 +456,15 @@ def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
     made = []
     for part, n, block in zip(*(asked.column(c).to_pylist() for c in ("_part", "n", "halves"))):
         wanted = _unpack_sorted(block, n).astype(np.uint32)
-        row = [part]
+        row, models = [part], list(SCORED_BY[part % 3])
         for own, halves, held in known.values():
             low, high = (np.searchsorted(halves, wanted, side) for side in ("left", "right"))
             count = high - low
             at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
             packed = _planes((own[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
             row += [len(at), _pack_sorted(halves[at]), _squeeze(np.frombuffer(packed, np.uint8))]
-            row.append(_squeeze(held[at].astype("<f4")))
+            held = held[at].reshape(len(at), len(MODELS), held.shape[1] // len(MODELS))
+            row.append(_squeeze(held[:, models].astype("<f4")))
         made.append(row)
     return pa.Table.from_pylist([dict(zip(ANSWER.names, row)) for row in made], ANSWER)
 
@@ -472,9 +476,9 @@ ANSWER = pa.schema(
 )
 
 
-def _gathered(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+def _gathered(answers: pa.Table, name: str, models: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys out of all answers to a part, and values by key, model and kind."""
-    width = WIDTHS[name]
+    width = WIDTHS[name] // len(MODELS) * models
     keys, values = [np.empty(0, np.uint64)], [np.empty((0, width), "<f4")]
     columns = [answers.column(f"{name}_{c}").to_pylist() for c in ("n", "high", "low", "values")]
     for n, high, low, held in zip(*columns):
@@ -483,22 +487,18 @@ def _gathered(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate(keys)
     order = np.argsort(keys)
     values = np.concatenate(values)[order]
-    return keys[order], values.reshape(len(keys), len(MODELS), width // len(MODELS))
+    return keys[order], values.reshape(len(keys), models, width // models)
 
 
 def _features_of(unseen):
     def found(rows, answers):
-        words, pairs = _gathered(answers, "words"), _gathered(answers, "pairs")
-        fold = rows.column("_fold").fill_null(-1).to_numpy()
+        models = SCORED_BY[rows.column("_part")[0].as_py() % 3]
+        words, pairs = (_gathered(answers, name, len(models)) for name in WIDTHS)
         out = np.zeros((2, rows.num_rows, FEATURES))
-        for m in range(len(MODELS)):
-            # The whole model for all rows, and for those of a fold the model of the other.
-            which = np.arange(len(fold)) if m == WHOLE else np.flatnonzero(fold == 1 - m)
-            texts = rows.column("text").combine_chunks().take(pa.array(which))
-            known = Known(words, pairs, unseen, m)
-            for low, data, offsets in tokens.groups(texts):
-                at = which[low : low + len(offsets) - 1]
-                out[int(m != WHOLE), at] = features(known, data, offsets)
+        for k, m in enumerate(models):
+            known = Known(words, pairs, unseen[m], k)
+            for low, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
+                out[k, low : low + len(offsets) - 1] = features(known, data, offsets)
         rest = rows.drop_columns(["_part", "text"])
         made = [pa.array(np.ascontiguousarray(c)) for side in out for c in side.T]
         return pa.table([*rest.columns, *made], [*rest.column_names, *NAMES])
@@ -522,6 +522,7 @@ def with_features(rows: DataFrame, model: Model, size: int | None = None) -> Dat
     schema = [f"`{n}` {t}" for n, t in rows.dtypes if n != "text"] + [f"{n} double" for n in NAMES]
     # By content, so that a row is in the same part whenever it is read.
     parts = F.pmod(F.xxhash64(*rows.columns), F.lit(size // PART_BYTES + 1))
+    parts = parts * 3 + F.coalesce("_fold", F.lit(-1)) + 1
     rows = rows.withColumn("_part", parts).repartition("_part")
     buckets = max(size, model.size) // BUCKET_BYTES + 1
     asked = rows.groupBy("_part").applyInArrow(

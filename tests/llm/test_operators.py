@@ -453,12 +453,12 @@ def test_keys_that_share_a_high_half_are_told_apart():
     values = [[float(k)] * w for k, w in enumerate((wide, wide, narrow, narrow))]
     entries = pa.table({"key": keys.view(np.int64), "v": pa.array(values, pa.list_(pa.float32()))})
     halves = np.array([0, 5, 6, 2**32 - 1], np.uint32)
-    asked = pa.table({"_part": [3], "n": [4], "halves": [toxicity._pack_sorted(halves)]})
+    asked = pa.table({"_part": [4], "n": [4], "halves": [toxicity._pack_sorted(halves)]})
     answers = toxicity._answered(asked, entries)
-    found, held = toxicity._gathered(answers, "words")
+    found, held = toxicity._gathered(answers, "words", 2)
     assert found.tolist() == [5 << 32 | 1, 5 << 32 | 9] and held[:, 0, 0].tolist() == [0, 1]
-    found, held = toxicity._gathered(answers, "pairs")
-    assert found.tolist() == [7, 2**64 - 1] and held[:, 2, 1].tolist() == [3, 2]
+    found, held = toxicity._gathered(answers, "pairs", 2)
+    assert found.tolist() == [7, 2**64 - 1] and held[:, 1, 1].tolist() == [3, 2]
 
 
 def test_both_folds_and_unlabelled_texts_are_counted(spark, monkeypatch):
