@@ -22,7 +22,7 @@ from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
 # Bytes of texts that are scored together: the words and pairs they hold are looked up once.
-PART_BYTES = 1 << 23
+PART_BYTES = 1 << 24
 # Bytes of texts whose pairs meet in one group, and pairs that a task holds before it sends them.
 GROUP_BYTES, HELD_PAIRS = 1 << 24, 1_000_000
 # Bytes of texts, or of the model, to a bucket of the model.
@@ -510,7 +510,7 @@ def _features_of(unseen):
 NAMES = [f"{side}{k}" for side in "xy" for k in range(FEATURES)]
 
 
-def with_features(rows: DataFrame, model: Model, size: int | None = None) -> DataFrame:
+def with_features(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (text, _fold or null, others) without the text, with NAMES.
 
     Rows are dealt into parts of about PART_BYTES of text, and the model into buckets of
@@ -518,13 +518,17 @@ def with_features(rows: DataFrame, model: Model, size: int | None = None) -> Dat
     were counted, packed, so neither the model nor every word of every text has to be
     in one place or in the shuffle.
     """
-    size = text_bytes(rows) if size is None else size
     schema = [f"`{n}` {t}" for n, t in rows.dtypes if n != "text"] + [f"{n} double" for n in NAMES]
     # By content, so that a row is in the same part whenever it is read.
-    parts = F.pmod(F.xxhash64(*rows.columns), F.lit(size // PART_BYTES + 1))
-    parts = parts * 3 + F.coalesce("_fold", F.lit(-1)) + 1
+    kind = F.coalesce("_fold", F.lit(-1)) + 1
+    sizes = rows.groupBy(kind.alias("kind")).agg(F.sum(F.octet_length("text").cast("bigint")).alias("n"))
+    sizes = {r["kind"]: r["n"] for r in sizes.collect()}
+    count = F.lit(1)
+    for k in range(len(SCORED_BY)):
+        count = F.when(kind == k, sizes.get(k, 0) // PART_BYTES + 1).otherwise(count)
+    parts = F.pmod(F.xxhash64(*rows.columns), count) * len(SCORED_BY) + kind
     rows = rows.withColumn("_part", parts).repartition("_part")
-    buckets = max(size, model.size) // BUCKET_BYTES + 1
+    buckets = max([model.size, *sizes.values()]) // BUCKET_BYTES + 1
     asked = rows.groupBy("_part").applyInArrow(
         _asked(buckets), "_part long, bucket long, n long, halves binary"
     )
@@ -556,8 +560,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[DataFrame, Model, int]:
-    """Documents (_id, _mark, text, _r, toxic, _fold), the models of them, and their bytes.
+def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[DataFrame, Model]:
+    """Documents (_id, _mark, text, _r, toxic, _fold) and the models of them.
 
     Texts that are not held out are counted, labels of both folds by class.
     """
@@ -573,7 +577,7 @@ def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[Dat
     own = own.withColumn("_fold", fold)
     size = text_bytes(own)
     types = count_types(own.where(f"_r <> {HELD_OUT_REMAINDER}"), size)
-    return own, count_model(types), size
+    return own, count_model(types)
 
 
 def _calibrate(model: Model, found: DataFrame) -> Model:
@@ -605,7 +609,7 @@ def _score(model: Model):
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
     """A calibrated model that ``score`` can apply to other documents."""
-    own, model, _ = _learnt(docs, labels, id, text)
+    own, model = _learnt(docs, labels, id, text)
     sample = with_features(own.where("_fold IS NOT NULL"), model)
     return _calibrate(model, written_by_python(sample, "features"))
 
@@ -626,8 +630,8 @@ def scored_rows(
     ``_mark`` is xxhash64 of the text, null being empty, and tells rows of one id apart.
     All texts are sent once, for the calibration and for the scores.
     """
-    own, model, size = _learnt(docs, labels, id, text)
-    found = with_features(own.drop("_r"), model, size)
+    own, model = _learnt(docs, labels, id, text)
+    found = with_features(own.drop("_r"), model)
     found = written_by_python(found, "features")
     _calibrate(model, found)
     return found.select("_id", "_mark", _score(model).alias("score"))
