@@ -22,9 +22,9 @@ from stratacast.operators.sizing import broadcast_if_small, materialize_sized
 from stratacast.session import materialize
 
 # Bytes of texts that are scored together: the words and pairs they hold are looked up once.
-PART_BYTES = 1 << 24
+PART_BYTES = 1 << 23
 # Bytes of texts whose pairs meet in one group, and pairs that a task holds before it sends them.
-GROUP_BYTES, HELD_PAIRS = 1 << 24, 1_000_000
+GROUP_BYTES, HELD_PAIRS = 1 << 24, 500_000
 # Bytes of texts, or of the model, to a bucket of the model.
 BUCKET_BYTES = 1 << 24
 # What a model says of a word: p(w) of each class, the weight of p(w') after it and one
