@@ -11,6 +11,7 @@ as an ever longer expression.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 from stratacast.session import shared_dir
 
 BINS = 256
-# Rows of a block and of a task: a row takes some 34 bytes, a task 140 MB.
-BLOCK_ROWS, TASK_ROWS = 1 << 16, 1 << 22
-# Trees after which predictions so far are kept: in one task, and by passes, which work out
-# the trees since then anew. So many states are kept before one is written to the shared
-# folder, which cuts the lineage.
-TREES_IN_TASK, TREES_BY_PASSES, STATES = 25, 4, 6
+# Most rows of a block, and those that one task grows trees from alone: 300 trees of depth 4 take it
+# half a minute. More rows are dealt to all cores, in tasks of up to so many times as many rows: a
+# row takes some 30 bytes, so the largest task 126 MB. Larger tasks have less overhead in a pass.
+BLOCK_ROWS, TASK_ROWS, LARGEST_TASK = 1 << 14, 1 << 18, 16
+# Trees after which predictions so far are kept, and the number of such states after which
+# one is written to the shared folder, which cuts the lineage: in one task, and by passes.
+IN_TASK, BY_PASSES = (25, 6), (2, 12)
+# Up to so many tasks send their sums straight to the driver; more are added up in between.
+FLAT_TASKS = 64
 # Gradients are counted in steps of their largest size over this, so sums are exact integers
 # and the same in whatever order blocks are added.
 STEPS = 1 << 30
@@ -72,12 +76,24 @@ class Tree:
         ``columns`` holds a row per feature; it is compared with ``limits``, the cuts for bins
         or the thresholds for values.
         """
-        at = np.zeros(columns.shape[1], np.int64)
-        rows = np.arange(columns.shape[1])
+        n = columns.shape[1]
+        at = np.zeros(n, np.int64)
+        if not n:
+            return at
+        rows, flat = np.arange(n), np.ascontiguousarray(columns).reshape(-1)
+        # Where a node's feature begins in the flat columns, and the nodes left and right of
+        # it: for a leaf, itself.
+        begin = np.maximum(self.feature, 0).astype(np.int64) * n
+        nodes = np.arange(len(self.feature))
+        sides = np.stack([2 * nodes + 1, 2 * nodes + 2], axis=1)
+        sides = np.where((self.feature >= 0)[:, None], sides, nodes[:, None]).reshape(-1)
         for _ in range(depth):
-            feature = self.feature[at]
-            right = columns[np.maximum(feature, 0), rows] >= limits[at]
-            at = np.where(feature >= 0, 2 * at + 1 + right, at)
+            place = begin.take(at)
+            place += rows
+            right = flat.take(place) >= limits.take(at)
+            at *= 2
+            at += right
+            at = sides.take(at)
         return at
 
 
@@ -174,20 +190,25 @@ def _blocks(train: DataFrame, features: Sequence[str], target: str, cuts, tasks:
     draw = F.pmod(F.xxhash64(*train.columns), F.lit(_PRIME)).alias("draw")
     rows = train.select(*own, F.col(target).cast("double").alias("target"), draw)
 
+    most = BLOCK_ROWS
+
     def binned(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in (b.slice(k, most) for b in batches for k in range(0, b.num_rows, most)):
             columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(cuts))]
             bins = np.array([np.searchsorted(c, x, "right") for c, x in zip(cuts, columns)], np.uint8)
             target, draw = (batch.column(k).to_numpy() for k in (len(cuts), len(cuts) + 1))
-            parts = [bins.tobytes(), target.tobytes(), draw.tobytes()]
+            parts = [bins.tobytes(), target.tobytes(), draw.astype(np.uint32).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([p]) for p in parts], ["b", "t", "d"])
 
+    own_bins = len(cuts)
+
     def block(row) -> Block:
-        target, draw = np.frombuffer(row["t"]), np.frombuffer(row["d"], np.int64)
-        bins = np.frombuffer(row["b"], np.uint8).reshape(len(cuts), len(target))
+        target, draw = np.frombuffer(row["t"]), np.frombuffer(row["d"], np.uint32)
+        bins = np.frombuffer(row["b"], np.uint8).reshape(own_bins, len(target))
         return bins, target, draw, np.zeros(len(target))
 
-    return rows.coalesce(tasks).mapInArrow(binned, "b binary, t binary, d binary").rdd.map(block)
+    # Blocks and not rows are dealt, so that all tasks get the same share of them.
+    return rows.mapInArrow(binned, "b binary, t binary, d binary").repartition(tasks).rdd.map(block)
 
 
 def _drawn(settings: Settings, tree: int, features: int) -> Drawn:
@@ -209,40 +230,81 @@ class Job:
     def bins(self) -> int:
         return max(map(len, self.cuts)) + 1
 
-    def sums(self, blocks: Iterable[Block], tree: Tree, level: int, drawn: Drawn) -> np.ndarray:
-        """Per (column, node of the level, bin): drawn rows' gradients, in steps, and number."""
+    def sums(
+        self, blocks: Iterable[Block], tree: Tree, level: int, drawn: Drawn, wanted: np.ndarray
+    ) -> np.ndarray:
+        """Per (column, wanted node, bin): drawn rows' gradients, in steps, and number.
+
+        ``wanted`` are nodes of the level.
+        """
         columns, a, b = drawn
-        first, nodes, bins = 2**level - 1, 2**level, self.bins
+        cells = len(wanted) * self.bins
         share = int(self.settings.row_fraction * _PRIME)
-        total = np.zeros((2, len(columns), nodes * bins), np.int64)
+        # Rows that ended in a leaf further up, or are in other nodes, have no cell.
+        begin = np.full(len(tree.feature), -1, np.int64)
+        begin[wanted] = np.arange(len(wanted)) * self.bins
+        total = np.zeros((2, len(columns), cells), np.int64)
         for data, target, draw, now in blocks:
-            at = tree.leaves(data, tree.cut, level)
-            # Rows that ended in a leaf further up are done.
-            keep = np.flatnonzero(((draw * a + b) % _PRIME < share) & (at >= first))
-            node = (at[keep] - first) * bins
-            gradient = np.rint((now[keep] - target[keep]) / self.step)
+            node = begin.take(tree.leaves(data, tree.cut, level))
+            keep = np.flatnonzero(((draw * np.int64(a) + b) % _PRIME < share) & (node >= 0))
+            node = node.take(keep)
+            gradient = np.rint((now.take(keep) - target.take(keep)) / self.step)
             for k, c in enumerate(columns):
-                cell = node + data[c][keep]
-                total[0, k] += np.bincount(cell, gradient, nodes * bins).astype(np.int64)
-                total[1, k] += np.bincount(cell, minlength=nodes * bins)
-        return total.reshape(2, len(columns), nodes, bins)
+                cell = node + data[c].take(keep)
+                total[0, k] += np.bincount(cell, gradient, cells).astype(np.int64)
+                total[1, k] += np.bincount(cell, minlength=cells)
+        return total.reshape(2, len(columns), len(wanted), self.bins)
 
-    def grow(self, k: int, summed: Callable[[Tree, int, Drawn], np.ndarray]) -> Tree:
-        """Tree ``k``, level by level; ``summed`` adds up all rows' sums for a level."""
+    def grow(self, k: int, summed: Callable[[Tree, int, Drawn, np.ndarray], np.ndarray]) -> Tree:
+        """Tree ``k``, level by level; ``summed`` adds up all rows' sums for some of its nodes.
+
+        Of two nodes with one parent only the one with fewer rows is added up: the other has
+        what is left of the parent's sums, which are integers.
+        """
         tree = Tree.empty(self.settings.depth)
         drawn = _drawn(self.settings, k, len(self.cuts))
+        above = None
         for level in range(self.settings.depth):
-            sums = summed(tree, level, drawn)
+            wanted = np.zeros(1, np.int64)
+            if above is not None:
+                wanted = _smaller_sides(tree, level, above, drawn[0])
+            sums = summed(tree, level, drawn, wanted)
+            if above is not None:
+                sums = _both_sides(level, above, wanted, sums)
             if not _split(tree, level, sums, self.settings, drawn[0], self.cuts, self.step):
                 break
+            above = sums
         return tree
 
-    def advanced(self, block: Block, trees: list[Tree]) -> Block:
-        """The block after some more trees."""
-        bins, target, draw, now = block
-        for tree in trees:
-            now = now + tree.value[tree.leaves(bins, tree.cut, self.settings.depth)]
-        return bins, target, draw, now
+
+def _smaller_sides(tree: Tree, level: int, above: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Of each split node a level up, the side with fewer rows; ``above`` are that level's sums."""
+    first, found = 2 ** (level - 1) - 1, []
+    for node in range(2 ** (level - 1)):
+        at = first + node
+        if tree.feature[at] >= 0:
+            rows = above[1, np.searchsorted(columns, tree.feature[at]), node]
+            left = rows[: tree.cut[at]].sum()
+            found.append(2 * at + 1 + int(rows.sum() - left < left))
+    return np.array(found, np.int64)
+
+
+def _both_sides(level: int, above: np.ndarray, wanted: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The sums of all nodes of a level, out of one side's of each parent and the parents'."""
+    first = 2**level - 1
+    whole = np.zeros((*above.shape[:2], 2**level, above.shape[3]), np.int64)
+    for k, at in enumerate(wanted - first):
+        whole[:, :, at] = sums[:, :, k]
+        whole[:, :, at ^ 1] = above[:, :, at >> 1] - sums[:, :, k]
+    return whole
+
+
+def advanced(block: Block, trees: Sequence[Tree], depth: int) -> Block:
+    """The block after some more trees."""
+    bins, target, draw, now = block
+    for tree in trees:
+        now = now + tree.value.take(tree.leaves(bins, tree.cut, depth))
+    return bins, target, draw, now
 
 
 def _split(tree: Tree, level: int, sums, settings: Settings, columns, cuts, step: float) -> bool:
@@ -286,16 +348,27 @@ def _split(tree: Tree, level: int, sums, settings: Settings, columns, cuts, step
     return split
 
 
+def _advance(trees: Sequence[Tree], depth: int) -> Callable[[Block], Block]:
+    return lambda block: advanced(block, trees, depth)
+
+
 def _by_passes(state: RDD, job: Job, ks: range) -> list[Tree]:
     """Grow trees with a pass over all tasks' rows per level."""
     found: list[Tree] = []
+    depth = job.settings.depth
+    levels = 1 if state.getNumPartitions() <= FLAT_TASKS else 2
     for k in ks:
 
-        def summed(tree, level, drawn, grown=tuple(found)):
+        def summed(tree, level, drawn, wanted, grown=tuple(found)):
             def part(blocks):
-                yield job.sums((job.advanced(b, grown) for b in blocks), tree, level, drawn)
+                # Python workers look for garbage after every task: not among the modules
+                # that they have loaded, which takes longer than a pass.
+                if not gc.get_freeze_count():
+                    gc.freeze()
+                now = (advanced(b, grown, depth) for b in blocks)
+                yield job.sums(now, tree, level, drawn, wanted)
 
-            return state.mapPartitions(part).treeReduce(np.add)
+            return state.mapPartitions(part).treeReduce(np.add, levels)
 
         found.append(job.grow(k, summed))
     return found
@@ -303,12 +376,13 @@ def _by_passes(state: RDD, job: Job, ks: range) -> list[Tree]:
 
 def _in_one_task(state: RDD, job: Job, ks: range) -> list[Tree]:
     """Grow trees where all rows are one task's: no pass has to go through the driver."""
+    depth = job.settings.depth
 
     def part(blocks):
         blocks = list(blocks)
         for k in ks:
             tree = job.grow(k, lambda *of: job.sums(blocks, *of))
-            blocks = [job.advanced(b, [tree]) for b in blocks]
+            blocks = [advanced(b, [tree], depth) for b in blocks]
             yield tree
 
     return state.mapPartitions(part).collect()
@@ -324,9 +398,9 @@ def fit_trees(
     """Train on rows without nulls; squared error, from the mean of the target.
 
     Every tree sees a drawn share of the rows and of the columns, and adds ``rate`` times
-    the shrunk mean of what is left to explain. Rows are dealt to tasks of ``task_rows``. The
-    trees are the same however many tasks there are; where one task holds all rows, it grows
-    TREES_IN_TASK trees at a time. Predictions so far are kept every few trees, so a lost executor
+    the shrunk mean of what is left to explain. Up to ``task_rows`` rows are one task, which
+    grows several trees at a time; more are dealt to all cores, and the trees are the same
+    however many tasks there are. Predictions so far are kept every few trees, so a lost executor
     costs its own blocks and, in one task, those trees.
     """
     spark = train.sparkSession
@@ -339,28 +413,27 @@ def fit_trees(
     # No gradient is larger at first than twice the target; later ones may be a little.
     step = max(4 * float(size["most"]), 1e-300) / STEPS
     job = Job(settings, cut_points(train, features), step)
-    tasks = math.ceil(size["n"] / task_rows)
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
-    try:
-        raw = _blocks(train, features, target, job.cuts, tasks)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    tasks = 1
+    if size["n"] > task_rows:
+        # All cores take part in every pass, to its end.
+        cores = max(2, spark.sparkContext.defaultParallelism)
+        tasks = math.ceil(size["n"] / (cores * LARGEST_TASK * task_rows)) * cores
+    raw = _blocks(train, features, target, job.cuts, tasks)
     base = model.base
     state = raw.map(lambda b: (*b[:3], np.full(len(b[1]), base)))
     state.persist(StorageLevel.MEMORY_AND_DISK)
     shared_dir(spark)  # checkpoints go there
     old = None
-    grow, each = (_in_one_task, TREES_IN_TASK) if tasks == 1 else (_by_passes, TREES_BY_PASSES)
+    grow, (each, states) = (_in_one_task, IN_TASK) if tasks == 1 else (_by_passes, BY_PASSES)
     for first in range(0, settings.trees, each):
         trees = grow(state, job, range(first, min(first + each, settings.trees)))
         model.trees += trees
         if old is not None:
             # The newer state has been read in full.
             old.unpersist()
-        old, state = state, state.map(lambda block, trees=trees: job.advanced(block, trees))
+        old, state = state, state.map(_advance(trees, settings.depth))
         state.persist(StorageLevel.MEMORY_AND_DISK)
-        if (first // each + 1) % STATES == 0:
+        if (first // each + 1) % states == 0:
             state.checkpoint()
     for left in (old, state):
         left.unpersist()

@@ -74,6 +74,43 @@ def test_tasks_do_not_change_the_trees(rows):
             np.testing.assert_array_equal(getattr(one, field), getattr(other, field))
 
 
+def test_rows_beyond_one_task_are_dealt_to_all_cores(spark, rows, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    cores, dealt, plain_passes = spark.sparkContext.defaultParallelism, [], boosting._by_passes
+
+    def passes(state, job, ks):
+        dealt.append(state.map(lambda block: len(block[1])).glom().map(sum).collect())
+        return plain_passes(state, job, ks)
+
+    monkeypatch.setattr(boosting, "_by_passes", passes)
+    settings = Settings(1, depth=2, rate=0.1, row_fraction=1.0, column_fraction=1.0, seed=42)
+    fit_trees(rows.coalesce(1), NAMES, "y", settings, task_rows=2900)
+    (sizes,) = dealt
+    assert len(sizes) == cores > 1 and sum(sizes) == 3000
+    assert max(sizes) - min(sizes) <= 100
+    # A task that grows all trees alone takes its time by its rows.
+    assert boosting.TASK_ROWS <= 1 << 18
+
+
+def test_only_one_side_of_a_split_is_added_up(rows, monkeypatch):
+    asked, plain_grow = [], boosting.Job.grow
+
+    def grow(job, k, summed):
+        def noted(tree, level, drawn, wanted):
+            asked.append((level, len(wanted)))
+            sums = summed(tree, level, drawn, wanted)
+            assert level == 0 or 2 * sums[1, 0].sum() <= 3000
+            return sums
+
+        return plain_grow(job, k, noted)
+
+    monkeypatch.setattr(boosting.Job, "grow", grow)
+    monkeypatch.setattr(boosting, "_in_one_task", boosting._by_passes)
+    settings = Settings(2, depth=4, rate=0.1, row_fraction=1.0, column_fraction=1.0, seed=42)
+    fit_trees(rows, NAMES, "y", settings)
+    assert asked == [(0, 1), (1, 1), (2, 2), (3, 4)] * 2
+
+
 def test_rows_and_columns_are_drawn_per_tree(rows):
     settings = Settings(40, depth=2, rate=0.1, row_fraction=0.8, column_fraction=0.4, seed=3)
     model = fit_trees(rows, NAMES, "y", settings)
