@@ -54,14 +54,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8), offsets
 
 
-def groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about GROUP_BYTES: first row, bytes, offsets within them."""
+def groups(
+    column: pa.Array, size: int = GROUP_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of rows of about ``size`` bytes: first row, bytes, offsets within them."""
     if not len(column):
         return
     data, offsets = buffers(column)
     low = 0
     while low < len(offsets) - 1:
-        high = int(np.searchsorted(offsets, offsets[low] + GROUP_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(max(high, low + 1), len(offsets) - 1)
         yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,11 @@ PART_BYTES = 1 << 23
 GROUP_BYTES, HELD_PAIRS = 1 << 24, 500_000
 # Bytes of texts, or of the model, to a bucket of the model.
 BUCKET_BYTES = 1 << 24
+# Bytes of texts whose words a task hashes at once, unless one text is longer.
+TEXT_BYTES = 1 << 20
+# Most rounds in which pairs are counted and parts are scored, and parts to a round: the
+# shuffle files of a round are removed before the next one.
+COUNT_ROUNDS, SCORE_ROUNDS, ROUND_PARTS = 2, 8, 6
 # What a model says of a word: p(w) of each class, the weight of p(w') after it and one
 # over its count; of a pair: its discounted counts.
 VALUES = ["a0", "a1", "back0", "back1", "each0", "each1"]
@@ -96,9 +102,19 @@ def _joined(parts: list[Pairs]) -> Pairs:
     return Pairs(*columns, np.concatenate([p.counts for p in parts], axis=1))
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """32-bit numbers byte by byte, so that their high bytes lie together."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def _planes(numbers: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of ``width`` bytes byte by byte, so that their high bytes lie together."""
+    numbers = numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return np.ascontiguousarray(numbers.T).tobytes()
+
+
+def _of_planes(planes: np.ndarray, width: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(f"<u{width}")[:, 0]
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)), 8)
 
 
 def _pack(pairs: Pairs) -> tuple[int, int, bytes]:
@@ -109,14 +125,14 @@ def _pack(pairs: Pairs) -> tuple[int, int, bytes]:
     words, at = np.unique(np.concatenate([pairs.w, pairs.h]), return_inverse=True)
     w, h = np.split(at, 2)
     order = np.lexsort((h, w))
-    parts = [words.astype("<u8").tobytes(), _planes(np.diff(w[order], prepend=0)), _planes(h[order])]
+    parts = [_steps(words), _planes(np.diff(w[order], prepend=0)), _planes(h[order])]
     parts += [_planes(c[order]) for c in pairs.counts]
     return len(w), len(words), pa.compress(b"".join(parts), codec="zstd", asbytes=True)
 
 
 def _unpack(n: int, m: int, block: bytes) -> Pairs:
     raw = pa.decompress(block, 8 * m + 4 * n * (2 + len(COUNTS)), codec="zstd", asbytes=True)
-    words = np.frombuffer(raw, "<u8", m)
+    words = np.cumsum(_of_planes(np.frombuffer(raw, np.uint8, 8 * m), 8), dtype=np.uint64)
     planes = np.frombuffer(raw, np.uint8, offset=8 * m).reshape(-1, 4, n)
     w, h, *counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[..., 0]
     w, h = words[np.cumsum(w)], words[h]
@@ -124,14 +140,22 @@ def _unpack(n: int, m: int, block: bytes) -> Pairs:
     return Pairs(pair, h, w, np.array(counts, np.int64))
 
 
-def _pair_blocks(side: int):
+def _group_of(h: np.ndarray, w: np.ndarray, side: int) -> np.ndarray:
+    """By both words, so that all words before a frequent one are not one group."""
+    return (w % side * side + h % side).astype(np.int64)
+
+
+BLOCKS = "group long, n long, m long, block binary"
+
+
+def _pair_blocks(side: int, turn: int = 0, rounds: int = 1):
     """Distinct word pairs of a task's documents, as blocks of ``side`` x ``side`` groups.
 
-    The group is by both words, so that all words before a frequent one are not one group.
+    Of several rounds each has the pairs of its share of second words.
     """
 
     def blocks(pairs: Pairs):
-        group = (pairs.w % side * side + pairs.h % side).astype(np.int64)
+        group = _group_of(pairs.h, pairs.w, side)
         order = np.argsort(group, kind="stable")
         cut = tokens.bounds(group[order], side * side)
         made = [
@@ -152,8 +176,11 @@ def _pair_blocks(side: int):
             toxic = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
             second = batch.column("_r").to_numpy() == FOLDS[1]
             kind = np.where(toxic < 0, len(COUNTS), 2 * second + (toxic == 0)).astype(np.int64)
-            for low, data, offsets in tokens.groups(batch.column("text")):
+            for low, data, offsets in tokens.groups(batch.column("text"), TEXT_BYTES):
                 hashes, rows, pairs, at = _words(data, offsets)
+                if rounds > 1:
+                    own = np.flatnonzero(hashes[at + 1] % side % rounds == turn)
+                    pairs, at = pairs[own], at[own]
                 counts = kind[low + rows[at]] == np.arange(len(COUNTS))[:, None]
                 own = Pairs(pairs, hashes[at], hashes[at + 1], counts.astype(np.int32))
                 held.append(own.distinct())
@@ -170,8 +197,8 @@ def _pair_blocks(side: int):
     return mapped
 
 
-def _group_types(rows: pa.Table) -> pa.Table:
-    """COUNTS of the labelled pairs of a group, and STATS of its words.
+def _group_counts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, Pairs]:
+    """Words of a group, SHARED and STATS by words, and its labelled pairs with COUNTS.
 
     One group holds a pair with all its counts, and for a word a part of its STATS.
     """
@@ -189,6 +216,13 @@ def _group_types(rows: pa.Table) -> pa.Table:
             for seen in (c == 1, c == 2, c > 2):
                 stats.append(np.bincount(h[seen], minlength=len(words)))
             stats.append(np.bincount(h, c, len(words)).astype(np.int64))
+    return words, np.array(stats), pairs
+
+
+def _group_types(rows: pa.Table) -> pa.Table:
+    """_group_counts as rows."""
+    words, stats, pairs = _group_counts(rows)
+    labelled = pairs.pair
     made = {"key": np.r_[words, pairs.pair].view(np.int64)}
     for name, own in zip([SHARED, *STATS], stats):
         made[name] = pa.concat_arrays([pa.array(own), pa.nulls(len(labelled), pa.int64())])
@@ -205,7 +239,7 @@ class Model:
     model by model; of a pair, only the first two of each.
     """
 
-    entries: DataFrame
+    entries: DataFrame | None  # none where the counts stay packed
     size: int  # measured bytes of the entries
     unseen: list[tuple[float, float]]  # p(w) in each class of a word that was not counted
     weights: np.ndarray | None = None
@@ -249,6 +283,10 @@ def _discounts(n: list[int]) -> np.ndarray:
     return np.clip(found, [0, 0.5, 0.5, 0.5], [0, 1, 2, 3])
 
 
+def _number_less(c: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    return cut[np.minimum(c, 3)]
+
+
 def _less(c, cut: np.ndarray):
     """What is taken off a count."""
     return (
@@ -272,6 +310,55 @@ def _count(m: int, k: int):
 _EACH = [(m, k) for m in range(len(MODELS)) for k in (0, 1)]
 
 
+_TOTALS = [f"{k}_{m}_{c}" for m, k in _EACH for c in range(1, 5)]
+# What is summed up over all pairs, and over all words.
+PAIR_TOTALS = ["pairs", *_TOTALS]
+WORD_TOTALS = ["all", "words", *_TOTALS] + [f"{of}{k}_{m}" for m, k in _EACH for of in ("sum", "some")]
+
+
+class Law:
+    """What turns counts into probabilities: discounts and totals, by model and class."""
+
+    def __init__(self, of_pairs, of_words):
+        """PAIR_TOTALS and WORD_TOTALS."""
+        # One more for all words that were not counted.
+        self.every = (of_words["all"] or 0) + of_words["words"] + 1
+        self.pair_cuts, self.word_cuts, self.totals, self.rests = {}, {}, {}, {}
+        for e in _EACH:
+            m, k = e
+            n = [of_words[f"{k}_{m}_{c}"] for c in range(1, 5)]
+            cut, total = _discounts(n), of_words[f"sum{k}_{m}"] or 0
+            off = cut[1] * n[0] + cut[2] * n[1] + cut[3] * (of_words[f"some{k}_{m}"] - n[0] - n[1])
+            self.word_cuts[e], self.totals[e] = cut, float(max(total, 1))
+            self.rests[e] = float(off / total) if total else 1.0
+            self.pair_cuts[e] = _discounts([of_pairs[f"{k}_{m}_{c}"] for c in range(1, 5)])
+        self.unseen = [
+            tuple(self.rests[m, k] / self.every for k in (0, 1)) for m in range(len(MODELS))
+        ]
+
+    def of_words(self, stats: np.ndarray, m: int) -> np.ndarray:
+        """VALUES by words from SHARED and STATS, as count_model has them of a model."""
+        shared = (stats[0] + 1) / float(self.every)
+        values = []
+        for k in (0, 1):
+            at = 1 + 5 * _EACH.index((m, k))
+            own, *few, s = stats[at : at + 5]
+            cut = self.word_cuts[m, k]
+            p = (own - _number_less(own, cut)) / self.totals[m, k] + shared * self.rests[m, k]
+            taken = sum(d * n for d, n in zip(self.pair_cuts[m, k][1:], few))
+            some = np.maximum(s, 1)
+            values.append((p, np.where(s > 0, np.maximum(taken / some, 1e-3), 1.0), 1 / some))
+        return np.array([v[i] for i in range(3) for v in values], np.float32).T
+
+    def of_pairs(self, counts: np.ndarray, m: int) -> np.ndarray:
+        """Discounted COUNTS by pairs, likewise."""
+        values = []
+        for k in (0, 1):
+            c = sum(counts[2 * fold + 1 - k] for fold in MODELS[m])
+            values.append(c - _number_less(c, self.pair_cuts[m, k]))
+        return np.array(values, np.float32).T
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text_of(text)).cast("bigint"))).first()[0] or 0
 
@@ -285,9 +372,7 @@ def count_types(training: DataFrame, size: int | None = None) -> DataFrame:
     """
     size = text_bytes(training) if size is None else size
     side = math.isqrt(size // GROUP_BYTES) + 1
-    blocks = training.select("_r", "toxic", "text").mapInArrow(
-        _pair_blocks(side), "group long, n long, m long, block binary"
-    )
+    blocks = training.select("_r", "toxic", "text").mapInArrow(_pair_blocks(side), BLOCKS)
     types = blocks.groupBy("group").applyInArrow(
         _group_types, ", ".join(f"{c} long" for c in ["key", SHARED, *STATS, *COUNTS])
     )
@@ -303,11 +388,9 @@ def count_model(types: DataFrame) -> Model:
     What reaches the driver is two rows of totals.
     """
     pairs = types.where(f"{SHARED} IS NULL").select("key", *COUNTS)
-    of = pairs.agg(
+    of_pairs = pairs.agg(
         F.count("*").alias("pairs"), *[c for m, k in _EACH for c in _few(_count(m, k), f"{k}_{m}")]
     ).first()
-    of_pairs = {e: _discounts([of[f"{e[1]}_{e[0]}_{c}"] for c in range(1, 5)]) for e in _EACH}
-    rows = of["pairs"]
     words = types.where(f"{SHARED} IS NOT NULL").groupBy("key")
     words = materialize(words.agg(*[F.sum(c).alias(c) for c in (SHARED, *STATS)]), "words")
     totals = [F.sum(SHARED).alias("all"), F.count("*").alias("words")]
@@ -315,32 +398,26 @@ def count_model(types: DataFrame) -> Model:
         own = F.col(f"n{k}_{m}")
         totals += _few(own, f"{k}_{m}")
         totals += [F.sum(own).alias(f"sum{k}_{m}"), F.count(F.when(own > 0, 1)).alias(f"some{k}_{m}")]
-    of = words.agg(*totals).first()
-    # One more for all words that were not counted.
-    every = (of["all"] or 0) + of["words"] + 1
-    shared, unseen, values = (F.col(SHARED) + 1) / float(every), [], []
+    of_words = words.agg(*totals).first()
+    law = Law(of_pairs, of_words)
+    shared, values = (F.col(SHARED) + 1) / float(law.every), []
     for m in range(len(MODELS)):
-        p, back, each, rests = [], [], [], []
+        p, back, each = [], [], []
         for k in (0, 1):
-            n = [of[f"{k}_{m}_{c}"] for c in range(1, 5)]
-            cut, total = _discounts(n), of[f"sum{k}_{m}"] or 0
-            off = cut[1] * n[0] + cut[2] * n[1] + cut[3] * (of[f"some{k}_{m}"] - n[0] - n[1])
-            rest = float(off / total) if total else 1.0
             own = F.col(f"n{k}_{m}")
-            p.append((own - _less(own, cut)) / float(max(total, 1)) + rest * shared)
-            rests.append(rest / every)
-            taken = zip(of_pairs[m, k][1:], ("one", "two", "more"))
+            less = _less(own, law.word_cuts[m, k])
+            p.append((own - less) / law.totals[m, k] + law.rests[m, k] * shared)
+            taken = zip(law.pair_cuts[m, k][1:], ("one", "two", "more"))
             taken = sum(float(d) * F.col(f"{name}{k}_{m}") for d, name in taken)
             s = F.col(f"s{k}_{m}")
             back.append(F.when(s > 0, F.greatest(taken / s, F.lit(1e-3))).otherwise(1.0))
             each.append(1 / F.greatest(s, F.lit(1)))
         values += [*p, *back, *each]
-        unseen.append(tuple(rests))
     entries = words.select("key", F.array(*[v.cast("float") for v in values]).alias("v"))
-    left = [(_count(m, k) - _less(_count(m, k), of_pairs[m, k])).cast("float") for m, k in _EACH]
+    left = [(_count(m, k) - _less(_count(m, k), law.pair_cuts[m, k])).cast("float") for m, k in _EACH]
     entries = entries.unionByName(pairs.select("key", F.array(*left).alias("v")))
     width = 48 + 4 * len(VALUES) * len(MODELS)
-    return Model(entries, width * (rows + of["words"]), unseen)
+    return Model(entries, width * (of_pairs["pairs"] + of_words["words"]), law.unseen)
 
 
 def features(known: Known, data, offsets) -> np.ndarray:
@@ -405,8 +482,7 @@ def _pack_sorted(numbers: np.ndarray) -> bytes:
 
 
 def _unpack_planes(block: bytes, n: int) -> np.ndarray:
-    planes = _expand(block, 4 * n, np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+    return _of_planes(_expand(block, 4 * n, np.uint8))
 
 
 def _unpack_sorted(block: bytes, n: int) -> np.ndarray:
@@ -421,7 +497,7 @@ def _asked(buckets: int):
 
     def asked(rows: pa.Table) -> pa.Table:
         keys = [np.empty(0, np.uint64)]
-        for _, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
+        for _, data, offsets in tokens.groups(rows.column("text").combine_chunks(), TEXT_BYTES):
             hashes, _, pairs, _ = _words(data, offsets)
             keys += [_distinct(hashes), _distinct(pairs)]
         keys = _distinct(np.concatenate(keys))
@@ -497,7 +573,7 @@ def _features_of(unseen):
         out = np.zeros((2, rows.num_rows, FEATURES))
         for k, m in enumerate(models):
             known = Known(words, pairs, unseen[m], k)
-            for low, data, offsets in tokens.groups(rows.column("text").combine_chunks()):
+            for low, data, offsets in tokens.groups(rows.column("text").combine_chunks(), TEXT_BYTES):
                 out[k, low : low + len(offsets) - 1] = features(known, data, offsets)
         rest = rows.drop_columns(["_part", "text"])
         made = [pa.array(np.ascontiguousarray(c)) for side in out for c in side.T]
@@ -545,6 +621,229 @@ def with_features(rows: DataFrame, model: Model) -> DataFrame:
     )
 
 
+# Words and pairs by bucket, as counted: sorted keys with SHARED and STATS, or with COUNTS.
+# And their WORD_TOTALS or PAIR_TOTALS.
+KINDS = {"words": 1 + len(STATS), "pairs": len(COUNTS)}
+COUNTED = "kind string, bucket long, n long, keys binary, numbers binary, totals array<long>"
+
+
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    return _squeeze(np.frombuffer(_planes(numbers.ravel(), 8), np.uint8))
+
+
+def _unpack_numbers(block: bytes, n: int, kinds: int) -> np.ndarray:
+    return _of_planes(_expand(block, 8 * n * kinds, np.uint8), 8).view(np.int64).reshape(kinds, n)
+
+
+def _pack_counted(kind: str, bucket: int, keys: np.ndarray, numbers: np.ndarray, totals) -> dict:
+    block = _squeeze(np.frombuffer(_steps(keys), np.uint8))
+    row = [kind, bucket, len(keys), block, _pack_numbers(numbers), [int(t) for t in totals]]
+    return dict(zip(COUNTED_ROWS.names, row))
+
+
+COUNTED_ROWS = pa.schema(
+    [("kind", pa.string()), ("bucket", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()),
+     ("numbers", pa.binary()), ("totals", pa.list_(pa.int64()))]
+)
+
+
+def _unpack_counted(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    n = row["n"]
+    keys = np.cumsum(_of_planes(_expand(row["keys"], 8 * n, np.uint8), 8), dtype=np.uint64)
+    return keys, _unpack_numbers(row["numbers"], n, KINDS[row["kind"]])
+
+
+def _counts_of(numbers: np.ndarray) -> list[int]:
+    """How many are 1, 2, 3 and 4."""
+    return np.bincount(np.minimum(numbers, 5), minlength=6)[1:5].tolist()
+
+
+def _group_packed(buckets: int):
+    def packed(rows: pa.Table) -> pa.Table:
+        """The pairs of a group, which is their bucket, and what it adds to words, by bucket."""
+        words, stats, pairs = _group_counts(rows)
+        totals = [len(pairs.pair)]
+        for m, k in _EACH:
+            totals += _counts_of(sum(pairs.counts[2 * fold + 1 - k] for fold in MODELS[m]))
+        group = rows.column("group")[0].as_py()
+        made = [_pack_counted("pairs", group, pairs.pair, pairs.counts, totals)]
+        bucket = (words % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = tokens.bounds(bucket[order], buckets)
+        for b in np.flatnonzero(np.diff(cut)):
+            own = order[cut[b] : cut[b + 1]]
+            made.append(_pack_counted("words", int(b), words[own], stats[:, own], []))
+        return pa.Table.from_pylist(made, COUNTED_ROWS)
+
+    return packed
+
+
+def _word_sums(rows: pa.Table) -> pa.Table:
+    """A bucket's words with what all groups add to them."""
+    keys, stats = zip(*map(_unpack_counted, rows.to_pylist()))
+    keys, stats = np.concatenate(keys), np.concatenate(stats, axis=1)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    stats = np.add.reduceat(stats[:, order], first, axis=1)
+    own = [stats[1 + 5 * k] for k in range(len(_EACH))]
+    totals = [stats[0].sum(), len(first)] + [c for n in own for c in _counts_of(n)]
+    totals += [t for n in own for t in (n.sum(), np.count_nonzero(n))]
+    bucket = rows.column("bucket")[0].as_py()
+    return pa.Table.from_pylist(
+        [_pack_counted("words", bucket, keys[first], stats, totals)], COUNTED_ROWS
+    )
+
+
+def _summed(counted: DataFrame, names: list[str]) -> dict[str, int]:
+    of = [F.sum(F.col("totals")[k]).alias(name) for k, name in enumerate(names)]
+    return {name: n or 0 for name, n in counted.agg(*of).first().asDict().items()}
+
+
+def count_packed(training: DataFrame, side: int, buckets: int) -> tuple[DataFrame, Law]:
+    """What count_types and count_model find, as few rows of packed COUNTED, written.
+
+    Pairs are in ``side`` x ``side`` buckets by their words, words in ``buckets`` by key.
+    """
+    rounds, made = min(side, COUNT_ROUNDS), []
+    for turn in range(rounds):
+        blocks = training.select("_r", "toxic", "text").mapInArrow(
+            _pair_blocks(side, turn, rounds), BLOCKS
+        )
+        counted = blocks.groupBy("group").applyInArrow(_group_packed(buckets), COUNTED)
+        made.append(written_by_python(counted, "counted"))
+    counted = reduce(DataFrame.unionByName, made)
+    words = counted.where("kind = 'words'").groupBy("bucket").applyInArrow(_word_sums, COUNTED)
+    words, pairs = materialize(words, "words"), counted.where("kind = 'pairs'")
+    law = Law(_summed(pairs, PAIR_TOTALS), _summed(words, WORD_TOTALS))
+    return words.unionByName(pairs).drop("totals"), law
+
+
+def _asked_of(side: int, buckets: int):
+    """What each part asks of each bucket: the high halves of its distinct keys."""
+
+    def asked(rows: pa.Table) -> pa.Table:
+        words, pairs, groups = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for _, data, offsets in tokens.groups(rows.column("text").combine_chunks(), TEXT_BYTES):
+            hashes, _, own, at = _words(data, offsets)
+            words.append(_distinct(hashes))
+            pairs.append(own)
+            groups.append(_group_of(hashes[at], hashes[at + 1], side))
+        words = _distinct(np.concatenate(words))
+        found = {
+            "words": (words, (words % np.uint64(buckets)).astype(np.int64), buckets),
+            "pairs": (np.concatenate(pairs), np.concatenate(groups), side * side),
+        }
+        made = []
+        part = rows.column("_part")[0].as_py()
+        for kind, (keys, bucket, count) in found.items():
+            order = np.argsort(bucket, kind="stable")
+            cut = tokens.bounds(bucket[order], count)
+            for b in np.flatnonzero(np.diff(cut)):
+                halves = _distinct(_high(keys[order[cut[b] : cut[b + 1]]]))
+                made.append((part, kind, int(b), len(halves), _pack_sorted(halves)))
+        return pa.Table.from_pylist([dict(zip(ASKED.names, row)) for row in made], ASKED)
+
+    return asked
+
+
+ASKED = pa.schema(
+    [("_part", pa.int64()), ("kind", pa.string()), ("bucket", pa.int64()), ("n", pa.int64()),
+     ("halves", pa.binary())]
+)
+ANSWERS = pa.schema(
+    [("_part", pa.int64()), ("kind", pa.string()), ("n", pa.int64()), ("high", pa.binary()),
+     ("low", pa.binary()), ("numbers", pa.binary())]
+)
+
+
+def _matching(halves: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Positions of all that have one of the wanted halves, sorted ones both."""
+    low, high = (np.searchsorted(halves, wanted, side) for side in ("left", "right"))
+    count = high - low
+    return np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def _answers_of(asked: pa.Table, counted: pa.Table) -> pa.Table:
+    """For each part's keys those that were counted, with their numbers."""
+    made = []
+    for row in counted.to_pylist():
+        keys, numbers = _unpack_counted(row)
+        halves = _high(keys)
+        for part, n, block in zip(*(asked.column(c).to_pylist() for c in ("_part", "n", "halves"))):
+            at = _matching(halves, _unpack_sorted(block, n).astype(np.uint32))
+            low = _planes((keys[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+            made.append((part, row["kind"], len(at), _pack_sorted(halves[at]),
+                         _squeeze(np.frombuffer(low, np.uint8)), _pack_numbers(numbers[:, at])))
+    return pa.Table.from_pylist([dict(zip(ANSWERS.names, row)) for row in made], ANSWERS)
+
+
+def _answered_to(answers: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys out of all answers to a part, and numbers by kind and key."""
+    keys, numbers = [np.empty(0, np.uint64)], [np.empty((KINDS[kind], 0), np.int64)]
+    columns = [answers.column(c).to_pylist() for c in ("kind", "n", "high", "low", "numbers")]
+    for of, n, high, low, block in zip(*columns):
+        if of == kind:
+            keys.append(_unpack_sorted(high, n) << np.uint64(32) | _unpack_planes(low, n).astype(np.uint64))
+            numbers.append(_unpack_numbers(block, n, KINDS[kind]))
+    keys = np.concatenate(keys)
+    order = np.argsort(keys)
+    return keys[order], np.concatenate(numbers, axis=1)[:, order]
+
+
+def _features_by(law: Law):
+    def found(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        words, stats = _answered_to(answers, "words")
+        pairs, counts = _answered_to(answers, "pairs")
+        out = np.zeros((2, rows.num_rows, FEATURES))
+        text = rows.column("text").combine_chunks()
+        fold = rows.column("_fold").fill_null(-1).to_numpy()
+        # The whole model scores all, and that of one fold the rows of the other.
+        for k, m, own in ((0, WHOLE, np.arange(len(fold))), *((1, 1 - f, np.flatnonzero(fold == f)) for f in (0, 1))):
+            if not len(own):
+                continue
+            held = (words, law.of_words(stats, m)[:, None]), (pairs, law.of_pairs(counts, m)[:, None])
+            known = Known(*held, law.unseen[m], 0)
+            texts = text if len(own) == len(text) else text.take(pa.array(own))
+            for low, data, offsets in tokens.groups(texts, TEXT_BYTES):
+                at = own[low : low + len(offsets) - 1]
+                out[k, at] = features(known, data, offsets)
+        rest = rows.drop_columns(["_part", "text"])
+        made = [pa.array(np.ascontiguousarray(c)) for side in out for c in side.T]
+        return pa.table([*rest.columns, *made], [*rest.column_names, *NAMES])
+
+    return found
+
+
+def _own_features(own: DataFrame) -> tuple[DataFrame, Law]:
+    """Counts rows (_r, toxic, text, _fold, others) and gives each its NAMES, written.
+
+    Like count_types, count_model and with_features, but counts stay packed and in the
+    groups in which they were counted. Parts of about PART_BYTES of text are scored in
+    rounds. A part asks all groups by half a key and gets whole keys and counts.
+    """
+    size = text_bytes(own)
+    side, buckets = math.isqrt(size // GROUP_BYTES) + 1, size // BUCKET_BYTES + 1
+    counted, law = count_packed(own.where(f"_r <> {HELD_OUT_REMAINDER}"), side, buckets)
+    parts = size // PART_BYTES + 1
+    rounds = min(SCORE_ROUNDS, -(-parts // ROUND_PARTS))
+    # By content, so that a row is in the same part whenever it is read.
+    rows = own.drop("_r").withColumn("_part", F.pmod(F.xxhash64("_id", "_mark"), F.lit(parts)))
+    schema = [f"`{n}` {t}" for n, t in rows.dtypes if n not in ("text", "_part")]
+    schema = ", ".join(schema + [f"{n} double" for n in NAMES])
+    types = {pa.int64(): "long", pa.binary(): "binary", pa.string(): "string"}
+    of_asked, of_answers = (", ".join(f"{f.name} {types[f.type]}" for f in s) for s in (ASKED, ANSWERS))
+    made = []
+    for turn in range(rounds):
+        some = rows.where(F.col("_part") % rounds == turn).repartition("_part")
+        asked = some.groupBy("_part").applyInArrow(_asked_of(side, buckets), of_asked)
+        answers = asked.groupBy("kind", "bucket").cogroup(counted.groupBy("kind", "bucket"))
+        answers = answers.applyInArrow(_answers_of, of_answers).groupBy("_part")
+        found = some.groupBy("_part").cogroup(answers).applyInArrow(_features_by(law), schema)
+        made.append(written_by_python(found, "features"))
+    return reduce(DataFrame.unionByName, made), law
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of a lightly penalised logistic regression, by Newton's method."""
     x = np.c_[np.ones(len(x)), x]
@@ -560,11 +859,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[DataFrame, Model]:
-    """Documents (_id, _mark, text, _r, toxic, _fold) and the models of them.
-
-    Texts that are not held out are counted, labels of both folds by class.
-    """
+def _labelled(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame:
+    """Documents (_id, _mark, text, _r, toxic, _fold); labels of held out ones are null."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.select(F.col("doc_id").alias("_id"), "toxic")
@@ -574,10 +870,7 @@ def _learnt(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[Dat
     own = own.withColumns({"_mark": F.xxhash64("text"), "_given": given_id("_id")})
     own = own.withColumn("_r", remainder("_given")).drop("_given").join(known, "_id", "left")
     fold = F.when(F.col("toxic").isNotNull(), F.when(F.col("_r") == FOLDS[0], 0).otherwise(1))
-    own = own.withColumn("_fold", fold)
-    size = text_bytes(own)
-    types = count_types(own.where(f"_r <> {HELD_OUT_REMAINDER}"), size)
-    return own, count_model(types)
+    return own.withColumn("_fold", fold)
 
 
 def _calibrate(model: Model, found: DataFrame) -> Model:
@@ -609,7 +902,10 @@ def _score(model: Model):
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
     """A calibrated model that ``score`` can apply to other documents."""
-    own, model = _learnt(docs, labels, id, text)
+    own = _labelled(docs, labels, id, text)
+    # Texts that are not held out are counted, labels of both folds by class.
+    types = count_types(own.where(f"_r <> {HELD_OUT_REMAINDER}"), text_bytes(own))
+    model = count_model(types)
     sample = with_features(own.where("_fold IS NOT NULL"), model)
     return _calibrate(model, written_by_python(sample, "features"))
 
@@ -630,10 +926,8 @@ def scored_rows(
     ``_mark`` is xxhash64 of the text, null being empty, and tells rows of one id apart.
     All texts are sent once, for the calibration and for the scores.
     """
-    own, model = _learnt(docs, labels, id, text)
-    found = with_features(own.drop("_r"), model)
-    found = written_by_python(found, "features")
-    _calibrate(model, found)
+    found, law = _own_features(_labelled(docs, labels, id, text))
+    model = _calibrate(Model(None, 0, law.unseen), found)
     return found.select("_id", "_mark", _score(model).alias("score"))
 
 

@@ -484,6 +484,48 @@ def test_both_folds_and_unlabelled_texts_are_counted(spark, monkeypatch):
     assert toxicity.score(docs, model).count() == len(rows)
 
 
+def small_steps(monkeypatch):
+    sizes = {"PART_BYTES": 5_000, "GROUP_BYTES": 40_000, "BUCKET_BYTES": 40_000, "HELD_PAIRS": 2_000}
+    for name, size in {**sizes, "TEXT_BYTES": 1_000}.items():
+        monkeypatch.setattr(toxicity, name, size)
+
+
+def test_packed_counts_give_the_features_of_the_models(spark, monkeypatch):
+    frame, labels = toxic_corpus(spark)
+    odd = [(None, "w1 vile"), (7, None), (8, ""), (9, "w1 w2 w3 " * 3000), (9, "w1"), (9, "w1")]
+    frame = frame.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    own = toxicity._labelled(frame, labels, "doc_id", "text")
+    learnt = own.where(f"_r <> {toxicity.HELD_OUT_REMAINDER}")
+    model = toxicity.count_model(toxicity.count_types(learnt))
+    want = toxicity.with_features(own.drop("_r"), model).collect()
+    small_steps(monkeypatch)
+    found, law = toxicity._own_features(own)
+    found = found.collect()
+    assert law.unseen == model.unseen
+    by = [lambda r: (r["_id"], r["_mark"]), toxicity.NAMES]
+    assert sorted(map(by[0], found)) == sorted(map(by[0], want))
+    want = {by[0](r): r for r in want}
+    for r in found:
+        assert [r[c] for c in by[1]] == pytest.approx([want[by[0](r)][c] for c in by[1]], abs=1e-9)
+
+
+def test_counts_stay_packed_and_parts_are_scored_in_rounds(spark, monkeypatch):
+    small_steps(monkeypatch)
+    written, write = defaultdict(list), toxicity.written_by_python
+
+    def recorded(frame, name):
+        written[name].append(write(frame, name))
+        return written[name][-1]
+
+    monkeypatch.setattr(toxicity, "written_by_python", recorded)
+    frame, labels = toxic_corpus(spark)
+    assert toxicity.scored_rows(frame, labels).count() == 600
+    scored = [f.count() for f in written.pop("features")]
+    assert len(scored) > 1 and sum(scored) == 600 and max(scored) < 400
+    # Not a row to each word or pair.
+    assert 0 < sum(f.count() for frames in written.values() for f in frames) < 100
+
+
 def test_toxicity_of_awkward_rows(docs, nothing, spark):
     _, labels = toxic_corpus(spark, 30)
     assert toxicity.toxicity(docs[0], labels).count() == len(docs[1])
