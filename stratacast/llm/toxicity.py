@@ -76,6 +76,11 @@ def _words(data, offsets):
     return hashes, rows, pairs, at
 
 
+def _wide_enough(counts: np.ndarray) -> type:
+    """A type that holds any sum of some of the counts."""
+    return np.int32 if counts.sum(dtype=np.int64) < 1 << 31 else np.int64
+
+
 @dataclass
 class Pairs:
     """Word pairs: hash of the pair, of its words, and COUNTS, which are zero without a label."""
@@ -90,7 +95,9 @@ class Pairs:
         pair = self.pair[order]
         first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][: len(pair)])
         at = order[first]
-        counts = np.add.reduceat(self.counts[:, order], first, axis=1) if len(at) else self.counts
+        counts = np.zeros((len(COUNTS), len(at)), _wide_enough(self.counts))
+        for k in range(len(COUNTS) if len(at) else 0):
+            np.add.reduceat(self.counts[k][order], first, dtype=counts.dtype, out=counts[k])
         return Pairs(pair[first], self.h[at], self.w[at], counts)
 
     def some(self, which) -> Pairs:
@@ -137,7 +144,7 @@ def _unpack(n: int, m: int, block: bytes) -> Pairs:
     w, h, *counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[..., 0]
     w, h = words[np.cumsum(w)], words[h]
     pair, _ = tokens.runs(np.stack([h, w], 1).ravel(), np.repeat(np.arange(n), 2), 2)
-    return Pairs(pair, h, w, np.array(counts, np.int64))
+    return Pairs(pair, h, w, np.array(counts))
 
 
 def _group_of(h: np.ndarray, w: np.ndarray, side: int) -> np.ndarray:
@@ -205,18 +212,21 @@ def _group_counts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, Pairs]:
     columns = [rows.column(c).to_pylist() for c in ("n", "m", "block")]
     pairs = _joined([_unpack(*block) for block in zip(*columns)]).distinct()
     words, at = np.unique(np.concatenate([pairs.w, pairs.h]), return_inverse=True)
-    stats = [np.bincount(at[: len(pairs.w)], minlength=len(words))]
+    stats = np.empty((1 + len(STATS), len(words)), _wide_enough(pairs.counts))
+    stats[0] = np.bincount(at[: len(pairs.w)], minlength=len(words))
     labelled = np.flatnonzero(pairs.counts.any(axis=0))
     w, h = at[labelled], at[len(pairs.w) + labelled]
-    pairs = pairs.some(labelled)
+    pairs, row = pairs.some(labelled), 1
+    del at
     for folds in MODELS:
         for k in (0, 1):
             c = sum(pairs.counts[2 * fold + 1 - k] for fold in folds)
-            stats.append(np.bincount(w[c > 0], minlength=len(words)))
-            for seen in (c == 1, c == 2, c > 2):
-                stats.append(np.bincount(h[seen], minlength=len(words)))
-            stats.append(np.bincount(h, c, len(words)).astype(np.int64))
-    return words, np.array(stats), pairs
+            for of, seen in ((w, c > 0), (h, c == 1), (h, c == 2), (h, c > 2)):
+                stats[row] = np.bincount(of[seen], minlength=len(words))
+                row += 1
+            stats[row] = np.bincount(h, c, len(words))
+            row += 1
+    return words, stats, pairs
 
 
 def _group_types(rows: pa.Table) -> pa.Table:
@@ -225,9 +235,9 @@ def _group_types(rows: pa.Table) -> pa.Table:
     labelled = pairs.pair
     made = {"key": np.r_[words, pairs.pair].view(np.int64)}
     for name, own in zip([SHARED, *STATS], stats):
-        made[name] = pa.concat_arrays([pa.array(own), pa.nulls(len(labelled), pa.int64())])
+        made[name] = pa.concat_arrays([pa.array(own, pa.int64()), pa.nulls(len(labelled), pa.int64())])
     for name, own in zip(COUNTS, pairs.counts):
-        made[name] = pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(own)])
+        made[name] = pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(own, pa.int64())])
     return pa.table(made)
 
 
@@ -262,7 +272,10 @@ class Known:
 
     @staticmethod
     def _at(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        found = np.searchsorted(keys, hashes)
+        # In order, each search goes on near the one before: three times as fast.
+        order = np.argsort(hashes)
+        found = np.empty(len(hashes), np.int64)
+        found[order] = np.searchsorted(keys, hashes[order])
         if len(keys):
             same = keys[np.minimum(found, len(keys) - 1)] == hashes
             found[~same] = len(keys)
@@ -778,32 +791,36 @@ def _answers_of(asked: pa.Table, counted: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([dict(zip(ANSWERS.names, row)) for row in made], ANSWERS)
 
 
-def _answered_to(answers: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys out of all answers to a part, and numbers by kind and key."""
-    keys, numbers = [np.empty(0, np.uint64)], [np.empty((KINDS[kind], 0), np.int64)]
+def _answered_to(answers: pa.Table, kind: str, valued, models) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys out of all answers to a part, and their values by key, model and kind.
+
+    Each answer is valued at once: its numbers take several times the room.
+    """
+    keys = [np.empty(0, np.uint64)]
+    values = [np.empty((0, len(models), WIDTHS[kind] // len(MODELS)), np.float32)]
     columns = [answers.column(c).to_pylist() for c in ("kind", "n", "high", "low", "numbers")]
     for of, n, high, low, block in zip(*columns):
         if of == kind:
             keys.append(_unpack_sorted(high, n) << np.uint64(32) | _unpack_planes(low, n).astype(np.uint64))
-            numbers.append(_unpack_numbers(block, n, KINDS[kind]))
+            numbers = _unpack_numbers(block, n, KINDS[kind])
+            values.append(np.stack([valued(numbers, m) for m in models], axis=1))
     keys = np.concatenate(keys)
     order = np.argsort(keys)
-    return keys[order], np.concatenate(numbers, axis=1)[:, order]
+    return keys[order], np.concatenate(values)[order]
 
 
 def _features_by(law: Law):
     def found(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        words, stats = _answered_to(answers, "words")
-        pairs, counts = _answered_to(answers, "pairs")
         out = np.zeros((2, rows.num_rows, FEATURES))
         text = rows.column("text").combine_chunks()
         fold = rows.column("_fold").fill_null(-1).to_numpy()
         # The whole model scores all, and that of one fold the rows of the other.
-        for k, m, own in ((0, WHOLE, np.arange(len(fold))), *((1, 1 - f, np.flatnonzero(fold == f)) for f in (0, 1))):
-            if not len(own):
-                continue
-            held = (words, law.of_words(stats, m)[:, None]), (pairs, law.of_pairs(counts, m)[:, None])
-            known = Known(*held, law.unseen[m], 0)
+        scored = {WHOLE: (0, np.arange(len(fold)))}
+        scored |= {1 - f: (1, np.flatnonzero(fold == f)) for f in np.unique(fold[fold >= 0]).tolist()}
+        words = _answered_to(answers, "words", law.of_words, [*scored])
+        pairs = _answered_to(answers, "pairs", law.of_pairs, [*scored])
+        for at_model, (m, (k, own)) in enumerate(scored.items()):
+            known = Known(words, pairs, law.unseen[m], at_model)
             texts = text if len(own) == len(text) else text.take(pa.array(own))
             for low, data, offsets in tokens.groups(texts, TEXT_BYTES):
                 at = own[low : low + len(offsets) - 1]
